@@ -64,6 +64,11 @@ def dim_date(
 
 
 def _with_customer(facts: DataFrame, customers: DataFrame, key: str, on_date: str) -> DataFrame:
+    """Add the key of the customer version in force.
+
+    Customer and date belong to the document header, so this joins headers, before items:
+    fewer rows to resolve, and items are shuffled for their header only.
+    """
     return point_in_time(
         facts,
         customers,
@@ -82,13 +87,9 @@ def fct_sales_order_items(
     vbap: DataFrame, vbak: DataFrame, customers: DataFrame, rates: DataFrame
 ) -> DataFrame:
     """Ordered quantity and value, one row per order item, in the item's currency."""
-    items = with_header(
-        vbap.drop("created_on", "changed_on"),
-        vbak,
-        "sales_order_id",
-        ["order_date", "order_type", "customer_id"],
-    )
-    facts = _with_rate(_with_customer(items, customers, "customer_id", "order_date"), rates)
+    headers = _with_customer(vbak, customers, "customer_id", "order_date")
+    items = with_header(vbap, headers, "sales_order_id", ["order_date", "order_type", "customer_key"])
+    facts = _with_rate(items, rates)
     return facts.select(
         surrogate_key("sales_order_id", "item_no").alias("sales_order_item_key"),
         "sales_order_id",
@@ -111,15 +112,15 @@ def fct_billing_items(
     vbrp: DataFrame, vbrk: DataFrame, vbap: DataFrame, customers: DataFrame, rates: DataFrame
 ) -> DataFrame:
     """Billed quantity and value; cancelled and orphaned items are flagged, not removed."""
+    headers = _with_customer(vbrk, customers, "payer_id", "billing_date")
     items = with_header(
-        vbrp.drop("created_on", "changed_on"),
-        vbrk,
+        vbrp,
+        headers,
         "billing_id",
-        ["billing_date", "billing_type", "payer_id", "currency", "is_cancelled"],
+        ["billing_date", "billing_type", "currency", "is_cancelled", "customer_key"],
     )
-    facts = _with_rate(_with_customer(items, customers, "payer_id", "billing_date"), rates)
     facts = mark_missing(
-        facts,
+        _with_rate(items, rates),
         vbap,
         {"sales_order_id": "sales_order_id", "sales_order_item_no": "item_no"},
         "is_orphan_item",
@@ -148,19 +149,13 @@ def fct_delivery_items(
     lips: DataFrame, likp: DataFrame, sales_items: DataFrame, customers: DataFrame
 ) -> DataFrame:
     """Shipped quantity against each order item, and days from order to delivery."""
-    items = with_header(
-        lips.drop("created_on", "changed_on"),
-        likp,
-        "delivery_id",
-        ["delivery_date", "ship_to_customer_id"],
-    )
-    items = lookup(
-        items,
+    headers = _with_customer(likp, customers, "ship_to_customer_id", "delivery_date")
+    facts = lookup(
+        with_header(lips, headers, "delivery_id", ["delivery_date", "customer_key"]),
         sales_items,
         {"sales_order_id": "sales_order_id", "sales_order_item_no": "item_no"},
         ["sales_order_item_key", "order_date"],
     )
-    facts = _with_customer(items, customers, "ship_to_customer_id", "delivery_date")
     return facts.select(
         surrogate_key("delivery_id", "item_no").alias("delivery_item_key"),
         "delivery_id",
