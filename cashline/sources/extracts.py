@@ -12,6 +12,7 @@ import csv
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -65,23 +66,24 @@ def table_folders(extracts_dir: str) -> str:
     return f"{str(extracts_dir).rstrip('/')}/{{{','.join(RAW_COLUMNS)}}}"
 
 
-def as_files(listing: DataFrame) -> DataFrame:
-    """(table_name, file_name, path, length) of the extract files in a binary-file listing."""
-    parts = F.split("path", "/")
-    return (
-        listing.select("path", "length")
-        .withColumn("file_name", F.element_at(parts, -1))
-        .withColumn("table_name", F.element_at(parts, -2))
-        .filter(F.col("file_name").startswith(F.concat("table_name", F.lit("_"))))
-        .select("table_name", "file_name", "path", "length")
-    )
+def discover(spark: SparkSession, extracts_dir: str) -> DataFrame:
+    """All extract files `<dir>/<TABLE>/<TABLE>_*.csv` as (table_name, file_name, path).
 
+    Only the file index is asked, which also knows files of length zero; nothing is read.
+    """
+    names = []
+    for encoded in _listing(spark, extracts_dir):
+        path = unquote(encoded)
+        table, file_name = path.split("/")[-2:]
+        if file_name.startswith(f"{table}_"):
+            names.append((table, file_name, path))
+    return spark.createDataFrame(names, "table_name string, file_name string, path string")
 
-def discover(spark: SparkSession, extracts_dir: str) -> DataFrame:
-    """All extract files `<dir>/<TABLE>/<TABLE>_*.csv`; file contents are not read."""
+
+def _listing(spark: SparkSession, extracts_dir: str) -> list[str]:
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
     try:
-        return as_files(reader.load(table_folders(extracts_dir)))
+        return reader.load(table_folders(extracts_dir)).inputFiles()
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
             raise
@@ -89,9 +91,7 @@ def discover(spark: SparkSession, extracts_dir: str) -> DataFrame:
         reader.load(str(extracts_dir))
     except AnalysisException:
         raise LoadError(f"{extracts_dir}: extracts folder not found") from None
-    return spark.createDataFrame(
-        [], "table_name string, file_name string, path string, length bigint"
-    )
+    return []
 
 
 def _lines(spark: SparkSession, paths: Sequence[str], line_sep: str | None = None) -> DataFrame:

@@ -71,19 +71,14 @@ def load_extracts(spark: SparkSession, extracts_dir: str, raw_dir: str) -> LoadR
     All new files are checked first. Good ones are loaded and logged; if any were bad, one
     LoadError then names them all, and nothing of a bad file is kept.
     """
-    return load_files(spark, discover(spark, extracts_dir), raw_dir)
-
-
-def load_files(spark: SparkSession, files: DataFrame, raw_dir: str) -> LoadResult:
-    """Load the listed files (table_name, file_name, path) that have not been loaded yet."""
+    files = discover(spark, extracts_dir)
     new = not_yet_loaded(files, load_log(spark, raw_dir)).select("table_name", "file_name", "path")
     listing = [tuple(row) for row in new.collect()]  # file names only, no contents
-    skipped = files.count() - len(listing)
     good, problems = inspect_files(spark, listing, raw_dir)
     rows = _append(spark, good, raw_dir)
     if problems:
         raise LoadError("; ".join(f"{path}: {text}" for path, text in sorted(problems.items())))
-    return LoadResult(len(good), skipped, rows)
+    return LoadResult(len(good), files.count() - len(listing), rows)
 
 
 def _append(spark: SparkSession, files: list[Extract], raw_dir: str) -> int:

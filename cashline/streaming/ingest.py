@@ -6,38 +6,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from cashline.session import shared_folder
-from cashline.sources.extracts import as_files, table_folders
-from cashline.sources.raw import load_files
+from cashline.sources.extracts import table_folders
+from cashline.sources.raw import load_extracts
+
+LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def stream_extracts(
-    spark: SparkSession,
-    extracts_dir: str,
-    raw_dir: str,
-    *,
-    checkpoint_dir: str | None = None,
-    max_files_per_batch: int = 10_000,
+    spark: SparkSession, extracts_dir: str, raw_dir: str, *, checkpoint_dir: str | None = None
 ) -> StreamingQuery:
-    """Start loading all files present now, in batches, then stop.
+    """Load what is new in the extracts folder, as a query that stops when all is loaded.
 
-    The stream only lists files; contents are read by the batch load. The load log remains
-    what decides, so a batch replayed after a failure adds nothing twice. The checkpoint goes
-    next to the raw tables unless another folder is given.
+    The stream only watches for new files; each batch then loads what the load log does not
+    name yet. The log alone decides, so a batch replayed after a failure adds nothing twice.
+    A bad file fails the query, after the good ones are loaded, until it is repaired.
     """
-    listing = (
-        spark.readStream.format("binaryFile")
+    arrivals = (
+        spark.readStream.schema(LISTING)
+        .format("binaryFile")
         .option("pathGlobFilter", "*.csv")
-        .option("maxFilesPerTrigger", max_files_per_batch)
         .load(table_folders(extracts_dir))
+        .select("path")
     )
 
-    def load_batch(batch: DataFrame, _: int) -> None:
-        # A plan over the batch can be evaluated again, so the listing is used as it stands.
-        load_files(batch.sparkSession, batch, raw_dir)
+    def load_new(batch: DataFrame, _: int) -> None:
+        load_extracts(batch.sparkSession, extracts_dir, raw_dir)
 
     return (
-        as_files(listing)
-        .writeStream.foreachBatch(load_batch)
+        arrivals.writeStream.foreachBatch(load_new)
         .option("checkpointLocation", checkpoint_dir or f"{shared_folder(spark, raw_dir)}/_stream")
         .trigger(availableNow=True)
         .start()
