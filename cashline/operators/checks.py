@@ -37,10 +37,10 @@ def unaccepted_values(df: DataFrame, column: str, accepted: Sequence[str]) -> Da
 def missing_parents(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child values without a parent row, with their number of child rows. NULL passes.
 
-    Child rows are counted per value first, so a hot value reaches the join as one row.
+    Both sides are reduced to distinct values first, so a hot value reaches the join as one row.
     """
     values = child.dropna(subset=[column]).groupBy(column).agg(F.count("*").alias("n_records"))
-    known = parent.select(F.col(parent_column).alias("__parent"))
+    known = parent.select(F.col(parent_column).alias("__parent")).dropna().dropDuplicates()
     return values.join(known, values[column] == known["__parent"], "left_anti")
 
 

@@ -4,17 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+# Types whose equal values have equal hashes.
+_HASHABLE = (T.StringType, T.DateType, T.IntegralType)
+
+
+def same_key(left: DataFrame, right: DataFrame, on: dict[str, str]) -> list[Column]:
+    """Equi-join conditions, led by the hash of the key.
+
+    The hash changes no result. It makes the join shuffle both sides for itself instead of
+    inheriting a partitioning from a window or aggregate below, and only then can AQE split the
+    partition of a hot key. It also sorts well where padded keys share their first bytes.
+    """
+    equal = [left[l] == right[r] for l, r in on.items()]
+    types = [(left.schema[l].dataType, right.schema[r].dataType) for l, r in on.items()]
+    if all(isinstance(a, _HASHABLE) and a == b for a, b in types):
+        hashes = F.xxhash64(*[left[l] for l in on]) == F.xxhash64(*[right[r] for r in on.values()])
+        return [hashes, *equal]
+    return equal
 
 
 def with_header(items: DataFrame, headers: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Items with columns of their header; items without a header are dropped.
 
-    No hint: the header side is broadcast only if it is measured as small, otherwise both
-    sides shuffle on the key and AQE splits a key that holds very many items.
+    No hint: the header side is broadcast only if Catalyst finds it small enough, otherwise
+    both sides shuffle on the key and AQE splits a key that holds very many items.
     """
-    return items.join(headers.select(key, *columns), key, "inner")
+    renamed = headers.select(F.col(key).alias("__header"), *columns)
+    return items.join(renamed, same_key(items, renamed, {key: "__header"}), "inner").drop("__header")
 
 
 def lookup(
@@ -30,8 +51,8 @@ def lookup(
     renamed = reference.select(
         *[F.col(right).alias(f"__{right}") for right in on.values()], *columns
     )
-    matches = [df[left] == renamed[f"__{right}"] for left, right in on.items()]
-    return df.join(renamed, matches, "left").drop(*[f"__{right}" for right in on.values()])
+    keys = {left: f"__{right}" for left, right in on.items()}
+    return df.join(renamed, same_key(df, renamed, keys), "left").drop(*keys.values())
 
 
 def mark_missing(df: DataFrame, reference: DataFrame, on: dict[str, str], flag: str) -> DataFrame:
@@ -112,10 +133,9 @@ def _range_join(facts, versions, key, on_date, version_id, columns, valid_from,
         F.col(valid_to).alias("__to"),
         *columns,
     )
-    in_force = (facts[key] == periods["__id"]) & facts[on_date].between(
-        periods["__from"], periods["__to"]
-    )
-    return facts.join(periods, in_force, "left").drop("__id", "__from", "__to")
+    in_force = facts[on_date].between(periods["__from"], periods["__to"])
+    conditions = [*same_key(facts, periods, {key: "__id"}), in_force]
+    return facts.join(periods, conditions, "left").drop("__id", "__from", "__to")
 
 
 def _as_of_join(facts, versions, key, on_date, version_id, columns, valid_from, valid_to):
@@ -142,5 +162,5 @@ def _as_of_join(facts, versions, key, on_date, version_id, columns, valid_from,
         .filter(F.col("__asked") & (F.col("__day") <= F.col("__in_force.__to")))
         .select("__id", "__day", *[F.col(f"__in_force.{c}").alias(c) for c in columns])
     )
-    same = (facts[key] == answers["__id"]) & (facts[on_date] == answers["__day"])
+    same = same_key(facts, answers, {key: "__id", on_date: "__day"})
     return facts.join(answers, same, "left").drop("__id", "__day")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cashline.functions import days_between, month_start
-from cashline.operators.joins import lookup
+from cashline.operators.joins import lookup, same_key
 
 
 def _value_by_month(facts: DataFrame, customers: DataFrame, day: str, value: Column) -> DataFrame:
@@ -45,9 +45,7 @@ def unbilled_items(sales: DataFrame, billing: DataFrame) -> DataFrame:
         .dropDuplicates()
     )
     open_items = sales.filter(~F.col("is_rejected"))
-    same = (open_items["sales_order_id"] == billed["__order"]) & (
-        open_items["item_no"] == billed["__item"]
-    )
+    same = same_key(open_items, billed, {"sales_order_id": "__order", "item_no": "__item"})
     return open_items.join(billed, same, "left_anti")
 
 

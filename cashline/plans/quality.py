@@ -17,6 +17,7 @@ from cashline.operators.checks import (
     run_checks,
     unaccepted_values,
 )
+from cashline.operators.joins import same_key, with_header
 from cashline.plans.staging import STAGING
 
 SEED = "exchange_rates"
@@ -127,12 +128,13 @@ def billed_though_rejected(billing: DataFrame, sales: DataFrame) -> DataFrame:
 
 def _billed_order_items(billing: DataFrame, sales: DataFrame, columns: list[str]) -> DataFrame:
     order_items = sales.select(
-        "sales_order_id", F.col("item_no").alias("sales_order_item_no"), *columns
+        F.col("sales_order_id").alias("__order"), F.col("item_no").alias("__item"), *columns
     )
     billed = billing.select(
         "billing_item_key", "sales_order_id", "sales_order_item_no", "billed_qty"
     )
-    return billed.join(order_items, ["sales_order_id", "sales_order_item_no"], "inner")
+    on = {"sales_order_id": "__order", "sales_order_item_no": "__item"}
+    return billed.join(order_items, same_key(billed, order_items, on), "inner")
 
 
 def cleared_before_posting(receivables: DataFrame) -> DataFrame:
@@ -144,7 +146,7 @@ def cleared_before_posting(receivables: DataFrame) -> DataFrame:
 
 def receivable_differs_from_invoice(receivables: DataFrame, invoices: DataFrame) -> DataFrame:
     """Receivables whose amount is not the net value of their invoice."""
-    joined = receivables.join(invoices.select("billing_id", "net_value"), "billing_id", "inner")
+    joined = with_header(receivables, invoices, "billing_id", ["net_value"])
     return joined.filter(F.col("amount_doc_currency") != F.col("net_value")).select(
         "receivable_key", "amount_doc_currency", "net_value"
     )
@@ -152,9 +154,7 @@ def receivable_differs_from_invoice(receivables: DataFrame, invoices: DataFrame)
 
 def shipped_over_ordered(deliveries: DataFrame, sales: DataFrame) -> DataFrame:
     """Delivery items with more than the ordered quantity of their order item."""
-    joined = deliveries.join(
-        sales.select("sales_order_item_key", "ordered_qty"), "sales_order_item_key", "inner"
-    )
+    joined = with_header(deliveries, sales, "sales_order_item_key", ["ordered_qty"])
     return joined.filter(F.col("shipped_qty") > F.col("ordered_qty")).select(
         "delivery_item_key", "shipped_qty", "ordered_qty"
     )
