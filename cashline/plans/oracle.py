@@ -415,6 +415,11 @@ def all_oracles() -> dict[str, str]:
                  "select count(*) from orders where o_custkey is null"),
             ]
         ),
+        "loaded_customers": with_parts(
+            "raw_KNA1",
+            """select KUNNR, if(cast(KUNNR as bigint) % 89 = 0, NAME1 || chr(10) || 'c/o "Home"', NAME1) as NAME1,
+            ORT01, REGIO, LAND1, ERDAT, _source_file[6:11] as month from raw_KNA1""",
+        ),
         "load_skip": f"""select distinct 'VBAK_' || {_ymd(ORDER_DAY)} || '.csv' as file_name from orders
             where month(o_orderdate) % 2 = 1""",
         "file_row_counts": f"""select 'VBAK_' || {_ymd(ORDER_DAY)} || '.csv' as file_name,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import cached_property
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +45,8 @@ from cashline.operators.versions import (
 from cashline.plans import analysis, marts, quality, testbed
 from cashline.plans.staging import STAGING, clean_bad_dates, stage
 from cashline.plans.testbed import pad, table
-from cashline.sources.raw import not_yet_loaded
+from cashline.session import shared_folder
+from cashline.sources.raw import load_extracts, not_yet_loaded, raw_table
 from cashline.sources.seeds import exchange_rates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -498,6 +500,26 @@ def file_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def loaded_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer extracts written as CSV files, loaded twice, and read back from raw.
+
+    Some names hold commas, quotes and line breaks, so both ways of reading a file take part.
+    """
+    folder = f"{shared_folder(spark)}/extracts-{uuid4().hex}"
+    raw = testbed.kna1(spark, sf_dir)
+    two_lines = F.col("KUNNR").cast("bigint") % 89 == 0
+    raw = raw.withColumn(
+        "NAME1", F.when(two_lines, F.concat("NAME1", F.lit('\nc/o "Home"'))).otherwise(F.col("NAME1"))
+    )
+    testbed.write_extracts(raw, "KNA1", f"{folder}/in")
+    load_extracts(spark, f"{folder}/in", f"{folder}/raw")
+    load_extracts(spark, f"{folder}/in", f"{folder}/raw")
+    month = F.regexp_extract("_source_file", "[0-9]{6}", 0)
+    return raw_table(spark, f"{folder}/raw", "KNA1").select(
+        "KUNNR", "NAME1", "ORT01", "REGIO", "LAND1", "ERDAT", month.alias("month")
+    )
+
+
 FLAGSHIP = "fct_items"
 
 
@@ -534,6 +556,7 @@ def all_queries() -> dict[str, Query]:
         "check_overlap": check_overlap,
         "check_no_overlap": check_no_overlap,
         "check_report": check_report,
+        "loaded_customers": loaded_customers,
         "load_skip": load_skip,
         "file_row_counts": file_row_counts,
     }

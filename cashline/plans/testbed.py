@@ -360,3 +360,31 @@ RAW_VIEWS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "BSID": bsid,
     "BSAD": bsad,
 }
+
+
+def write_extracts(raw: DataFrame, name: str, folder: str) -> None:
+    """Write a raw view as extract files `<folder>/<TABLE>/<TABLE>_<month>01_<n>.csv`.
+
+    Every task writes its own file per month, so no month has to fit into one task; the driver
+    only renames files.
+    """
+    spark = raw.sparkSession
+    month = F.concat(F.regexp_extract(SOURCE_FILE, "[0-9]{6}", 0), F.lit("01"))
+    options = {
+        "header": "true",
+        "escape": '"',
+        "emptyValue": "",
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    }
+    scratch = f"{folder}/_{name}"
+    raw.select(*RAW_COLUMNS[name], month.alias("month")).write.options(**options).partitionBy(
+        "month"
+    ).mode("overwrite").csv(scratch)
+    jvm = spark._jvm.org.apache.hadoop.fs
+    files = jvm.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(jvm.Path(f"{folder}/{name}"))
+    written = files.globStatus(jvm.Path(f"{scratch}/month=*/*.csv"))
+    for number, status in enumerate(written):
+        day = status.getPath().getParent().getName().removeprefix("month=")
+        files.rename(status.getPath(), jvm.Path(f"{folder}/{name}/{name}_{day}_{number}.csv"))

@@ -275,7 +275,8 @@ def record_lines(lines: DataFrame) -> DataFrame:
         *split_key,
         "position",
         "value",
-        F.coalesce("own_start", "carried").alias("start"),
+        F.coalesce("own_start.block", "carried.block").alias("record_block"),
+        F.coalesce("own_start.position", "carried.position").alias("record_position"),
         ((F.col("block") == 0) & (F.col("number") == 1)).alias("is_first"),
     )
 
@@ -311,11 +312,19 @@ def _running_effect(df: DataFrame, in_order: Window) -> DataFrame:
     )
 
 
+RECORD = ["file_name", "record_block", "record_position"]
+
+
 def _joined_records(lines: DataFrame) -> DataFrame:
-    """(file_name, record, is_header): the lines of each record put back together."""
+    """(file_name, record, is_header): the lines of each record put back together.
+
+    The records of a split stay together, so a task writes few files afterwards, and a huge
+    file is still spread over as many tasks as it has splits.
+    """
     in_order = F.sort_array(F.collect_list(F.struct("block", "position", "value")))
     return (
-        lines.groupBy("file_name", "start")
+        lines.repartition("file_name", "record_block")
+        .groupBy(*RECORD)
         .agg(
             F.array_join(F.transform(in_order, lambda line: line["value"]), "\n").alias("joined"),
             F.max("is_first").alias("is_header"),
@@ -342,7 +351,7 @@ def _inspect_open_files(
     """Check files with quoted line breaks record by record."""
     lines = record_lines(_materialized_lines(spark, files, folder))
     sizes = (
-        lines.groupBy("file_name", "start")
+        lines.groupBy(*RECORD)
         .agg(F.sum(F.octet_length("value") + 1).alias("bytes"))
         .groupBy("file_name")
         .agg(F.max("bytes").alias("longest"))

@@ -268,9 +268,11 @@ def test_failed_check_stops_the_build(spark, folder, tmp_path):
     folder.rows("VBAK", "20260107", order("o2", WAERK="EUR"))
     seen = []
     with pytest.raises(CheckFailed, match="accepted_values_stg_sap__vbak_currency"):
-        build_all(spark, str(folder), str(tmp_path / "out"), on_check=seen.append)
+        build_all(spark, str(folder), str(tmp_path / "out"), on_finish=seen.append)
     assert "fct_sales_order_items" not in seen[0].tables
     assert any(r["status"] == "fail" for r in seen[0].checks)
+    whole = build_all(spark, str(folder), str(tmp_path / "out"), stop_on_failure=False)
+    assert "fct_delivery_items" in whole.tables
 
 
 def test_seed_from_file(spark, tmp_path):
