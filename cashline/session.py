@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -46,7 +47,7 @@ def local_session(cores: int | str = 8, *, name: str = "cashline", shuffle_parti
 def shared_folder(spark: SparkSession, default: str | None = None) -> str:
     """Folder all executors can reach: the cluster's `spark.checkpoint.dir`.
 
-    Only where the cluster names none (local runs) a caller's default or a new temporary
+    Only where the cluster names none, the caller's default or (in local runs) a new temporary
     folder is used.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -57,3 +58,9 @@ def shared_folder(spark: SparkSession, default: str | None = None) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return tempfile.mkdtemp(prefix="cashline-")
+
+
+def work_folder(spark: SparkSession, owner: str) -> str:
+    """A folder for the intermediate tables of one output folder, in the shared folder."""
+    digest = hashlib.md5(owner.encode()).hexdigest()[:12]
+    return f"{shared_folder(spark, owner)}/_work-{digest}"

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cashline.schema import RAW_COLUMNS, SOURCE_FILE, text_struct
-from cashline.session import shared_folder
+from cashline.session import work_folder
 
 # Fixed value: longest record in bytes, the default limit of the CSV reader to be matched.
 # It also bounds the lines that are ever put together into one record.
@@ -334,12 +334,14 @@ def _joined_records(lines: DataFrame) -> DataFrame:
     )
 
 
-def _materialized_lines(spark: SparkSession, files: Sequence[Extract], folder: str) -> DataFrame:
+def _materialized_lines(
+    spark: SparkSession, files: Sequence[Extract], folder: str, name: str
+) -> DataFrame:
     """The lines of some files, written once so that their positions are fixed.
 
     Positions come from how a scan is split, which another scan or a retry may do differently.
     """
-    path = f"{shared_folder(spark, folder)}/_open_lines"
+    path = f"{work_folder(spark, folder)}/open_lines/{name}"
     lines = _lines(spark, [f.path for f in files], line_sep="\n")
     lines.write.mode("overwrite").parquet(path)
     return spark.read.schema(lines.schema).parquet(path)
@@ -349,7 +351,7 @@ def _inspect_open_files(
     spark: SparkSession, files: list[Extract], folder: str
 ) -> tuple[list[Extract], dict[str, str]]:
     """Check files with quoted line breaks record by record."""
-    lines = record_lines(_materialized_lines(spark, files, folder))
+    lines = record_lines(_materialized_lines(spark, files, folder, "check"))
     sizes = (
         lines.groupBy(*RECORD)
         .agg(F.sum(F.octet_length("value") + 1).alias("bytes"))
@@ -402,7 +404,7 @@ def scan(spark: SparkSession, table: str, files: Sequence[Extract], folder: str)
     for file in files:
         layouts.setdefault((file.header, file.one_line_records), []).append(file)
     open_files = [f for f in files if not f.one_line_records]
-    lines = _materialized_lines(spark, open_files, folder) if open_files else None
+    lines = _materialized_lines(spark, open_files, folder, table) if open_files else None
     parts = []
     for (header, one_line_records), members in layouts.items():
         if one_line_records:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,10 +83,10 @@ def load_extracts(spark: SparkSession, extracts_dir: str, raw_dir: str) -> LoadR
     return LoadResult(len(good), files.count() - len(listing), rows)
 
 
-def _append(spark: SparkSession, files: list[Extract], raw_dir: str) -> int:
+def _append(spark: SparkSession, files: list[Extract], raw_dir: str, threads: int = 4) -> int:
     """Write data, verify it, then log it. Dying in between costs only a repeated write:
 
-    each file owns one partition, which a rerun replaces.
+    each file owns one partition, which a rerun replaces. Tables are written side by side.
     """
     if not files:
         return 0
@@ -92,9 +94,10 @@ def _append(spark: SparkSession, files: list[Extract], raw_dir: str) -> int:
     by_table: dict[str, list[Extract]] = {}
     for file in files:
         by_table.setdefault(file.table, []).append(file)
-    for table, table_files in by_table.items():
+
+    def write(table: str) -> None:
         (
-            scan(spark, table, table_files, raw_dir)
+            scan(spark, table, by_table[table], raw_dir)
             .withColumn(LOADED_AT, F.lit(loaded_at))
             .select(*RAW_COLUMNS[table], LOADED_AT, SOURCE_FILE)
             .write.mode("overwrite")
@@ -102,7 +105,10 @@ def _append(spark: SparkSession, files: list[Extract], raw_dir: str) -> int:
             .partitionBy(SOURCE_FILE)
             .parquet(f"{raw_dir}/{table}")
         )
-        _verify(spark, table, table_files, raw_dir)
+        _verify(spark, table, by_table[table], raw_dir)
+
+    with ThreadPoolExecutor(threads) as pool:
+        list(pool.map(inheritable_thread_target(spark)(write), by_table))
     entries = [(f.file_name, f.table, f.row_count, loaded_at) for f in files]
     spark.createDataFrame(entries, LOAD_LOG).coalesce(1).write.mode("append").parquet(
         f"{raw_dir}/{LOG_NAME}"

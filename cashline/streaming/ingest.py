@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from cashline.session import shared_folder
+from cashline.session import work_folder
 from cashline.sources.extracts import table_folders
 from cashline.sources.raw import load_extracts
 
@@ -34,7 +34,7 @@ def stream_extracts(
 
     return (
         arrivals.writeStream.foreachBatch(load_new)
-        .option("checkpointLocation", checkpoint_dir or f"{shared_folder(spark, raw_dir)}/_stream")
+        .option("checkpointLocation", checkpoint_dir or f"{work_folder(spark, raw_dir)}/stream")
         .trigger(availableNow=True)
         .start()
     )
