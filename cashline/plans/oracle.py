@@ -91,7 +91,7 @@ RAW = {
         {_ymd(ORDER_DAY)} as ERDAT, {_ymd(f"{ORDER_DAY} + cast(o_custkey % 5 as integer)")} as LFDAT,
         {_pad("o_custkey", 10)} as KUNNR, '00000000' as AEDAT,
         {_lineage("LIKP", f"({ORDER_DAY} + cast(o_custkey % 5 as integer))", "o_orderkey")}
-        from orders where o_orderkey % 4 <> 0""",
+        from orders where o_orderstatus <> 'P'""",
     "LIPS": f"""select {_pad("l_orderkey + 70000000", 10)} as VBELN, {POSITION} as POSNR,
         {_pad("l_orderkey", 10)} as VGBEL, if(l_suppkey % 40 = 3, '000098', {POSITION}) as VGPOS,
         {_pad("l_partkey", 18)} as MATNR,
@@ -421,7 +421,7 @@ def all_oracles() -> dict[str, str]:
             ORT01, REGIO, LAND1, ERDAT, _source_file[6:11] as month from raw_KNA1""",
         ),
         "load_skip": f"""select distinct 'VBAK_' || {_ymd(ORDER_DAY)} || '.csv' as file_name from orders
-            where month(o_orderdate) % 2 = 1""",
+            where o_orderdate >= timestamp '1998-01-01'""",
         "file_row_counts": f"""select 'VBAK_' || {_ymd(ORDER_DAY)} || '.csv' as file_name,
             count_if(o_orderstatus = 'O') as row_count from orders group by {ORDER_DAY}""",
     }

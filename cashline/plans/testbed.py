@@ -265,7 +265,7 @@ def vbrp(spark: SparkSession, sf_dir: str) -> DataFrame:
 def likp(spark: SparkSession, sf_dir: str) -> DataFrame:
     delivered = F.date_add(order_day(), (F.col("o_custkey") % 5).cast("int"))
     return _raw(
-        table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 4 != 0),
+        table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") != "P"),
         "LIKP",
         {
             "VBELN": pad(F.col("o_orderkey") + 70_000_000, 10),
