@@ -43,28 +43,35 @@ def lookup(
     reference: DataFrame,
     on: dict[str, str],
     columns: Sequence[str],
+    *,
+    small: bool = False,
 ) -> DataFrame:
     """Left join on `on` (left column -> reference column), adding `columns` of the reference.
 
-    The reference must be unique in its key columns; every left row is kept once.
+    The reference must be unique in its key columns; every left row is kept once. Say `small`
+    for a reference that should be broadcast if its size allows.
     """
     renamed = reference.select(
         *[F.col(right).alias(f"__{right}") for right in on.values()], *columns
     )
+    if small:
+        renamed = broadcast_if_small(renamed)
     keys = {left: f"__{right}" for left, right in on.items()}
     return df.join(renamed, same_key(df, renamed, keys), "left").drop(*keys.values())
 
 
-def mark_missing(df: DataFrame, reference: DataFrame, on: dict[str, str], flag: str) -> DataFrame:
+def mark_missing(
+    df: DataFrame, reference: DataFrame, on: dict[str, str], flag: str, *, unique: bool = False
+) -> DataFrame:
     """Add a boolean: True where no reference row has the row's key (or a key part is NULL).
 
-    A left join to the distinct keys rather than NOT EXISTS: AQE can split a hot key (also the
-    NULL key of all orphans) on the row-preserving side of a left join.
+    A left join to the keys rather than NOT EXISTS: AQE can split a hot key (also the NULL key
+    of all orphans) on the row-preserving side of a left join. Say `unique` where the reference
+    holds each key once; that saves the shuffle that makes keys distinct.
     """
     found = f"__{flag}_found"
-    keys = (
-        reference.select(*on.values()).dropna().dropDuplicates().withColumn(found, F.lit(True))
-    )
+    keys = reference.select(*on.values()).dropna()
+    keys = (keys if unique else keys.dropDuplicates()).withColumn(found, F.lit(True))
     return (
         lookup(df, keys, on, [found])
         .withColumn(flag, F.col(found).isNull())
@@ -80,6 +87,16 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def broadcast_if_small(df: DataFrame, limit: int = 8 << 20) -> DataFrame:
+    """Hint a broadcast for a table whose estimated size is within the limit, else change nothing.
+
+    For lookups with few distinct keys, such as currencies: without a broadcast, all rows of a
+    currency would meet in one task.
+    """
+    size = estimated_bytes(df)
+    return F.broadcast(df) if size is not None and size <= limit else df
+
+
 def _broadcast_limit(df: DataFrame) -> int:
     text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
     if text.strip().lstrip("-").isdigit():

@@ -9,10 +9,11 @@ from dataclasses import dataclass, field
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from cashline.operators.joins import estimated_bytes
 from cashline.plans import marts
 from cashline.plans.quality import SEED, check_tables
 from cashline.plans.staging import STAGING, stage
-from cashline.session import configure
+from cashline.session import configure, size_shuffles
 from cashline.sources.raw import LoadResult, load_extracts, raw_tables
 from cashline.sources.seeds import exchange_rates
 
@@ -127,6 +128,7 @@ def build_all(
     raw_dir = f"{out_dir}/raw"
     result = BuildResult(load_extracts(spark, extracts_dir, raw_dir) if extracts_dir else None)
     raw = raw_tables(spark, raw_dir)
+    size_shuffles(spark, max(estimated_bytes(df) or 0 for df in raw.values()))
     result.tables[SEED] = exchange_rates(spark) if rates is None else rates
     try:
         for folder, frames in (

@@ -80,7 +80,7 @@ def _with_customer(facts: DataFrame, customers: DataFrame, key: str, on_date: st
 
 
 def _with_rate(facts: DataFrame, rates: DataFrame) -> DataFrame:
-    return lookup(facts, rates, {"currency": "currency"}, ["rate_to_usd"])
+    return lookup(facts, rates, {"currency": "currency"}, ["rate_to_usd"], small=True)
 
 
 def fct_sales_order_items(
@@ -124,6 +124,7 @@ def fct_billing_items(
         vbap,
         {"sales_order_id": "sales_order_id", "sales_order_item_no": "item_no"},
         "is_orphan_item",
+        unique=True,
     )
     return facts.select(
         surrogate_key("billing_id", "item_no").alias("billing_item_key"),

@@ -278,7 +278,9 @@ def _in_usd(spark: SparkSession, sf_dir: str, currency_of_nation: Column) -> Dat
         "o_orderkey", "o_custkey", F.col("o_totalprice").cast("decimal(18,2)").alias("value")
     )
     priced = orders.join(customers, "o_custkey", "inner")
-    rated = lookup(priced, exchange_rates(spark), {"currency": "currency"}, ["rate_to_usd"])
+    rated = lookup(
+        priced, exchange_rates(spark), {"currency": "currency"}, ["rate_to_usd"], small=True
+    )
     return rated.select(
         "o_orderkey",
         "currency",
@@ -384,7 +386,9 @@ def fct_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         version_id="o_custkey",
         columns=["version_key"],
     )
-    facts = lookup(facts, exchange_rates(spark), {"currency": "currency"}, ["rate_to_usd"])
+    facts = lookup(
+        facts, exchange_rates(spark), {"currency": "currency"}, ["rate_to_usd"], small=True
+    )
     value = F.col("l_extendedprice").cast("decimal(18,2)")
     return facts.select(
         surrogate_key("l_orderkey", "l_linenumber").alias("item_key"),

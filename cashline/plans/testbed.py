@@ -12,7 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cashline.operators.joins import estimated_bytes
 from cashline.schema import LOADED_AT, RAW_COLUMNS, SOURCE_FILE
+from cashline.session import size_shuffles
 
 
 # Declared, so that planning a query reads no file.
@@ -37,7 +39,9 @@ SCHEMAS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    size_shuffles(spark, estimated_bytes(df) or 0)
+    return df
 
 
 def pad(number: Column | str, width: int) -> Column:

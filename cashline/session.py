@@ -26,6 +26,22 @@ RUNTIME_SETTINGS = {
 }
 
 
+SHUFFLE_BYTES = 64 << 20
+MOST_PARTITIONS = 100_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Start shuffles with enough partitions for this much input; never with fewer than set.
+
+    Partitions that turn out small are coalesced by AQE afterwards, so only too few would hurt.
+    """
+    wanted = min(-(-input_bytes // SHUFFLE_BYTES), MOST_PARTITIONS)
+    now = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    if wanted > int(now):
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session."""
     for name, value in RUNTIME_SETTINGS.items():

@@ -6,11 +6,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from cashline.functions import OPEN_END
-from cashline.operators.joins import lookup, mark_missing, point_in_time, with_header
+from cashline.operators.joins import (
+    broadcast_if_small,
+    lookup,
+    mark_missing,
+    point_in_time,
+    with_header,
+)
 from cashline.operators.versions import latest_version
 from cashline.plans import testbed
 from cashline.plans.registry import StarSchema, all_queries, latest_lines
 from cashline.plans.staging import STAGING
+from cashline.session import INITIAL_PARTITIONS, size_shuffles
+from cashline.sources.seeds import exchange_rates
 from conftest import SF_DIR, plan_of
 
 
@@ -55,10 +63,28 @@ def test_facts_shuffle_items_once(large):
     sales = StarSchema(large, SF_DIR).sales
     plan = plan_of(sales)
     joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
-    assert len(joins) == 3  # currency, header, version
+    assert len(joins) == 2  # header and version; rates are broadcast
+    assert plan.count("BroadcastHashJoin") == 1
     assert sum("__in_force" in line or "__id" in line for line in joins) == 1
 
 
+def test_shuffles_start_with_enough_partitions(spark):
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    size_shuffles(spark, 10)
+    assert spark.conf.get(INITIAL_PARTITIONS, None) == before
+    size_shuffles(spark, 1 << 40)
+    assert spark.conf.get(INITIAL_PARTITIONS) == str(1 << 14)
+    size_shuffles(spark, 1 << 60)
+    assert spark.conf.get(INITIAL_PARTITIONS) == "100000"
+    spark.conf.unset(INITIAL_PARTITIONS)
+
+
+def test_broadcast_needs_a_small_size(spark):
+    rates = exchange_rates(spark)
+    assert "ResolvedHint" in broadcast_if_small(rates)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in broadcast_if_small(rates, 1)._jdf.queryExecution().analyzed().toString()
+
+
 def test_skewed_join_keys_are_split(spark):
     """A third of all rows under one key: the join splits that partition at run time."""
     settings = {
