@@ -206,8 +206,8 @@ def stage(raw: DataFrame, name: str) -> DataFrame:
     """
     spec = STAGING[name]
     versions = clean(raw, spec)
-    content = F.desc(F.xxhash64(*versions.columns))
-    latest = latest_version(versions, spec.keys, [*spec.newest_first(), content])
+    content = [F.desc(c) for c in versions.columns if c not in spec.keys]
+    latest = latest_version(versions, spec.keys, [*spec.newest_first(), *content])
     return latest.drop(LOADED_AT, SOURCE_FILE)
 
 
