@@ -2,22 +2,51 @@
 
 from __future__ import annotations
 
+# All windows of the items against all windows of the same length in the documents.
+OP6_DECONTAMINATION = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), b AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, words[p:p + 9] AS w
+    FROM (SELECT item_id, words, unnest(range(1, greatest(1, len(words) - 9) + 1)) AS p FROM b WHERE len(words) > 0)
+), lengths AS (SELECT DISTINCT len(w) AS n FROM windows), places AS (
+    SELECT doc_id, p, n, words[p:p + n - 1] AS w
+    FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS p
+        FROM d, lengths WHERE len(words) >= n)
+), hits AS (SELECT doc_id, p, n, item_id FROM places JOIN windows USING (w)), covered AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT doc_id, unnest(range(p, p + n)) AS p FROM hits) GROUP BY doc_id
+), found AS (
+    SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+    FROM hits GROUP BY doc_id
+)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
 # Words with the 0-based place of each; and per place the five words from there.
 OP9_QUALITY_RULES = r"""
 WITH w AS (
     SELECT doc_id, coalesce(text, '') AS text,
         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
-        list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
     FROM documents
 ), windows AS (
-    SELECT doc_id, at, words[at:at + 4] AS five
-    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS at FROM w WHERE len(words) >= 5)
+    SELECT doc_id, p, words[p:p + 4] AS five
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS p FROM w WHERE len(words) >= 5)
 ), twice AS (
-    SELECT doc_id, unnest(range(at, at + 5)) AS at
-    FROM (SELECT doc_id, at, count(*) OVER (PARTITION BY doc_id, five) AS n FROM windows) WHERE n >= 2
-), repeats AS (SELECT doc_id, count(DISTINCT at) AS n FROM twice GROUP BY doc_id), m AS (
+    SELECT doc_id, unnest(range(p, p + 5)) AS p
+    FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, five) AS n FROM windows) WHERE n >= 2
+), repeats AS (SELECT doc_id, count(DISTINCT p) AS n FROM twice GROUP BY doc_id), m AS (
     SELECT w.doc_id, len(words) AS n_words,
-        coalesce(list_sum(list_transform(words, x -> length(x))), 0)::BIGINT AS word_chars,
+        coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
         len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
         len(regexp_extract_all(text, '[!?]')) AS n_marks,
         len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
@@ -39,4 +68,4 @@ FROM bits
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op9_quality_rules": OP9_QUALITY_RULES}
+    return {"op6_decontamination": OP6_DECONTAMINATION, "op9_quality_rules": OP9_QUALITY_RULES}
