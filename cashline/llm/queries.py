@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cashline.llm import decontamination, quality_rules
+from cashline.llm import decontamination, quality_rules, secret_scan
 from cashline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(docs.select("doc_id", "text"), items.select("item_id", "text"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
     measured, failed = F.col("quality.measured"), F.col("quality.failed")
@@ -31,5 +35,5 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    found = [op6_decontamination, op9_quality_rules]
+    found = [op6_decontamination, op7_secret_scan, op9_quality_rules]
     return {query.__name__: query for query in found}

@@ -31,6 +31,40 @@ SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coa
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+# Matches per kind with the text between them; places are running sums of both lengths.
+OP7_SECRET_SCAN = r"""
+WITH patterns(kind, k, pattern, g, least) AS (VALUES
+    ('assign', 0, '(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 12),
+    ('access', 1, 'AKIA[A-Z0-9]+', 0, 18),
+    ('hex', 2, '[0-9a-f]+', 0, 16)
+), texts AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents), found AS (
+    SELECT doc_id, source, kind, k, least, string_split_regex(text, pattern) AS gaps,
+        regexp_extract_all(text, pattern, 0) AS whole,
+        CASE WHEN g = 2 THEN regexp_extract_all(text, pattern, 2) ELSE regexp_extract_all(text, pattern, 0) END AS secrets
+    FROM texts, patterns WHERE regexp_matches(text, pattern)
+), each AS (
+    SELECT doc_id, source, kind, k, least, p, length(gaps[p]) AS gap, length(whole[p]) AS own, secrets[p] AS secret
+    FROM (SELECT *, unnest(range(1, len(whole) + 1)) AS p FROM found)
+), placed AS (
+    SELECT *, (sum(gap + own) OVER (PARTITION BY doc_id, kind ORDER BY p) - own)::BIGINT AS s FROM each
+), base AS (
+    SELECT doc_id, source, kind, k, s, s + own AS e, secret FROM placed WHERE length(secret) >= least
+), owners AS (
+    SELECT secret, count(DISTINCT source) + max(CASE WHEN source IS NULL THEN 1 ELSE 0 END) AS n_owners,
+        count(DISTINCT (source, doc_id)) AS n_places
+    FROM base GROUP BY secret
+), summed AS (
+    SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access,
+        count(*) FILTER (k = 2) AS n_hex, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) AS listed,
+        count(*) FILTER (n_owners = 1 AND n_places <= 2) AS n_live, count(*) FILTER (n_owners >= 3) AS n_shared
+    FROM base JOIN owners USING (secret) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+    sha256(coalesce(listed, '')) AS base_sha256, coalesce(listed, '') AS spans,
+    coalesce(n_live, 0) AS n_live, coalesce(n_shared, 0) AS n_shared
+FROM texts LEFT JOIN summed USING (doc_id)
+"""
+
 # Words with the 0-based place of each; and per place the five words from there.
 OP9_QUALITY_RULES = r"""
 WITH w AS (
@@ -68,4 +102,4 @@ FROM bits
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op6_decontamination": OP6_DECONTAMINATION, "op9_quality_rules": OP9_QUALITY_RULES}
+    return {"op7_secret_scan": OP7_SECRET_SCAN, "op6_decontamination": OP6_DECONTAMINATION, "op9_quality_rules": OP9_QUALITY_RULES}
