@@ -7,12 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cashline.llm import decontamination, quality_rules, secret_scan
+from cashline.llm import decontamination, line_dedup, quality_rules, secret_scan
 from cashline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = F.size(F.split("text", "\n", -1))
+    n_deleted = F.aggregate("deleted", F.lit(0), lambda n, run: n + run["n"])
+    left = line_dedup.dedup_lines(docs.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(lines)))
+    return left.select("doc_id", "n_lines", n_deleted.alias("n_deleted"), "text")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return decontamination.contamination(docs.select("doc_id", "text"), items.select("item_id", "text"))
@@ -35,5 +43,5 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    found = [op6_decontamination, op7_secret_scan, op9_quality_rules]
+    found = [op3_line_dedup, op6_decontamination, op7_secret_scan, op9_quality_rules]
     return {query.__name__: query for query in found}

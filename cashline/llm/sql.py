@@ -2,6 +2,30 @@
 
 from __future__ import annotations
 
+# Runs of the fewest lines with 50 words from and up to each line; all but the first of equal runs go.
+OP3_LINE_DEDUP = r"""
+WITH t AS (SELECT doc_id, text, CASE WHEN text IS NULL THEN [] ELSE string_split(text, chr(10)) END AS lines FROM documents), l AS (
+    SELECT doc_id, p, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w
+    FROM (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS p, unnest(lines) AS line FROM t)
+), c AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY p) AS upto FROM l), runs AS (
+    SELECT DISTINCT a.doc_id, a.p AS s, b.p AS e
+    FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.p >= a.p AND b.upto - a.upto + a.w >= 50
+        AND (b.upto - b.w - a.upto + a.w < 50 OR b.upto - a.upto < 50)
+), named AS (
+    SELECT runs.doc_id, s, e, array_to_string(lines[s:e], chr(10)) AS content FROM runs JOIN t USING (doc_id)
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, s) AS n FROM named
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(s, e + 1)) AS p FROM ranked WHERE n > 1
+), kept AS (
+    SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.p) AS text
+    FROM l LEFT JOIN gone USING (doc_id, p) WHERE gone.p IS NULL GROUP BY l.doc_id
+), counted AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT t.doc_id, len(lines)::INTEGER AS n_lines, coalesce(counted.n, 0)::INTEGER AS n_deleted,
+    CASE WHEN t.text IS NOT NULL THEN coalesce(kept.text, '') END AS text
+FROM t LEFT JOIN kept USING (doc_id) LEFT JOIN counted USING (doc_id)
+"""
+
 # All windows of the items against all windows of the same length in the documents.
 OP6_DECONTAMINATION = r"""
 WITH d AS (
