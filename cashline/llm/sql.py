@@ -126,4 +126,9 @@ FROM bits
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op7_secret_scan": OP7_SECRET_SCAN, "op6_decontamination": OP6_DECONTAMINATION, "op9_quality_rules": OP9_QUALITY_RULES}
+    return {
+        "op3_line_dedup": OP3_LINE_DEDUP,
+        "op6_decontamination": OP6_DECONTAMINATION,
+        "op7_secret_scan": OP7_SECRET_SCAN,
+        "op9_quality_rules": OP9_QUALITY_RULES,
+    }
