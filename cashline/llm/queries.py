@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cashline.llm import decontamination, line_dedup, quality_rules, secret_scan
+from cashline.llm import decontamination, line_dedup, minmax_dedup, quality_rules, secret_scan
 from cashline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def all_queries() -> dict[str, Query]:
-    found = [op3_line_dedup, op6_decontamination, op7_secret_scan, op9_quality_rules]
+    found = [op3_line_dedup, op6_decontamination, op7_secret_scan, op9_quality_rules, op10_minmax_dedup]
     return {query.__name__: query for query in found}
