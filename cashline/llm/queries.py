@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cashline.llm import decontamination, line_dedup, minmax_dedup, quality_rules, secret_scan
+from cashline.llm import decontamination, line_dedup, minmax_dedup, packing, quality_rules, secret_scan
 from cashline.llm.common import table
 
+TOKENIZER = "byte_bpe_50k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -21,6 +24,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_lines", n_deleted.alias("n_deleted"), "text")
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = packing.with_crc(packing.pieces(docs, public_tokenizers.path(TOKENIZER)))
+    return packing.pack(cut)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return decontamination.contamination(docs.select("doc_id", "text"), items.select("item_id", "text"))
@@ -47,5 +56,5 @@ def op10_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    found = [op3_line_dedup, op6_decontamination, op7_secret_scan, op9_quality_rules, op10_minmax_dedup]
+    found = [op3_line_dedup, op5_best_fit_packing, op6_decontamination, op7_secret_scan, op9_quality_rules, op10_minmax_dedup]
     return {query.__name__: query for query in found}
