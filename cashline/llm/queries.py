@@ -8,14 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cashline.llm import decontamination, line_dedup, minmax_dedup, packing, quality_rules, secret_scan
-from cashline.llm.common import table
+from cashline.llm import decontamination, line_dedup, minmax_dedup, packing, quality_rules, secret_scan, token_files
+from cashline.llm.common import new_folder, table
 
 TOKENIZER = "byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = new_folder(spark, "token-files")
+    token_files.write(docs, public_tokenizers.path(TOKENIZER), folder)
+    return token_files.read(spark, folder, ids=False)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = F.size(F.split("text", "\n", -1))
@@ -56,5 +63,5 @@ def op10_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    found = [op3_line_dedup, op5_best_fit_packing, op6_decontamination, op7_secret_scan, op9_quality_rules, op10_minmax_dedup]
+    found = [op1_token_files, op3_line_dedup, op5_best_fit_packing, op6_decontamination, op7_secret_scan, op9_quality_rules, op10_minmax_dedup]
     return {query.__name__: query for query in found}
