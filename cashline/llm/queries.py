@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cashline.llm import decontamination, line_dedup, minmax_dedup, packing, quality_rules, secret_scan, token_files
+from cashline.llm import decontamination, line_dedup, minmax_dedup, packing, quality_rules, secret_scan, token_files, warc
 from cashline.llm.common import new_folder, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -46,6 +46,13 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
+    records = warc.read(spark, folder, payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
     measured, failed = F.col("quality.measured"), F.col("quality.failed")
@@ -63,5 +70,5 @@ def op10_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    found = [op1_token_files, op3_line_dedup, op5_best_fit_packing, op6_decontamination, op7_secret_scan, op9_quality_rules, op10_minmax_dedup]
+    found = [op1_token_files, op3_line_dedup, op5_best_fit_packing, op6_decontamination, op7_secret_scan, op8_warc, op9_quality_rules, op10_minmax_dedup]
     return {query.__name__: query for query in found}

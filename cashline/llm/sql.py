@@ -89,6 +89,16 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM texts LEFT JOIN summed USING (doc_id)
 """
 
+OP8_WARC = r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages), h AS (
+    SELECT page_id, octet_length(payload) AS n, sha256(payload) AS digest FROM p
+), f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM h)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+    CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
 # Words with the 0-based place of each; and per place the five words from there.
 OP9_QUALITY_RULES = r"""
 WITH w AS (
@@ -130,5 +140,6 @@ def all_oracles() -> dict[str, str]:
         "op3_line_dedup": OP3_LINE_DEDUP,
         "op6_decontamination": OP6_DECONTAMINATION,
         "op7_secret_scan": OP7_SECRET_SCAN,
+        "op8_warc": OP8_WARC,
         "op9_quality_rules": OP9_QUALITY_RULES,
     }
