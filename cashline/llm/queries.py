@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cashline.llm import decontamination, line_dedup, minmax_dedup, packing, quality_rules, secret_scan, token_files, warc
+from cashline.llm import decontamination, line_dedup, minmax_dedup, packing, quality_rules, secret_scan, token_files, warc, wrappers
 from cashline.llm.common import new_folder, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -23,6 +23,11 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, folder, ids=False)
 
 
+def op2_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = wrappers.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = F.size(F.split("text", "\n", -1))
@@ -70,5 +75,5 @@ def op10_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    found = [op1_token_files, op3_line_dedup, op5_best_fit_packing, op6_decontamination, op7_secret_scan, op8_warc, op9_quality_rules, op10_minmax_dedup]
+    found = [op1_token_files, op2_wrappers, op3_line_dedup, op5_best_fit_packing, op6_decontamination, op7_secret_scan, op8_warc, op9_quality_rules, op10_minmax_dedup]
     return {query.__name__: query for query in found}
