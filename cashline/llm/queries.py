@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cashline.llm import decontamination, line_dedup, minmax_dedup, packing, quality_rules, secret_scan, token_files, warc, wrappers
+from cashline.llm import backoff_lm, decontamination, line_dedup, minmax_dedup, packing, quality_rules, secret_scan, token_files, warc, wrappers
 from cashline.llm.common import new_folder, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -36,6 +36,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_lines", n_deleted.alias("n_deleted"), "text")
 
 
+def op4_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = backoff_lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scored.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = packing.with_crc(packing.pieces(docs, public_tokenizers.path(TOKENIZER)))
@@ -75,5 +80,5 @@ def op10_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    found = [op1_token_files, op2_wrappers, op3_line_dedup, op5_best_fit_packing, op6_decontamination, op7_secret_scan, op8_warc, op9_quality_rules, op10_minmax_dedup]
+    found = [op1_token_files, op2_wrappers, op3_line_dedup, op4_backoff_lm, op5_best_fit_packing, op6_decontamination, op7_secret_scan, op8_warc, op9_quality_rules, op10_minmax_dedup]
     return {query.__name__: query for query in found}

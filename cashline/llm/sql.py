@@ -26,6 +26,26 @@ SELECT t.doc_id, len(lines)::INTEGER AS n_lines, coalesce(counted.n, 0)::INTEGER
 FROM t LEFT JOIN kept USING (doc_id) LEFT JOIN counted USING (doc_id)
 """
 
+OP4_BACKOFF_LM = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), w AS (
+    SELECT doc_id, p, words[p] AS word, CASE WHEN p > 1 THEN words[p - 1] END AS before
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS p FROM d)
+), one AS (SELECT word, count(*) AS n FROM w GROUP BY word), two AS (
+    SELECT before, word, count(*) AS n FROM w WHERE before IS NOT NULL GROUP BY before, word
+), total AS (SELECT count(*) AS n FROM w), s AS (
+    SELECT w.doc_id, sum(CASE WHEN two.n >= 2 THEN ln(two.n / context.n)
+        WHEN w.before IS NOT NULL THEN ln(0.4) + ln(one.n / total.n) ELSE ln(one.n / total.n) END) AS score
+    FROM w JOIN one ON one.word = w.word LEFT JOIN two ON two.before = w.before AND two.word = w.word
+        LEFT JOIN one context ON context.word = w.before, total
+    GROUP BY w.doc_id
+)
+SELECT d.doc_id, len(words) AS n_words, round(coalesce(score, 0), 4) AS log_score FROM d LEFT JOIN s USING (doc_id)
+"""
+
 # All windows of the items against all windows of the same length in the documents.
 OP6_DECONTAMINATION = r"""
 WITH d AS (
@@ -138,6 +158,7 @@ FROM bits
 def all_oracles() -> dict[str, str]:
     return {
         "op3_line_dedup": OP3_LINE_DEDUP,
+        "op4_backoff_lm": OP4_BACKOFF_LM,
         "op6_decontamination": OP6_DECONTAMINATION,
         "op7_secret_scan": OP7_SECRET_SCAN,
         "op8_warc": OP8_WARC,
