@@ -32,10 +32,15 @@ def components(links: DataFrame) -> DataFrame:
     """
     now = links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now = settled(now, "links")
-    before = None
-    while True:
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before or not state[0]:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        before = state
+    while not _finished(now):
         now = _stars(_stars(now, True), False)
+    return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+
+
+def _finished(links: DataFrame) -> bool:
+    """Whether every node but the centres has one link, and that to a centre."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("centre")).union(
+        links.select("b", F.lit(0), F.lit(1))
+    )
+    each = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("centre").alias("centre"))
+    return each.filter("out + centre > 1").isEmpty()

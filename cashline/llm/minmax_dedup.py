@@ -8,11 +8,16 @@ confirmed on the full sets of 64-bit shingle hashes.
 
 Equal sets are one class by a 128-bit hash of the set, of which only the member with the least id goes
 on. In a bucket of a band, members are compared with one centre and not with each other. That suffices
-where all members turn out connected. Where a bucket of three or more holds members of different
-components, two more centres are tried and then, among the members of such buckets, all pairs of
-different components are found by an exact prefix filter: tokens in the order of their frequency
-among these sets, of which similar sets must share one of the first n - ceil(0.75 n) + 1. So no
-link inside a bucket is lost, and no group is expanded into all its pairs.
+where all members turn out connected. Buckets of three or more that hold several components make up
+families (what such buckets chain together), and there the links that are still missing are found
+exactly, without comparing all members of a family with each other:
+
+1. A token is common if it is in a quarter of the family or more. All members are compared with the one
+   that has the most common tokens, which joins what is near to the family's core.
+2. Of the pairs of different components that are left, a linked one either shares a token that is not
+   common within its prefixes (the first n - ceil(0.75 n) + 1 tokens, the rarest first), or shares
+   only common ones, and then both have as many of these as must be shared. Both kinds are found by
+   joins, on the token and on the size, and confirmed.
 
 Texts are hashed once; the sets themselves are rebuilt only for documents with a candidate. Hot keys
 (a third of all rows in one class, bucket or star) are summed before they are shuffled or joined as
@@ -42,6 +47,7 @@ from cashline.llm.shingles import mixed, shingle_hashes
 HASHES, ROWS = 100, 5
 BANDS = 2 * HASHES // ROWS
 PERCENT = 75
+COMMON_PART = 4
 
 _random = np.random.default_rng(19970613)
 _FACTORS = _random.integers(0, 2**31, (HASHES, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -118,44 +124,114 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.withColumn("shared", shared).filter(100 * F.col("shared") >= PERCENT * union).select("a", "b")
 
 
-def _stars(members: DataFrame, centre: Column, name: str) -> DataFrame:
-    """Candidate pairs of each bucket's members with its centre, of different components."""
-    centres = settled(members.groupBy("band").agg(centre.alias("c")).select("band", "c.*"), f"{name}-centres")
-    pairs = members.join(centres, "band").filter("component != centre_component")
-    pairs = pairs.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b"))
-    return settled(pairs.distinct(), f"{name}-pairs")
+def _components(placed: DataFrame, links: DataFrame) -> DataFrame:
+    """`placed` with the component of each `rep` under `links`; a rep without links is its own."""
+    node = settled(components(links), "components").select(F.col("node").alias("rep"), F.col("component").alias("least"))
+    found = placed.join(node, "rep", "left")
+    return found.withColumn("component", F.coalesce("least", "rep")).drop("least")
+
+
+def _families(mixed: DataFrame) -> DataFrame:
+    """rep, size, component and family of the members of mixed buckets: what buckets chain together."""
+    docs = mixed.select("rep", "size", "component").distinct()
+    node = settled(components(mixed.select(F.col("centre").alias("a"), F.col("rep").alias("b"))), "families")
+    family = node.select(F.col("node").alias("rep"), F.col("component").alias("family"))
+    docs = docs.join(family, "rep", "left").withColumn("family", F.coalesce("family", "rep"))
+    return settled(docs, "family-members")
+
+
+def _ranked_tokens(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Every token of the families with its count in the family and whether it is common there."""
+    chosen = sets.select(F.col("doc_id").alias("rep"), "shingles").join(docs.select("rep", "family"), "rep")
+    tokens = settled(chosen.select("rep", "family", F.explode("shingles").alias("token")), "tokens")
+    counts = tokens.groupBy("family", "token").agg(F.count("*").alias("n"))
+    sizes = docs.groupBy("family").agg(F.count("*").alias("members"))
+    counts = settled(counts.filter("n > 1").join(sizes, "family"), "token-counts")
+    common = COMMON_PART * F.col("n") >= F.col("members")
+    ranked = tokens.join(counts, ["family", "token"], "left")
+    return settled(
+        ranked.select("rep", "family", "token", F.coalesce("n", F.lit(1)).alias("n"), F.coalesce(common, F.lit(False)).alias("common")),
+        "ranked-tokens",
+    )
 
 
-def _mixed(members: DataFrame, found: DataFrame | None, least: int) -> DataFrame:
-    """The members of buckets of at least so many that hold several components, with their components."""
-    placed = members.select("band", "rep", "size")
-    if found is None:
-        placed = placed.withColumn("component", F.col("rep"))
-    else:
-        node = found.select(F.col("node").alias("rep"), "component")
-        placed = settled(placed.join(node, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "placed")
-    ends = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-    some = settled(ends.filter((F.col("low") != F.col("high")) & (F.col("n") >= least)).select("band"), "mixed-buckets")
-    return settled(placed.join(some, "band"), "mixed-members")
+def _overlap(size: Column, other: Column) -> Column:
+    """The least intersection of sets of these sizes that are linked."""
+    return F.ceil(PERCENT * (size + other) / (100 + PERCENT))
+
+
+def _apart(docs: DataFrame, mark: str) -> DataFrame:
+    return docs.select("family", *[F.col(c).alias(f"{mark}_{c}") for c in ("rep", "component", "size", "shared")])
+
+
+def _fits(*more: Column) -> Column:
+    size, other = F.col("x_size"), F.col("y_size")
+    fits = (F.col("x_component") != F.col("y_component")) & (100 * F.least(size, other) >= PERCENT * F.greatest(size, other))
+    for condition in more:
+        fits &= condition
+    return fits
+
 
+def _pairs(joined: DataFrame) -> DataFrame:
+    return joined.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b"))
 
-def _exact_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """All pairs of different components that share a token of their prefixes and fit in length."""
-    docs = members.select("rep", "component", "size").distinct()
-    chosen = sets.select(F.col("doc_id").alias("rep"), "shingles").join(docs, "rep")
-    tokens = settled(chosen.select("rep", "component", "size", F.explode("shingles").alias("token")), "tokens")
-    counts = settled(tokens.groupBy("token").agg(F.count("*").alias("n")), "token-counts")
-    place = F.row_number().over(Window.partitionBy("rep").orderBy("n", "token"))
+
+def _exact_pairs(docs: DataFrame, tokens: DataFrame) -> DataFrame:
+    """All pairs of different components of a family that can be linked; `docs` has the common tokens' number.
+
+    Tokens are ordered: those not common by their counts, then the common ones. Of a linked pair the
+    first shared token is in both prefixes. If it is not common, the join on such tokens finds the pair.
+    If it is, then all shared tokens are, and neither document has fewer common tokens than must be
+    shared; such pairs are found by family and size.
+    """
+    place = F.row_number().over(Window.partitionBy("rep").orderBy("common", "n", "token"))
     prefix = F.col("size") - F.ceil(F.col("size") * PERCENT / 100) + 1
-    first = tokens.join(counts, "token").withColumn("place", place).filter(F.col("place") <= prefix)
-    first = settled(first.filter("n > 1").select("token", "rep", "component", "size"), "prefixes")
-    other = first.select("token", *[F.col(c).alias(f"other_{c}") for c in ("rep", "component", "size")])
-    pairs = first.join(other, "token").filter(
-        (F.col("rep") < F.col("other_rep"))
-        & (F.col("component") != F.col("other_component"))
-        & (100 * F.least("size", "other_size") >= PERCENT * F.greatest("size", "other_size"))
+    first = tokens.withColumn("place", place).filter("not common and n > 1").join(docs.drop("family"), "rep")
+    first = settled(first.filter(F.col("place") <= prefix), "prefixes")
+    x, y = (_apart(first.withColumn("family", F.struct("family", "token")), mark) for mark in "xy")
+    by_token = _pairs(x.join(y, "family").filter(_fits(F.col("x_rep") < F.col("y_rep"))))
+
+    able = docs.filter(F.col("shared") >= F.ceil(F.col("size") * PERCENT / 100))
+    able = settled(able, "able")
+    sizes = able.select("family", F.col("size").alias("y_size")).distinct()
+    x = _apart(able, "x")
+    reach = x.join(sizes, "family").filter(
+        (F.col("x_shared") >= _overlap(F.col("x_size"), F.col("y_size")))
+        & (100 * F.least("x_size", "y_size") >= PERCENT * F.greatest("x_size", "y_size"))
     )
-    return settled(pairs.select(F.col("rep").alias("a"), F.col("other_rep").alias("b")).distinct(), "exact-pairs")
+    y_fits = F.col("y_shared") >= _overlap(F.col("x_size"), F.col("y_size"))
+    by_size = _pairs(reach.join(_apart(able, "y"), ["family", "y_size"]).filter(_fits(F.col("x_rep") < F.col("y_rep"), y_fits)))
+    return settled(by_token.union(by_size).distinct(), "exact-pairs")
+
+
+def _links(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """All links (a, b) that components need between `members` (band, rep, size, centre)."""
+    ids = members.select(F.col("rep").alias("doc_id")).distinct()
+    wanted = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    # Repeated rows of an id may differ in text; which of them stands for the id makes no difference to copies.
+    sets = settled(shingle_sets(wanted.dropDuplicates(["doc_id"])), "sets")
+    stars = members.filter("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+    links = settled(confirmed(settled(stars, "stars"), sets), "confirmed")
+
+    placed = settled(_components(members, links), "placed")
+    ends = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+    # In a bucket of two, the one pair has been looked at.
+    open_bands = settled(ends.filter("low != high and n > 2").select("band"), "mixed-buckets")
+    mixed = settled(placed.join(open_bands, "band"), "mixed-members")
+    if mixed.isEmpty():
+        return links
+
+    family = _families(mixed)
+    tokens = _ranked_tokens(family, sets)
+    shared = tokens.groupBy("rep").agg(F.sum(F.col("common").cast("long")).alias("shared"))
+    family = settled(family.join(shared, "rep"), "family-shared")
+    best = family.groupBy("family").agg(F.min(F.struct(-F.col("shared"), F.col("rep"), F.col("component"))).alias("c"))
+    best = settled(best.select("family", F.col("c.rep").alias("a"), F.col("c.component").alias("own")), "best")
+    near = family.filter(F.col("shared") > 0).join(best, "family").filter("component != own")
+    stars = settled(near.select("a", F.col("rep").alias("b")), "best-stars")
+    links = links.union(settled(confirmed(stars, sets), "best-confirmed"))
+    family = settled(_components(family.drop("component"), links), "family-components")
+    return links.union(settled(confirmed(_exact_pairs(family, tokens), sets), "exact-confirmed"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -166,37 +242,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     classes = settled(classes, "classes")
     keyed = classes.filter("rep is not null").select("rep", "size", F.explode("bands").alias("band"))
-    full = settled(keyed.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band"), "buckets")
-    members = settled(keyed.join(full, "band"), "members")
-
-    sets = links = found = None
-    rounds = [(F.min, 2), (F.max, 3), (F.min_by, 3), (None, 3)]
-    for number, (choose, least) in enumerate(rounds):
-        some = _mixed(members, found, least)
-        if some.isEmpty():
-            break
-        if sets is None:
-            ids = members.select(F.col("rep").alias("doc_id")).distinct()
-            wanted = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-            # Repeated rows of an id may differ in text; the class's representative is any of them.
-            sets = settled(shingle_sets(wanted.dropDuplicates(["doc_id"])), "sets")
-        if choose is None:
-            pairs = _exact_pairs(some, sets)
-        else:
-            who = F.struct(F.col("rep").alias("centre"), F.col("component").alias("centre_component"))
-            pick = F.min_by(who, F.xxhash64("rep")) if choose is F.min_by else choose(who)
-            pairs = _stars(some, pick, f"round-{number}")
-        new = settled(confirmed(pairs, sets), f"confirmed-{number}")
-        links = new if links is None else links.union(new)
-        found = settled(components(links), f"components-{number}")
-
-    rep = classes.select("digest", F.col("rep").alias("component_id"))
-    if found is not None:
-        node = found.select(F.col("node").alias("component_id"), "component")
-        rep = rep.join(node, "component_id", "left").select(
-            "digest", F.coalesce("component", "component_id").alias("component_id")
-        )
-    of_class = settled(rep, "class-components")
+    buckets = keyed.groupBy("band").agg(F.min("rep").alias("centre"), F.count("*").alias("n"))
+    buckets = settled(buckets.filter("n > 1").select("band", "centre"), "buckets")
+    members = settled(keyed.join(buckets, "band"), "members")
+    rep = classes.select("digest", "rep").filter("rep is not null")
+    if members.isEmpty():
+        rep = rep.select("digest", F.col("rep").alias("component"))
+    else:
+        rep = _components(rep, _links(docs, members))
+    of_class = settled(rep.select("digest", F.col("component").alias("component_id")), "class-components")
     return sketched.join(of_class, "digest", "left").select(
         "doc_id",
         "n_shingles",
