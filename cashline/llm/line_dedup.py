@@ -161,7 +161,8 @@ def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, text: str = "te
     )
     gone = settled(gone, "deleted")
     whole = docs.drop("deleted").withColumn("doc", _doc(text, key))
-    joined = whole.join(gone, "doc", "left")
+    # By shuffle at any size: what is deleted grows with the corpus.
+    joined = whole.join(gone.hint("merge"), "doc", "left")
     return joined.withColumn(text, F.when(F.col("deleted").isNull(), F.col(text)).otherwise(_without(F.col(text)))).select(
         *[c for c in docs.columns if c != "deleted"],
         F.coalesce("deleted", F.array().cast(gone.schema["deleted"].dataType)).alias("deleted"),
