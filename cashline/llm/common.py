@@ -33,6 +33,12 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_by_id(left: DataFrame, right: DataFrame, how: str, key: str = "doc_id") -> DataFrame:
+    """A join on the id in which null is an id; always by shuffle, as the ids grow with the corpus."""
+    other = right.withColumnRenamed(key, "_other_id").hint("merge")
+    return left.join(other, left[key].eqNullSafe(F.col("_other_id")), how).drop("_other_id")
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """`use(value)` with the value computed once per row, however often it is used."""
     return F.get(F.transform(F.array(value), use), 0)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cashline.llm.common import ascii_lower, let, settled, split_words
+from cashline.llm.common import ascii_lower, join_by_id, settled, split_words
 
 WINDOW = 10
 SHINGLE = 3
@@ -114,7 +114,7 @@ def occurrences(docs: DataFrame, items: DataFrame, size: int = WINDOW, most_broa
             joined = placed.join(F.broadcast(own), "shingle")
         else:
             places = placed.select("doc_id", "at", "shingle").join(own, "shingle")
-            joined = places.join(worded, "doc_id")
+            joined = join_by_id(places, worded, "inner")
         start = F.col("at") - F.col("offset")
         fits = (start >= 0) & (start + F.size("window") <= F.size("words"))
         same = F.when(fits, F.slice("words", start + 1, F.size("window")) == F.col("window"))
@@ -139,7 +139,8 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
     words = docs.select("doc_id", F.size(text_words(F.col("text"))).cast("long").alias("n_words"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     item_ids = F.coalesce("item_ids", F.array().cast("array<string>"))
-    return words.join(hit.join(ids, "doc_id"), "doc_id", "left").select(
+    found = join_by_id(hit, ids, "inner")
+    return join_by_id(words, found, "left").select(
         "doc_id",
         "n_words",
         n_hit.alias("n_hit"),
