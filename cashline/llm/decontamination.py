@@ -57,7 +57,16 @@ def _placed(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("doc_id", "words", F.posexplode(_shingles(F.col("words"), size)).alias("at", "shingle"))
 
 
-def _rarest(found: DataFrame, docs: DataFrame, sizes: list[int]) -> DataFrame:
+def _counts(docs: DataFrame, wanted: DataFrame, size: int, small: bool) -> DataFrame:
+    """How often each of the `wanted` shingles stands in the documents."""
+    placed = _placed(docs, size).select("shingle")
+    if small:
+        return placed.join(F.broadcast(wanted), "shingle").groupBy("shingle").agg(F.count("*").alias("n"))
+    # Summed per task first: a frequent shingle is then one row of each task.
+    return placed.groupBy("shingle").agg(F.count("*").alias("n")).join(wanted, "shingle")
+
+
+def _rarest(found: DataFrame, docs: DataFrame, sizes: list[int], small: bool) -> DataFrame:
     """Each distinct window with its rarest shingle and the places where that stands in it."""
     distinct = found.groupBy("window").agg(F.collect_set("item_id").alias("items"))
     numbered = distinct.withColumn("size", F.least(F.lit(SHINGLE), F.size("window")))
@@ -69,12 +78,7 @@ def _rarest(found: DataFrame, docs: DataFrame, sizes: list[int]) -> DataFrame:
     ]
     places = settled(_union(by_size), "window-shingles")
     counts = _union([
-        _placed(docs, n)
-        .select("shingle")
-        .join(places.filter(F.col("size") == n).select("shingle").distinct(), "shingle")
-        .groupBy("shingle")
-        .agg(F.count("*").alias("n"))
-        .withColumn("size", F.lit(n))
+        _counts(docs, places.filter(F.col("size") == n).select("shingle").distinct(), n, small).withColumn("size", F.lit(n))
         for n in sizes
     ])
     # Windows with a shingle that no document has drop out here.
@@ -104,8 +108,8 @@ def occurrences(docs: DataFrame, items: DataFrame, size: int = WINDOW, most_broa
         nothing = found.schema["item_id"].dataType.simpleString()
         kind = docs.schema["doc_id"].dataType.simpleString()
         return spark.createDataFrame([], f"doc_id {kind}, items array<{nothing}>, at int, length int")
-    anchors = settled(_rarest(found, worded, sorted(sizes)), "anchors")
-    small = anchors.count() <= most_broadcast
+    small = found.count() <= most_broadcast
+    anchors = settled(_rarest(found, worded, sorted(sizes), small), "anchors")
     hits = []
     for n in sorted(sizes):
         own = anchors.filter(F.col("size") == n).drop("size")
