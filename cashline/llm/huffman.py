@@ -78,7 +78,9 @@ class Codebook:
     def _by_id(self) -> tuple[np.ndarray, np.ndarray]:
         size = int(self.symbols.max(initial=0)) + 1
         codes, lengths = np.zeros(size, np.uint64), np.zeros(size, np.uint8)
-        codes[self.symbols], lengths[self.symbols] = self._canonical[1], self.lengths
+        # Codes begin at the highest bit.
+        codes[self.symbols] = self._canonical[1].astype(np.uint64) << (64 - self.lengths).astype(np.uint64)
+        lengths[self.symbols] = self.lengths
         return codes, lengths
 
     @cached_property
@@ -98,18 +100,16 @@ class Codebook:
         if not len(ids):
             return np.zeros(0, np.uint64), b""
         codes, lengths = self._by_id
-        code, length = codes[ids], lengths[ids].astype(np.int64)
-        ends = np.cumsum(length)
+        code, length = codes[ids], lengths[ids]
+        ends = np.cumsum(length, dtype=np.int64)
         starts = ends - length
-        word = starts >> 6
-        room = 64 - (starts & 63) - length
-        over = room < 0
-        value = np.where(over, code >> np.where(over, -room, 0).astype(np.uint64), code << np.where(over, 0, room).astype(np.uint64))
+        word, place = starts >> 6, (starts & 63).astype(np.uint64)
         # Codes are shorter than a word, so a code starts in each word but perhaps the last one.
         firsts = np.flatnonzero(np.diff(word, prepend=-1))
         words = np.zeros((int(ends[-1]) + 63 >> 6) + 1, np.uint64)
-        words[: len(firsts)] = np.bitwise_or.reduceat(value, firsts)
-        words[word[over] + 1] |= code[over] << (64 + room[over]).astype(np.uint64)
+        words[: len(firsts)] = np.bitwise_or.reduceat(code >> place, firsts)
+        over = np.flatnonzero(place + length > 64)
+        words[word[over] + 1] |= code[over] << (np.uint64(64) - place[over])
         return starts[::block].astype(np.uint64), words.astype(">u8").tobytes()[: (int(ends[-1]) + 7) // 8]
 
     def decode(self, n: int, checkpoints: np.ndarray, bits: bytes, block: int = BLOCK) -> np.ndarray:

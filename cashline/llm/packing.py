@@ -91,8 +91,8 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = CAP
         encode = encoder(tokenizer).encode
         for batch in batches:
             rows = []
-            for text in batch.column("text"):
-                ids = encode(text.as_py()) + end
+            for text in batch.column("text").to_pylist():
+                ids = encode(text) + end
                 n = len(ids) // 4
                 cuts = [0, *range((n - 1) % capacity + 1, n + 1, capacity)]
                 rows.append([

@@ -50,7 +50,7 @@ def _encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer).encode
         for batch in batches:
-            ids = [own(text.as_py()) + end for text in batch.column("text")]
+            ids = [own(text) + end for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("shard"), batch.column("doc_id"), pa.array(ids, pa.binary())], ["shard", "doc_id", "ids"]
             )
@@ -58,14 +58,19 @@ def _encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     return ordered.mapInArrow(encode, "shard int, doc_id long, ids binary")
 
 
+def _all_ids(column: pa.Array) -> np.ndarray:
+    """The ids of all documents of a batch, one after the other."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
+    return np.frombuffer(column.buffers()[2], "<u4")[offsets[0] // 4 : offsets[-1] // 4]
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
     for batch in batches:
-        for ids in batch.column("ids"):
-            own = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"))
-            if len(own) > len(total):
-                own, total = total, own
-            total[: len(own)] += own
+        own = np.bincount(_all_ids(batch.column("ids")))
+        if len(own) > len(total):
+            own, total = total, own
+        total[: len(own)] += own
     found = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["id", "n"])
 

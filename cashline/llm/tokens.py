@@ -8,6 +8,7 @@ single spaces and single line ends; any other text is given to the tokenizer who
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -18,8 +19,8 @@ import regex
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
 
-# White space the fast path does not know, runs of it, and characters whose class may differ.
-WHOLE = re.compile(r"  |\n\n|\n | \n|^ |[^\n\x20-\x7e¡-ɏͰ-ͳΑ-Ωα-ωА-я]")
+# White space that the fast path does not know, and characters whose class may differ between libraries.
+STRANGE = re.compile(r"[^\n\x20-\x7e¡-ɏΑ-Ωα-ωА-я]")
 
 # Words a worker keeps, the ones that it meets first and so the frequent ones; bounds a worker's memory at about 200 MB.
 MOST_WORDS = 800_000
@@ -37,10 +38,51 @@ _encoders: dict[str, "Encoder"] = {}
 def encoder(path: str) -> "Encoder":
     """The encoder of a tokenizer file, one per Python worker."""
     if path not in _encoders:
+        # Words and ids are in no cycles: looking for some among them ever so often takes a tenth of the time.
+        gc.set_threshold(100_000, 50, 100)
         _encoders[path] = Encoder(path)
     return _encoders[path]
 
 
+class _Words(dict):
+    """Ids of words; a word that is missing is encoded, and kept while there is room."""
+
+    def __init__(self, model):
+        self.tokenize = model.tokenize
+
+    def __missing__(self, word: str) -> bytes:
+        if not word.isascii():
+            ids = b"".join(map(self._piece, PIECE.findall(word)))
+        elif word.isalpha():
+            ids = array("I", [t.id for t in self.tokenize(word)]).tobytes()
+        elif word[1:].isalpha() and word[0] == " ":  # letters with the space before them are one piece
+            ids = array("I", [t.id for t in self.tokenize(SPACE + word[1:])]).tobytes()
+        else:
+            ids = b"".join(map(self._piece, PIECE.findall(word)))
+        if len(self) < MOST_WORDS:
+            self[word] = ids
+        return ids
+
+    def _piece(self, piece: str) -> bytes:
+        if (found := self.get(piece)) is not None:
+            return found
+        letters = piece.encode().decode("latin-1").translate(LETTERS)
+        return array("I", [t.id for t in self.tokenize(letters)]).tobytes()
+
+
+def _simple(text: str) -> bool:
+    """Whether the white space is single and all characters are of a known class."""
+    if "  " in text or "\n\n" in text or "\n " in text or " \n" in text:
+        return False
+    if text.replace("\n", " ").isprintable():
+        try:
+            text.encode("latin-1")
+            return True
+        except UnicodeEncodeError:
+            pass
+    return not STRANGE.search(text)
+
+
 class Encoder:
     """Ids as `Tokenizer.encode(text, add_special_tokens=False)` gives them, as little-endian 32-bit bytes."""
 
@@ -48,9 +90,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {}
+        self.words = _Words(self.tokenizer.model)
         setup = json.loads(self.tokenizer.to_str())
         self.by_words = (
             setup["model"]["type"] == "BPE"
@@ -67,25 +108,8 @@ class Encoder:
         """Ids of one text. A null is an empty text."""
         if not text:
             return b""
-        if not self.by_words or WHOLE.search(text) or any(s in text for s in self.special):
+        if not self.by_words or not _simple(text) or any(s in text for s in self.special):
             return self._whole(text)
         # A word keeps the space before it; the first one of a line has none.
         words = text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
-        known = self.words
-        new = set(words).difference(known)
-        for word in new:
-            known[word] = b"".join(map(self._piece, PIECE.findall(word)))
-        ids = b"".join(map(known.__getitem__, words))
-        if len(known) > MOST_WORDS:
-            for word in new:
-                del known[word]
-        return ids
-
-    def _piece(self, piece: str) -> bytes:
-        if (found := self.words.get(piece)) is None:
-            if piece.isascii() and piece.isprintable():
-                letters = piece.replace(" ", SPACE)
-            else:
-                letters = piece.encode().decode("latin-1").translate(LETTERS)
-            found = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
-        return found
+        return b"".join(map(self.words.__getitem__, words))
