@@ -14,12 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def make(folder: str) -> None:
+    """Create a folder for files, also where no task will write one."""
+    system, path = pyarrow.fs.FileSystem.from_uri(folder)
+    system.create_dir(path, recursive=True)
+
+
 class NewFile:
     """A file in a folder of any file system that pyarrow knows by its URI."""
 
     def __init__(self, folder: str, suffix: str):
+        make(folder)
         system, path = pyarrow.fs.FileSystem.from_uri(folder)
-        system.create_dir(path, recursive=True)
         self.name = f"{uuid4().hex}{suffix}"
         self.stream = system.open_output_stream(f"{path}/{self.name}", compression=None)
         self.size = 0

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cashline.llm.common import new_folder
-from cashline.llm.files import NewFile, contents, manifest, uri
+from cashline.llm.files import NewFile, contents, make, manifest, uri
 from cashline.llm.huffman import LIMIT, Codebook, pack_segment, read_segments
 from cashline.llm.tokens import encoder
 
@@ -84,8 +84,8 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, limit:
     ids = spark.read.schema("shard int, doc_id long, ids binary").parquet(work)
     counts = ids.select("ids").mapInArrow(_counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     book = Codebook.of_counts({r["id"]: r["n"] for r in counts.collect()}, limit)
+    make(f"{folder}/files")
     system, path = pyarrow.fs.FileSystem.from_uri(folder)
-    system.create_dir(f"{path}/files", recursive=True)
     with system.open_output_stream(f"{path}/codebook", compression=None) as out:
         out.write(book.to_bytes())
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cashline.llm.common import settled
-from cashline.llm.files import NewFile, contents, uri
+from cashline.llm.files import NewFile, contents, make, uri
 
 LEAST_BYTES = 100
 SAMPLE_PAGES, SAMPLE_CHARS, DICTIONARY_BYTES = 1000, 32_768, 65_536
@@ -101,6 +101,7 @@ def write(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z") ->
     """Write a record for every row of `pages` (page_id a whole number, url, html) to a new folder."""
     folder = uri(folder)
     dictionary = train(pages)
+    make(f"{folder}/files")
 
     def archive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary)).compress
