@@ -5,8 +5,9 @@ start at any record once it has the dictionary. Records of equal payloads of at
 bytes are stored once: the one with the smallest page id is a `response`, all others are `revisit`
 records that refer to it and hold no payload.
 
-The dictionary is trained on at most `SAMPLE_PAGES` pages, those with the smallest hash of their id,
-of which the first `SAMPLE_CHARS` characters are looked at. Everything else covers all rows. Copies are
+The dictionary is trained on about `SAMPLE_PAGES` pages, those with the smallest hashes of their id,
+at most twice as many, of which the first `SAMPLE_CHARS` characters are looked at. Everything else
+covers all rows. Copies are
 found by the SHA-256 of the payload, counted before they are shuffled; a payload that a third of all
 pages share is one row there, and its pages are joined as a skewed join. Each task writes files of
 its own (see `files`), so a lost executor costs only its tasks.
@@ -37,7 +38,7 @@ from cashline.llm.common import settled
 from cashline.llm.files import NewFile, contents, make, uri
 
 LEAST_BYTES = 100
-SAMPLE_PAGES, SAMPLE_CHARS, DICTIONARY_BYTES = 1000, 32_768, 65_536
+SAMPLE_PAGES, SAMPLE_CHARS, DICTIONARY_BYTES = 1000, 16_384, 65_536
 FILE_BYTES = 32 << 20
 LEVEL = 3
 
@@ -52,8 +53,11 @@ _PAGE = "<urn:page:{}>"
 
 def train(pages: DataFrame) -> bytes:
     """The dictionary for `pages` (page_id, html)."""
-    some = pages.select(F.xxhash64("page_id").alias("h"), F.substr("html", F.lit(1), F.lit(SAMPLE_CHARS)).alias("html"))
-    chosen = some.filter(F.length("html") > 0).orderBy("h", "html").limit(SAMPLE_PAGES).collect()
+    # Hashes are spread evenly, so a share of their range holds that share of the pages.
+    share = min(1.0, SAMPLE_PAGES / max(1, pages.count()))
+    upto = min(2**63 - 1, round(2**64 * share) - 2**63)
+    some = pages.filter((F.xxhash64("page_id") <= upto) & (F.length("html") > 0))
+    chosen = some.select(F.substr("html", F.lit(1), F.lit(SAMPLE_CHARS)).alias("html")).limit(2 * SAMPLE_PAGES).collect()
     samples = [row["html"].encode() for row in chosen]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
