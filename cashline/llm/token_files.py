@@ -34,45 +34,47 @@ from pyspark.sql.window import Window
 from cashline.llm.common import new_folder
 from cashline.llm.files import NewFile, contents, make, manifest, uri
 from cashline.llm.huffman import LIMIT, Codebook, pack_segment, read_segments
-from cashline.llm.tokens import encoder
+from cashline.llm.tokens import encoder, narrowest
 
+_IDS = ["shard", "doc_id", "ids"]
 SEGMENT_IDS = 1 << 20
 FILE_BYTES = 32 << 20
 
 
-def _encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """shard, doc_id and ids (little-endian 32 bits); shards ascend with doc_id, as do the rows of each."""
+def _encoded(docs: DataFrame, tokenizer: str, end_id: int, width: int) -> DataFrame:
+    """shard, doc_id and ids of every document; shards ascend with doc_id, as do the rows of each.
+
+    The last row of every task has the shard -1 and, as ids, how often each id occurs in the task.
+    """
     ordered = docs.select("doc_id", "text", F.xxhash64("text").alias("check"))
     ordered = ordered.repartitionByRange("doc_id", "check").sortWithinPartitions("doc_id", "check")
     ordered = ordered.select(F.spark_partition_id().alias("shard"), F.col("doc_id").cast("long"), "text")
-    end = end_id.to_bytes(4, "little")
+    end = end_id.to_bytes(width, "little")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer).encode
+        own = encoder(tokenizer, width).encode
+        total = np.zeros(0, np.int64)
         for batch in batches:
             ids = [own(text) + end for text in batch.column("text").to_pylist()]
+            found = np.bincount(np.frombuffer(b"".join(ids), f"<u{width}"))
+            if len(found) > len(total):
+                found, total = total, found
+            total[: len(found)] += found
             yield pa.RecordBatch.from_arrays(
-                [batch.column("shard"), batch.column("doc_id"), pa.array(ids, pa.binary())], ["shard", "doc_id", "ids"]
+                [batch.column("shard"), batch.column("doc_id"), pa.array(ids, pa.binary())], _IDS
             )
+        counts = pa.array([total.astype("<u8").tobytes()], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([None], pa.int64()), counts], _IDS)
 
     return ordered.mapInArrow(encode, "shard int, doc_id long, ids binary")
 
 
-def _all_ids(column: pa.Array) -> np.ndarray:
-    """The ids of all documents of a batch, one after the other."""
-    offsets = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
-    return np.frombuffer(column.buffers()[2], "<u4")[offsets[0] // 4 : offsets[-1] // 4]
-
-
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
     for batch in batches:
-        own = np.bincount(_all_ids(batch.column("ids")))
-        if len(own) > len(total):
-            own, total = total, own
-        total[: len(own)] += own
-    found = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["id", "n"])
+        for counts in batch.column("ids").to_pylist():
+            total = np.frombuffer(counts, "<u8").astype(np.int64)
+            found = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["id", "n"])
 
 
 def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, limit: int = LIMIT) -> None:
@@ -80,9 +82,10 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, limit:
     spark = docs.sparkSession
     folder = uri(folder)
     work = new_folder(spark, "ids")
-    _encoded(docs, tokenizer, end_id).write.option("compression", "zstd").parquet(work)
+    width = narrowest(tokenizer, end_id)
+    _encoded(docs, tokenizer, end_id, width).write.option("compression", "zstd").parquet(work)
     ids = spark.read.schema("shard int, doc_id long, ids binary").parquet(work)
-    counts = ids.select("ids").mapInArrow(_counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = ids.filter("shard < 0").select("ids").mapInArrow(_counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     book = Codebook.of_counts({r["id"]: r["n"] for r in counts.collect()}, limit)
     make(f"{folder}/files")
     system, path = pyarrow.fs.FileSystem.from_uri(folder)
@@ -91,18 +94,18 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, limit:
 
     schema = "name string, shard int, stretch long, part int, n_docs long, n_ids long, n_bytes long"
     # A task may read stretches of several files: each stretch gets files of its own.
-    chunks = ids.select("shard", F.col("_metadata.file_block_start").alias("stretch"), "doc_id", "ids")
-    rows = chunks.mapInArrow(lambda batches: _files(batches, book, f"{folder}/files"), schema)
+    chunks = ids.filter("shard >= 0").select("shard", F.col("_metadata.file_block_start").alias("stretch"), "doc_id", "ids")
+    rows = chunks.mapInArrow(lambda batches: _files(batches, book, f"{folder}/files", width), schema)
     rows.write.parquet(f"{folder}/manifest")
 
 
-def _files(batches: Iterator[pa.RecordBatch], book: Codebook, folder: str) -> Iterator[pa.RecordBatch]:
+def _files(batches: Iterator[pa.RecordBatch], book: Codebook, folder: str, width: int) -> Iterator[pa.RecordBatch]:
     out = None
 
     def documents():
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("shard", "stretch", "doc_id")), batch.column("ids")):
-                yield row[:2], row[2], np.frombuffer(row[3].as_buffer(), "<u4")
+                yield row[:2], row[2], np.frombuffer(row[3].as_buffer(), f"<u{width}")
 
     for stretch, docs in _segments(documents()):
         if out and (out.stretch != stretch or out.file.size >= FILE_BYTES):

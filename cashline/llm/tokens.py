@@ -32,31 +32,39 @@ LETTERS = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not
 
 SPACE = LETTERS[ord(" ")]
 
-_encoders: dict[str, "Encoder"] = {}
+_encoders: dict[tuple[str, int], "Encoder"] = {}
 
 
-def encoder(path: str) -> "Encoder":
+def encoder(path: str, width: int = 4) -> "Encoder":
     """The encoder of a tokenizer file, one per Python worker."""
-    if path not in _encoders:
+    if (path, width) not in _encoders:
         # Words and ids are in no cycles: looking for some among them ever so often takes a tenth of the time.
         gc.set_threshold(100_000, 50, 100)
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+        _encoders.clear()
+        _encoders[path, width] = Encoder(path, width)
+    return _encoders[path, width]
+
+
+def narrowest(path: str, *more: int) -> int:
+    """Bytes that hold every id of a tokenizer file and the ids given: 2 or 4."""
+    from tokenizers import Tokenizer
+
+    return 2 if max(*Tokenizer.from_file(path).get_vocab().values(), *more) < 1 << 16 else 4
 
 
 class _Words(dict):
     """Ids of words; a word that is missing is encoded, and kept while there is room."""
 
-    def __init__(self, model):
-        self.tokenize = model.tokenize
+    def __init__(self, model, code: str):
+        self.tokenize, self.code = model.tokenize, code
 
     def __missing__(self, word: str) -> bytes:
         if not word.isascii():
             ids = b"".join(map(self._piece, PIECE.findall(word)))
         elif word.isalpha():
-            ids = array("I", [t.id for t in self.tokenize(word)]).tobytes()
+            ids = array(self.code, [t.id for t in self.tokenize(word)]).tobytes()
         elif word[1:].isalpha() and word[0] == " ":  # letters with the space before them are one piece
-            ids = array("I", [t.id for t in self.tokenize(SPACE + word[1:])]).tobytes()
+            ids = array(self.code, [t.id for t in self.tokenize(SPACE + word[1:])]).tobytes()
         else:
             ids = b"".join(map(self._piece, PIECE.findall(word)))
         if len(self) < MOST_WORDS:
@@ -67,7 +75,7 @@ class _Words(dict):
         if (found := self.get(piece)) is not None:
             return found
         letters = piece.encode().decode("latin-1").translate(LETTERS)
-        return array("I", [t.id for t in self.tokenize(letters)]).tobytes()
+        return array(self.code, [t.id for t in self.tokenize(letters)]).tobytes()
 
 
 def _simple(text: str) -> bool:
@@ -84,14 +92,15 @@ def _simple(text: str) -> bool:
 
 
 class Encoder:
-    """Ids as `Tokenizer.encode(text, add_special_tokens=False)` gives them, as little-endian 32-bit bytes."""
+    """Ids as `Tokenizer.encode(text, add_special_tokens=False)` gives them, as little-endian numbers of `width` bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, width: int = 4):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words = _Words(self.tokenizer.model)
+        self.kind = f"<u{width}"
+        self.words = _Words(self.tokenizer.model, {2: "H", 4: "I"}[width])
         setup = json.loads(self.tokenizer.to_str())
         self.by_words = (
             setup["model"]["type"] == "BPE"
@@ -102,7 +111,7 @@ class Encoder:
         )
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """Ids of one text. A null is an empty text."""
