@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,23 +87,21 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def broadcast_if_small(df: DataFrame, limit: int = 8 << 20) -> DataFrame:
-    """Hint a broadcast for a table whose estimated size is within the limit, else change nothing.
+def broadcast_limit(spark: SparkSession) -> int:
+    """The session's size limit of broadcasts in bytes; -1 where they are off."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower().rstrip("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    return int(text[:-1]) * units[text[-1]] if text[-1] in units else int(text)
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Hint a broadcast for a table whose estimated size is within the session's limit, else nothing.
 
     For lookups with few distinct keys, such as currencies: without a broadcast, all rows of a
-    currency would meet in one task.
+    currency would meet in one task. The hint changes the plan, never the rows.
     """
     size = estimated_bytes(df)
-    return F.broadcast(df) if size is not None and size <= limit else df
-
-
-def _broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    if text.strip().lstrip("-").isdigit():
-        return int(text)
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    number = text.lower().rstrip("b").rstrip()
-    return int(number[:-1]) * units[number[-1]] if number and number[-1] in units else 0
+    return F.broadcast(df) if size is not None and size <= broadcast_limit(df.sparkSession) else df
 
 
 def point_in_time(
@@ -117,67 +115,111 @@ def point_in_time(
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
     strategy: str = "auto",
+    disjoint: bool = False,
 ) -> DataFrame:
-    """Left join to the version in force on each fact's date; all facts are kept.
+    """Left join to the versions in force on each fact's date; all facts are kept.
+
+    A fact gets one row per version whose period holds its date, so one row in a type 2 history,
+    several where periods overlap. Facts whose key or date is NULL, or outside all periods, get NULL
+    columns. Periods without a start or end, or that end before they start, hold no date.
+
+    Say `disjoint` for a history whose periods must not overlap: this saves a join, and a fact whose
+    date is in a period of a key with overlapping periods raises.
 
-    `versions` must hold periods that do not overlap within one `version_id` value (type 2
-    history). Facts whose key or date is NULL, or outside all periods, get NULL columns.
+    The strategy decides how, never what:
 
-    strategy
         range   equi-join with the period as residual condition. Every fact is compared with
                 all versions of its key: right for a history small enough to be broadcast.
         as_of   resolves each distinct (key, date) once in one ordered pass over dates and
                 version starts, then joins facts on (key, date). Work grows with facts plus
                 versions however many versions a key has, one key's pass is bounded by the
-                calendar, and a hot key is spread over its dates.
-        auto    range if the history is estimated below the session's broadcast threshold,
+                calendar, and a hot key is spread over its dates. Dates of keys whose periods
+                overlap are compared with all versions of their key.
+        auto    range if the history is estimated within the session's broadcast limit,
                 else as_of.
     """
     if strategy == "auto":
         size = estimated_bytes(versions)
-        strategy = "range" if size is not None and size <= _broadcast_limit(versions) else "as_of"
+        strategy = "range" if size is not None and size <= broadcast_limit(versions.sparkSession) else "as_of"
     if strategy == "range":
-        return _range_join(facts, versions, key, on_date, version_id, columns, valid_from, valid_to)
+        return _range_join(facts, versions, key, on_date, version_id, columns, valid_from, valid_to, disjoint)
     if strategy == "as_of":
-        return _as_of_join(facts, versions, key, on_date, version_id, columns, valid_from, valid_to)
+        return _as_of_join(facts, versions, key, on_date, version_id, columns, valid_from, valid_to, disjoint)
     raise ValueError(f"unknown strategy {strategy!r}: use range, as_of or auto")
 
 
-def _range_join(facts, versions, key, on_date, version_id, columns, valid_from, valid_to):
+_OVERLAP = "periods overlap in a history that is said to be disjoint"
+
+
+def _unless(overlap: Column, column: str) -> Column:
+    return F.when(overlap, F.raise_error(F.lit(_OVERLAP))).otherwise(F.col(column)).alias(column)
+
+
+def _range_join(facts, versions, key, on_date, version_id, columns, valid_from, valid_to, disjoint):
     periods = versions.select(
         F.col(version_id).alias("__id"),
         F.col(valid_from).alias("__from"),
         F.col(valid_to).alias("__to"),
         *columns,
     )
+    if disjoint:
+        periods = periods.filter(F.col("__from") <= F.col("__to"))
+        earlier = Window.partitionBy("__id").orderBy("__from").rowsBetween(Window.unboundedPreceding, -1)
+        runs_on = F.coalesce(F.max("__to").over(earlier) >= F.col("__from"), F.lit(False))
+        periods = periods.withColumn("__runs_on", runs_on).withColumn(
+            "__overlap", F.max("__runs_on").over(Window.partitionBy("__id"))
+        )
+        periods = periods.select("__id", "__from", "__to", "__overlap", *columns)
     in_force = facts[on_date].between(periods["__from"], periods["__to"])
     conditions = [*same_key(facts, periods, {key: "__id"}), in_force]
-    return facts.join(periods, conditions, "left").drop("__id", "__from", "__to")
+    joined = facts.join(periods, conditions, "left")
+    if disjoint:
+        kept = [F.col(c) for c in facts.columns]
+        joined = joined.select(*kept, "__id", "__from", "__to", *[_unless(F.col("__overlap"), c) for c in columns])
+    return joined.drop("__id", "__from", "__to")
 
 
-def _as_of_join(facts, versions, key, on_date, version_id, columns, valid_from, valid_to):
+def _as_of_join(facts, versions, key, on_date, version_id, columns, valid_from, valid_to, disjoint):
     asked = (
         facts.select(F.col(key).alias("__id"), F.col(on_date).alias("__day"))
         .dropna()
         .dropDuplicates()
     )
     payload = F.struct(F.col(valid_to).alias("__to"), *[F.col(c) for c in columns])
-    starts = versions.select(
+    starts = versions.filter(F.col(version_id).isNotNull() & (F.col(valid_from) <= F.col(valid_to))).select(
         F.col(version_id).alias("__id"), F.col(valid_from).alias("__day"), payload.alias("__version")
-    ).filter(F.col("__id").isNotNull())
+    )
     no_version = F.lit(None).cast(starts.schema["__version"].dataType)
     # On one day a start sorts before the question, so a version counts from its first day.
-    so_far = (
-        Window.partitionBy("__id")
-        .orderBy("__day", "__asked")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    answers = (
+    in_order = Window.partitionBy("__id").orderBy("__day", "__asked")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    runs_on = F.max("__version.__to").over(earlier) >= F.col("__day")
+    located = (
         starts.withColumn("__asked", F.lit(False))
         .unionByName(asked.withColumn("__version", no_version).withColumn("__asked", F.lit(True)))
         .withColumn("__in_force", F.last("__version", ignorenulls=True).over(so_far))
-        .filter(F.col("__asked") & (F.col("__day") <= F.col("__in_force.__to")))
-        .select("__id", "__day", *[F.col(f"__in_force.{c}").alias(c) for c in columns])
+        .withColumn("__runs_on", F.coalesce(~F.col("__asked") & runs_on, F.lit(False)))
+        .withColumn("__overlap", F.max("__runs_on").over(Window.partitionBy("__id")))
+        .withColumn("__last_day", F.max("__version.__to").over(so_far))
+    )
+    same = lambda answers: same_key(facts, answers, {key: "__id", on_date: "__day"})
+    if disjoint:
+        held = located.filter(F.col("__asked") & (F.col("__day") <= F.col("__last_day")))
+        held = held.select("__id", "__day", "__overlap", *[F.col(f"__in_force.{c}").alias(c) for c in columns])
+        answers = held.select("__id", "__day", *[_unless(F.col("__overlap"), c) for c in columns])
+        return facts.join(answers, same(answers), "left").drop("__id", "__day")
+    in_force = [F.col(f"__in_force.{c}").alias(c) for c in columns]
+    single = located.filter(
+        F.col("__asked") & ~F.col("__overlap") & (F.col("__day") <= F.col("__in_force.__to"))
+    ).select("__id", "__day", *in_force)
+    # Several versions may be in force: compare with all of the key.
+    overlapping = located.filter("__overlap")
+    periods = overlapping.filter(~F.col("__asked")).select(
+        F.col("__id").alias("__key"), F.col("__day").alias("__from"), F.col("__version").alias("__in_force")
     )
-    same = same_key(facts, answers, {key: "__id", on_date: "__day"})
-    return facts.join(answers, same, "left").drop("__id", "__day")
+    days = overlapping.filter("__asked").select("__id", "__day")
+    holds = days["__day"].between(periods["__from"], periods["__in_force.__to"])
+    several = days.join(periods, [*same_key(days, periods, {"__id": "__key"}), holds]).select("__id", "__day", *in_force)
+    answers = single.unionByName(several)
+    return facts.join(answers, same(answers), "left").drop("__id", "__day")

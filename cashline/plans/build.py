@@ -1,27 +1,89 @@
-"""The whole pipeline: load, stage, build the star schema, check."""
+"""The whole pipeline: load, store the seed, stage, build the star schema, check.
+
+Models are nodes of a graph and are built in waves, each as soon as its parents are there. A model
+that cannot be built, or that fails a check of severity error, keeps only what depends on it from being
+built. Every build of a table is written to a folder of its own, and readers are pointed to it by a row
+in the build log, which is written last: a build that dies or fails leaves the table as it was.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from uuid import uuid4
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cashline.operators.joins import estimated_bytes
 from cashline.plans import marts
 from cashline.plans.quality import SEED, check_tables
 from cashline.plans.staging import STAGING, stage
-from cashline.session import configure, size_shuffles
+from cashline.session import configure, sized_shuffles
 from cashline.sources.raw import LoadResult, load_extracts, raw_tables
 from cashline.sources.seeds import exchange_rates
+from cashline.storage import folders_in, remove_folder
 
 Tables = Mapping[str, DataFrame]
 
+BUILD_LOG = "_builds"
+BUILD_LOG_SCHEMA = "table_name string, layer string, path string, built_at timestamp"
+
 
 class CheckFailed(Exception):
-    """Checks of severity error found violations; what depends on them was not built."""
+    """Models could not be built or failed checks of severity error; what depends on them was not built."""
+
+
+@dataclass(frozen=True)
+class Model:
+    """A table of the warehouse: its layer, the tables it reads, and how it is made of them."""
+
+    layer: str
+    parents: tuple[str, ...]
+    make: Callable[[Tables], DataFrame]
+
+
+def _stage(name: str, raw: str) -> Model:
+    return Model("staging", (f"raw.{raw}",), lambda t: stage(t[f"raw.{raw}"], name))
+
+
+def _mart(*parents: str, make: Callable[..., DataFrame]) -> Model:
+    return Model("marts", parents, lambda t: make(*[t[p] for p in parents]))
+
+
+MODELS: dict[str, Model] = {name: _stage(name, spec.raw) for name, spec in STAGING.items()} | {
+    "dim_customer": _mart("raw.KNA1", make=marts.dim_customer),
+    "dim_material": _mart("stg_sap__mara", "stg_sap__makt", make=marts.dim_material),
+    "dim_date": _mart("stg_sap__vbak", "stg_sap__vbrk", make=marts.dim_date),
+    "fct_sales_order_items": _mart(
+        "stg_sap__vbap", "stg_sap__vbak", "dim_customer", SEED, make=marts.fct_sales_order_items
+    ),
+    "fct_billing_items": _mart(
+        "stg_sap__vbrp", "stg_sap__vbrk", "stg_sap__vbap", "dim_customer", SEED, make=marts.fct_billing_items
+    ),
+    "fct_receivable_items": _mart(
+        "stg_sap__bsid", "stg_sap__bsad", "dim_customer", SEED, make=marts.fct_receivable_items
+    ),
+    "fct_delivery_items": _mart(
+        "stg_sap__lips", "stg_sap__likp", "fct_sales_order_items", "dim_customer", make=marts.fct_delivery_items
+    ),
+}
+
+BUILT, FAILED, ERROR, SKIPPED = "built", "failed", "error", "skipped"
+
+
+@dataclass(frozen=True)
+class Outcome:
+    """What became of a model, and why."""
+
+    table_name: str
+    layer: str
+    status: str
+    reason: str | None = None
 
 
 @dataclass
@@ -29,82 +91,149 @@ class BuildResult:
     load: LoadResult | None
     tables: dict[str, DataFrame] = field(default_factory=dict)
     checks: list = field(default_factory=list)
+    outcomes: list[Outcome] = field(default_factory=list)
 
+    def problems(self) -> str:
+        return "; ".join(f"{o.table_name}: {o.reason}" for o in self.outcomes if o.status in (FAILED, ERROR))
 
-def staging_tables(raw: Tables) -> dict[str, DataFrame]:
-    """Every staging table as a lazy DataFrame."""
-    return {name: stage(raw[spec.raw], name) for name, spec in STAGING.items()}
-
-
-def dimensions(raw: Tables, staging: Tables) -> dict[str, DataFrame]:
-    return {
-        "dim_customer": marts.dim_customer(raw["KNA1"]),
-        "dim_material": marts.dim_material(staging["stg_sap__mara"], staging["stg_sap__makt"]),
-        "dim_date": marts.dim_date(staging["stg_sap__vbak"], staging["stg_sap__vbrk"]),
-    }
-
-
-def first_facts(tables: Tables) -> dict[str, DataFrame]:
-    """The facts that need only staging tables and dimensions."""
-    customers, rates = tables["dim_customer"], tables[SEED]
-    return {
-        "fct_sales_order_items": marts.fct_sales_order_items(
-            tables["stg_sap__vbap"], tables["stg_sap__vbak"], customers, rates
-        ),
-        "fct_billing_items": marts.fct_billing_items(
-            tables["stg_sap__vbrp"],
-            tables["stg_sap__vbrk"],
-            tables["stg_sap__vbap"],
-            customers,
-            rates,
-        ),
-        "fct_receivable_items": marts.fct_receivable_items(
-            tables["stg_sap__bsid"], tables["stg_sap__bsad"], customers, rates
-        ),
-    }
-
-
-def later_facts(tables: Tables) -> dict[str, DataFrame]:
-    """The facts that build on other facts."""
-    return {
-        "fct_delivery_items": marts.fct_delivery_items(
-            tables["stg_sap__lips"],
-            tables["stg_sap__likp"],
-            tables["fct_sales_order_items"],
-            tables["dim_customer"],
-        )
-    }
+
+def sources(raw: Tables, rates: DataFrame) -> dict[str, DataFrame]:
+    """What the models begin with, under the names they ask for."""
+    return {f"raw.{name}": df for name, df in raw.items()} | {SEED: rates}
 
 
 def all_tables(raw: Tables, rates: DataFrame) -> dict[str, DataFrame]:
     """Staging, dimensions and facts as lazy DataFrames, nothing materialized."""
-    tables = {SEED: rates, **staging_tables(raw)}
-    tables |= dimensions(raw, tables)
-    tables |= first_facts(tables)
-    return tables | later_facts(tables)
+    tables = sources(raw, rates)
+    for name, model in MODELS.items():
+        tables[name] = model.make(tables)
+    return {name: df for name, df in tables.items() if not name.startswith("raw.")}
+
+
+def build_log(spark: SparkSession, out_dir: str) -> DataFrame:
+    """One row per table and build that readers were pointed to."""
+    try:
+        return spark.read.schema(BUILD_LOG_SCHEMA).parquet(f"{out_dir}/{BUILD_LOG}")
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
+            raise
+        return spark.createDataFrame([], BUILD_LOG_SCHEMA)
 
 
-def _write_all(
-    spark: SparkSession, frames: Tables, folder: str, threads: int
-) -> dict[str, DataFrame]:
-    """Write independent tables side by side and read them back."""
+def current_paths(spark: SparkSession, out_dir: str) -> dict[str, tuple[str, str]]:
+    """Layer and folder of the newest build of each table, about twenty."""
+    newest = build_log(spark, out_dir).groupBy("table_name", "layer").agg(
+        F.max(F.struct("built_at", "path")).alias("newest")
+    )
+    return {r["table_name"]: (r["layer"], f"{out_dir}/{r['newest']['path']}") for r in newest.collect()}
 
-    def write(item: tuple[str, DataFrame]) -> tuple[str, DataFrame]:
-        name, frame = item
-        path = f"{folder}/{name}"
-        frame.write.mode("overwrite").parquet(path)
-        return name, spark.read.schema(frame.schema).parquet(path)
 
-    with ThreadPoolExecutor(threads) as pool:
-        return dict(pool.map(inheritable_thread_target(spark)(write), frames.items()))
+def current_tables(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """The newest build of each table."""
+    return {name: spark.read.parquet(path) for name, (_, path) in current_paths(spark, out_dir).items()}
 
 
-def _check(spark: SparkSession, result: BuildResult, only: set[str]) -> str:
-    """Check the tables named and say what failed."""
-    # One row per check, about a hundred in all.
-    found = check_tables(spark, result.tables, only).collect()
-    result.checks += found
-    return ", ".join(f"{r['check_name']} ({r['n_violations']})" for r in found if r["status"] == "fail")
+def _point_to(spark: SparkSession, out_dir: str, paths: Iterable[tuple[str, str, str]]) -> None:
+    now = dt.datetime.now(dt.timezone.utc)
+    rows = [(*row, now) for row in paths]
+    if rows:
+        log = spark.createDataFrame(rows, BUILD_LOG_SCHEMA).coalesce(1)
+        log.write.mode("append").parquet(f"{out_dir}/{BUILD_LOG}")
+
+
+def remove_old_builds(spark: SparkSession, out_dir: str, keep: int = 2) -> list[str]:
+    """Delete the folders of all but the newest `keep` builds of each table, and of builds that failed.
+
+    Not to be called while a build runs or readers use an old one. Names what was deleted.
+    """
+    kept: dict[str, list[str]] = {}
+    for row in build_log(spark, out_dir).orderBy(F.desc("built_at")).collect():
+        paths = kept.setdefault(f"{row['layer']}/{row['table_name']}", [])
+        if len(paths) < keep:
+            paths.append(row["path"])
+    gone = [
+        f"{table}/{build}"
+        for table, paths in kept.items()
+        for build in folders_in(spark, f"{out_dir}/{table}")
+        if f"{table}/{build}" not in paths
+    ]
+    for path in gone:
+        remove_folder(spark, f"{out_dir}/{path}")
+    return gone
+
+
+def build_models(
+    spark: SparkSession,
+    start: Tables,
+    out_dir: str,
+    result: BuildResult,
+    *,
+    models: Mapping[str, Model] = MODELS,
+    threads: int = 4,
+    stop_on_failure: bool = True,
+) -> BuildResult:
+    """Build the models from the tables in `start`, check them, and point readers to those that pass.
+
+    With `stop_on_failure` off, a failed check is reported only. A model whose build raises always keeps
+    what depends on it from being built.
+    """
+    build = f"build-{uuid4().hex}"
+    tables = dict(start)
+    status = {name: BUILT for name in start}
+
+    def write(name: str, frame: Callable[[], DataFrame], layer: str) -> tuple[str, DataFrame | Exception]:
+        path = f"{out_dir}/{layer}/{name}/{build}"
+        try:
+            df = frame()
+            df.write.parquet(path)
+            return name, spark.read.schema(df.schema).parquet(path)
+        except Exception as error:  # noqa: BLE001  reported, and raised at the end
+            return name, error
+
+    def wave(ready: dict[str, tuple[str, Callable[[], DataFrame]]]) -> None:
+        with ThreadPoolExecutor(threads) as pool:
+            run = inheritable_thread_target(spark)(lambda n: write(n, ready[n][1], ready[n][0]))
+            written = dict(pool.map(run, ready))
+        good = {n: df for n, df in written.items() if isinstance(df, DataFrame)}
+        tables.update(good)
+        # One row per check, about a hundred in all.
+        checkable = {n: df for n, df in tables.items() if not n.startswith("raw.") and status.get(n, BUILT) == BUILT}
+        found = check_tables(spark, checkable, set(good)).collect() if good else []
+        result.checks += found
+        pointed = []
+        for name, (layer, _) in ready.items():
+            failed = [r for r in found if r["table_name"] == name and r["status"] == "fail"]
+            if name not in good:
+                status[name], reason = ERROR, str(written[name]).split("\n")[0][:500]
+            elif failed:
+                status[name] = FAILED if stop_on_failure else BUILT
+                reason = ", ".join(f"{r['check_name']} ({r['n_violations']})" for r in failed)
+            else:
+                status[name], reason = BUILT, None
+            result.outcomes.append(Outcome(name, layer, FAILED if failed else status[name], reason))
+            if status[name] == BUILT:
+                result.tables[name] = good[name]
+                pointed.append((name, layer, f"{layer}/{name}/{build}"))
+        _point_to(spark, out_dir, pointed)
+
+    if SEED in start:
+        del status[SEED]
+        wave({SEED: ("seeds", lambda: start[SEED])})
+    open_models = {name: model for name, model in models.items()}
+    while open_models:
+        ready = {n: m for n, m in open_models.items() if all(p in status for p in m.parents)}
+        if not ready:
+            raise ValueError(f"models read tables that no model makes: {sorted(open_models)}")
+        open_models = {n: m for n, m in open_models.items() if n not in ready}
+        blocked = {n: [p for p in m.parents if status[p] != BUILT] for n, m in ready.items()}
+        for name, parents in blocked.items():
+            if parents:
+                status[name] = SKIPPED
+                result.outcomes.append(Outcome(name, ready[name].layer, SKIPPED, f"needs {', '.join(parents)}"))
+        able = {n: (m.layer, lambda m=m: m.make(tables)) for n, m in ready.items() if not blocked[n]}
+        if able:
+            wave(able)
+    return result
 
 
 def build_all(
@@ -119,8 +248,8 @@ def build_all(
 ) -> BuildResult:
     """Load new extracts, rebuild staging and marts under `out_dir`, and run all checks.
 
-    Staging is written once, because several marts read it. A failed check of severity error
-    stops the build before what depends on the tables checked, unless `stop_on_failure` is off;
+    Raises `CheckFailed` at the end if a model could not be built or, unless `stop_on_failure` is off,
+    failed a check of severity error; all that does not depend on it is built nevertheless, and
     warnings are only reported. `on_finish` gets the result also of a build that failed. Leave
     `extracts_dir` out to rebuild from the raw tables already loaded.
     """
@@ -128,22 +257,13 @@ def build_all(
     raw_dir = f"{out_dir}/raw"
     result = BuildResult(load_extracts(spark, extracts_dir, raw_dir) if extracts_dir else None)
     raw = raw_tables(spark, raw_dir)
-    size_shuffles(spark, max(estimated_bytes(df) or 0 for df in raw.values()))
-    result.tables[SEED] = exchange_rates(spark) if rates is None else rates
-    try:
-        for folder, frames in (
-            ("staging", lambda: staging_tables(raw)),
-            ("marts", lambda: dimensions(raw, result.tables)),
-            ("marts", lambda: first_facts(result.tables)),
-            ("marts", lambda: later_facts(result.tables)),
-        ):
-            written = _write_all(spark, frames(), f"{out_dir}/{folder}", threads)
-            only = set(written) | ({SEED} if folder == "staging" else set())
-            result.tables |= written
-            failed = _check(spark, result, only)
-            if failed and stop_on_failure:
-                raise CheckFailed(failed)
-    finally:
-        if on_finish:
-            on_finish(result)
+    start = sources(raw, exchange_rates(spark) if rates is None else rates)
+    with sized_shuffles(spark, max(estimated_bytes(df) or 0 for df in raw.values())):
+        try:
+            build_models(spark, start, out_dir, result, threads=threads, stop_on_failure=stop_on_failure)
+        finally:
+            if on_finish:
+                on_finish(result)
+    if any(o.status == ERROR for o in result.outcomes) or (stop_on_failure and result.problems()):
+        raise CheckFailed(result.problems())
     return result

@@ -76,6 +76,7 @@ def _with_customer(facts: DataFrame, customers: DataFrame, key: str, on_date: st
         on_date=on_date,
         version_id="customer_id",
         columns=["customer_key"],
+        disjoint=True,
     )
 
 

@@ -1,29 +1,18 @@
-"""The built layers as SQL views: `raw.VBAK`, `staging.stg_sap__vbak`, `marts.dim_customer`."""
+"""The built layers as SQL views: `raw.VBAK`, `seeds.exchange_rates`, `staging.stg_sap__vbak`, `marts.dim_customer`."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cashline.plans.staging import STAGING
+from cashline.plans.build import current_paths
 from cashline.schema import LOADED_AT, RAW_COLUMNS, SOURCE_FILE
 from cashline.sources.raw import LOG_NAME, load_log
 
-MARTS = [
-    "dim_customer",
-    "dim_material",
-    "dim_date",
-    "fct_sales_order_items",
-    "fct_billing_items",
-    "fct_delivery_items",
-    "fct_receivable_items",
-]
-
-
 def publish(spark: SparkSession, out_dir: str) -> list[str]:
     """Create one database per layer with a view per table, and name the views.
 
-    A view reads the files there are when it is queried, so later builds show through. Raw
-    views show the files in the load log only.
+    Views of built tables show the newest build that passed its checks; publish again after a
+    build. Raw views show the files in the load log whenever they are queried.
     """
     log = f"parquet.`{out_dir}/raw/{LOG_NAME}`"
     loaded = {
@@ -42,9 +31,9 @@ def publish(spark: SparkSession, out_dir: str) -> list[str]:
                 f"select {columns} from parquet.`{out_dir}/raw/{table}` "
                 f"where {SOURCE_FILE} in (select file_name from {log})"
             )
-    for layer, names in (("staging", STAGING), ("marts", MARTS)):
-        views |= {f"{layer}.{n}": f"select * from parquet.`{out_dir}/{layer}/{n}`" for n in names}
-    for layer in ("raw", "staging", "marts"):
+    built = current_paths(spark, out_dir)
+    views |= {f"{layer}.{name}": f"select * from parquet.`{path}`" for name, (layer, path) in built.items()}
+    for layer in ("raw", "seeds", "staging", "marts"):
         spark.sql(f"create database if not exists {layer}")
     for name, query in views.items():
         spark.sql(f"create or replace view {name} as {query}")

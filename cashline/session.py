@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -23,23 +25,36 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows may be whole documents or pages: bounds what a batch for Python holds.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
 SHUFFLE_BYTES = 64 << 20
-MOST_PARTITIONS = 100_000
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
-    """Start shuffles with enough partitions for this much input; never with fewer than set.
+@contextmanager
+def sized_shuffles(
+    spark: SparkSession, input_bytes: int, *, partition_bytes: int = SHUFFLE_BYTES, most: int | None = None
+) -> Iterator[None]:
+    """Inside, shuffles start with enough partitions for this much input; never with fewer than set.
 
-    Partitions that turn out small are coalesced by AQE afterwards, so only too few would hurt.
+    Partitions that turn out small are coalesced by AQE afterwards, so only too few would hurt. There is
+    no upper bound unless `most` names one. The session's own setting is back afterwards.
     """
-    wanted = min(-(-input_bytes // SHUFFLE_BYTES), MOST_PARTITIONS)
-    now = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
-    if wanted > int(now):
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    wanted = -(-input_bytes // partition_bytes)
+    wanted = wanted if most is None else min(wanted, most)
+    if wanted > int(before or spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)
 
 
 def configure(spark: SparkSession) -> SparkSession:

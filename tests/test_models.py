@@ -7,7 +7,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from cashline.plans import analysis, marts, quality
-from cashline.plans.build import CheckFailed, all_tables, build_all
+from cashline.plans.build import (
+    BuildResult,
+    CheckFailed,
+    Model,
+    all_tables,
+    build_all,
+    build_models,
+    current_tables,
+    remove_old_builds,
+)
 from cashline.plans.publish import as_temp_views, publish
 from cashline.plans.quality import check_tables
 from cashline.plans.staging import STAGING, clean_bad_dates, stage
@@ -272,7 +281,8 @@ def test_build_all(spark, folder, tmp_path):
         "shipped_qty_within_ordered_qty", "relationships_stg_sap__vbrp_sales_order_id__stg_sap__vbap",
     }
     assert "fail" not in status.values()
-    assert spark.read.parquet(f"{out}/marts/dim_customer").count() == 2
+    assert current_tables(spark, out)["dim_customer"].count() == 2
+    assert {o.status for o in built.outcomes} == {"built"} and len(built.outcomes) == 19
     views = publish(spark, out)
     assert {"raw.VBAK", "raw._load_log", "staging.stg_sap__vbak", "marts.dim_customer"} <= set(views)
     assert spark.sql("select count(*) from raw.VBAK").first()[0] == 1
@@ -281,18 +291,53 @@ def test_build_all(spark, folder, tmp_path):
     again = build_all(spark, str(folder), out)
     assert again.load.files_skipped == 22
     assert again.tables["fct_billing_items"].collect() == before
+    assert spark.sql("select count(*) from seeds.exchange_rates").first()[0] == 2
+    build_all(spark, None, out)
+    gone = remove_old_builds(spark, out)
+    assert len(gone) == 19 and current_tables(spark, out)["fct_billing_items"].collect() == before
 
 
-def test_failed_check_stops_the_build(spark, folder, tmp_path):
+def test_failed_check_skips_only_what_depends_on_it(spark, folder, tmp_path):
     clean_extracts(folder)
+    out = str(tmp_path / "out")
+    first = build_all(spark, str(folder), out)
+    sales = first.tables["fct_sales_order_items"].collect()
     folder.rows("VBAK", "20260107", order("o2", WAERK="EUR"))
     seen = []
     with pytest.raises(CheckFailed, match="accepted_values_stg_sap__vbak_currency"):
-        build_all(spark, str(folder), str(tmp_path / "out"), on_finish=seen.append)
-    assert "fct_sales_order_items" not in seen[0].tables
+        build_all(spark, str(folder), out, on_finish=seen.append)
+    status = {o.table_name: o.status for o in seen[0].outcomes}
+    assert {n for n, s in status.items() if s != "built"} == {
+        "stg_sap__vbak", "dim_date", "fct_sales_order_items", "fct_delivery_items",
+    }
+    assert status["stg_sap__vbak"] == "failed" and status["fct_sales_order_items"] == "skipped"
+    assert "fct_sales_order_items" not in seen[0].tables and "fct_receivable_items" in seen[0].tables
     assert any(r["status"] == "fail" for r in seen[0].checks)
-    whole = build_all(spark, str(folder), str(tmp_path / "out"), stop_on_failure=False)
-    assert "fct_delivery_items" in whole.tables
+    # Readers still see what passed last.
+    assert current_tables(spark, out)["fct_sales_order_items"].collect() == sales
+    assert current_tables(spark, out)["stg_sap__vbak"].count() == 1
+    whole = build_all(spark, None, out, stop_on_failure=False)
+    assert "fct_delivery_items" in whole.tables and current_tables(spark, out)["stg_sap__vbak"].count() == 2
+
+
+def test_a_rebuild_that_dies_leaves_the_old_table(spark, folder, tmp_path):
+    """A plan that raises after its shuffle, as an unreadable value late in a mart would."""
+    out = str(tmp_path / "out")
+    bad = {"n": 0}
+
+    def make(tables):
+        counts = tables["start"].groupBy("k").count()
+        late = F.when(F.col("count") * bad["n"] > 1, F.raise_error(F.lit("late"))).otherwise(F.col("k"))
+        return counts.select(late.alias("k"), "count")
+
+    models = {"five": Model("marts", ("start",), make), "more": Model("marts", ("five",), lambda t: t["five"])}
+    start = {"start": spark.range(20).selectExpr("id % 5 as k")}
+    build_models(spark, start, out, BuildResult(None), models=models)
+    bad["n"] = 1
+    result = build_models(spark, start, out, BuildResult(None), models=models)
+    assert [(o.table_name, o.status) for o in result.outcomes] == [("five", "error"), ("more", "skipped")]
+    assert "late" in result.problems()
+    assert {n: t.count() for n, t in current_tables(spark, out).items()} == {"five": 5, "more": 5}
 
 
 def test_seed_from_file(spark, tmp_path):

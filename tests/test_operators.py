@@ -122,12 +122,55 @@ def test_point_in_time_strategies(spark):
     assert "Window" not in plan_of(point_in_time(facts, versions, **args))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        unbounded = plan_of(point_in_time(facts, versions, **args))
+        unbounded = plan_of(point_in_time(facts, versions, disjoint=True, **args))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
     assert "Window" in unbounded and ">= __from" not in unbounded
 
 
+@pytest.mark.parametrize("strategy", ["range", "as_of", "auto"])
+def test_all_strategies_find_all_versions_in_force(spark, strategy):
+    """Overlapping, empty, unbounded and touching periods, NULL keys and dates."""
+    r = random.Random(1)
+    day = lambda n: None if n is None else D(2026, 1, 1) + dt.timedelta(days=n)
+    periods = [
+        (r.choice([1, 2, 3, None]), day(r.choice([None, *range(30)])), day(r.choice([None, *range(40)])), n)
+        for n in range(40)
+    ] + [(9, day(0), day(9), 100), (9, day(10), day(20), 101)]
+    facts = [(n, r.choice([1, 2, 3, 9, 7, None]), day(r.choice([None, *range(45)]))) for n in range(300)]
+    joined = point_in_time(
+        spark.createDataFrame(facts, "n int, customer int, day date"),
+        spark.createDataFrame(periods, "id int, valid_from date, valid_to date, version int"),
+        key="customer",
+        on_date="day",
+        version_id="id",
+        columns=["version"],
+        strategy=strategy,
+    )
+    wanted = [
+        (n, v)
+        for n, customer, on in facts
+        for v in [p[3] for p in periods if None not in (customer, on, *p) and p[0] == customer and p[1] <= on <= p[2]]
+        or [None]
+    ]
+    assert sorted(collected(joined.select("n", "version")), key=str) == sorted(wanted, key=str)
+
+
+@pytest.mark.parametrize("strategy", ["range", "as_of"])
+def test_overlap_in_a_disjoint_history_raises(spark, strategy):
+    periods = [("a", "v1", D(2026, 1, 1), D(2026, 1, 9)), ("a", "v2", D(2026, 1, 5), D(2026, 1, 6)), ("b", "w", D(2026, 1, 1), D(2026, 1, 2))]
+    versions = spark.createDataFrame(periods, "id string, k string, valid_from date, valid_to date")
+
+    def joined(customer, day):
+        facts = spark.createDataFrame([(customer, day)], "customer string, day date")
+        args = dict(key="customer", on_date="day", version_id="id", columns=["k"], strategy=strategy, disjoint=True)
+        return point_in_time(facts, versions, **args).collect()[0]["k"]
+
+    assert joined("b", D(2026, 1, 2)) == "w" and joined("a", D(2026, 2, 1)) is None
+    with pytest.raises(Exception, match="periods overlap"):
+        joined("a", D(2026, 1, 8))
+
+
 def test_as_of_respects_gaps_between_versions(spark):
     versions = spark.createDataFrame(
         [("a", "v1", D(2026, 1, 1), D(2026, 1, 3)), ("a", "v2", D(2026, 1, 10), D(2026, 1, 12))],

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cashline.functions import OPEN_END
 from cashline.operators.joins import (
     broadcast_if_small,
+    broadcast_limit,
     lookup,
     mark_missing,
     point_in_time,
@@ -17,17 +18,17 @@ from cashline.operators.versions import latest_version
 from cashline.plans import testbed
 from cashline.plans.registry import StarSchema, all_queries, latest_lines
 from cashline.plans.staging import STAGING
-from cashline.session import INITIAL_PARTITIONS, size_shuffles
+from cashline.session import INITIAL_PARTITIONS, sized_shuffles
 from cashline.sources.seeds import exchange_rates
 from conftest import SF_DIR, plan_of
 
 
 @pytest.fixture
 def large(spark):
-    """No side counts as small enough to broadcast, as at full scale."""
+    """No side but a handful of rates counts as small enough to broadcast, as at full scale."""
     names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
     for name in names:
-        spark.conf.set(name, "-1")
+        spark.conf.set(name, "1k")
     yield spark
     for name in names:
         spark.conf.unset(name)
@@ -70,19 +71,29 @@ def test_facts_shuffle_items_once(large):
 
 def test_shuffles_start_with_enough_partitions(spark):
     before = spark.conf.get(INITIAL_PARTITIONS, None)
-    size_shuffles(spark, 10)
-    assert spark.conf.get(INITIAL_PARTITIONS, None) == before
-    size_shuffles(spark, 1 << 40)
-    assert spark.conf.get(INITIAL_PARTITIONS) == str(1 << 14)
-    size_shuffles(spark, 1 << 60)
-    assert spark.conf.get(INITIAL_PARTITIONS) == "100000"
-    spark.conf.unset(INITIAL_PARTITIONS)
+    for size, more, expected in (
+        (10, {}, before),
+        (1 << 40, {}, str(1 << 14)),
+        (1 << 60, {"most": 100_000}, "100000"),
+        (1 << 30, {"partition_bytes": 1 << 20}, "1024"),
+    ):
+        with sized_shuffles(spark, size, **more):
+            assert spark.conf.get(INITIAL_PARTITIONS, None) == expected
+        assert spark.conf.get(INITIAL_PARTITIONS, None) == before
 
 
 def test_broadcast_needs_a_small_size(spark):
     rates = exchange_rates(spark)
     assert "ResolvedHint" in broadcast_if_small(rates)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in broadcast_if_small(rates, 1)._jdf.queryExecution().analyzed().toString()
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    for limit, size in (("-1", -1), ("1", 1), ("1b", 1), ("2k", 2048), ("10MB", 10 << 20)):
+        spark.conf.set(name, limit)
+        try:
+            assert broadcast_limit(spark) == size
+            hinted = "ResolvedHint" in broadcast_if_small(rates)._jdf.queryExecution().analyzed().toString()
+            assert hinted == (size > 1)
+        finally:
+            spark.conf.unset(name)
 
 
 def test_skewed_join_keys_are_split(spark):
