@@ -27,11 +27,13 @@ TOKENIZER = "byte_bpe_50k.json"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)
     judged = quality_rules.ledger(docs.select(*DOCUMENT))
     return judged.filter(quality_rules.passes(quality_rules.STANDARD, F.col("quality.failed"))).select(*DOCUMENT)
 
 
 def unique_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)
     left = line_dedup.dedup_lines(docs.select(*DOCUMENT))
     changed = F.size("deleted") > 0
     left = left.filter(~changed | (F.size(white_words(F.col("text"))) > 0))
@@ -39,17 +41,20 @@ def unique_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)
     kept = minmax_dedup.near_duplicates(docs.select("doc_id", "text")).filter("kept").select("doc_id")
     return join_by_id(docs.select(*DOCUMENT), kept.distinct(), "left_semi")
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)
     items = table(spark, sf_dir, "benchmark").select("item_id", "text")
     hit = decontamination.contamination(docs.select("doc_id", "text"), items).filter("contaminated")
     return join_by_id(docs.select(*DOCUMENT), hit.select("doc_id").distinct(), "left_anti")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)
     pieces = packing.pieces(docs.select("doc_id", "text"), public_tokenizers.path(TOKENIZER))
     return packing.pack(packing.with_crc(pieces))
 
@@ -68,7 +73,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to `documents`."""
-    docs = table(configure(spark), sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = settled(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
