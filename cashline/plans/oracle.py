@@ -6,13 +6,12 @@ Where there is a choice these take the other road: ASOF joins for the point-in-t
 
 from __future__ import annotations
 
-from cashline.plans.staging import STAGING, StagingSpec
-
 ORDER_DAY = "cast(o_orderdate as date)"
 SHIP_DAY = "cast(l_shipdate as date)"
 BILL_DAY = f"({ORDER_DAY} + cast(o_custkey % 7 + 1 as integer))"
-ITEM_TIE = "l_partkey * 100000 + l_suppkey"
 POSITION = "lpad(cast(l_linenumber * 10 as varchar), 6, '0')"
+# One order number in seven is one that no order has.
+BROKEN_ORDER = "if(l_suppkey % 7 = 0, -l_orderkey, l_orderkey)"
 CURRENCY = "if(o_custkey % 2 = 0, 'USD', 'CAD')"
 
 
@@ -35,6 +34,13 @@ def _lineage(table: str, day: str, micros: str) -> str:
     )
 
 
+def _item_lineage(table: str) -> str:
+    return (
+        f"cast({SHIP_DAY} as timestamp) as _loaded_at, '{table}_' || {_ymd(SHIP_DAY)} || '_' || "
+        f"{_pad('l_partkey', 12)} || '_' || {_pad('l_suppkey', 12)} || '.csv' as _source_file"
+    )
+
+
 def _receivable(amount: str) -> str:
     return f"""'1000' as BUKRS, {_pad("o_orderkey + 1900000000", 10)} as BELNR,
         cast(year({BILL_DAY}) as varchar) as GJAHR, '001' as BUZEI, {_pad("o_custkey", 10)} as KUNNR,
@@ -45,7 +51,7 @@ def _receivable(amount: str) -> str:
 
 RAW = {
     "KNA1": f"""select {_pad("o_custkey", 10)} as KUNNR,
-        if(o_custkey % 97 = 0, 'Smith, Jones & "Co"', 'Customer ' || o_custkey) as NAME1,
+        if(o_custkey % 97 = 0, 'Brook, Hale and "Sons"', 'Customer ' || o_custkey) as NAME1,
         ' ' || o_orderpriority || ' ' as ORT01, if(o_orderstatus = 'P', '  ', o_orderstatus) as REGIO,
         if(o_custkey % 2 = 0, 'US', 'CA') as LAND1, {_ymd(ORDER_DAY)} as ERDAT,
         {_lineage("KNA1", ORDER_DAY, "o_orderkey")} from orders""",
@@ -72,7 +78,7 @@ RAW = {
         'EA' as VRKME, {_money("l_extendedprice")} as NETWR,
         case when l_orderkey % 50 = 0 then 'EUR' when l_orderkey % 2 = 0 then 'USD' else 'CAD' end as WAERK,
         if(l_returnflag = 'R', '02', '') as ABGRU, {_ymd(f"{SHIP_DAY} - 5")} as ERDAT,
-        {_ymd(SHIP_DAY)} as AEDAT, {_lineage("VBAP", SHIP_DAY, ITEM_TIE)} from lineitem""",
+        {_ymd(SHIP_DAY)} as AEDAT, {_item_lineage("VBAP")} from lineitem""",
     "VBRK": f"""select {_pad("o_orderkey + 90000000", 10)} as VBELN, 'F2' as FKART,
         {_ymd(BILL_DAY)} as FKDAT, {_pad("o_custkey", 10)} as KUNRG, {CURRENCY} as WAERK,
         {_money("o_totalprice")} as NETWR, if(v = 1, 'X', '') as FKSTO, {_ymd(BILL_DAY)} as ERDAT,
@@ -80,24 +86,24 @@ RAW = {
         {_lineage("VBRK", f"({BILL_DAY} + v * 3)", "o_orderkey")}
         from (select *, cast(unnest(if(o_orderstatus = 'P', [0, 1], [0])) as integer) as v from orders)""",
     "VBRP": f"""select {_pad("l_orderkey + 90000000", 10)} as VBELN, {POSITION} as POSNR,
-        case l_suppkey % 40 when 0 then {_pad("l_orderkey + 80000000", 10)} when 1 then ''
+        case l_suppkey % 40 when 0 then 'X' || {_pad("l_orderkey", 9)} when 1 then ''
              else {_pad("l_orderkey", 10)} end as AUBEL,
         if(l_suppkey % 40 = 2, '000099', {POSITION}) as AUPOS, {_pad("l_partkey", 18)} as MATNR,
         cast(cast(l_quantity as integer) + if(l_partkey % 50 = 0, 100, 0) as varchar) as FKIMG,
         'EA' as VRKME, {_money("l_extendedprice")} as NETWR, {_ymd(SHIP_DAY)} as ERDAT,
-        '00000000' as AEDAT, {_lineage("VBRP", SHIP_DAY, ITEM_TIE)}
-        from lineitem where l_linestatus = 'F'""",
+        '00000000' as AEDAT, {_item_lineage("VBRP")}
+        from lineitem""",
     "LIKP": f"""select {_pad("o_orderkey + 70000000", 10)} as VBELN, 'LF' as LFART,
         {_ymd(ORDER_DAY)} as ERDAT, {_ymd(f"{ORDER_DAY} + cast(o_custkey % 5 as integer)")} as LFDAT,
         {_pad("o_custkey", 10)} as KUNNR, '00000000' as AEDAT,
         {_lineage("LIKP", f"({ORDER_DAY} + cast(o_custkey % 5 as integer))", "o_orderkey")}
-        from orders where o_orderstatus <> 'P'""",
+        from orders""",
     "LIPS": f"""select {_pad("l_orderkey + 70000000", 10)} as VBELN, {POSITION} as POSNR,
         {_pad("l_orderkey", 10)} as VGBEL, if(l_suppkey % 40 = 3, '000098', {POSITION}) as VGPOS,
         {_pad("l_partkey", 18)} as MATNR,
-        cast(cast(l_quantity / 2 as decimal(18,3)) as varchar) as LFIMG, 'EA' as VRKME,
-        {_ymd(SHIP_DAY)} as ERDAT, '' as AEDAT, {_lineage("LIPS", SHIP_DAY, ITEM_TIE)}
-        from lineitem where l_returnflag <> 'N'""",
+        cast(cast(if(l_returnflag = 'N', 0, l_quantity / 2) as decimal(18,3)) as varchar) as LFIMG, 'EA' as VRKME,
+        {_ymd(SHIP_DAY)} as ERDAT, '' as AEDAT, {_item_lineage("LIPS")}
+        from lineitem""",
     "BSID": f"""select {_receivable("cast(o_totalprice as decimal(18,2)) + if(o_orderkey % 200 = 7, 1, 0)")},
         {_lineage("BSID", BILL_DAY, "o_orderkey")} from orders""",
     "BSAD": f"""select {_receivable("o_totalprice")},
@@ -116,17 +122,85 @@ CLEAN = {
 }
 
 
-def _latest(spec: StagingSpec) -> str:
-    typed = ", ".join(f"{CLEAN[kind].format(raw)} as {name}" for raw, name, kind in spec.mapping())
-    dated = "coalesce(changed_on, created_on) desc nulls last, " if spec.changed_on else ""
+# Per staging table its extract, keys, whether a change date ranks versions, and its columns
+# as name, cleaner and raw column.
+STAGED = {
+    "stg_sap__kna1": (
+        "KNA1", "customer_id", False,
+        """customer_id text KUNNR, customer_name text NAME1, city text ORT01, region text REGIO,
+        country_code text LAND1, created_on date ERDAT""",
+    ),
+    "stg_sap__mara": (
+        "MARA", "material_id", True,
+        """material_id text MATNR, material_type text MTART, material_group text MATKL, base_unit text MEINS,
+        created_on date ERSDA, changed_on date LAEDA""",
+    ),
+    "stg_sap__makt": (
+        "MAKT", "material_id language_key", False,
+        """material_id text MATNR, language_key text SPRAS, material_description text MAKTX""",
+    ),
+    "stg_sap__vbak": (
+        "VBAK", "sales_order_id", True,
+        """sales_order_id text VBELN, order_type text AUART, customer_id text KUNNR, order_date date AUDAT,
+        currency text WAERK, net_value amount NETWR, created_on date ERDAT, changed_on date AEDAT""",
+    ),
+    "stg_sap__vbap": (
+        "VBAP", "sales_order_id item_no", True,
+        """sales_order_id text VBELN, item_no text POSNR, material_id text MATNR, ordered_qty quantity KWMENG,
+        sales_unit text VRKME, net_value amount NETWR, currency text WAERK, rejection_reason text ABGRU,
+        created_on date ERDAT, changed_on date AEDAT""",
+    ),
+    "stg_sap__vbrk": (
+        "VBRK", "billing_id", True,
+        """billing_id text VBELN, billing_type text FKART, billing_date date FKDAT, payer_id text KUNRG,
+        currency text WAERK, net_value amount NETWR, is_cancelled flag FKSTO, created_on date ERDAT,
+        changed_on date AEDAT""",
+    ),
+    "stg_sap__vbrp": (
+        "VBRP", "billing_id item_no", True,
+        """billing_id text VBELN, item_no text POSNR, sales_order_id text AUBEL,
+        sales_order_item_no text AUPOS, material_id text MATNR, billed_qty quantity FKIMG,
+        sales_unit text VRKME, net_value amount NETWR, created_on date ERDAT, changed_on date AEDAT""",
+    ),
+    "stg_sap__likp": (
+        "LIKP", "delivery_id", True,
+        """delivery_id text VBELN, delivery_type text LFART, ship_to_customer_id text KUNNR,
+        delivery_date date LFDAT, created_on date ERDAT, changed_on date AEDAT""",
+    ),
+    "stg_sap__lips": (
+        "LIPS", "delivery_id item_no", True,
+        """delivery_id text VBELN, item_no text POSNR, sales_order_id text VGBEL,
+        sales_order_item_no text VGPOS, material_id text MATNR, shipped_qty quantity LFIMG,
+        sales_unit text VRKME, created_on date ERDAT, changed_on date AEDAT""",
+    ),
+    "stg_sap__bsid": (
+        "BSID", "company_code accounting_doc_id fiscal_year doc_item", False,
+        """company_code text BUKRS, accounting_doc_id text BELNR, fiscal_year text GJAHR, doc_item text BUZEI,
+        customer_id text KUNNR, doc_type text BLART, posting_date date BUDAT, due_date date FAEDT,
+        payment_terms text ZTERM, amount amount WRBTR, currency text WAERS, billing_id text ZUONR""",
+    ),
+    "stg_sap__bsad": (
+        "BSAD", "company_code accounting_doc_id fiscal_year doc_item", False,
+        """company_code text BUKRS, accounting_doc_id text BELNR, fiscal_year text GJAHR, doc_item text BUZEI,
+        customer_id text KUNNR, doc_type text BLART, posting_date date BUDAT, due_date date FAEDT,
+        payment_terms text ZTERM, amount amount WRBTR, currency text WAERS, billing_id text ZUONR,
+        cleared_on date AUGDT, clearing_doc_id text AUGBL""",
+    ),
+}
+
+
+def _latest(raw: str, keys: str, has_change_date: bool, columns: str) -> str:
+    named = [column.split() for column in columns.split(",")]
+    typed = ", ".join(f"{CLEAN[kind].format(source)} as {name}" for name, kind, source in named)
+    dated = "coalesce(changed_on, created_on) desc nulls last, " if has_change_date else ""
     return f"""select * exclude (_loaded_at, _source_file)
-        from (select {typed}, _loaded_at, _source_file from raw_{spec.raw}) as typed
-        qualify row_number() over (partition by {", ".join(spec.keys)}
+        from (select {typed}, _loaded_at, _source_file from raw_{raw}) as typed
+        qualify row_number() over (partition by {keys.replace(" ", ", ")}
             order by {dated}_loaded_at desc, _source_file desc) = 1"""
 
 
 PARTS: dict[str, tuple[str, list[str]]] = {f"raw_{name}": (sql, []) for name, sql in RAW.items()}
-PARTS |= {name: (_latest(spec), [f"raw_{spec.raw}"]) for name, spec in STAGING.items()}
+PARTS |= {name: (_latest(*staged), [f"raw_{staged[0]}"]) for name, staged in STAGED.items()}
 PARTS |= {
     "rates": (
         "select currency, cast(rate as decimal(9,6)) as rate_to_usd "
@@ -262,11 +336,11 @@ EVENT_VERSIONS = f"""{EVENT_CHANGES}, event_versions as (
     from (select *, lead(day) over (partition by user_id order by day) as next_day from event_changes) as c)"""
 
 
-def _order_versions(where: str = "true") -> str:
+def _order_versions(day: str = ORDER_DAY) -> str:
     return f"""order_changes as (
-    select * from (select o_custkey, {ORDER_DAY} as valid_from,
+    select * from (select o_custkey, {day} as valid_from,
                        arg_max(o_orderpriority, o_orderkey) as o_orderpriority
-                   from orders where {where} group by 1, 2) as d
+                   from orders group by 1, 2) as d
     qualify o_orderpriority is distinct from lag(o_orderpriority)
         over (partition by o_custkey order by valid_from)),
 order_versions as (
@@ -276,7 +350,7 @@ order_versions as (
           from order_changes) as c)"""
 
 
-FCT_ITEMS = f"""{_order_versions("o_orderstatus <> 'O'")}, fct as (
+FCT_ITEMS = f"""{_order_versions(f"{ORDER_DAY} + 20")}, fct as (
     select md5(l.l_orderkey || '|' || l.l_linenumber) as item_key, l.l_orderkey, l.l_linenumber, l.order_date,
         v.version_key as customer_key, l.l_partkey, cast(l.l_quantity as decimal(18,3)) as quantity,
         l.currency, cast(l.l_extendedprice as decimal(18,2)) as net_value,
@@ -358,13 +432,12 @@ def all_oracles() -> dict[str, str]:
         "inner_header_item": """select l_orderkey, l_linenumber, l_partkey, l_suppkey, o_custkey, o_orderstatus
             from lineitem join orders on o_orderkey = l_orderkey""",
         "pit_join": f"""with {EVENT_VERSIONS} select e.event_id, e.user_id, e.day_before, v.version_key
-            from (select event_id, user_id, cast(ts as date) - 1 as day_before from events
-                  where event_type = 'purchase') as e
+            from (select event_id, user_id, cast(ts as date) - 1 as day_before from events) as e
             asof left join event_versions v on e.user_id = v.user_id and e.day_before >= v.valid_from""",
         "usd_value": _usd("if(c_nationkey % 2 = 0, 'USD', 'CAD')"),
         "usd_missing_rate": _usd("(['USD', 'CAD', 'EUR'])[c_nationkey % 3 + 1]"),
-        "orphan_flag": """select l_orderkey, l_linenumber, l_partkey, l_suppkey,
-            l_orderkey not in (select o_orderkey from orders where o_orderstatus <> 'P') as is_orphan from lineitem""",
+        "orphan_flag": f"""select {BROKEN_ORDER} as l_orderkey, l_linenumber, l_partkey, l_suppkey,
+            {BROKEN_ORDER} not in (select o_orderkey from orders) as is_orphan from lineitem""",
         "left_const_join": """select p_partkey, p_name, s_name from part
             left join (select * from supplier where s_nationkey = 3) as s on s_suppkey = p_partkey""",
         "open_vs_cleared": f"""select o_orderkey, cleared_on, cleared_on is not null as is_cleared,
@@ -378,8 +451,8 @@ def all_oracles() -> dict[str, str]:
         "fct_items": f"with {FCT_ITEMS} select * from fct",
         "billing_fact": f"""with {FCT_ITEMS} select item_key, l_orderkey, l_linenumber, net_value_usd,
             o_orderstatus = 'P' as is_cancelled,
-            not exists (select 1 from lineitem k where k.l_linestatus = 'O' and k.l_orderkey = fct.l_orderkey
-                and k.l_linenumber = fct.l_linenumber) as is_orphan_item
+            not exists (select 1 from lineitem k where k.l_orderkey = fct.l_orderkey and
+                k.l_linenumber = fct.l_linenumber + if(fct.l_partkey % 9 = 0, 100, 0)) as is_orphan_item
             from fct join orders on o_orderkey = l_orderkey""",
         "check_unique": """select l_orderkey, l_linenumber, count(*) as n_records from lineitem
             group by all having count(*) > 1""",
@@ -389,8 +462,9 @@ def all_oracles() -> dict[str, str]:
             from (select unnest(['item_key', 'customer_key', 'net_value_usd', 'order_date']) as c,
                 unnest([count(*) - count(item_key), count(*) - count(customer_key),
                         count(*) - count(net_value_usd), count(*) - count(order_date)]) as n from fct) as counted""",
-        "check_relationships": """select l_orderkey, count(*) as n_records from lineitem
-            where l_orderkey not in (select o_orderkey from orders where o_orderstatus <> 'P') group by all""",
+        "check_relationships": f"""select l_orderkey, count(*) as n_records
+            from (select {BROKEN_ORDER} as l_orderkey from lineitem) as l
+            where l_orderkey not in (select o_orderkey from orders) group by all""",
         "check_accepted_values": """select o_orderpriority, count(*) as n_records from orders
             where o_orderpriority not in ('1-URGENT', '2-HIGH') group by all""",
         "check_overlap": f"""with {EVENT_DAYS}, periods as (select user_id, day as valid_from,
@@ -405,8 +479,8 @@ def all_oracles() -> dict[str, str]:
                  "select count(*) from (select 1 from lineitem group by l_orderkey, l_linenumber "
                  "having count(*) > 1) as d"),
                 ("lines_have_placed_order", "lineitem", "relationships", "warn",
-                 "select count(*) from lineitem anti join (select * from orders where o_orderstatus <> 'P') as o "
-                 "on l_orderkey = o_orderkey"),
+                 f"select count(*) from (select {BROKEN_ORDER} as l_orderkey from lineitem) as l "
+                 "anti join orders on l_orderkey = o_orderkey"),
                 ("accepted_priorities", "orders", "accepted_values", "error",
                  "select count(distinct o_orderpriority) from orders where o_orderpriority <> '1-URGENT'"),
                 ("not_null_orders_o_orderkey", "orders", "not_null", "error",
@@ -429,7 +503,12 @@ def all_oracles() -> dict[str, str]:
         "count_if(o_orderstatus = 'O')", "cast(count_if(o_orderstatus = 'O') as bigint)"
     )
     generic["pit_join_as_of"] = generic["pit_join"]
-    staging = {name: with_parts(name, f"select * from {name}") for name in STAGING}
+    overlapping = f"""with {_order_versions()} select o_orderkey, o.o_custkey, {ORDER_DAY} as day, v.version_key
+        from orders o left join order_versions v on o.o_custkey = v.o_custkey and {ORDER_DAY} >= v.valid_from
+            and {ORDER_DAY} <= if(v.is_current, v.valid_to, v.valid_to + if(v.is_current, 0, 30))"""
+    for name in ("pit_join_overlapping", "pit_join_overlapping_as_of", "pit_join_overlapping_auto"):
+        generic[name] = overlapping
+    staging = {name: with_parts(name, f"select * from {name}") for name in STAGED}
     models = {
         "dim_customer": with_parts("customers", "select * from customers"),
         "dim_material": with_parts("materials", "select * from materials"),

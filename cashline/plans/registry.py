@@ -245,29 +245,49 @@ def inner_header_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_header(items, headers, "l_orderkey", ["o_custkey", "o_orderstatus"])
 
 
-def _purchases_in_time(spark: SparkSession, sf_dir: str, strategy: str) -> DataFrame:
-    purchases = (
-        daily_events(spark, sf_dir)
-        .filter(F.col("event_type") == "purchase")
-        .select("event_id", "user_id", F.date_add("day", -1).alias("day_before"))
-    )
-    return point_in_time(
-        purchases,
-        scd2_events(spark, sf_dir),
-        key="user_id",
-        on_date="day_before",
-        version_id="user_id",
-        columns=["version_key"],
-        strategy=strategy,
-    ).select("event_id", "user_id", "day_before", "version_key")
-
-
-def pit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _purchases_in_time(spark, sf_dir, "range")
+def _events_in_time(strategy: str) -> Query:
+    """Events with the version of their user on the day before."""
 
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        events = daily_events(spark, sf_dir).select(
+            "event_id", "user_id", F.date_add("day", -1).alias("day_before")
+        )
+        return point_in_time(
+            events,
+            scd2_events(spark, sf_dir),
+            key="user_id",
+            on_date="day_before",
+            version_id="user_id",
+            columns=["version_key"],
+            strategy=strategy,
+            disjoint=True,
+        ).select("event_id", "user_id", "day_before", "version_key")
+
+    return query
+
+
+def _orders_in_overlapping_time(strategy: str) -> Query:
+    """Orders with all versions of their customer that hold their date, periods running 30 days too long."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        versions = scd2_orders(spark, sf_dir).select(
+            F.col("o_custkey").alias("id"),
+            "version_key",
+            "valid_from",
+            F.when(F.col("is_current"), F.col("valid_to")).otherwise(F.date_add("valid_to", 30)).alias("valid_to"),
+        )
+        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", testbed.order_day().alias("day"))
+        return point_in_time(
+            orders,
+            versions,
+            key="o_custkey",
+            on_date="day",
+            version_id="id",
+            columns=["version_key"],
+            strategy=strategy,
+        )
 
-def pit_join_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _purchases_in_time(spark, sf_dir, "as_of")
+    return query
 
 
 def _in_usd(spark: SparkSession, sf_dir: str, currency_of_nation: Column) -> DataFrame:
@@ -301,10 +321,15 @@ def usd_missing_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lines_with_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines; those of every seventh supplier name an order that does not exist."""
+    broken = F.when(F.col("l_suppkey") % 7 == 0, -F.col("l_orderkey")).otherwise(F.col("l_orderkey"))
+    return table(spark, sf_dir, "lineitem").withColumn("l_orderkey", broken)
+
+
 def orphan_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") != "P")
-    items = table(spark, sf_dir, "lineitem").select(*LINE_KEY, "l_partkey", "l_suppkey")
-    return mark_missing(items, known, {"l_orderkey": "o_orderkey"}, "is_orphan")
+    items = lines_with_orphans(spark, sf_dir).select(*LINE_KEY, "l_partkey", "l_suppkey")
+    return mark_missing(items, table(spark, sf_dir, "orders"), {"l_orderkey": "o_orderkey"}, "is_orphan")
 
 
 def left_const_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -369,12 +394,8 @@ def fct_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", F.when(F.col("c_nationkey") % 2 == 0, "USD").otherwise("CAD").alias("currency")
     )
     items = lookup(items, customers, {"o_custkey": "c_custkey"}, ["currency"])
-    # Versions come from the orders with a status other than open, so early facts have none.
-    history = (
-        table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderstatus") != "O")
-        .withColumn("valid_from", testbed.order_day())
-    )
+    # Versions start 20 days after the order they come from, so early facts have none.
+    history = table(spark, sf_dir, "orders").withColumn("valid_from", F.date_add(testbed.order_day(), 20))
     versions = scd2(
         history, key="o_custkey", attributes=["o_orderpriority"], order_by=[F.desc("o_orderkey")]
     )
@@ -385,6 +406,7 @@ def fct_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         on_date="order_date",
         version_id="o_custkey",
         columns=["version_key"],
+        disjoint=True,
     )
     facts = lookup(
         facts, exchange_rates(spark), {"currency": "currency"}, ["rate_to_usd"], small=True
@@ -406,13 +428,16 @@ def fct_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def billing_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = fct_items(spark, sf_dir).select("item_key", "l_orderkey", "l_linenumber", "net_value_usd")
+    line = F.col("l_linenumber") + F.when(F.col("l_partkey") % 9 == 0, 100).otherwise(0)
+    items = fct_items(spark, sf_dir).select(
+        "item_key", "l_orderkey", "l_linenumber", "net_value_usd", line.alias("billed_line")
+    )
     status = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"), (F.col("o_orderstatus") == "P").alias("is_cancelled")
     )
-    known = table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == "O")
     billed = lookup(items, status, {"l_orderkey": "order_id"}, ["is_cancelled"])
-    return mark_missing(billed, known, {k: k for k in LINE_KEY}, "is_orphan_item")
+    on = {"l_orderkey": "l_orderkey", "billed_line": "l_linenumber"}
+    return mark_missing(billed, table(spark, sf_dir, "lineitem"), on, "is_orphan_item").drop("billed_line")
 
 
 # ---- Checks ---------------------------------------------------------------------------------
@@ -429,8 +454,8 @@ def check_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def check_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parents = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") != "P")
-    return missing_parents(table(spark, sf_dir, "lineitem"), "l_orderkey", parents, "o_orderkey")
+    orders = table(spark, sf_dir, "orders")
+    return missing_parents(lines_with_orphans(spark, sf_dir), "l_orderkey", orders, "o_orderkey")
 
 
 def check_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -456,7 +481,7 @@ def check_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Severities and statuses over all kinds of checks."""
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
-    placed = orders.filter(F.col("o_orderstatus") != "P")
+    broken = lines_with_orphans(spark, sf_dir)
     checks = [
         Check("unique_orders", "orders", "unique", lambda: duplicate_values(orders, ["o_orderkey"])),
         Check("unique_lines", "lineitem", "unique", lambda: duplicate_values(lines, LINE_KEY)),
@@ -464,7 +489,7 @@ def check_report(spark: SparkSession, sf_dir: str) -> DataFrame:
             "lines_have_placed_order",
             "lineitem",
             "relationships",
-            lambda: missing_parents(lines, "l_orderkey", placed, "o_orderkey"),
+            lambda: missing_parents(broken, "l_orderkey", orders, "o_orderkey"),
             WARN,
             "n_records",
         ),
@@ -542,8 +567,11 @@ def all_queries() -> dict[str, Query]:
         "scd2_events": scd2_events,
         "scd2_orders": scd2_orders,
         "inner_header_item": inner_header_item,
-        "pit_join": pit_join,
-        "pit_join_as_of": pit_join_as_of,
+        "pit_join": _events_in_time("range"),
+        "pit_join_as_of": _events_in_time("as_of"),
+        "pit_join_overlapping": _orders_in_overlapping_time("range"),
+        "pit_join_overlapping_as_of": _orders_in_overlapping_time("as_of"),
+        "pit_join_overlapping_auto": _orders_in_overlapping_time("auto"),
         "usd_value": usd_value,
         "usd_missing_rate": usd_missing_rate,
         "orphan_flag": orphan_flag,

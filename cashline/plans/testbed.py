@@ -99,8 +99,16 @@ def currency() -> Column:
     return F.when(F.col("o_custkey") % 2 == 0, "USD").otherwise("CAD")
 
 
-def item_tie() -> Column:
-    return F.col("l_partkey") * 100_000 + F.col("l_suppkey")
+def unknown(number: str) -> Column:
+    """A document number that no document has: numbers hold no letter."""
+    return F.concat(F.lit("X"), pad(number, 9))
+
+
+def item_file(raw: str) -> Column:
+    """A file of its own per part and supplier, so that versions loaded at one time have an order."""
+    return F.concat(
+        F.lit(f"{raw}_"), day_text(ship_day()), F.lit("_"), pad("l_partkey", 12), F.lit("_"), pad("l_suppkey", 12), F.lit(".csv")
+    )
 
 
 def kna1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +118,7 @@ def kna1(spark: SparkSession, sf_dir: str) -> DataFrame:
         "KNA1",
         {
             "KUNNR": pad("o_custkey", 10),
-            "NAME1": F.when(customer % 97 == 0, 'Smith, Jones & "Co"').otherwise(
+            "NAME1": F.when(customer % 97 == 0, 'Brook, Hale and "Sons"').otherwise(
                 F.concat(F.lit("Customer "), customer.cast("string"))
             ),
             "ORT01": F.concat(F.lit(" "), "o_orderpriority", F.lit(" ")),
@@ -207,8 +215,8 @@ def vbap(spark: SparkSession, sf_dir: str) -> DataFrame:
             "ERDAT": day_text(F.date_add(ship_day(), -5)),
             "AEDAT": day_text(ship_day()),
         },
-        loaded(ship_day(), item_tie()),
-        file_name("VBAP", ship_day()),
+        loaded(ship_day(), F.lit(0)),
+        item_file("VBAP"),
     )
 
 
@@ -239,12 +247,12 @@ def vbrp(spark: SparkSession, sf_dir: str) -> DataFrame:
     broken = F.col("l_suppkey") % 40
     position = pad(F.col("l_linenumber") * 10, 6)
     return _raw(
-        table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == "F"),
+        table(spark, sf_dir, "lineitem"),
         "VBRP",
         {
             "VBELN": pad(F.col("l_orderkey") + 90_000_000, 10),
             "POSNR": position,
-            "AUBEL": F.when(broken == 0, pad(F.col("l_orderkey") + 80_000_000, 10))
+            "AUBEL": F.when(broken == 0, unknown("l_orderkey"))
             .when(broken == 1, "")
             .otherwise(pad("l_orderkey", 10)),
             "AUPOS": F.when(broken == 2, "000099").otherwise(position),
@@ -257,15 +265,15 @@ def vbrp(spark: SparkSession, sf_dir: str) -> DataFrame:
             "ERDAT": day_text(ship_day()),
             "AEDAT": empty_date(),
         },
-        loaded(ship_day(), item_tie()),
-        file_name("VBRP", ship_day()),
+        loaded(ship_day(), F.lit(0)),
+        item_file("VBRP"),
     )
 
 
 def likp(spark: SparkSession, sf_dir: str) -> DataFrame:
     delivered = F.date_add(order_day(), (F.col("o_custkey") % 5).cast("int"))
     return _raw(
-        table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") != "P"),
+        table(spark, sf_dir, "orders"),
         "LIKP",
         {
             "VBELN": pad(F.col("o_orderkey") + 70_000_000, 10),
@@ -283,7 +291,7 @@ def likp(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lips(spark: SparkSession, sf_dir: str) -> DataFrame:
     position = pad(F.col("l_linenumber") * 10, 6)
     return _raw(
-        table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") != "N"),
+        table(spark, sf_dir, "lineitem"),
         "LIPS",
         {
             "VBELN": pad(F.col("l_orderkey") + 70_000_000, 10),
@@ -291,15 +299,17 @@ def lips(spark: SparkSession, sf_dir: str) -> DataFrame:
             "VGBEL": pad("l_orderkey", 10),
             "VGPOS": F.when(F.col("l_suppkey") % 40 == 3, "000098").otherwise(position),
             "MATNR": pad("l_partkey", 18),
-            "LFIMG": (F.col("l_quantity").cast("decimal(18,3)") / 2)
+            # Lines that were never returned are not shipped yet.
+            "LFIMG": F.when(F.col("l_returnflag") == "N", F.lit(0))
+            .otherwise(F.col("l_quantity").cast("decimal(18,3)") / 2)
             .cast("decimal(18,3)")
             .cast("string"),
             "VRKME": F.lit("EA"),
             "ERDAT": day_text(ship_day()),
             "AEDAT": F.lit(""),
         },
-        loaded(ship_day(), item_tie()),
-        file_name("LIPS", ship_day()),
+        loaded(ship_day(), F.lit(0)),
+        item_file("LIPS"),
     )
 
 

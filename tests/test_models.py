@@ -37,9 +37,9 @@ def item(n, pos="10", **more):
 
 RAW = {
     "KNA1": [
-        ("KNA1_20260101.csv", 1, {"KUNNR": "c1", "NAME1": 'Smith, Jones & "Co"', "ORT01": "Pella", "LAND1": "US"}),
-        ("KNA1_20260107.csv", 7, {"KUNNR": "c1", "NAME1": 'Smith, Jones & "Co"', "ORT01": "Peoria", "LAND1": "US"}),
-        ("KNA1_20260107.csv", 7, {"KUNNR": "c1", "NAME1": 'Smith, Jones & "Co"', "ORT01": "Peoria", "LAND1": "US"}),
+        ("KNA1_20260101.csv", 1, {"KUNNR": "c1", "NAME1": 'Brook, Hale and "Sons"', "ORT01": "Pella", "LAND1": "US"}),
+        ("KNA1_20260107.csv", 7, {"KUNNR": "c1", "NAME1": 'Brook, Hale and "Sons"', "ORT01": "Peoria", "LAND1": "US"}),
+        ("KNA1_20260107.csv", 7, {"KUNNR": "c1", "NAME1": 'Brook, Hale and "Sons"', "ORT01": "Peoria", "LAND1": "US"}),
         ("KNA1_20260106.csv", 6, {"KUNNR": "c2", "NAME1": "Late", "ORT01": "Regina", "LAND1": "CA"}),
     ],
     "MARA": [("MARA_20260101.csv", 1, {"MATNR": m, "MTART": "FERT", "ERSDA": "20260101", "LAEDA": "00000000"}) for m in ("m1", "m2")],

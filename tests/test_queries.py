@@ -4,10 +4,12 @@ import pytest
 
 import __spark_entry__ as driver
 from compare import compare, duck
+from cashline.plans.registry import all_queries
 from conftest import SF_DIR
 
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
+OWN = all_queries()
+QUERIES = {name: query for name, query in driver.queries().items() if name in OWN}
+ORACLES = {name: sql for name, sql in driver.oracle_sql().items() if name in OWN}
 
 
 @pytest.fixture(scope="module")
