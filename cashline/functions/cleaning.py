@@ -18,7 +18,7 @@ def sap_text(c: Column | str) -> Column:
 
 
 def parse_day(text: Column) -> Column:
-    """`YYYYMMDD` text as a date, strictly: anything else raises.
+    """`YYYYMMDD` text as a date. Anything else raises in ANSI mode and is NULL outside it.
 
     Eight characters whose number lies in this range can only be eight digits, so these are
     split by arithmetic, several times faster than a pattern. The pattern parser decides on
@@ -38,11 +38,13 @@ def parse_day(text: Column) -> Column:
 def sap_date(c: Column | str, *, strict: bool = True) -> Column:
     """`YYYYMMDD` text as a date; blank and `00000000` become NULL.
 
-    Any other text that is no date raises, unless `strict` is off, when it becomes NULL.
+    Any other text that is no date raises, whether the session is in ANSI mode or not, unless `strict`
+    is off, when it becomes NULL.
     """
     text = F.trim(_column(c))
-    day = parse_day(text) if strict else F.try_to_date(text, "yyyyMMdd")
-    return F.when(text.isin("", EMPTY_DATE), F.lit(None).cast("date")).otherwise(day)
+    no_date = F.raise_error(F.concat(F.lit("not a date of the form YYYYMMDD: "), text))
+    day = F.coalesce(parse_day(text), no_date) if strict else F.try_to_date(text, "yyyyMMdd")
+    return F.when(text.isNull() | text.isin("", EMPTY_DATE), F.lit(None).cast("date")).otherwise(day)
 
 
 def sap_amount(c: Column | str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cashline.functions import (
@@ -63,12 +63,14 @@ def dim_date(
     return date_dimension(date_bounds([(vbak, "order_date"), (vbrk, "billing_date"), *more]))
 
 
-def _with_customer(facts: DataFrame, customers: DataFrame, key: str, on_date: str) -> DataFrame:
+def _with_customer(facts: DataFrame, customers: DataFrame | None, key: str, on_date: str) -> DataFrame:
     """Add the key of the customer version in force.
 
     Customer and date belong to the document header, so this joins headers, before items:
     fewer rows to resolve, and items are shuffled for their header only.
     """
+    if customers is None:
+        return facts.withColumn("customer_key", F.lit(None).cast("string"))
     return point_in_time(
         facts,
         customers,
@@ -80,18 +82,36 @@ def _with_customer(facts: DataFrame, customers: DataFrame, key: str, on_date: st
     )
 
 
-def _with_rate(facts: DataFrame, rates: DataFrame) -> DataFrame:
+def _with_rate(facts: DataFrame, rates: DataFrame | None) -> DataFrame:
+    if rates is None:
+        return facts.withColumn("rate_to_usd", F.lit(None).cast("decimal(9,6)"))
     return lookup(facts, rates, {"currency": "currency"}, ["rate_to_usd"], small=True)
 
 
+def _read_only(
+    facts: DataFrame, customers: DataFrame | None, rates: DataFrame | None, *columns: Column | str
+) -> DataFrame:
+    """The columns of a fact that its inputs allow: without customers or rates those that need them go.
+
+    Spark keeps a left join also where nobody reads what it adds, so a question that needs neither
+    asks for the fact without them.
+    """
+    out = facts.select(*columns)
+    left_out = {"customer_key"} if customers is None else set()
+    return out.drop(*left_out, *[c for c in out.columns if c.endswith("_usd") and rates is None])
+
+
 def fct_sales_order_items(
-    vbap: DataFrame, vbak: DataFrame, customers: DataFrame, rates: DataFrame
+    vbap: DataFrame, vbak: DataFrame, customers: DataFrame | None, rates: DataFrame | None
 ) -> DataFrame:
     """Ordered quantity and value, one row per order item, in the item's currency."""
     headers = _with_customer(vbak, customers, "customer_id", "order_date")
     items = with_header(vbap, headers, "sales_order_id", ["order_date", "order_type", "customer_key"])
     facts = _with_rate(items, rates)
-    return facts.select(
+    return _read_only(
+        facts,
+        customers,
+        rates,
         surrogate_key("sales_order_id", "item_no").alias("sales_order_item_key"),
         "sales_order_id",
         "item_no",
@@ -110,9 +130,16 @@ def fct_sales_order_items(
 
 
 def fct_billing_items(
-    vbrp: DataFrame, vbrk: DataFrame, vbap: DataFrame, customers: DataFrame, rates: DataFrame
+    vbrp: DataFrame,
+    vbrk: DataFrame,
+    vbap: DataFrame | None,
+    customers: DataFrame | None,
+    rates: DataFrame | None,
 ) -> DataFrame:
-    """Billed quantity and value; cancelled and orphaned items are flagged, not removed."""
+    """Billed quantity and value; cancelled and orphaned items are flagged, not removed.
+
+    Without order items (`vbap`) `is_orphan_item` is left out.
+    """
     headers = _with_customer(vbrk, customers, "payer_id", "billing_date")
     items = with_header(
         vbrp,
@@ -120,14 +147,14 @@ def fct_billing_items(
         "billing_id",
         ["billing_date", "billing_type", "currency", "is_cancelled", "customer_key"],
     )
-    facts = mark_missing(
-        _with_rate(items, rates),
-        vbap,
-        {"sales_order_id": "sales_order_id", "sales_order_item_no": "item_no"},
-        "is_orphan_item",
-        unique=True,
-    )
-    return facts.select(
+    facts = _with_rate(items, rates)
+    if vbap is not None:
+        on = {"sales_order_id": "sales_order_id", "sales_order_item_no": "item_no"}
+        facts = mark_missing(facts, vbap, on, "is_orphan_item", unique=True)
+    return _read_only(
+        facts,
+        customers,
+        rates,
         surrogate_key("billing_id", "item_no").alias("billing_item_key"),
         "billing_id",
         "item_no",
@@ -143,12 +170,12 @@ def fct_billing_items(
         F.col("net_value").alias("net_value_doc_currency"),
         to_reporting_currency("net_value", "rate_to_usd").alias("net_value_usd"),
         "is_cancelled",
-        "is_orphan_item",
+        *["is_orphan_item"] * (vbap is not None),
     )
 
 
 def fct_delivery_items(
-    lips: DataFrame, likp: DataFrame, sales_items: DataFrame, customers: DataFrame
+    lips: DataFrame, likp: DataFrame, sales_items: DataFrame, customers: DataFrame | None
 ) -> DataFrame:
     """Shipped quantity against each order item, and days from order to delivery."""
     headers = _with_customer(likp, customers, "ship_to_customer_id", "delivery_date")
@@ -158,7 +185,10 @@ def fct_delivery_items(
         {"sales_order_id": "sales_order_id", "sales_order_item_no": "item_no"},
         ["sales_order_item_key", "order_date"],
     )
-    return facts.select(
+    return _read_only(
+        facts,
+        customers,
+        None,
         surrogate_key("delivery_id", "item_no").alias("delivery_item_key"),
         "delivery_id",
         "item_no",

@@ -12,17 +12,16 @@ import csv
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cashline.schema import RAW_COLUMNS, SOURCE_FILE, text_struct
-from cashline.session import work_folder
+from cashline.storage import empty_files
 
-# Fixed value: longest record in bytes, the default limit of the CSV reader to be matched.
-# It also bounds the lines that are ever put together into one record.
+# The longest record in bytes that a load takes unless told otherwise. It also bounds the lines that
+# are ever put together into one record.
 MAX_RECORD_BYTES = 2_000_000
 
 CSV_OPTIONS = {
@@ -69,29 +68,27 @@ def table_folders(extracts_dir: str) -> str:
 def discover(spark: SparkSession, extracts_dir: str) -> DataFrame:
     """All extract files `<dir>/<TABLE>/<TABLE>_*.csv` as (table_name, file_name, path).
 
-    Only the file index is asked, which also knows files of length zero; nothing is read.
+    A frame over Spark's own listing: no file is read and no name collected, but for those of files of
+    length zero, which the listing leaves out.
     """
-    names = []
-    for encoded in _listing(spark, extracts_dir):
-        path = unquote(encoded)
-        table, file_name = path.split("/")[-2:]
-        if file_name.startswith(f"{table}_"):
-            names.append((table, file_name, path))
-    return spark.createDataFrame(names, "table_name string, file_name string, path string")
-
-
-def _listing(spark: SparkSession, extracts_dir: str) -> list[str]:
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
     try:
-        return reader.load(table_folders(extracts_dir)).inputFiles()
+        listing = reader.load(table_folders(extracts_dir))
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
             raise
-    try:
-        reader.load(str(extracts_dir))
-    except AnalysisException:
-        raise LoadError(f"{extracts_dir}: extracts folder not found") from None
-    return []
+        try:
+            reader.load(str(extracts_dir))
+        except AnalysisException:
+            raise LoadError(f"there is no folder of extracts at {extracts_dir}") from None
+        return spark.createDataFrame([], "table_name string, file_name string, path string")
+    empty = empty_files(spark, f"{table_folders(extracts_dir)}/*.csv")
+    listing = listing.select("path").union(spark.createDataFrame([(p,) for p in empty], "path string"))
+    parts = F.split("path", "/")
+    named = listing.select(
+        F.element_at(parts, -2).alias("table_name"), F.element_at(parts, -1).alias("file_name"), "path"
+    )
+    return named.filter(F.startswith("file_name", F.concat("table_name", F.lit("_"))))
 
 
 def _lines(spark: SparkSession, paths: Sequence[str], line_sep: str | None = None) -> DataFrame:
@@ -135,6 +132,7 @@ def line_facts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
             F.count(F.when(value != "", 1)).alias("n_lines"),
             F.count(F.when(~F.is_valid_utf8(value), 1)).alias("n_not_utf8"),
             F.count(F.when(~_is_whole(value), 1)).alias("n_partial"),
+            F.max(F.octet_length(value)).alias("longest"),
             F.min(fields).alias("fewest"),
             F.max(fields).alias("most"),
             F.min_by(F.xxhash64(value), at_start).alias("header_hash"),
@@ -142,47 +140,46 @@ def line_facts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def _header_of(spark: SparkSession, path: str) -> list[str]:
-    first = _lines(spark, [path]).filter(F.col("block") == 0).orderBy("position").first()
-    return next(csv.reader([first["value"]]), []) if first else []
-
-
 def _header_problem(table: str, header: Sequence[str]) -> str | None:
     expected = RAW_COLUMNS[table]
     missing = sorted(set(expected) - set(header))
     extra = sorted(set(header) - set(expected))
     if missing or extra:
-        return f"missing columns {missing}, unexpected {extra}"
+        return f"the header of {table} has {len(header)} columns: {missing} lacking, {extra} unknown"
     if len(header) != len(expected):
-        return f"repeated columns in header {list(header)}"
+        return f"the header of {table} repeats columns: {list(header)}"
     return None
 
 
 def inspect_files(
-    spark: SparkSession, files: Iterable[tuple[str, str, str]], folder: str
+    spark: SparkSession,
+    files: Iterable[tuple[str, str, str]],
+    folder: str,
+    max_record_bytes: int = MAX_RECORD_BYTES,
 ) -> tuple[list[Extract], dict[str, str]]:
     """Check (table, file name, path) triples: good files, and problems by path.
 
-    Only per-file facts come to the driver, never file contents. `folder` takes scratch tables
-    where the cluster names no shared folder.
+    Only per-file facts come to the driver, never file contents. `folder` takes scratch tables.
     """
     listed = sorted(files)
     if not listed:
         return [], {}
     facts = {r["file_name"]: r for r in line_facts(spark, [path for _, _, path in listed]).collect()}
-    headers = _HeaderBook(spark)
+    headers = _headers(spark, listed, facts)
     good: list[Extract] = []
     open_files: list[Extract] = []
     problems: dict[str, str] = {}
     for table, name, path in listed:
         fact = facts.get(name)
         if fact is not None and fact["n_not_utf8"]:
-            problems[path] = f"cannot read as UTF-8 text ({fact['n_not_utf8']} lines)"
+            problems[path] = f"{fact['n_not_utf8']} lines of {table} are not UTF-8"
             continue
-        header = headers.look_up(table, path, fact["header_hash"]) if fact else []
+        header = headers[path] if fact else []
         problem = _header_problem(table, header)
         if problem:
             problems[path] = problem
+        elif fact["longest"] > max_record_bytes:
+            problems[path] = _too_long(max_record_bytes)
         elif fact["n_partial"]:
             open_files.append(Extract(table, name, path, tuple(header), False, 0))
         elif (fact["fewest"], fact["most"]) != (len(header), len(header)):
@@ -192,26 +189,30 @@ def inspect_files(
         else:
             good.append(Extract(table, name, path, tuple(header), True, fact["n_lines"] - 1))
     if open_files:
-        checked, more = _inspect_open_files(spark, open_files, folder)
+        checked, more = _inspect_open_files(spark, open_files, folder, max_record_bytes)
         good += checked
         problems.update(more)
     return good, problems
 
 
-class _HeaderBook:
-    """Column names by table and header hash, read from one file per unusual header."""
+def _too_long(limit: int) -> str:
+    return f"a record is longer than {limit} bytes"
 
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        usual = [F.xxhash64(F.lit(",".join(c))).alias(t) for t, c in RAW_COLUMNS.items()]
-        hashes = spark.range(1).select(*usual).first().asDict()
-        self.known = {(t, h): RAW_COLUMNS[t] for t, h in hashes.items()}
 
-    def look_up(self, table: str, path: str, header_hash: int) -> list[str]:
-        key = (table, header_hash)
-        if key not in self.known:
-            self.known[key] = _header_of(self.spark, path)
-        return self.known[key]
+def _headers(
+    spark: SparkSession, listed: Sequence[tuple[str, str, str]], facts: dict
+) -> dict[str, list[str]]:
+    """Column names by path: the usual ones by their hash, all others fetched in one query."""
+    usual = [F.xxhash64(F.lit(",".join(c))).alias(t) for t, c in RAW_COLUMNS.items()]
+    hashes = spark.range(1).select(*usual).first().asDict()
+    found = {p: RAW_COLUMNS[t] for t, n, p in listed if n in facts and facts[n]["header_hash"] == hashes[t]}
+    others = {n: p for _, n, p in listed if n in facts and p not in found}
+    if others:
+        lines = _lines(spark, list(others.values())).filter(F.col("block") == 0)
+        first = lines.groupBy("file_name").agg(F.min_by("value", "position").alias("header"))
+        for row in first.collect():
+            found[others[row["file_name"]]] = next(csv.reader([row["header"]]), [])
+    return {p: list(found.get(p, [])) for _, _, p in listed}
 
 
 def record_lines(lines: DataFrame) -> DataFrame:
@@ -341,14 +342,14 @@ def _materialized_lines(
 
     Positions come from how a scan is split, which another scan or a retry may do differently.
     """
-    path = f"{work_folder(spark, folder)}/open_lines/{name}"
+    path = f"{folder}/{name}"
     lines = _lines(spark, [f.path for f in files], line_sep="\n")
-    lines.write.mode("overwrite").parquet(path)
+    lines.write.parquet(path)
     return spark.read.schema(lines.schema).parquet(path)
 
 
 def _inspect_open_files(
-    spark: SparkSession, files: list[Extract], folder: str
+    spark: SparkSession, files: list[Extract], folder: str, max_record_bytes: int
 ) -> tuple[list[Extract], dict[str, str]]:
     """Check files with quoted line breaks record by record."""
     lines = record_lines(_materialized_lines(spark, files, folder, "check"))
@@ -358,12 +359,11 @@ def _inspect_open_files(
         .groupBy("file_name")
         .agg(F.max("bytes").alias("longest"))
     )
-    longest = {r["file_name"]: r["longest"] for r in sizes.collect()}
-    too_long = [f.file_name for f in files if longest[f.file_name] > MAX_RECORD_BYTES]
+    refused = sizes.filter(F.col("longest") > max_record_bytes).select("file_name")
     # Without the files just refused, every record is small enough to be put together.
     record = F.col("record")
     facts = (
-        _joined_records(lines.filter(~F.col("file_name").isin(too_long)))
+        _joined_records(lines.join(refused, "file_name", "left_anti"))
         .groupBy("file_name")
         .agg(
             F.count("*").alias("n_records"),
@@ -378,7 +378,7 @@ def _inspect_open_files(
     for file in files:
         fact, width = fact_by_file.get(file.file_name), len(file.header)
         if fact is None:
-            problems[file.path] = f"a record is longer than {MAX_RECORD_BYTES} bytes"
+            problems[file.path] = _too_long(max_record_bytes)
         elif fact["n_malformed"]:
             problems[file.path] = f"{fact['n_malformed']} rows with misplaced or unclosed quotes"
         elif (fact["fewest"], fact["most"]) != (width, width):
@@ -415,8 +415,8 @@ def scan(spark: SparkSession, table: str, files: Sequence[Extract], folder: str)
                 .select("*", F.col("_metadata.file_name").alias(SOURCE_FILE))
             )
         else:
-            of_layout = F.col("file_name").isin([f.file_name for f in members])
-            rows = _parsed_records(header, lines.filter(of_layout))
+            of_layout = spark.createDataFrame([(f.file_name,) for f in members], "file_name string")
+            rows = _parsed_records(header, lines.join(of_layout, "file_name", "left_semi"))
         parts.append(rows.select(*[_exact_text(c) for c in RAW_COLUMNS[table]], SOURCE_FILE))
     return reduce(DataFrame.unionByName, parts)
 

@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
@@ -14,7 +15,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cashline.schema import LOAD_LOG, LOADED_AT, RAW_COLUMNS, SOURCE_FILE, raw_struct
-from cashline.sources.extracts import Extract, LoadError, discover, inspect_files, scan
+from cashline.session import work_folder
+from cashline.sources.extracts import (
+    MAX_RECORD_BYTES,
+    Extract,
+    LoadError,
+    discover,
+    inspect_files,
+    scan,
+)
+from cashline.storage import remove_folder
 
 LOG_NAME = "_load_log"
 
@@ -67,23 +77,32 @@ def not_yet_loaded(files: DataFrame, log: DataFrame) -> DataFrame:
     return files.join(log.select("file_name"), "file_name", "left_anti")
 
 
-def load_extracts(spark: SparkSession, extracts_dir: str, raw_dir: str) -> LoadResult:
+def load_extracts(
+    spark: SparkSession, extracts_dir: str, raw_dir: str, *, max_record_bytes: int = MAX_RECORD_BYTES
+) -> LoadResult:
     """Load every extract file that has not been loaded yet. Running it again adds nothing.
 
     All new files are checked first. Good ones are loaded and logged; if any were bad, one
-    LoadError then names them all, and nothing of a bad file is kept.
+    LoadError then names them all, and nothing of a bad file is kept. A file with a record of more
+    than `max_record_bytes` bytes is bad, on one line or on several.
+
+    One load at a time: two at once would both log the files that are new to both.
     """
     files = discover(spark, extracts_dir)
     new = not_yet_loaded(files, load_log(spark, raw_dir)).select("table_name", "file_name", "path")
-    listing = [tuple(row) for row in new.collect()]  # file names only, no contents
-    good, problems = inspect_files(spark, listing, raw_dir)
-    rows = _append(spark, good, raw_dir)
+    listing = [tuple(row) for row in new.collect()]  # names of new files only, no contents
+    scratch = f"{work_folder(spark, raw_dir)}/load-{uuid4().hex}"
+    try:
+        good, problems = inspect_files(spark, listing, scratch, max_record_bytes)
+        rows = _append(spark, good, raw_dir, scratch)
+    finally:
+        remove_folder(spark, scratch)
     if problems:
         raise LoadError("; ".join(f"{path}: {text}" for path, text in sorted(problems.items())))
     return LoadResult(len(good), files.count() - len(listing), rows)
 
 
-def _append(spark: SparkSession, files: list[Extract], raw_dir: str, threads: int = 4) -> int:
+def _append(spark: SparkSession, files: list[Extract], raw_dir: str, scratch: str, threads: int = 4) -> int:
     """Write data, verify it, then log it. Dying in between costs only a repeated write:
 
     each file owns one partition, which a rerun replaces. Tables are written side by side.
@@ -97,7 +116,7 @@ def _append(spark: SparkSession, files: list[Extract], raw_dir: str, threads: in
 
     def write(table: str) -> None:
         (
-            scan(spark, table, by_table[table], raw_dir)
+            scan(spark, table, by_table[table], scratch)
             .withColumn(LOADED_AT, F.lit(loaded_at))
             .select(*RAW_COLUMNS[table], LOADED_AT, SOURCE_FILE)
             .write.mode("overwrite")
@@ -118,16 +137,16 @@ def _append(spark: SparkSession, files: list[Extract], raw_dir: str, threads: in
 
 def _verify(spark: SparkSession, table: str, files: Iterable[Extract], raw_dir: str) -> None:
     """The rows written per file must be the rows counted when the file was checked."""
-    expected = {f.file_name: f.row_count for f in files}
-    written = (
-        _read_or_empty(spark, raw_struct(table), f"{raw_dir}/{table}")
-        .filter(F.col(SOURCE_FILE).isin(list(expected)))
-        .groupBy(SOURCE_FILE)
-        .count()
-        .collect()
+    expected = spark.createDataFrame(
+        [(f.file_name, f.row_count) for f in files], f"{SOURCE_FILE} string, expected bigint"
+    )
+    written = _read_or_empty(spark, raw_struct(table), f"{raw_dir}/{table}").join(
+        expected.select(SOURCE_FILE), SOURCE_FILE, "left_semi"
     )
-    counts = {row[SOURCE_FILE]: row["count"] for row in written}
-    wrong = {n: (counts.get(n, 0), rows) for n, rows in expected.items() if counts.get(n, 0) != rows}
-    if wrong:
-        text = ", ".join(f"{name} has {got} of {rows} rows" for name, (got, rows) in wrong.items())
+    counts = written.groupBy(SOURCE_FILE).agg(F.count("*").alias("n"))
+    got = F.coalesce("n", F.lit(0))
+    wrong = expected.join(counts, SOURCE_FILE, "left").filter(got != F.col("expected"))
+    rows = wrong.select(SOURCE_FILE, got.alias("n"), "expected").collect()
+    if rows:
+        text = ", ".join(f"{r[SOURCE_FILE]} has {r['n']} of {r['expected']} rows" for r in rows)
         raise LoadError(f"{raw_dir}/{table}: {text}")

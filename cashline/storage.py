@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 
 
 def _file_system(spark: SparkSession, path: str):
+    # PySpark shows no file system of its own; Spark Connect sessions have no JVM to ask.
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
@@ -22,3 +23,9 @@ def folders_in(spark: SparkSession, path: str) -> list[str]:
     if not files.exists(where):
         return []
     return [s.getPath().getName() for s in files.listStatus(where) if s.isDirectory()]
+
+
+def empty_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths of the files of length zero that match a pattern; scans pass over these."""
+    files, where = _file_system(spark, pattern)
+    return [s.getPath().toString() for s in files.globStatus(where) or [] if s.isFile() and s.getLen() == 0]

@@ -95,3 +95,19 @@ def test_currency_rounds_half_up_and_needs_a_rate(spark):
         "v decimal(18,2), r decimal(9,6)",
     )
     assert collected(df.select(fn.to_reporting_currency("v", "r"))) == [(Decimal("0.37"),), (None,)]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("text", ["20261340", "soon", "2026-01-01", "20260230"])
+def test_strict_dates_raise_with_and_without_ansi(spark, ansi, text):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        dates = spark.createDataFrame([(text,)], "t string")
+        with pytest.raises(Exception):
+            dates.select(fn.sap_date("t")).collect()
+        assert dates.select(fn.sap_date("t", strict=False)).first()[0] is None
+        fine = spark.createDataFrame([(None,), (" ",), ("00000000",), ("20260131",)], "t string")
+        assert [str(r[0]) for r in fine.select(fn.sap_date("t")).collect()] == ["None", "None", "None", "2026-01-31"]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

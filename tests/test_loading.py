@@ -95,10 +95,10 @@ def test_line_breaks_across_many_small_splits(spark, folder, tmp_path):
 @pytest.mark.parametrize(
     "header, body, complaint",
     [
-        ("MANDT,VBELN\n", "100,1\n", "missing columns"),
-        ("", "", "missing columns"),
-        ("MANDT,KUNNR,NAME1,ORT01,REGIO,LAND1,ERDAT,MORE\n", "1,1,1,1,1,1,1,1\n", "unexpected \\['MORE'\\]"),
-        ("MANDT,KUNNR,NAME1,ORT01,REGIO,LAND1,ERDAT,MANDT\n", "1,1,1,1,1,1,1,1\n", "repeated"),
+        ("MANDT,VBELN\n", "100,1\n", "lacking"),
+        ("", "", "lacking"),
+        ("MANDT,KUNNR,NAME1,ORT01,REGIO,LAND1,ERDAT,MORE\n", "1,1,1,1,1,1,1,1\n", "\\['MORE'\\] unknown"),
+        ("MANDT,KUNNR,NAME1,ORT01,REGIO,LAND1,ERDAT,MANDT\n", "1,1,1,1,1,1,1,1\n", "repeats"),
         (None, b"100,9,M\xfcller,X,Y,US,20260106\n", "UTF-8"),
         (None, "100,9,short\n", "expected 7"),
         (None, "100,9,a,b,c,d,e,f\n", "expected 7"),
@@ -118,11 +118,37 @@ def test_bad_file_is_named_and_leaves_nothing(spark, folder, tmp_path, header, b
     assert rows(spark, tmp_path).count() == 2
 
 
-def test_record_longer_than_the_limit(spark, folder, tmp_path, monkeypatch):
-    monkeypatch.setattr(extracts, "MAX_RECORD_BYTES", 50)
-    folder.put("KNA1", "20260101", '100,1,"' + "x\n" * 60 + '",a,b,US,20260101\n')
-    with pytest.raises(LoadError, match="longer than 50"):
+@pytest.mark.parametrize("text", ["x\n" * 60, "x " * 60, "x" * 120])
+def test_record_limit_holds_alike_on_one_line_and_on_several(spark, folder, tmp_path, text):
+    folder.put("KNA1", "20260101", f'100,1,"{text}",a,b,US,20260101\n')
+    with pytest.raises(LoadError, match="longer than 100"):
+        raw.load_extracts(spark, str(folder), str(tmp_path / "raw"), max_record_bytes=100)
+    raw.load_extracts(spark, str(folder), str(tmp_path / "raw"), max_record_bytes=200)
+    assert rows(spark, tmp_path).count() == 1
+
+
+@pytest.mark.parametrize("text", ["x" * 3_000_000, "x" * 1_500_000 + "\n" + "y" * 1_500_000])
+def test_a_record_of_three_megabytes(spark, folder, tmp_path, text):
+    folder.put("KNA1", "20260101", f'100,1,"{text}",a,b,US,20260101\n')
+    with pytest.raises(LoadError, match="longer than 2000000"):
         load(spark, folder, tmp_path)
+    raw.load_extracts(spark, str(folder), str(tmp_path / "raw"), max_record_bytes=4_000_000)
+    assert rows(spark, tmp_path).first()["NAME1"] == text
+
+
+def test_many_unusual_headers_and_no_work_folders_left(spark, folder, tmp_path):
+    columns = RAW_COLUMNS["KNA1"]
+    for n in range(len(columns)):
+        turned = columns[n:] + columns[:n]
+        name = 'a\nb' if n % 2 else "a"
+        folder.put("KNA1", f"202601{n + 10}", ",".join(f'"{name} {n}"' if c == "NAME1" else str(n) for c in turned) + "\n", ",".join(turned) + "\n")
+    assert load(spark, folder, tmp_path).files_loaded == len(columns)
+    got = {r["KUNNR"]: r["NAME1"] for r in rows(spark, tmp_path).collect()}
+    assert got == {str(n): ("a\nb" if n % 2 else "a") + f" {n}" for n in range(len(columns))}
+    from cashline.session import work_folder
+    from cashline.storage import folders_in
+
+    assert folders_in(spark, work_folder(spark, str(tmp_path / "raw"))) == []
 
 
 def test_missing_and_empty_folders(spark, folder, tmp_path):
