@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -20,11 +20,6 @@ def duplicate_values(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def null_rows(df: DataFrame, column: str) -> DataFrame:
-    """Rows in which the column is NULL."""
-    return df.filter(F.col(column).isNull())
-
-
 def unaccepted_values(df: DataFrame, column: str, accepted: Sequence[str]) -> DataFrame:
     """Values outside the accepted list, with their count. NULL passes."""
     return (
@@ -109,27 +104,53 @@ class Check:
         )
 
 
-def null_summary(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """The not-null checks of one table in a single pass, one row per column."""
-    counts = df.agg(
-        *[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in columns]
-    )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(f"not_null_{table}_{c}").alias("check_name"),
-                F.col(c).alias("n_violations"),
-            )
-            for c in columns
+@dataclass(frozen=True)
+class Pass:
+    """Checks of one frame that a single pass over it answers.
+
+    `not_null` columns count their NULL rows, `accepted` columns their distinct values outside the list
+    (NULL passes), `rules` the rows in which an SQL condition holds, by check name. `frame` may be a join that
+    several rules share.
+    """
+
+    table: str
+    frame: Callable[[], DataFrame]
+    not_null: Sequence[str] = ()
+    accepted: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    rules: Mapping[str, str] = field(default_factory=dict)
+
+    def summary(self) -> DataFrame:
+        df = self.frame()
+        counted = {f"not_null_{self.table}_{c}": ("not_null", F.col(c).isNull()) for c in self.not_null}
+        counted |= {name: ("business_rule", F.coalesce(F.expr(condition), F.lit(False))) for name, condition in self.rules.items()}
+        marks = [F.when(hit, 1).otherwise(0).cast("bigint").alias(f"c{n}") for n, (_, hit) in enumerate(counted.values())]
+        odd = {
+            f"accepted_values_{self.table}_{c}": F.when(~F.col(c).isin(*values), F.col(c)).alias(f"v{n}")
+            for n, (c, values) in enumerate(self.accepted.items())
+        }
+        # Rows are summed per combination of unaccepted values, of which good data have one; only
+        # these few rows are left to count values in.
+        by_value = df.select(*marks, *odd.values()).groupBy(*[f"v{n}" for n in range(len(odd))]).agg(
+            F.count("*").alias("n"), *[F.sum(f"c{n}").alias(f"c{n}") for n in range(len(counted))]
+        )
+        totals = by_value.agg(
+            F.count("*").alias("groups"),
+            *[F.coalesce(F.sum(f"c{n}"), F.lit(0)).alias(f"c{n}") for n in range(len(counted))],
+            *[F.count_distinct(f"v{n}").alias(f"v{n}") for n in range(len(odd))],
+        )
+        found = [(name, kind, f"c{n}") for n, (name, (kind, _)) in enumerate(counted.items())]
+        found += [(name, "accepted_values", f"v{n}") for n, name in enumerate(odd)]
+        rows = [
+            F.struct(F.lit(name).alias("check_name"), F.lit(kind).alias("kind"), F.col(c).alias("n_violations"))
+            for name, kind, c in found
         ]
-    )
-    return counts.select(F.explode(rows).alias("r")).select(
-        "r.check_name",
-        F.lit(table).alias("table_name"),
-        F.lit("not_null").alias("kind"),
-        F.lit(ERROR).alias("severity"),
-        "r.n_violations",
-    )
+        return totals.select(F.explode(F.array(*rows)).alias("r")).select(
+            "r.check_name",
+            F.lit(self.table).alias("table_name"),
+            "r.kind",
+            F.lit(ERROR).alias("severity"),
+            "r.n_violations",
+        )
 
 
 def with_status(summary: DataFrame) -> DataFrame:
@@ -143,13 +164,10 @@ def with_status(summary: DataFrame) -> DataFrame:
 
 
 def run_checks(
-    spark: SparkSession,
-    checks: Sequence[Check],
-    not_null: dict[str, tuple[DataFrame, Sequence[str]]] | None = None,
+    spark: SparkSession, checks: Sequence[Check], passes: Sequence[Pass] = ()
 ) -> DataFrame:
     """One row per check: name, table, kind, severity, number of violations, status."""
-    parts = [null_summary(df, table, columns) for table, (df, columns) in (not_null or {}).items()]
-    parts += [check.summary() for check in checks]
+    parts = [check.summary() for check in [*passes, *checks]]
     if not parts:
         return spark.createDataFrame(
             [],

@@ -11,11 +11,11 @@ from cashline.operators.checks import (
     ERROR,
     WARN,
     Check,
+    Pass,
     duplicate_values,
     missing_parents,
     overlapping_versions,
     run_checks,
-    unaccepted_values,
 )
 from cashline.operators.joins import same_key, with_header
 from cashline.plans.staging import STAGING
@@ -109,11 +109,14 @@ ACCEPTED: list[tuple[str, str, list[str]]] = [
 
 Tables = Mapping[str, DataFrame]
 
+BILLED_TOO_MUCH = "billed_qty > ordered_qty"
+CLEARED_TOO_EARLY = "cleared_on < posting_date"
+
 
 def billed_over_ordered(billing: DataFrame, sales: DataFrame) -> DataFrame:
     """Billing items with more than the ordered quantity of their order item."""
     ordered = _billed_order_items(billing, sales, ["ordered_qty"])
-    return ordered.filter(F.col("billed_qty") > F.col("ordered_qty")).select(
+    return ordered.filter(BILLED_TOO_MUCH).select(
         "billing_item_key", "billed_qty", "ordered_qty"
     )
 
@@ -139,7 +142,7 @@ def _billed_order_items(billing: DataFrame, sales: DataFrame, columns: list[str]
 
 def cleared_before_posting(receivables: DataFrame) -> DataFrame:
     """Receivables cleared before they were posted."""
-    return receivables.filter(F.col("cleared_on") < F.col("posting_date")).select(
+    return receivables.filter(CLEARED_TOO_EARLY).select(
         "receivable_key", "posting_date", "cleared_on"
     )
 
@@ -161,7 +164,7 @@ def shipped_over_ordered(deliveries: DataFrame, sales: DataFrame) -> DataFrame:
 
 
 def generic_checks(tables: Tables) -> list[Check]:
-    """Unique, relationship and accepted-value checks whose tables are all given."""
+    """Unique and relationship checks whose tables are all given."""
     checks = [
         Check(
             f"unique_{table}_{column}",
@@ -197,34 +200,12 @@ def generic_checks(tables: Tables) -> list[Check]:
         for child, column, parent, parent_column, severity in RELATIONSHIPS
         if child in tables and parent in tables
     ]
-    checks += [
-        Check(
-            f"accepted_values_{table}_{column}",
-            table,
-            "accepted_values",
-            lambda t=table, c=column, v=values: unaccepted_values(tables[t], c, v),
-        )
-        for table, column, values in ACCEPTED
-        if table in tables
-    ]
     return checks
 
 
 def business_checks(tables: Tables) -> list[Check]:
-    """The rules that span tables, for the tables given."""
+    """The rules that need a plan of their own, for the tables given; `table_passes` has the others."""
     declared = [
-        (
-            "billed_qty_within_ordered_qty",
-            ("fct_billing_items", "fct_sales_order_items"),
-            billed_over_ordered,
-            ERROR,
-        ),
-        (
-            "cleared_after_posting",
-            ("fct_receivable_items",),
-            cleared_before_posting,
-            ERROR,
-        ),
         (
             "customer_versions_do_not_overlap",
             ("dim_customer",),
@@ -233,12 +214,6 @@ def business_checks(tables: Tables) -> list[Check]:
             ),
             ERROR,
         ),
-        (
-            "no_billing_for_rejected_order_items",
-            ("fct_billing_items", "fct_sales_order_items"),
-            billed_though_rejected,
-            ERROR,
-        ),
         (
             "receivable_matches_invoice",
             ("fct_receivable_items", "stg_sap__vbrk"),
@@ -265,16 +240,37 @@ def business_checks(tables: Tables) -> list[Check]:
     ]
 
 
+def table_passes(tables: Tables) -> list[Pass]:
+    """One pass per table for its not-null and accepted-value checks and its own rules, and one over the
+    billed order items for both rules on them."""
+    rules = {"fct_receivable_items": {"cleared_after_posting": CLEARED_TOO_EARLY}}
+    passes = [
+        Pass(
+            table,
+            lambda t=table: tables[t],
+            columns,
+            {c: values for t, c, values in ACCEPTED if t == table},
+            rules.get(table, {}),
+        )
+        for table, columns in NOT_NULL.items()
+        if table in tables
+    ]
+    if "fct_billing_items" in tables and "fct_sales_order_items" in tables:
+        billing, sales = tables["fct_billing_items"], tables["fct_sales_order_items"]
+        on_items = {
+            "billed_qty_within_ordered_qty": BILLED_TOO_MUCH,
+            "no_billing_for_rejected_order_items": "is_rejected",
+        }
+        joined = lambda: _billed_order_items(billing, sales, ["ordered_qty", "is_rejected"])
+        passes.append(Pass("fct_billing_items", joined, rules=on_items))
+    return passes
+
+
 def check_tables(spark: SparkSession, tables: Tables, only: set[str] | None = None) -> DataFrame:
     """Run every declared check on the given tables, or only those reported under `only`."""
-    wanted = [
-        check
-        for check in [*generic_checks(tables), *business_checks(tables)]
-        if only is None or check.table in only
-    ]
-    not_null = {
-        name: (tables[name], columns)
-        for name, columns in NOT_NULL.items()
-        if name in tables and (only is None or name in only)
-    }
-    return run_checks(spark, wanted, not_null)
+
+    def wanted(checks: list) -> list:
+        return [check for check in checks if only is None or check.table in only]
+
+    checks = wanted([*generic_checks(tables), *business_checks(tables)])
+    return run_checks(spark, checks, wanted(table_passes(tables)))

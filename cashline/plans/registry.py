@@ -28,6 +28,7 @@ from cashline.operators.calendar import date_bounds, date_dimension
 from cashline.operators.checks import (
     WARN,
     Check,
+    Pass,
     duplicate_values,
     missing_parents,
     overlapping_versions,
@@ -463,8 +464,9 @@ def check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def check_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = fct_items(spark, sf_dir)
-    wanted = {"fct_items": (items, ["item_key", "customer_key", "net_value_usd", "order_date"])}
-    return run_checks(spark, [], wanted)
+    return run_checks(
+        spark, [], [Pass("fct_items", lambda: items, ["item_key", "customer_key", "net_value_usd", "order_date"])]
+    )
 
 
 def check_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -514,7 +516,7 @@ def check_report(spark: SparkSession, sf_dir: str) -> DataFrame:
             lambda: unaccepted_values(orders, "o_orderpriority", ["1-URGENT"]),
         ),
     ]
-    return run_checks(spark, checks, {"orders": (orders, ["o_orderkey", "o_custkey"])})
+    return run_checks(spark, checks, [Pass("orders", lambda: orders, ["o_orderkey", "o_custkey"])])
 
 
 # ---- Loading --------------------------------------------------------------------------------

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cashline.operators.calendar import date_bounds, date_dimension
 from cashline.operators.checks import (
     Check,
+    Pass,
     duplicate_values,
     missing_parents,
     overlapping_versions,
@@ -248,7 +249,7 @@ def test_generic_checks_find_planted_rows(spark):
         Check("r", "t", "relationships", lambda: missing_parents(df, "k", parent, "id"), "warn", "n_records"),
         Check("ok", "t", "unique", lambda: duplicate_values(parent, ["id"])),
     ]
-    got = run_checks(spark, checks, {"t": (df, ["k", "c"])})
+    got = run_checks(spark, checks, [Pass("t", lambda: df, ["k", "c"])])
     assert {(r["check_name"], r["n_violations"], r["status"]) for r in got.collect()} == {
         ("u", 1, "fail"), ("r", 2, "warn"), ("ok", 0, "pass"), ("not_null_t_k", 2, "fail"), ("not_null_t_c", 1, "fail"),
     }
@@ -272,3 +273,20 @@ def test_overlap_agrees_with_all_pairs(spark):
         assert {(i, frozenset((k, o))) for i, k, o in found} <= pairs
         assert bool(found) == bool(pairs)
         assert {i for i, _, _ in found} == {i for i, _ in pairs}
+
+
+def test_one_pass_answers_all_checks_of_a_table(spark):
+    rows = [(1, "a", 5), (2, None, 1), (3, "x", None), (None, "y", 9), (4, "x", 0)]
+    df = spark.createDataFrame(rows, "k int, c string, n int")
+    one = Pass("t", lambda: df, ["k", "n"], {"c": ["a"], "k": [1, 2, 3]}, {"many": "n > 4", "never": "n > 100"})
+    got = {r["check_name"]: (r["kind"], r["n_violations"]) for r in one.summary().collect()}
+    assert got == {
+        "not_null_t_k": ("not_null", 1),
+        "not_null_t_n": ("not_null", 1),
+        "many": ("business_rule", 2),
+        "never": ("business_rule", 0),
+        "accepted_values_t_c": ("accepted_values", 2),
+        "accepted_values_t_k": ("accepted_values", 1),
+    }
+    empty = Pass("t", lambda: df.limit(0), ["k"], {"c": ["a"]}, {"many": "n > 4"}).summary().collect()
+    assert {r["n_violations"] for r in empty} == {0} and len(empty) == 3

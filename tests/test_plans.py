@@ -15,7 +15,8 @@ from cashline.operators.joins import (
     with_header,
 )
 from cashline.operators.versions import latest_version
-from cashline.plans import testbed
+from cashline.plans import analysis, quality, testbed
+from cashline.plans.build import MODELS, SEED
 from cashline.plans.registry import StarSchema, all_queries, latest_lines
 from cashline.plans.staging import STAGING
 from cashline.session import INITIAL_PARTITIONS, sized_shuffles
@@ -133,3 +134,30 @@ def test_skewed_join_keys_are_split(spark):
     finally:
         for key, value in saved.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_checks_scan_each_table_few_times(spark, tmp_path):
+    """One pass per table, its unique keys and its relationships: no scan per column."""
+    star = StarSchema(spark, SF_DIR)
+    frames = {name: star.stg(name.removeprefix("stg_sap__")) for name in STAGING}
+    frames |= {"dim_customer": star.customers, "dim_material": star.materials, "dim_date": star.dates}
+    frames |= {"fct_sales_order_items": star.sales, "fct_billing_items": star.billing}
+    frames |= {"fct_delivery_items": star.deliveries, "fct_receivable_items": star.receivables, SEED: star.rates}
+    assert set(frames) == {*MODELS, SEED}
+    stored = {}
+    for name, df in frames.items():
+        spark.createDataFrame([], df.schema).write.parquet(f"{tmp_path}/{name}")
+        stored[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    plan = plan_of(quality.check_tables(spark, stored))
+    # 19 tables once each, 13 unique keys and 6 composite ones, both sides of 13 relationships, and the
+    # joins of 4 rules over two tables.
+    scans = plan.count("FileScan parquet")
+    assert len(quality.table_passes(stored)) == len(stored) + 1
+    assert len(STAGING) < scans <= 19 + 13 + 6 + 2 * 13 + 2 + 2 + 2 + 1
+
+
+def test_questions_without_lookups_shuffle_half_as_often(large):
+    star = StarSchema(large, SF_DIR)
+    whole = plan_of(analysis.shipped_against_ordered(star.sales, star.deliveries))
+    narrow = plan_of(all_queries()["shipped_vs_ordered"](large, SF_DIR))
+    assert 2 * narrow.count("Exchange hashpartitioning") <= whole.count("Exchange hashpartitioning")
