@@ -402,6 +402,158 @@ def _report(rows: list[tuple[str, str, str, str, str]]) -> str:
     )
 
 
+# Columns that must not be NULL, by table.
+NOT_NULL = """
+stg_sap__kna1 customer_id
+stg_sap__mara material_id
+stg_sap__makt material_id language_key
+stg_sap__vbak sales_order_id customer_id net_value
+stg_sap__vbap sales_order_id item_no material_id
+stg_sap__vbrk billing_id payer_id is_cancelled
+stg_sap__vbrp billing_id item_no sales_order_id
+stg_sap__likp delivery_id delivery_date
+stg_sap__lips delivery_id item_no shipped_qty
+stg_sap__bsid accounting_doc_id billing_id amount
+stg_sap__bsad accounting_doc_id cleared_on
+dim_customer customer_key customer_id valid_from valid_to
+dim_material material_id material_description
+dim_date date_day
+fct_sales_order_items sales_order_item_key order_date customer_key material_id
+fct_billing_items billing_item_key billing_date customer_key material_id is_cancelled is_orphan_item
+fct_delivery_items delivery_item_key delivery_date sales_order_item_key shipped_qty
+fct_receivable_items receivable_key billing_id customer_key
+exchange_rates currency rate_to_usd
+"""
+
+# Unique columns, by table.
+UNIQUE = """
+stg_sap__kna1 customer_id
+stg_sap__mara material_id
+stg_sap__makt material_id language_key
+stg_sap__vbak sales_order_id
+stg_sap__vbap sales_order_id item_no
+stg_sap__vbrk billing_id
+stg_sap__vbrp billing_id item_no
+stg_sap__likp delivery_id
+stg_sap__lips delivery_id item_no
+stg_sap__bsid company_code accounting_doc_id fiscal_year doc_item
+stg_sap__bsad company_code accounting_doc_id fiscal_year doc_item
+dim_customer customer_key
+dim_material material_id
+dim_date date_day
+fct_sales_order_items sales_order_item_key
+fct_billing_items billing_item_key
+fct_delivery_items delivery_item_key
+fct_receivable_items receivable_key
+exchange_rates currency
+"""
+
+# Child and column, parent and column, severity.
+RELATIONSHIPS = """
+stg_sap__vbak customer_id stg_sap__kna1 customer_id error
+stg_sap__vbap sales_order_id stg_sap__vbak sales_order_id error
+stg_sap__vbap material_id stg_sap__mara material_id error
+stg_sap__vbrk payer_id stg_sap__kna1 customer_id error
+stg_sap__vbrp billing_id stg_sap__vbrk billing_id error
+stg_sap__vbrp sales_order_id stg_sap__vbap sales_order_id warn
+stg_sap__lips delivery_id stg_sap__likp delivery_id error
+fct_sales_order_items customer_key dim_customer customer_key error
+fct_sales_order_items material_id dim_material material_id error
+fct_billing_items customer_key dim_customer customer_key error
+fct_billing_items material_id dim_material material_id error
+fct_delivery_items sales_order_item_key fct_sales_order_items sales_order_item_key error
+fct_receivable_items customer_key dim_customer customer_key error
+"""
+
+# The models that a model reads.
+EDGES = """
+dim_material stg_sap__mara stg_sap__makt
+dim_date stg_sap__vbak stg_sap__vbrk
+fct_sales_order_items stg_sap__vbap stg_sap__vbak dim_customer exchange_rates
+fct_billing_items stg_sap__vbrp stg_sap__vbrk stg_sap__vbap dim_customer exchange_rates
+fct_receivable_items stg_sap__bsid stg_sap__bsad dim_customer exchange_rates
+fct_delivery_items stg_sap__lips stg_sap__likp fct_sales_order_items dim_customer
+"""
+
+ACCEPTED = [
+    *[(table, "currency", "'USD', 'CAD'") for table in (
+        "stg_sap__vbak", "stg_sap__vbap", "stg_sap__vbrk", "fct_sales_order_items", "fct_receivable_items"
+    )],
+    ("fct_receivable_items", "status", "'open', 'cleared'"),
+]
+
+# The parts that hold the tables.
+PLACES = {
+    "dim_customer": "customers",
+    "dim_material": "materials",
+    "dim_date": "dates",
+    "fct_sales_order_items": "sales",
+    "fct_billing_items": "billing",
+    "fct_delivery_items": "deliveries",
+    "fct_receivable_items": "receivables",
+    "exchange_rates": "rates",
+}
+
+
+def _rows(text: str) -> list[list[str]]:
+    return [line.split() for line in text.split("\n") if line]
+
+
+def _declared() -> list[tuple[str, str, str, str, str]]:
+    """Name, table, kind, severity and count of violations of every check."""
+    at = lambda table: PLACES.get(table, table)
+    out = [
+        (f"not_null_{t}_{c}", t, "not_null", "error", f"select count(*) from {at(t)} where {c} is null")
+        for t, *columns in _rows(NOT_NULL)
+        for c in columns
+    ]
+    for t, *keys in _rows(UNIQUE):
+        given, names = " and ".join(f"{k} is not null" for k in keys), ", ".join(keys)
+        repeated = f"select 1 from {at(t)} where {given} group by {names} having count(*) > 1"
+        out.append((f"unique_{t}_{'_'.join(keys)}", t, "unique", "error", f"select count(*) from ({repeated}) as d"))
+    for child, column, parent, key, severity in _rows(RELATIONSHIPS):
+        count = (
+            f"select count(*) from {at(child)} where {column} is not null and {column} not in "
+            f"(select {key} from {at(parent)} where {key} is not null)"
+        )
+        out.append((f"relationships_{child}_{column}__{parent}", child, "relationships", severity, count))
+    for t, c, values in ACCEPTED:
+        count = f"select count(distinct {c}) from {at(t)} where {c} not in ({values})"
+        out.append((f"accepted_values_{t}_{c}", t, "accepted_values", "error", count))
+    items = "b.sales_order_id = s.sales_order_id and b.sales_order_item_no = s.item_no"
+    rules = [
+        ("billed_qty_within_ordered_qty", "fct_billing_items", "error",
+         f"select count(*) from billing b, sales s where {items} and billed_qty > ordered_qty"),
+        ("no_billing_for_rejected_order_items", "fct_billing_items", "error",
+         f"select count(*) from billing b, sales s where {items} and is_rejected"),
+        ("cleared_after_posting", "fct_receivable_items", "error",
+         "select count(*) from receivables where cleared_on < posting_date"),
+        ("customer_versions_do_not_overlap", "dim_customer", "error",
+         f"select count(*) from ({_overlaps('customers', 'customer_id', 'customer_key')}) as o"),
+        ("receivable_matches_invoice", "fct_receivable_items", "error",
+         "select count(*) from receivables r join stg_sap__vbrk i on i.billing_id = r.billing_id "
+         "where i.net_value <> r.amount_doc_currency"),
+        ("shipped_qty_within_ordered_qty", "fct_delivery_items", "warn",
+         "select count(*) from deliveries d join sales s on s.sales_order_item_key = d.sales_order_item_key "
+         "where shipped_qty > ordered_qty"),
+    ]
+    return out + [(name, t, "business_rule", severity, count) for name, t, severity, count in rules]
+
+
+def _build_report() -> str:
+    """Status by table. A failure of a table that is skipped, or on one that is not there, does not count."""
+    values = ", ".join(f"('{t}', '{p}')" for t, *parents in _rows(EDGES) for p in parents)
+    tables = ", ".join(f"'{t}'" for t, *_ in _rows(NOT_NULL))
+    layer = "case when table_name = 'exchange_rates' then 'seeds' when table_name like 'stg%' then 'staging' else 'marts' end"
+    return f"""checks as ({_report(_declared())}), tables as (select unnest([{tables}]) as table_name),
+    edges(table_name, parent) as (values {values}),
+    failing as (select distinct table_name from checks where status = 'fail'),
+    first as (select distinct e.table_name from edges e join failing f on f.table_name = e.parent),
+    skipped as (select table_name from first union select e.table_name from edges e join first on first.table_name = e.parent)
+    select table_name, {layer} as layer, case when table_name in (select table_name from skipped) then 'skipped'
+        when table_name in (select table_name from failing) then 'failed' else 'built' end as status from tables"""
+
+
 def all_oracles() -> dict[str, str]:
     """Query name to SQL giving the same rows."""
     generic = {
@@ -502,6 +654,33 @@ def all_oracles() -> dict[str, str]:
     generic["file_row_counts"] = generic["file_row_counts"].replace(
         "count_if(o_orderstatus = 'O')", "cast(count_if(o_orderstatus = 'O') as bigint)"
     )
+    every = " ".join([*STAGED, *PLACES.values()])
+    generic["declared_checks"] = with_parts(every, _report(_declared()))
+    report = _build_report()
+    generic["build_report"] = with_parts(every, "").rstrip() + ",\n" + report
+    by_month = "select KUNNR, NAME1, ORT01, REGIO, LAND1, ERDAT, _source_file[6:11] as month from raw_KNA1"
+    generic["loaded_reordered"] = generic["streamed_customers"] = with_parts("raw_KNA1", by_month)
+    generic["load_log_rows"] = with_parts(
+        "raw_KNA1",
+        "select 'KNA1' as table_name, _source_file[6:11] as month, count(*) as row_count from raw_KNA1 group by all "
+        "union all select 'KNA1', '209912', 0",
+    )
+    generic["load_counts"] = with_parts(
+        "raw_VBAK",
+        "select cast(1 as integer) as load, count(*) as rows_loaded, true as loads_all_files, "
+        "false as skips_all_files from raw_VBAK union all select 2, 0, false, true",
+    )
+    generic["rejected_files"] = with_parts(
+        "raw_KNA1",
+        "select 'KNA1' as table_name, false as is_refused, count(*) as n_rows from raw_KNA1 "
+        "union all select unnest(['MARA', 'MAKT', 'VBAK']), true, 0",
+    )
+    generic["rebuilt_mart"] = with_parts("materials", "select * from materials")
+    generic["published_view"] = with_parts(
+        "customers stg_sap__kna1",
+        "select v.customer_id, v.customer_key, v.valid_from, v.valid_to, v.is_current, c.city, "
+        "cast(if(c.country_code = 'US', 1, 0.73) as decimal(9,6)) as rate_to_usd from customers v join stg_sap__kna1 c on c.customer_id = v.customer_id",
+    )
     generic["pit_join_as_of"] = generic["pit_join"]
     overlapping = f"""with {_order_versions()} select o_orderkey, o.o_custkey, {ORDER_DAY} as day, v.version_key
         from orders o left join order_versions v on o.o_custkey = v.o_custkey and {ORDER_DAY} >= v.valid_from

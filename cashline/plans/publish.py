@@ -23,7 +23,7 @@ def publish(spark: SparkSession, out_dir: str) -> list[str]:
         .filter("sum(row_count) > 0")
         .collect()
     }
-    views = {f"raw.{LOG_NAME}": f"select * from {log}"}
+    views = {f"raw.{LOG_NAME}": f"select * from {log}"} if loaded else {}
     for table in RAW_COLUMNS:
         if table in loaded:
             columns = ", ".join([*RAW_COLUMNS[table], LOADED_AT, SOURCE_FILE])

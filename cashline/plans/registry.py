@@ -6,8 +6,8 @@ generic operators run on the tables directly. All queries read whole tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import cached_property
+from collections.abc import Callable, Sequence
+from functools import cached_property, reduce
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,11 +44,17 @@ from cashline.operators.versions import (
     scd2,
 )
 from cashline.plans import analysis, marts, quality, testbed
+from cashline.plans.build import MODELS, BuildResult, build_models, current_tables, sources
+from cashline.plans.publish import publish
 from cashline.plans.staging import STAGING, clean_bad_dates, stage
 from cashline.plans.testbed import pad, table
+from cashline.schema import RAW_COLUMNS
 from cashline.session import shared_folder
-from cashline.sources.raw import load_extracts, not_yet_loaded, raw_table
+from cashline.sources.extracts import LoadError, discover
+from cashline.sources.raw import load_extracts, load_log, not_yet_loaded, raw_table
 from cashline.sources.seeds import exchange_rates
+from cashline.storage import move_files, write_text
+from cashline.streaming.ingest import stream_extracts
 
 Query = Callable[[SparkSession, str], DataFrame]
 LINE_KEY = ["l_orderkey", "l_linenumber"]
@@ -559,12 +565,140 @@ def loaded_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     testbed.write_extracts(raw, "KNA1", f"{folder}/in")
     load_extracts(spark, f"{folder}/in", f"{folder}/raw")
     load_extracts(spark, f"{folder}/in", f"{folder}/raw")
+    return _loaded_customers(spark, f"{folder}/raw")
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
+
+
+_CUSTOMER = ("KUNNR", "NAME1", "ORT01", "REGIO", "LAND1", "ERDAT")
+
+
+def _loaded_customers(spark: SparkSession, raw_dir: str) -> DataFrame:
     month = F.regexp_extract("_source_file", "[0-9]{6}", 0)
-    return raw_table(spark, f"{folder}/raw", "KNA1").select(
-        "KUNNR", "NAME1", "ORT01", "REGIO", "LAND1", "ERDAT", month.alias("month")
+    return raw_table(spark, raw_dir, "KNA1").select(*_CUSTOMER, month.alias("month"))
+
+
+def loaded_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer extracts whose header has the columns the other way round."""
+    folder = _folder(spark, "extracts")
+    turned = RAW_COLUMNS["KNA1"][::-1]
+    testbed.write_extracts(testbed.kna1(spark, sf_dir), "KNA1", f"{folder}/in", turned)
+    load_extracts(spark, f"{folder}/in", f"{folder}/raw")
+    return _loaded_customers(spark, f"{folder}/raw")
+
+
+def streamed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer extracts loaded as a stream, first those of orders until 1995, then the later ones."""
+    folder = _folder(spark, "extracts")
+    raw = testbed.kna1(spark, sf_dir)
+    early = F.col("ERDAT") < "19960101"
+    for number, part in enumerate((raw.filter(early), raw.filter(~early))):
+        testbed.write_extracts(part, "KNA1", f"{folder}/part{number}")
+        move_files(spark, f"{folder}/part{number}/KNA1", f"{folder}/in/KNA1")
+        stream = stream_extracts(
+            spark, f"{folder}/in", f"{folder}/raw", checkpoint_dir=f"{folder}/checkpoint"
+        )
+        stream.awaitTermination()
+    return _loaded_customers(spark, f"{folder}/raw")
+
+
+def load_log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logged rows by table and month; one file has a header only."""
+    folder = _folder(spark, "extracts")
+    testbed.write_extracts(testbed.kna1(spark, sf_dir), "KNA1", f"{folder}/in")
+    header = ",".join(RAW_COLUMNS["KNA1"])
+    write_text(spark, f"{folder}/in/KNA1/KNA1_20991201.csv", f"{header}\n")
+    load_extracts(spark, f"{folder}/in", f"{folder}/raw")
+    month = F.regexp_extract("file_name", "[0-9]{6}", 0).alias("month")
+    return load_log(spark, f"{folder}/raw").groupBy("table_name", month).agg(F.sum("row_count").alias("row_count"))
+
+
+def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two loads in a row say they did; files are counted against those there are."""
+    folder = _folder(spark, "extracts")
+    testbed.write_extracts(testbed.vbak(spark, sf_dir), "VBAK", f"{folder}/in")
+    files = discover(spark, f"{folder}/in").count()
+    rows = []
+    for number in (1, 2):
+        done = load_extracts(spark, f"{folder}/in", f"{folder}/raw")
+        rows.append((number, done.rows_loaded, done.files_loaded == files, done.files_skipped == files))
+    return spark.createDataFrame(
+        rows, "load int, rows_loaded bigint, loads_all_files boolean, skips_all_files boolean"
     )
 
 
+def rejected_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extracts of four tables, three of them broken: whether a table is refused, and the rows loaded of it."""
+    folder = _folder(spark, "extracts")
+    testbed.write_extracts(testbed.kna1(spark, sf_dir), "KNA1", f"{folder}/in")
+    # A column lacking, fields too many for want of quotes, and text that is not UTF-8.
+    testbed.write_extracts(testbed.mara(spark, sf_dir), "MARA", f"{folder}/in", RAW_COLUMNS["MARA"][:-1])
+    commas = testbed.makt(spark, sf_dir).withColumn("MAKTX", F.concat("MAKTX", F.lit(", new")))
+    testbed.write_extracts(commas, "MAKT", f"{folder}/in", quote="")
+    umlauts = testbed.vbak(spark, sf_dir).withColumn("AUART", F.lit("für"))
+    testbed.write_extracts(umlauts, "VBAK", f"{folder}/in", encoding="ISO-8859-1")
+    said = ""
+    try:
+        load_extracts(spark, f"{folder}/in", f"{folder}/raw")
+    except LoadError as error:
+        said = str(error)
+    loaded = [raw_table(spark, f"{folder}/raw", t).agg(F.count("*").alias("n_rows")).select(
+        F.lit(t).alias("table_name"), F.lit(f"/{t}_" in said).alias("is_refused"), "n_rows"
+    ) for t in ("KNA1", "MARA", "MAKT", "VBAK")]
+    return reduce(DataFrame.union, loaded)
+
+
+# ---- Builds ---------------------------------------------------------------------------------
+
+
+def _built(
+    spark: SparkSession, sf_dir: str, folder: str, only: Sequence[str] | None = None, *, stop: bool = True
+) -> BuildResult:
+    raw = {name: view(spark, sf_dir) for name, view in testbed.RAW_VIEWS.items()}
+    models = {name: model for name, model in MODELS.items() if only is None or name in only}
+    return build_models(
+        spark, sources(raw, exchange_rates(spark)), folder, BuildResult(None), models=models, stop_on_failure=stop
+    )
+
+
+def rebuilt_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The material dimension built twice and read through the build log."""
+    folder = _folder(spark, "build")
+    for _ in range(2):
+        _built(spark, sf_dir, folder, ["stg_sap__mara", "stg_sap__makt", "dim_material"], stop=False)
+    return current_tables(spark, folder)["dim_material"]
+
+
+def published_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer versions and rates, built, published and read with SQL."""
+    folder = _folder(spark, "build")
+    _built(spark, sf_dir, folder, ["stg_sap__kna1", "dim_customer"])
+    publish(spark, folder)
+    return spark.sql(
+        "select v.customer_id, v.customer_key, v.valid_from, v.valid_to, v.is_current, c.city, r.rate_to_usd "
+        "from marts.dim_customer v join staging.stg_sap__kna1 c on c.customer_id = v.customer_id "
+        "join seeds.exchange_rates r on r.currency = if(c.country_code = 'US', 'USD', 'CAD')"
+    )
+
+
+def declared_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All declared checks over all tables, stored by a build that failures do not stop."""
+    built = _built(spark, sf_dir, _folder(spark, "build"), stop=False)
+    return spark.createDataFrame(
+        built.checks,
+        "check_name string, table_name string, kind string, severity string, n_violations bigint, status string",
+    )
+
+
+def build_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is built, fails or is skipped where failures keep what depends on them from being built."""
+    built = _built(spark, sf_dir, _folder(spark, "build"))
+    rows = [(o.table_name, o.layer, o.status) for o in built.outcomes]
+    return spark.createDataFrame(rows, "table_name string, layer string, status string")
+
+
 FLAGSHIP = "fct_items"
 
 
@@ -605,6 +739,15 @@ def all_queries() -> dict[str, Query]:
         "check_no_overlap": check_no_overlap,
         "check_report": check_report,
         "loaded_customers": loaded_customers,
+        "loaded_reordered": loaded_reordered,
+        "streamed_customers": streamed_customers,
+        "load_log_rows": load_log_rows,
+        "load_counts": load_counts,
+        "rejected_files": rejected_files,
+        "rebuilt_mart": rebuilt_mart,
+        "published_view": published_view,
+        "declared_checks": declared_checks,
+        "build_report": build_report,
         "load_skip": load_skip,
         "file_row_counts": file_row_counts,
     }

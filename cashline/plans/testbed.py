@@ -7,7 +7,7 @@ given table, so the work grows with it.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -372,11 +372,13 @@ RAW_VIEWS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-def write_extracts(raw: DataFrame, name: str, folder: str) -> None:
+def write_extracts(
+    raw: DataFrame, name: str, folder: str, columns: Sequence[str] | None = None, **options: str
+) -> None:
     """Write a raw view as extract files `<folder>/<TABLE>/<TABLE>_<month>01_<n>.csv`.
 
     Every task writes its own file per month, so no month has to fit into one task; the driver
-    only renames files.
+    only renames files. `columns` orders or leaves out columns, `options` go to the writer.
     """
     spark = raw.sparkSession
     month = F.concat(F.regexp_extract(SOURCE_FILE, "[0-9]{6}", 0), F.lit("01"))
@@ -386,9 +388,9 @@ def write_extracts(raw: DataFrame, name: str, folder: str) -> None:
         "emptyValue": "",
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
-    }
+    } | options
     scratch = f"{folder}/_{name}"
-    raw.select(*RAW_COLUMNS[name], month.alias("month")).write.options(**options).partitionBy(
+    raw.select(*(columns or RAW_COLUMNS[name]), month.alias("month")).write.options(**options).partitionBy(
         "month"
     ).mode("overwrite").csv(scratch)
     jvm = spark._jvm.org.apache.hadoop.fs

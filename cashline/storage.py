@@ -29,3 +29,22 @@ def empty_files(spark: SparkSession, pattern: str) -> list[str]:
     """Paths of the files of length zero that match a pattern; scans pass over these."""
     files, where = _file_system(spark, pattern)
     return [s.getPath().toString() for s in files.globStatus(where) or [] if s.isFile() and s.getLen() == 0]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, such as an extract that has a header only."""
+    files, where = _file_system(spark, path)
+    out = files.create(where)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def move_files(spark: SparkSession, source: str, target: str) -> None:
+    """Move all files of a folder into another one."""
+    files, where = _file_system(spark, source)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files.mkdirs(path(target))
+    for status in files.listStatus(where):
+        files.rename(status.getPath(), path(f"{target}/{status.getPath().getName()}"))

@@ -35,7 +35,12 @@ def large(spark):
         spark.conf.unset(name)
 
 
-@pytest.mark.parametrize("name", list(all_queries()))
+# These load or build when they are asked for; what they return is a table read again.
+RUN_AT_ONCE = """loaded_customers loaded_reordered streamed_customers load_log_rows load_counts rejected_files
+    rebuilt_mart declared_checks build_report""".split()
+
+
+@pytest.mark.parametrize("name", [name for name in all_queries() if name not in RUN_AT_ONCE])
 def test_no_cartesian_or_python_step(large, name):
     plan = plan_of(all_queries()[name](large, SF_DIR))
     for step in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
