@@ -23,6 +23,9 @@ HEADLINE = """
     open_value shipped_vs_ordered check_unique check_relationships check_overlap
 """.split()
 
+# Loading and a whole build with all checks, timed once each.
+ONCE = ["loaded_customers", "declared_checks"]
+
 
 def seconds(run) -> float:
     start = time.perf_counter()
@@ -36,7 +39,7 @@ def main() -> None:
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     known = all_queries()
     chosen = os.environ.get("BENCH_QUERIES", "")
-    names = list(known) if chosen == "all" else chosen.split(",") if chosen else HEADLINE
+    names = list(known) if chosen == "all" else chosen.split(",") if chosen else [*HEADLINE, *ONCE]
 
     spark = local_session(cores, name="bench")
 
@@ -46,6 +49,9 @@ def main() -> None:
 
     timings = {}
     for name in names:
+        if name in ONCE:
+            timings[name] = round(seconds(lambda: run(name)), 3)
+            continue
         run(name)
         timings[name] = round(statistics.median(seconds(lambda: run(name)) for _ in range(repeats)), 3)
     spark.stop()
@@ -53,7 +59,7 @@ def main() -> None:
         json.dumps(
             {
                 "metric": "headline_queries_total",
-                "value": round(sum(timings.values()), 3),
+                "value": round(sum(t for name, t in timings.items() if name not in ONCE), 3),
                 "unit": "sec",
                 "queries": timings,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
