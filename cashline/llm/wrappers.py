@@ -53,6 +53,8 @@ CHROME_WORDS = set(
     register related replies reply responses search share sharing sidebar sidebars signup skip social sponsor sponsored sponsors
     subscribe subscription tags toc toolbar topbar topnav widget widgets""".split()
 )
+# The header of an article holds its title.
+ARTICLE_CHROME_WORDS = CHROME_WORDS - {"header", "author", "byline"}
 MAIN_WORDS = {"content", "article", "post", "entry", "story"}
 
 
@@ -270,7 +272,7 @@ def _no_content(node: Node, inside: bool) -> bool:
         return True
     if node.tag in ("html", "body", "main"):
         return False
-    return not CHROME_WORDS.isdisjoint(node.marks) and not (inside and node.marks[0] in ("header", "author"))
+    return not (ARTICLE_CHROME_WORDS if inside else CHROME_WORDS).isdisjoint(node.marks)
 
 
 def _assign(node: Node, slot: Slot | None) -> None:

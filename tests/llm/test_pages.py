@@ -40,6 +40,8 @@ def shape(node):
         ("< p>1 < 2 &lt;b&gt; &#8364; &#x41; &bogus; &amp", "< p>1 < 2 <b> € A &bogus; &"),
         ("<p>" + "long " * 30_000 + "</p>", ("long " * 30_000).strip()),
         ("<div>" * 300 + "deep" + "</div>" * 300, "deep"),
+        ('<div class="has-sidebar"><div class="side-bar sidebar">s</div><article><header class="entry-header"><h1>t</h1></header><p>x</p></article></div>', "t\nx"),
+        ('<div id="no-comments"><p>p</p></div><div class="comments-area">c</div>', "p"),
         ("<font>a " * 5000, ("a " * 5000).strip()),
     ],
 )
