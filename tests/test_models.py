@@ -217,11 +217,13 @@ def test_checks_find_what_was_planted(spark, tables):
 
 def test_declared_checks_are_complete(tables):
     generic = quality.generic_checks(tables)
-    kinds = {k: sum(c.kind == k for c in generic) for k in ("unique", "relationships", "accepted_values")}
+    kinds = {k: sum(c.kind == k for c in generic) for k in ("unique", "relationships")}
     composite = sum(len(s.keys) > 1 for s in STAGING.values())
-    assert kinds == {"unique": 13 + composite, "relationships": 13, "accepted_values": 6}
-    assert sum(len(c) for c in quality.NOT_NULL.values()) == 52
-    assert len(quality.business_checks(tables)) == 6
+    assert kinds == {"unique": 13 + composite, "relationships": 13}
+    passes = quality.table_passes(tables)
+    assert sum(len(p.not_null) for p in passes) == 52
+    assert sum(len(p.accepted) for p in passes) == 6
+    assert len(quality.business_checks(tables)) + sum(len(p.rules) for p in passes) == 6
     assert len({c.name for c in generic}) == len(generic)
 
 
