@@ -24,8 +24,8 @@ Texts are hashed once; the sets themselves are rebuilt only for documents with a
 skewed joins. All numbers come from fixed seeds, so a task that runs again gives the same rows.
 
 Defined results: a null or blank text has the empty set, is linked with nothing and is kept. Rows that
-repeat an id are one document per row; they are linked by their sets, and `kept` holds for each
-row whose id is the component's least. A null id is of the class of its equals, and its row is
+repeat an id are linked, also where their texts differ; the least of these is then compared with others.
+`kept` holds for each row whose id is the component's least. A null id is of the class of its equals, and its row is
 kept if no other row of the class has an id. An empty table gives an empty one. Other columns are not
 looked at.
 """
@@ -208,8 +208,9 @@ def _links(docs: DataFrame, members: DataFrame) -> DataFrame:
     """All links (a, b) that components need between `members` (band, rep, size, centre)."""
     ids = members.select(F.col("rep").alias("doc_id")).distinct()
     wanted = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-    # Repeated rows of an id may differ in text; which of them stands for the id makes no difference to copies.
-    sets = settled(shingle_sets(wanted.dropDuplicates(["doc_id"])), "sets")
+    # Rows of one id may differ in text: the least speaks for the id, whichever task sees it first.
+    one = wanted.groupBy("doc_id").agg(F.min("text").alias("text"))
+    sets = settled(shingle_sets(one), "sets")
     stars = members.filter("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
     links = settled(confirmed(settled(stars, "stars"), sets), "confirmed")
 

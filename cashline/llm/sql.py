@@ -80,7 +80,8 @@ OP7_SECRET_SCAN = r"""
 WITH patterns(kind, k, pattern, g, least) AS (VALUES
     ('assign', 0, '(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 12),
     ('access', 1, 'AKIA[A-Z0-9]+', 0, 18),
-    ('hex', 2, '[0-9a-f]+', 0, 16)
+    ('hex', 2, '[0-9a-f]+', 0, 16),
+    ('owned', 3, '[A-Za-z0-9+/_=-]+', 0, 20)
 ), texts AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents), found AS (
     SELECT doc_id, source, kind, k, least, string_split_regex(text, pattern) AS gaps,
         regexp_extract_all(text, pattern, 0) AS whole,
@@ -92,19 +93,26 @@ WITH patterns(kind, k, pattern, g, least) AS (VALUES
 ), placed AS (
     SELECT *, (sum(gap + own) OVER (PARTITION BY doc_id, kind ORDER BY p) - own)::BIGINT AS s FROM each
 ), base AS (
-    SELECT doc_id, source, kind, k, s, s + own AS e, secret FROM placed WHERE length(secret) >= least
+    SELECT doc_id, source, kind, k, s, s + own AS e, secret FROM placed
+    WHERE length(secret) >= least AND (k < 3 OR regexp_matches(secret, '[0-9]') AND regexp_matches(secret, '[A-Za-z]'))
+), spans AS (
+    SELECT * FROM base WHERE k < 3
+    UNION ALL SELECT * FROM base m WHERE k = 3 AND NOT EXISTS (
+        SELECT 1 FROM base b WHERE b.doc_id = m.doc_id AND b.k < 3 AND m.s < b.e AND b.s < m.e)
 ), owners AS (
     SELECT secret, count(DISTINCT source) + max(CASE WHEN source IS NULL THEN 1 ELSE 0 END) AS n_owners,
         count(DISTINCT (source, doc_id)) AS n_places
-    FROM base GROUP BY secret
+    FROM spans GROUP BY secret
 ), summed AS (
     SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access,
-        count(*) FILTER (k = 2) AS n_hex, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) AS listed,
+        count(*) FILTER (k = 2) AS n_hex,
+        string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (k < 3) AS listed,
+        string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) AS every,
         count(*) FILTER (n_owners = 1 AND n_places <= 2) AS n_live, count(*) FILTER (n_owners >= 3) AS n_shared
-    FROM base JOIN owners USING (secret) GROUP BY doc_id
+    FROM spans JOIN owners USING (secret) WHERE k < 3 OR n_owners = 1 GROUP BY doc_id
 )
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-    sha256(coalesce(listed, '')) AS base_sha256, coalesce(listed, '') AS spans,
+    sha256(coalesce(listed, '')) AS base_sha256, coalesce(every, '') AS spans,
     coalesce(n_live, 0) AS n_live, coalesce(n_shared, 0) AS n_shared
 FROM texts LEFT JOIN summed USING (doc_id)
 """
@@ -155,6 +163,29 @@ FROM bits
 """
 
 
+# Pairs by shared shingles, then all that each document reaches over links.
+OP10_MINMAX_DEDUP = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, words[p:p + 4] AS five
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(1, len(words) - 4) + 1)) AS p FROM d WHERE len(words) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.five = b.five AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * shared.n >= 75 * (x.n + y.n - shared.n)
+), reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM d UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+), least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "op3_line_dedup": OP3_LINE_DEDUP,
@@ -163,4 +194,5 @@ def all_oracles() -> dict[str, str]:
         "op7_secret_scan": OP7_SECRET_SCAN,
         "op8_warc": OP8_WARC,
         "op9_quality_rules": OP9_QUALITY_RULES,
+        "op10_minmax_dedup": OP10_MINMAX_DEDUP,
     }
