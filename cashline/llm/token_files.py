@@ -36,7 +36,8 @@ from cashline.llm.files import NewFile, contents, make, manifest, uri
 from cashline.llm.huffman import LIMIT, Codebook, pack_segment, read_segments
 from cashline.llm.tokens import encoder, narrowest
 
-_IDS = ["shard", "doc_id", "ids"]
+_IDS = ["shard", "doc_id", "ids", "counts"]
+_SCHEMA = "shard int, doc_id long, ids binary, counts binary"
 SEGMENT_IDS = 1 << 20
 FILE_BYTES = 32 << 20
 
@@ -44,7 +45,7 @@ FILE_BYTES = 32 << 20
 def _encoded(docs: DataFrame, tokenizer: str, end_id: int, width: int) -> DataFrame:
     """shard, doc_id and ids of every document; shards ascend with doc_id, as do the rows of each.
 
-    The last row of every task has the shard -1 and, as ids, how often each id occurs in the task.
+    One more row of every task has no shard but `counts`: how often each id occurs in the task.
     """
     ordered = docs.select("doc_id", "text", F.xxhash64("text").alias("check"))
     ordered = ordered.repartitionByRange("doc_id", "check").sortWithinPartitions("doc_id", "check")
@@ -60,18 +61,19 @@ def _encoded(docs: DataFrame, tokenizer: str, end_id: int, width: int) -> DataFr
             if len(found) > len(total):
                 found, total = total, found
             total[: len(found)] += found
+            none = pa.nulls(len(ids), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("shard"), batch.column("doc_id"), pa.array(ids, pa.binary())], _IDS
+                [batch.column("shard"), batch.column("doc_id"), pa.array(ids, pa.binary()), none], _IDS
             )
         counts = pa.array([total.astype("<u8").tobytes()], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([None], pa.int64()), counts], _IDS)
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(1, k) for k in (pa.int32(), pa.int64(), pa.binary())), counts], _IDS)
 
-    return ordered.mapInArrow(encode, "shard int, doc_id long, ids binary")
+    return ordered.mapInArrow(encode, _SCHEMA)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for counts in batch.column("ids").to_pylist():
+        for counts in batch.column("counts").to_pylist():
             total = np.frombuffer(counts, "<u8").astype(np.int64)
             found = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["id", "n"])
@@ -84,8 +86,8 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, limit:
     work = new_folder(spark, "ids")
     width = narrowest(tokenizer, end_id)
     _encoded(docs, tokenizer, end_id, width).write.option("compression", "zstd").parquet(work)
-    ids = spark.read.schema("shard int, doc_id long, ids binary").parquet(work)
-    counts = ids.filter("shard < 0").select("ids").mapInArrow(_counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    ids = spark.read.schema(_SCHEMA).parquet(work)
+    counts = ids.select("counts").filter("counts is not null").mapInArrow(_counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     book = Codebook.of_counts({r["id"]: r["n"] for r in counts.collect()}, limit)
     make(f"{folder}/files")
     system, path = pyarrow.fs.FileSystem.from_uri(folder)
@@ -94,7 +96,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, limit:
 
     schema = "name string, shard int, stretch long, part int, n_docs long, n_ids long, n_bytes long"
     # A task may read stretches of several files: each stretch gets files of its own.
-    chunks = ids.filter("shard >= 0").select("shard", F.col("_metadata.file_block_start").alias("stretch"), "doc_id", "ids")
+    chunks = ids.filter("shard is not null").select("shard", F.col("_metadata.file_block_start").alias("stretch"), "doc_id", "ids")
     rows = chunks.mapInArrow(lambda batches: _files(batches, book, f"{folder}/files", width), schema)
     rows.write.parquet(f"{folder}/manifest")
 

@@ -96,19 +96,26 @@ class Encoder:
 
     def __init__(self, path: str, width: int = 4):
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.kind = f"<u{width}"
-        self.words = _Words(self.tokenizer.model, {2: "H", 4: "I"}[width])
         setup = json.loads(self.tokenizer.to_str())
+        options = {k: v for k, v in setup["model"].items() if k not in ("type", "vocab", "merges")}
         self.by_words = (
             setup["model"]["type"] == "BPE"
+            and not any(options.values())
             and not setup["normalizer"]
             and setup["pre_tokenizer"]["type"] == "ByteLevel"
             and setup["pre_tokenizer"].get("use_regex", True)
             and not setup["pre_tokenizer"]["add_prefix_space"]
         )
+        if self.by_words:
+            # The same model without its own cache of pieces: every piece is asked for once.
+            merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in setup["model"]["merges"]]
+            model = BPE(vocab=setup["model"]["vocab"], merges=merges, cache_capacity=0)
+            self.words = _Words(model, {2: "H", 4: "I"}[width])
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
