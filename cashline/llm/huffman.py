@@ -14,7 +14,7 @@ from functools import cached_property
 
 import numpy as np
 
-BLOCK = 512
+BLOCK = 256
 LIMIT = 18
 _HEAD = struct.Struct("<4sIQQQQ")
 MAGIC = b"HSEG"

@@ -85,7 +85,9 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, limit:
     folder = uri(folder)
     work = new_folder(spark, "ids")
     width = narrowest(tokenizer, end_id)
-    _encoded(docs, tokenizer, end_id, width).write.option("compression", "zstd").parquet(work)
+    _encoded(docs, tokenizer, end_id, width).write.options(
+        **{"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
+    ).parquet(work)
     ids = spark.read.schema(_SCHEMA).parquet(work)
     counts = ids.select("counts").filter("counts is not null").mapInArrow(_counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     book = Codebook.of_counts({r["id"]: r["n"] for r in counts.collect()}, limit)

@@ -52,6 +52,10 @@ def narrowest(path: str, *more: int) -> int:
     return 2 if max(*Tokenizer.from_file(path).get_vocab().values(), *more) < 1 << 16 else 4
 
 
+class _Strange(Exception):
+    """A word has characters that only the tokenizer itself may split."""
+
+
 class _Words(dict):
     """Ids of words; a word that is missing is encoded, and kept while there is room."""
 
@@ -59,6 +63,8 @@ class _Words(dict):
         self.tokenize, self.code = model.tokenize, code
 
     def __missing__(self, word: str) -> bytes:
+        if STRANGE.search(word):
+            raise _Strange
         if not word.isascii():
             ids = b"".join(map(self._piece, PIECE.findall(word)))
         elif word.isalpha():
@@ -78,17 +84,8 @@ class _Words(dict):
         return array(self.code, [t.id for t in self.tokenize(letters)]).tobytes()
 
 
-def _simple(text: str) -> bool:
-    """Whether the white space is single and all characters are of a known class."""
-    if "  " in text or "\n\n" in text or "\n " in text or " \n" in text:
-        return False
-    if text.replace("\n", " ").isprintable():
-        try:
-            text.encode("latin-1")
-            return True
-        except UnicodeEncodeError:
-            pass
-    return not STRANGE.search(text)
+def _single_spaced(text: str) -> bool:
+    return not ("\x00" in text or "  " in text or "\n\n" in text or "\n " in text or " \n" in text)
 
 
 class Encoder:
@@ -124,8 +121,11 @@ class Encoder:
         """Ids of one text. A null is an empty text."""
         if not text:
             return b""
-        if not self.by_words or not _simple(text) or any(s in text for s in self.special):
+        if not self.by_words or not _single_spaced(text) or any(s in text for s in self.special):
             return self._whole(text)
         # A word keeps the space before it; the first one of a line has none.
         words = text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
-        return b"".join(map(self.words.__getitem__, words))
+        try:
+            return b"".join(map(self.words.__getitem__, words))
+        except _Strange:
+            return self._whole(text)

@@ -36,6 +36,12 @@ def test_messy_texts_encode_as_the_tokenizer_does():
         assert ENCODER.encode(text) == ids(text).tobytes()
 
 
+@pytest.mark.parametrize("text", ["a\x00b", "\x00", "a \x00 b\nc", "tab\there", "nb\xa0sp \u3000 x", "soft\xadhyphen", "a\x85b", "\ufeffbom"])
+def test_strange_characters_go_to_the_tokenizer(text):
+    assert ENCODER.encode(text) == ids(text).tobytes()
+    assert ENCODER.encode(text + " again") == ids(text + " again").tobytes()
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet=st.sampled_from("aB é'st 1,.\n\t\xa0!ß日"), max_size=30) | st.text(max_size=30))
 def test_any_text_encodes_as_the_tokenizer_does(text):
