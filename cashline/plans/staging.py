@@ -201,13 +201,13 @@ def clean(raw: DataFrame, spec: StagingSpec) -> DataFrame:
 def stage(raw: DataFrame, name: str) -> DataFrame:
     """The staging table `name`: the latest version of each business key.
 
-    Rows that tie in change date, load and file are told apart by their content, so that a
-    repeated task, or another query, picks the same one.
+    Rows that tie in change date, load and file are told apart by a hash of their content, so that
+    a repeated task, or another query, picks the same one; one hash sorts faster than all columns.
     """
     spec = STAGING[name]
     versions = clean(raw, spec)
-    content = [F.desc(c) for c in versions.columns if c not in spec.keys]
-    latest = latest_version(versions, spec.keys, [*spec.newest_first(), *content])
+    content = F.desc(F.xxhash64(*[c for c in versions.columns if c not in spec.keys]))
+    latest = latest_version(versions, spec.keys, [*spec.newest_first(), content])
     return latest.drop(LOADED_AT, SOURCE_FILE)
 
 
