@@ -12,7 +12,8 @@ few hundred bytes). A larger benchmark is joined by shuffling (document, place,
 then fetching the words of the documents left. Both ways give the same rows.
 
 Defined results: a null text has no words and nothing in it is hit. An item without words has no
-window. A repeated item id counts once per document. Repeated documents are judged row by row as long
+window. A repeated item id counts once per document. An item with a null id hits like any other, in n_hit
+and contaminated; n_items and items_sha256 are of ids that are not null, as in the SQL. Repeated documents are judged row by row as long
 as their ids differ; rows of one id get the union of their hits. An empty benchmark hits nothing.
 Other columns of either table are not looked at.
 """
@@ -143,7 +144,8 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
     words = docs.select("doc_id", F.size(text_words(F.col("text"))).cast("long").alias("n_words"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     item_ids = F.coalesce("item_ids", F.array().cast("array<string>"))
-    found = join_by_id(hit, ids, "inner")
+    # Hits of items without an id have no row in `ids`.
+    found = join_by_id(hit, ids, "left")
     return join_by_id(words, found, "left").select(
         "doc_id",
         "n_words",

@@ -133,6 +133,13 @@ def test_pipeline_over_messy_tables(spark, tmp_path, kind):
     check_stages(spark, spark.createDataFrame(rows, DOCUMENTS), str(tmp_path), [r[:5] for r in rows], items)
 
 
+def test_pipeline_drops_hits_of_items_without_an_id(spark, tmp_path):
+    items = [(None, prose(9, 60, 60)), (2, "nowhere to be found at all in any of these texts here")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = corpus_pipeline.clean_of_benchmark(spark, spark.createDataFrame(documents(), DOCUMENTS), str(tmp_path))
+    assert {r[0] for r in documents()} - {r.doc_id for r in left.collect()} == {5, 6}
+
+
 def test_clean_documents_pass_all_stages(spark):
     labels = {r.doc_id for r in table(spark, SF_DIR, "labels").filter("quality = 1").collect()}
     documents = {r.doc_id: r.text for r in table(spark, SF_DIR, "documents").collect()}

@@ -137,6 +137,21 @@ def test_an_empty_benchmark_hits_nothing(spark):
     assert found.count() == len(documents()) and not found.filter("contaminated or n_items > 0").count()
 
 
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_items_without_an_id_hit(spark, most, monkeypatch):
+    own, shared = (" ".join(f"{letter}{k}" for k in range(12)) for letter in "ab")
+    rows = [(1, f"before {own} after"), (2, f"{shared}\n{own}"), (3, f"{shared} end"), (4, "nothing here"), (None, own)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(None, own), (None, shared), (8, shared)], "item_id long, text string")
+    occurrences = decontamination.occurrences
+    monkeypatch.setattr(decontamination, "occurrences", lambda d, i, n: occurrences(d, i, n, most))
+    found = {r.doc_id: r for r in decontamination.contamination(docs, items).collect()}
+    assert {k: (r.n_hit, r.n_items, r.contaminated) for k, r in found.items()} == {
+        1: (12, 0, True), 2: (24, 1, True), 3: (12, 1, True), 4: (0, 0, False), None: (12, 0, True)
+    }
+    assert found[1].items_sha256 == hashlib.sha256(b"").hexdigest() and found[2].items_sha256 == hashlib.sha256(b"8").hexdigest()
+
+
 # Secrets
 
 
