@@ -9,6 +9,8 @@ content is looked for in the article, else in the main element or what is named
 whole body without blocks that are mostly links. A page of which nothing would be left, as where all pages of a host are
 copies, keeps the constant slots of its main region.
 
+Evidence is `LEAST_PAGES` pages with different html; copies of a page count once.
+
 Templates are made in three steps: per task and host, per host and group of tasks, per host. A
 host with a third of all pages is folded where its pages are read; only templates move. A template of
 more than `MOST_SLOTS` slots loses those that the fewest pages have; such slots are judged by their tags and
@@ -59,20 +61,24 @@ MAIN_WORDS = {"content", "article", "post", "entry", "story"}
 
 
 class Slot:
-    """A place of a template: sign, pages, hash of its text (0: none, -1: varying), characters, kids."""
+    """A place of a template: sign, how many pages, hash of its text (0: none, -1: varying), kids, and the least
+    LEAST_PAGES distinct pages."""
 
-    __slots__ = ("sign", "pages", "text", "kids", "constant", "page", "now")
+    __slots__ = ("sign", "pages", "text", "kids", "seen", "constant", "page", "now")
 
     def __init__(self, sign: str, pages: int = 0, text: int = 0, kids: list[Slot] | None = None):
         self.sign, self.pages, self.text, self.kids = sign, pages, text, kids or []
+        self.seen = []
         self.constant, self.page, self.now = False, -1, None
 
     def plain(self) -> list:
-        return [self.sign, self.pages, self.text, [kid.plain() for kid in self.kids]]
+        return [self.sign, self.pages, self.text, [kid.plain() for kid in self.kids], self.seen]
 
     @classmethod
     def of(cls, plain: list) -> Slot:
-        return cls(plain[0], plain[1], plain[2], [cls.of(kid) for kid in plain[3]])
+        slot = cls(plain[0], plain[1], plain[2], [cls.of(kid) for kid in plain[3]])
+        slot.seen = plain[4]
+        return slot
 
     def size(self) -> int:
         return 1 + sum(kid.size() for kid in self.kids)
@@ -141,6 +147,11 @@ def matched(left: list, right: list[Slot]) -> list[int | None]:
     return out
 
 
+def _least(seen: list[int], more: list[int]) -> list[int]:
+    """The least LEAST_PAGES distinct ones of both."""
+    return sorted({*seen, *more})[:LEAST_PAGES]
+
+
 def _added(kids: list[Slot], partners: list[int | None], signs: list[str]) -> list[Slot]:
     """Partners of all, with new slots put in where there was none: right after that of the one before."""
     out, moved, last = [], 0, -1
@@ -160,6 +171,7 @@ def learn(slot: Slot, node: Node, page: int) -> None:
     if slot.page != page:
         slot.page, slot.now = page, xxhash.xxh64()
         slot.pages += 1
+        slot.seen = _least(slot.seen, [page])
     for kid in node.kids:
         if kid.__class__ is str:
             slot.now.update(kid.encode("utf-8", "surrogatepass"))
@@ -171,8 +183,6 @@ def learn(slot: Slot, node: Node, page: int) -> None:
                 learn(kid, own, page)
 
 
-
-
 def _turn(slot: Slot, page: int) -> None:
     """End of a page: its text in every slot against that of the pages before."""
     if slot.page == page:
@@ -190,6 +200,7 @@ def merge(into: Slot, other: Slot) -> None:
     elif other.pages:
         into.text = other.text
     into.pages += other.pages
+    into.seen = _least(into.seen, other.seen)
     partners = matched(other.kids, into.kids)
     for kid, own in zip(other.kids, _added(into.kids, partners, [k.sign for k in other.kids])):
         merge(own, kid)
@@ -210,9 +221,9 @@ def _drop(slot: Slot, least: int) -> None:
 
 
 def judge(slot: Slot) -> bool:
-    """Marks slots whose whole text is the same on LEAST_PAGES pages or more. True if so, or no text at all."""
+    """Marks slots whose whole text is the same on LEAST_PAGES pages or more. True if so."""
     kids = [judge(kid) for kid in slot.kids]
-    slot.constant = slot.text != -1 and all(kids) and slot.pages >= LEAST_PAGES
+    slot.constant = slot.text != -1 and all(kids) and len(slot.seen) >= LEAST_PAGES
     return slot.constant
 
 
@@ -223,9 +234,14 @@ def _host(url: Column) -> Column:
 _TEMPLATE = "host string, part long, template string"
 
 
+def _page(html: str) -> int:
+    return xxhash.xxh64_intdigest(html.encode("utf-8", "surrogatepass")) >> 1
+
+
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     roots: dict[str, Slot] = {}
-    page = 0
+    copies: set[tuple[str, int]] = set()
+    number = 0
 
     def out() -> pa.RecordBatch:
         for root in roots.values():
@@ -241,11 +257,16 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if len(roots) >= MOST_HOSTS:
                         yield out()
                         roots.clear()
+                        copies.clear()
                     root = roots[host] = Slot("")
-                page += 1
+                page = _page(html)
+                if (host, page) in copies:
+                    continue
+                copies.add((host, page))
+                number += 1
                 learn(root, parse(html), page)
                 _turn(root, page)
-                if page % 100 == 0 and root.size() > 2 * MOST_SLOTS:
+                if number % 100 == 0 and root.size() > 2 * MOST_SLOTS:
                     prune(root)
     yield out()
 

@@ -132,6 +132,20 @@ def test_extraction_of_messy_pages(spark):
     assert wrappers.extract(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def extracted(spark, pages):
+    rows = [(k, f"https://h.example/{k}", html) for k, html in enumerate(pages)]
+    found = wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5, "page_id"))
+    return {r.page_id: r.text for r in found.collect()}
+
+
+def test_copies_of_a_page_prove_nothing(spark):
+    copy = '<article><h1>T</h1><p>same words</p><ul class="q"><li>only here</li></ul></article>'
+    pages = [copy] * 6 + [f"<article><h1>T{k}</h1><p>own {k}</p></article>" for k in range(8)]
+    found = extracted(spark, pages)
+    assert [found[k] for k in range(6)] == ["T\nsame words\nonly here"] * 6
+    assert [found[6 + k] for k in range(8)] == [f"T{k}\nown {k}" for k in range(8)]
+
+
 def archived(spark, rows):
     folder = new_folder(spark, "test-warc")
     warc.write(spark.createDataFrame(rows, PAGES), folder)
