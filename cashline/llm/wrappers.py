@@ -9,6 +9,11 @@ content is looked for in the article, else in the main element or what is named
 whole body without blocks that are mostly links. A page of which nothing would be left, as where all pages of a host are
 copies, keeps the constant slots of its main region.
 
+Beside the tree, and for all sizes of it, blocks are looked at one by one: a block (no cell of a table)
+whose text stands on all pages that have its path of signs is template too, so that a fixed notice after an
+article's paragraphs goes although it shares their slot. Where such blocks hold half of a page's text or
+more, the pages are near copies of each other: the blocks stay, and so does the title (h1) in the article. These rows (host, path) are summed up by Spark.
+
 Evidence is `LEAST_PAGES` pages with different html; copies of a page count once.
 
 Templates are made in three steps: per task and host, per host and group of tasks, per host. A
@@ -40,6 +45,7 @@ from cashline.llm.dom import BLOCK, RAW, Node, parse
 LEAST_PAGES = 3
 MOST_SLOTS = 4_000
 MOST_HOSTS = 2_000
+MOST_PATHS = 200_000
 
 # Elements that are never content, and class words of menus, headers, footers, sidebars,
 # notices, adverts, forms and comments.
@@ -227,6 +233,38 @@ def judge(slot: Slot) -> bool:
     return slot.constant
 
 
+def _number(*parts) -> int:
+    return xxhash.xxh64_intdigest(repr(parts).encode("utf-8", "surrogatepass")) >> 1
+
+
+_paths: dict[tuple[int, str], int] = {}
+
+
+def blocks_by_path(node: Node, path: int = 0, out: dict[int, list[tuple[int, Node]]] | None = None) -> tuple[dict, int]:
+    """Per path of signs the blocks with text there, each with a number for path and text; and that of the node's text, or 0.
+
+    Cells of tables are no blocks here: a column of few values would make its cells look like template.
+    """
+    out = {} if out is None else out
+    texts = []
+    for kid in node.kids:
+        if kid.__class__ is str:
+            if text := kid.strip():
+                texts.append(text)
+            continue
+        below = _paths.get((path, kid.sign))
+        if below is None:
+            below = _number(path, kid.sign)
+            if len(_paths) < MOST_PATHS:
+                _paths[path, kid.sign] = below
+        _, text = blocks_by_path(kid, below, out)
+        if text:
+            texts.append(text)
+            if kid.tag in BLOCK and kid.tag not in ("td", "th"):
+                out.setdefault(below, []).append((_number(below, text), kid))
+    return out, _number(*texts) if texts else 0
+
+
 def _host(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
 
@@ -238,6 +276,47 @@ def _page(html: str) -> int:
     return xxhash.xxh64_intdigest(html.encode("utf-8", "surrogatepass")) >> 1
 
 
+def _fold_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per host and path the least distinct pages and the blocks that stand on all of the pages; maybe more than once."""
+    known: dict[tuple[str, int], list] = {}
+
+    def out() -> pa.RecordBatch:
+        hosts, paths = [k[0] for k in known], [k[1] for k in known]
+        seen, common = [x[0] for x in known.values()], [list(x[1]) for x in known.values()]
+        kinds = pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())
+        arrays = [pa.array(x, kind) for x, kind in zip((hosts, paths, seen, common), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, ["host", "path", "seen", "common"])
+
+    for batch in batches:
+        for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+            if host and html:
+                page = _page(html)
+                for path, blocks in blocks_by_path(parse(html))[0].items():
+                    own = {number for number, _ in blocks}
+                    state = known.get((host, path))
+                    if state is None:
+                        known[host, path] = [[page], own]
+                    else:
+                        state[0] = _least(state[0], [page])
+                        state[1] &= own
+                if len(known) >= MOST_PATHS:
+                    yield out()
+                    known.clear()
+    yield out()
+
+
+def shared_blocks(pages: DataFrame) -> DataFrame:
+    """host and shared, the numbers of the blocks that stand on all pages with their path, if these are LEAST_PAGES or more."""
+    states = pages.select(_host(F.col("url")).alias("host"), "html").mapInArrow(
+        _fold_paths, "host string, path long, seen array<long>, common array<long>"
+    )
+    # Of each task the rows of a path are few, so those of a host come together as paths.
+    paths = states.groupBy("host", "path").agg(F.collect_list("seen").alias("seen"), F.collect_list("common").alias("common"))
+    both = F.aggregate("common", F.get("common", F.lit(0)), lambda a, b: F.array_intersect(a, b))
+    proven = paths.filter(F.size(F.array_distinct(F.flatten("seen"))) >= LEAST_PAGES).select("host", F.explode(both).alias("number"))
+    return proven.groupBy("host").agg(F.collect_list("number").alias("shared"))
+
+
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     roots: dict[str, Slot] = {}
     copies: set[tuple[str, int]] = set()
@@ -296,6 +375,20 @@ def _no_content(node: Node, inside: bool) -> bool:
     return not (ARTICLE_CHROME_WORDS if inside else CHROME_WORDS).isdisjoint(node.marks)
 
 
+_SHARED = Slot("")
+_SHARED.constant = True
+
+
+def _mark(root: Node, shared: set[int]) -> bool:
+    """Marks the shared blocks that the tree has not found. True if there are some."""
+    found = False
+    for blocks in blocks_by_path(root)[0].values():
+        for number, node in blocks:
+            if number in shared and not (node.slot and node.slot.constant):
+                node.slot, found = _SHARED, True
+    return found
+
+
 def _assign(node: Node, slot: Slot | None) -> None:
     """Gives every node its slot of the template, if there is one."""
     node.slot = slot
@@ -332,8 +425,14 @@ def _links(node: Node, linked: bool = False) -> tuple[int, int]:
 class _Blocks:
     """Collects text into blocks."""
 
-    def __init__(self, constants: bool, links: bool):
-        self.constants, self.links, self.done, self.now = constants, links, [], []
+    def __init__(self, constants: bool, links: bool, shared: bool = True, titles: bool = False):
+        self.constants, self.links, self.shared, self.titles = constants, links, shared, titles
+        self.done, self.now = [], []
+
+    def template(self, node: Node) -> bool:
+        if not self.constants or not node.slot or not node.slot.constant:
+            return False
+        return self.shared if node.slot is _SHARED else not (self.titles and node.tag == "h1")
 
     def end(self) -> None:
         if self.now:
@@ -352,7 +451,7 @@ class _Blocks:
                 self.now.append(kid)
             elif kid.tag in ("br", "wbr"):
                 self.now.append(" " if kid.tag == "br" else "")
-            elif not _no_content(kid, not self.links) and not (self.constants and kid.slot and kid.slot.constant):
+            elif not _no_content(kid, not self.links) and not self.template(kid):
                 if self.links and kid.tag in BLOCK and kid.kids:
                     of_links, own = _links(kid)
                     if 2 * of_links > own:
@@ -363,47 +462,53 @@ class _Blocks:
             self.end()
 
 
-def _text(regions: list[Node], links: bool) -> str:
-    for constants in (True, False):
-        blocks = _Blocks(constants, links)
+def _text(regions: list[Node], links: bool, shared: bool) -> str:
+    def left(*how: bool) -> str:
+        blocks = _Blocks(how[0], links, *how[1:])
         for region in regions:
             blocks.add(region)
             blocks.end()
-        if blocks.done:
-            return "\n".join(blocks.done)
-    return ""
+        return "\n".join(blocks.done)
+
+    text = left(True)
+    # Blocks on all pages that hold half of the text are no notices: the pages are near copies.
+    if shared and 2 * len(text) <= len(left(True, False)):
+        text = left(True, False, not links)
+    return text or left(False)
 
 
-def main_text(html: str | None, template: Slot | None = None) -> str:
-    """The main text of a page, one block per line."""
+def main_text(html: str | None, template: Slot | None = None, shared: set[int] | None = None) -> str:
+    """The main text of a page, one block per line, given its host's template and shared blocks."""
     if not html:
         return ""
     root = parse(html)
     if template:
         _assign(root, template)
+    marked = bool(shared) and _mark(root, shared)
     for wanted in (
         lambda n: n.tag == "article",
         lambda n: n.tag == "main" or "main" in n.marks,
         lambda n: not MAIN_WORDS.isdisjoint(n.marks),
     ):
         regions = _find(root, wanted, [])
-        if regions and (text := _text(regions, False)):
+        if regions and (text := _text(regions, False, marked)):
             return text
-    return _text([root], True)
+    return _text([root], True, marked)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[str, Slot | None] = {}
+    known: dict[str, tuple[Slot | None, set[int]]] = {}
     for batch in batches:
         texts = []
-        for host, html, template in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "template"))):
+        shared = batch.column("shared")
+        for k, (host, html, template) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("host", "html", "template")))):
             if host not in known:
                 if len(known) >= MOST_HOSTS:
                     known.clear()
-                known[host] = Slot.of(json.loads(template)) if template else None
+                known[host] = (Slot.of(json.loads(template)) if template else None, set(shared[k].as_py() or ()))
                 if template:
-                    judge(known[host])
-            texts.append(main_text(html, known[host]))
+                    judge(known[host][0])
+            texts.append(main_text(html, *known[host]))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"]
         )
@@ -412,6 +517,6 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and text of `pages` (page_id, url, html)."""
     own = pages.select("page_id", "url", "html", _host(F.col("url")).alias("host"))
-    known = settled(templates(pages), "templates")
+    known = settled(templates(pages).join(shared_blocks(pages), "host", "left"), "templates")
     kind = pages.schema["page_id"].dataType.simpleString()
     return own.join(known, "host", "left").mapInArrow(_extract, f"page_id {kind}, url string, text string")

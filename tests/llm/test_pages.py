@@ -146,6 +146,18 @@ def test_copies_of_a_page_prove_nothing(spark):
     assert [found[6 + k] for k in range(8)] == [f"T{k}\nown {k}" for k in range(8)]
 
 
+def test_a_fixed_block_among_blocks_of_its_sign_goes(spark):
+    pages = [f"<article><p>own words {k}</p><p>more {k}</p><p>Fixed notice</p></article>" for k in range(7)]
+    assert extracted(spark, pages) == {k: f"own words {k}\nmore {k}" for k in range(7)}
+    pages = [f"<div>Home About</div><div><p>this is the page's own text {k}</p></div><div>All rights</div>" for k in range(7)]
+    assert extracted(spark, pages) == {k: f"this is the page's own text {k}" for k in range(7)}
+
+
+def test_near_copies_alone_on_a_host_keep_title_and_text(spark):
+    pages = [f"<article><h1>Title</h1><p>long first part</p><p>differs {k}</p><p>long last part</p></article>" for k in range(7)]
+    assert extracted(spark, pages) == {k: f"Title\nlong first part\ndiffers {k}\nlong last part" for k in range(7)}
+
+
 def archived(spark, rows):
     folder = new_folder(spark, "test-warc")
     warc.write(spark.createDataFrame(rows, PAGES), folder)
