@@ -18,9 +18,10 @@ Evidence is `LEAST_PAGES` pages with different html; copies of a page count once
 
 Templates are made in three steps: per task and host, per host and group of tasks, per host. A
 host with a third of all pages is folded where its pages are read; only templates move. A template of
-more than `MOST_SLOTS` slots loses those that the fewest pages have; such slots are judged by their tags and
-class words alone, no text is lost by it. Pages are then joined with the template of their host, as
-a skewed join that Spark splits, and each is extracted by itself.
+more than `MOST_SLOTS` slots loses those that the fewest pages have. A slot that lost some takes in no new
+ones and is no longer constant as a whole, so only slots that were never dropped are judged by the tree, and
+what was dropped is judged by its path, for which nothing is dropped. Pages are then joined with the template
+of their host, as a skewed join that Spark splits, and each is extracted by itself.
 
 Defined results: a null or empty html has an empty text. Pages without a host, or alone on theirs, are
 judged by tags, class words and links only. Repeated pages each give their text. Unclosed, stray
@@ -67,23 +68,23 @@ MAIN_WORDS = {"content", "article", "post", "entry", "story"}
 
 
 class Slot:
-    """A place of a template: sign, how many pages, hash of its text (0: none, -1: varying), kids, and the least
-    LEAST_PAGES distinct pages."""
+    """A place of a template: sign, how many pages, hash of its text (0: none, -1: varying), kids, the least
+    LEAST_PAGES distinct pages, and whether kids were dropped, so that none that comes later is whole."""
 
-    __slots__ = ("sign", "pages", "text", "kids", "seen", "constant", "page", "now")
+    __slots__ = ("sign", "pages", "text", "kids", "seen", "closed", "constant", "page", "now")
 
     def __init__(self, sign: str, pages: int = 0, text: int = 0, kids: list[Slot] | None = None):
         self.sign, self.pages, self.text, self.kids = sign, pages, text, kids or []
-        self.seen = []
+        self.seen, self.closed = [], False
         self.constant, self.page, self.now = False, -1, None
 
     def plain(self) -> list:
-        return [self.sign, self.pages, self.text, [kid.plain() for kid in self.kids], self.seen]
+        return [self.sign, self.pages, self.text, [kid.plain() for kid in self.kids], self.seen, int(self.closed)]
 
     @classmethod
     def of(cls, plain: list) -> Slot:
         slot = cls(plain[0], plain[1], plain[2], [cls.of(kid) for kid in plain[3]])
-        slot.seen = plain[4]
+        slot.seen, slot.closed = plain[4], bool(plain[5])
         return slot
 
     def size(self) -> int:
@@ -158,10 +159,13 @@ def _least(seen: list[int], more: list[int]) -> list[int]:
     return sorted({*seen, *more})[:LEAST_PAGES]
 
 
-def _added(kids: list[Slot], partners: list[int | None], signs: list[str]) -> list[Slot]:
-    """Partners of all, with new slots put in where there was none: right after that of the one before."""
+def _added(kids: list[Slot], partners: list[int | None], signs: list[str], closed: bool) -> list[Slot | None]:
+    """Partners of all, with new slots put in where there was none: right after that of the one before. None if closed."""
     out, moved, last = [], 0, -1
     for partner, sign in zip(partners, signs, strict=True):
+        if partner is None and closed:
+            out.append(None)
+            continue
         if partner is None:
             last += 1
             kids.insert(last, Slot(sign))
@@ -184,8 +188,8 @@ def learn(slot: Slot, node: Node, page: int) -> None:
     groups = _groups(node.kids)
     if groups:
         signs = [sign for sign, _ in groups]
-        for (_, nodes), kid in zip(groups, _added(slot.kids, matched(groups, slot.kids), signs)):
-            for own in nodes:
+        for (_, nodes), kid in zip(groups, _added(slot.kids, matched(groups, slot.kids), signs, slot.closed)):
+            for own in nodes if kid else ():
                 learn(kid, own, page)
 
 
@@ -208,8 +212,15 @@ def merge(into: Slot, other: Slot) -> None:
     into.pages += other.pages
     into.seen = _least(into.seen, other.seen)
     partners = matched(other.kids, into.kids)
-    for kid, own in zip(other.kids, _added(into.kids, partners, [k.sign for k in other.kids])):
-        merge(own, kid)
+    if other.closed:  # what it lacks may have been dropped there
+        both = [p for p in partners if p is not None]
+        into.kids = [into.kids[p] for p in both]
+        places = iter(range(len(both)))
+        partners = [None if p is None else next(places) for p in partners]
+    for kid, own in zip(other.kids, _added(into.kids, partners, [k.sign for k in other.kids], into.closed)):
+        if own:
+            merge(own, kid)
+    into.closed |= other.closed
 
 
 def prune(root: Slot) -> None:
@@ -221,7 +232,9 @@ def prune(root: Slot) -> None:
 
 
 def _drop(slot: Slot, least: int) -> None:
-    slot.kids = [kid for kid in slot.kids if kid.pages >= least]
+    kept = [kid for kid in slot.kids if kid.pages >= least]
+    slot.closed |= len(kept) < len(slot.kids)
+    slot.kids = kept
     for kid in slot.kids:
         _drop(kid, least)
 
@@ -229,7 +242,7 @@ def _drop(slot: Slot, least: int) -> None:
 def judge(slot: Slot) -> bool:
     """Marks slots whose whole text is the same on LEAST_PAGES pages or more. True if so."""
     kids = [judge(kid) for kid in slot.kids]
-    slot.constant = slot.text != -1 and all(kids) and len(slot.seen) >= LEAST_PAGES
+    slot.constant = slot.text != -1 and not slot.closed and all(kids) and len(slot.seen) >= LEAST_PAGES
     return slot.constant
 
 

@@ -158,6 +158,29 @@ def test_near_copies_alone_on_a_host_keep_title_and_text(spark):
     assert extracted(spark, pages) == {k: f"Title\nlong first part\ndiffers {k}\nlong last part" for k in range(7)}
 
 
+def test_slots_that_are_dropped_are_judged_all_the_same(spark, monkeypatch):
+    letters = "abcdefghij"
+    html = '<div class="{0}q"><div class="s">Boiler {0}</div><p class="t">the own text of page {1}</p></div><div class="f">foot</div>'
+    pages = [html.format(letters[k % 10] * (k // 50 + 1), k) for k in range(150)]
+    found = wrappers.main_text
+    root = Slot("")
+    for number, page in enumerate(pages[:10], 1):
+        learn(root, parse(page), number)
+        wrappers._turn(root, number)
+    monkeypatch.setattr(wrappers, "MOST_SLOTS", 8)
+    prune(root)
+    again = html.format("a", 7) + '<p class="u">other {}</p>'
+    for number in (101, 102, 103):
+        learn(root, parse(again.format(number)), number)
+        wrappers._turn(root, number)
+    wrappers.judge(root)
+    assert "text of page 7" in found(again.format(101), root)
+    paths = wrappers.shared_blocks(spark.createDataFrame([(f"http://h/{k}", p) for k, p in enumerate(pages)], "url string, html string"))
+    [row] = paths.collect()
+    texts = [found(p, root, set(row.shared)) for p in pages]
+    assert texts == [f"the own text of page {k}" for k in range(150)]
+
+
 def archived(spark, rows):
     folder = new_folder(spark, "test-warc")
     warc.write(spark.createDataFrame(rows, PAGES), folder)
