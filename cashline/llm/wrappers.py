@@ -23,6 +23,9 @@ ones and is no longer constant as a whole, so only slots that were never dropped
 what was dropped is judged by its path, for which nothing is dropped. Pages are then joined with the template
 of their host, as a skewed join that Spark splits, and each is extracted by itself.
 
+Trees are compared by simple tree matching to four levels below the slots to be aligned; siblings that differ
+only deeper are aligned by order alone.
+
 Defined results: a null or empty html has an empty text. Pages without a host, or alone on theirs, are
 judged by tags, class words and links only. Repeated pages each give their text. Unclosed, stray
 and unknown tags are read as browsers do, more or less. A very long page is parsed in one pass. An empty table
