@@ -22,14 +22,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
 
 
-def settled(df: DataFrame, name: str) -> DataFrame:
+def settled(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The rows written to the shared folder and read from there: lineage ends, lost executors cost nothing.
 
     The folder stays until the caller clears the shared folder, as the result may still be read.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -186,6 +186,47 @@ FROM d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
 
+# A mask per document, then every order of the five letters and every step of it.
+OP13_FILTER_AUDIT = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+        min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
+    FROM documents
+), l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id), m AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+        CASE WHEN len(words) < 100 THEN 1 ELSE 0 END
+        + CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 2 ELSE 0 END
+        + CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 10 * length(text) THEN 4 ELSE 0 END
+        + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+        + CASE WHEN d.doc_id > least THEN 16 ELSE 0 END AS mask
+    FROM d LEFT JOIN l ON l.doc_id = d.doc_id
+), c AS (SELECT part, mask, good, toxic, count(*) AS n FROM m GROUP BY ALL), f(letter, own) AS (
+    VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+), o AS (
+    SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+    FROM f a, f b, f c, f d, f e WHERE a.own + b.own + c.own + d.own + e.own = 31
+        AND len(list_distinct([a.own, b.own, c.own, d.own, e.own])) = 5
+), s AS (
+    SELECT filter_order, step, letter, own,
+        (SELECT coalesce(sum(g.own), 0) FROM f g WHERE contains(left(filter_order, step - 1), g.letter))::INTEGER AS before
+    FROM (SELECT filter_order, unnest(range(1, 6)) AS step FROM o) x JOIN f ON f.letter = substr(filter_order, step, 1)
+), a AS (
+    SELECT part, filter_order, step::INTEGER AS step, letter,
+        coalesce(sum(n) FILTER (mask & (own | before) = 0), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (mask & own <> 0 AND mask & before = 0), 0)::BIGINT AS removed,
+        coalesce(sum(n) FILTER (mask & own <> 0 AND mask & before <> 0), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+        coalesce(sum(n) FILTER (mask & own <> 0 AND mask & before = 0 AND good), 0)::BIGINT AS good_lost,
+        coalesce(sum(n) FILTER (mask & own <> 0 AND mask & before = 0 AND toxic), 0)::BIGINT AS toxic_lost
+    FROM c, s GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM a
+"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "op3_line_dedup": OP3_LINE_DEDUP,
@@ -195,4 +236,5 @@ def all_oracles() -> dict[str, str]:
         "op8_warc": OP8_WARC,
         "op9_quality_rules": OP9_QUALITY_RULES,
         "op10_minmax_dedup": OP10_MINMAX_DEDUP,
+        "op13_filter_audit": OP13_FILTER_AUDIT,
     }
