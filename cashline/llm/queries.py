@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cashline.llm import backoff_lm, decontamination, filter_audit, line_dedup, minmax_dedup, packing, quality_rules, secret_scan, token_files, warc, wrappers
+from cashline.llm import backoff_lm, decontamination, divergence, filter_audit, line_dedup, minmax_dedup, packing, quality_rules, secret_scan, token_files, warc, wrappers
 from cashline.llm.common import new_folder, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -79,6 +79,10 @@ def op10_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
     rows = filter_audit.judged(docs.select("doc_id", "lang", "text"))
@@ -88,6 +92,6 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     found = [
         op1_token_files, op2_wrappers, op3_line_dedup, op4_backoff_lm, op5_best_fit_packing, op6_decontamination, op7_secret_scan,
-        op8_warc, op9_quality_rules, op10_minmax_dedup, op13_filter_audit,
+        op8_warc, op9_quality_rules, op10_minmax_dedup, op11_divergence, op13_filter_audit,
     ]
     return {query.__name__: query for query in found}

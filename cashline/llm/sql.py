@@ -186,6 +186,45 @@ FROM d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
 
+# Counts per group and kept term, zeros included; then every two groups, and each group with its language.
+OP11_DIVERGENCE = r"""
+WITH t AS (
+    SELECT doc_id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (
+        SELECT row_number() OVER () AS doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+        FROM documents
+    )
+), g AS (SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents), k AS (
+    SELECT lang, term, count(*) AS lang_n FROM t GROUP BY lang, term HAVING count(DISTINCT doc_id) >= 10
+), c AS (
+    SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY lang, source, term
+), x AS (
+    SELECT g.lang, g.source, k.term, lang_n, coalesce(n, 0) AS n
+    FROM g JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), p AS (
+    SELECT lang, source, term, n,
+        1 + 1000000000::HUGEINT * (n + 2) // (sum(n) OVER s + 2 * count(*) OVER s)::HUGEINT AS p,
+        1 + 1000000000::HUGEINT * (lang_n + 2) // (sum(lang_n) OVER s + 2 * count(*) OVER s)::HUGEINT AS q
+    FROM x WINDOW s AS (PARTITION BY lang, source)
+), pairs AS (
+    SELECT g.lang, g.source, h.source AS item, coalesce(value, 0) AS value
+    FROM g JOIN g h ON h.lang = g.lang AND h.source <> g.source LEFT JOIN (
+        SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+        FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+    ) v ON v.lang = g.lang AND v.source = g.source AND v.item = h.source
+), terms AS (
+    SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value FROM p WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT lang, source, 'pair' AS part, item, value,
+        row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+    UNION ALL
+    SELECT * FROM (SELECT lang, source, 'term' AS part, item, value,
+        row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM terms) WHERE rank <= 10
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked
+"""
+
 # A mask per document, then every order of the five letters and every step of it.
 OP13_FILTER_AUDIT = r"""
 WITH d AS (
@@ -236,5 +275,6 @@ def all_oracles() -> dict[str, str]:
         "op8_warc": OP8_WARC,
         "op9_quality_rules": OP9_QUALITY_RULES,
         "op10_minmax_dedup": OP10_MINMAX_DEDUP,
+        "op11_divergence": OP11_DIVERGENCE,
         "op13_filter_audit": OP13_FILTER_AUDIT,
     }
