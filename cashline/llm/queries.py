@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cashline.llm import backoff_lm, decontamination, divergence, filter_audit, line_dedup, minmax_dedup, packing, quality_rules, secret_scan, token_files, warc, wrappers
+from cashline.llm import backoff_lm, byte_repeats, decontamination, divergence, filter_audit, line_dedup, minmax_dedup, packing, quality_rules, secret_scan, token_files, warc, wrappers
 from cashline.llm.common import new_folder, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -83,6 +83,12 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents").select("lang", "source", "text"))
 
 
+def op12_byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = byte_repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_spans = F.size("spans").cast("long").alias("n_spans")
+    return left.select("doc_id", "n_bytes", "n_removed", n_spans, F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
     rows = filter_audit.judged(docs.select("doc_id", "lang", "text"))
@@ -92,6 +98,6 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     found = [
         op1_token_files, op2_wrappers, op3_line_dedup, op4_backoff_lm, op5_best_fit_packing, op6_decontamination, op7_secret_scan,
-        op8_warc, op9_quality_rules, op10_minmax_dedup, op11_divergence, op13_filter_audit,
+        op8_warc, op9_quality_rules, op10_minmax_dedup, op11_divergence, op12_byte_repeats, op13_filter_audit,
     ]
     return {query.__name__: query for query in found}

@@ -225,6 +225,26 @@ WITH t AS (
 SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked
 """
 
+# Bytes as pairs of hex digits. Removed runs begin where no window before reaches, and kept text lies between them.
+OP12_BYTE_REPEATS = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents), w AS (
+    SELECT r, p, md5(substr(h, 2 * p + 1, 400)) AS content
+    FROM (SELECT r, h, unnest(range(0, length(h) // 2 - 199)) AS p FROM d WHERE length(h) >= 400)
+), hit AS (SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY content) AS n FROM w) WHERE n > 1), o AS (
+    SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS before FROM hit
+), s AS (
+    SELECT r, p, sum(CASE WHEN p - before <= 200 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY p) AS run FROM o
+), runs AS (SELECT r, run, min(p) AS a, max(p) + 200 AS b FROM s GROUP BY r, run), gaps AS (
+    SELECT r, run, a, coalesce(lag(b) OVER (PARTITION BY r ORDER BY run), 0) AS since FROM runs
+), k AS (
+    SELECT r, count(*) AS n_spans, string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY run) AS front
+    FROM gaps JOIN d USING (r) GROUP BY r
+), t AS (SELECT r, sum(b - a) AS n_removed, max(b) AS last FROM runs GROUP BY r)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(front, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k USING (r) LEFT JOIN t USING (r)
+"""
+
 # A mask per document, then every order of the five letters and every step of it.
 OP13_FILTER_AUDIT = r"""
 WITH d AS (
@@ -276,5 +296,6 @@ def all_oracles() -> dict[str, str]:
         "op9_quality_rules": OP9_QUALITY_RULES,
         "op10_minmax_dedup": OP10_MINMAX_DEDUP,
         "op11_divergence": OP11_DIVERGENCE,
+        "op12_byte_repeats": OP12_BYTE_REPEATS,
         "op13_filter_audit": OP13_FILTER_AUDIT,
     }
