@@ -37,7 +37,7 @@ CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
 FOLLOWING = bytes(range(0x80, 0xC0))  # bytes of UTF-8 that begin no code point
 
 HELD_BYTES, HELD_ROWS = 32 << 20, 100_000
-PART_BYTES = 16 << 20
+PART_BYTES = 256 << 10
 MOST_PREFIXES = 100_000
 FIRST_PREFIX = 16
 
