@@ -79,9 +79,21 @@ def overlapping_versions(
     )
 
 
+@dataclass(frozen=True)
+class KeyUse:
+    """A column that a check looks at as a key: of the parent rows, or of child rows that need a parent."""
+
+    parent: tuple[str, str]  # table and column
+    frame: Callable[[], DataFrame]
+    column: str
+
+
 @dataclass(frozen=True)
 class Check:
-    """A named query for offending rows. `counted` sums a count column instead of rows."""
+    """A named query for offending rows. `counted` sums a count column instead of rows.
+
+    `key` says that the check is about a key, and shares the counting of its values with others.
+    """
 
     name: str
     table: str
@@ -89,6 +101,7 @@ class Check:
     violations: Callable[[], DataFrame]
     severity: str = ERROR
     counted: str | None = None
+    key: KeyUse | None = None
 
     def summary(self) -> DataFrame:
         total = (
@@ -153,6 +166,66 @@ class Pass:
         )
 
 
+@dataclass(frozen=True)
+class SharedKeys:
+    """The checks about one key: that parents have it once, and that children have a parent with it.
+
+    Every value is counted once per column that holds it, all in one aggregation that combines in the map
+    tasks: one shuffle for all these checks, in which a value that a third of all children have is one row
+    per task.
+    """
+
+    parent: KeyUse
+    unique: Check | None
+    children: Sequence[Check]
+
+    def summary(self) -> DataFrame:
+        uses = [self.parent, *[c.key for c in self.children]]
+        ones = [F.lit(1).cast("bigint"), F.lit(0).cast("bigint")]
+
+        def values(place: int, use: KeyUse) -> DataFrame:
+            marks = [ones[place != n].alias(f"n{n}") for n in range(len(uses))]
+            return use.frame().select(F.col(use.column).alias("value"), *marks).dropna(subset=["value"])
+
+        every = reduce(DataFrame.union, [values(n, use) for n, use in enumerate(uses)])
+        by_value = every.groupBy("value").agg(*[F.sum(f"n{n}").alias(f"n{n}") for n in range(len(uses))])
+        orphan = F.col("n0") == 0
+        found = [(check, F.sum(F.when(orphan, F.col(f"n{n}")))) for n, check in enumerate(self.children, 1)]
+        if self.unique:
+            found.append((self.unique, F.sum(F.when(F.col("n0") > 1, 1))))
+        totals = by_value.agg(*[F.coalesce(total, F.lit(0)).cast("bigint").alias(f"c{n}") for n, (_, total) in enumerate(found)])
+        rows = [
+            F.struct(
+                F.lit(check.name).alias("check_name"),
+                F.lit(check.table).alias("table_name"),
+                F.lit(check.kind).alias("kind"),
+                F.lit(check.severity).alias("severity"),
+                F.col(f"c{n}").alias("n_violations"),
+            )
+            for n, (check, _) in enumerate(found)
+        ]
+        return totals.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def share_keys(checks: Sequence[Check], parents: Mapping[tuple[str, str], KeyUse]) -> list[Check | SharedKeys]:
+    """The same checks, those about one key as one. `parents` has the key column of each parent table."""
+    alone: list[Check | SharedKeys] = []
+    by_key: dict[tuple[str, str], list[Check]] = {}
+    for check in checks:
+        if check.key and check.key.parent in parents:
+            by_key.setdefault(check.key.parent, []).append(check)
+        else:
+            alone.append(check)
+    for key, found in by_key.items():
+        own = parents[key]
+        unique = [c for c in found if c.key == own]
+        same = own.frame().schema[own.column].dataType
+        children = [c for c in found if c.key != own and c.key.frame().schema[c.key.column].dataType == same]
+        alone += [c for c in found if c not in unique and c not in children]
+        alone.append(SharedKeys(own, unique[0] if unique else None, children))
+    return alone
+
+
 def with_status(summary: DataFrame) -> DataFrame:
     """Add `status`: pass, warn or fail."""
     status: Column = (
@@ -164,7 +237,7 @@ def with_status(summary: DataFrame) -> DataFrame:
 
 
 def run_checks(
-    spark: SparkSession, checks: Sequence[Check], passes: Sequence[Pass] = ()
+    spark: SparkSession, checks: Sequence[Check | SharedKeys], passes: Sequence[Pass] = ()
 ) -> DataFrame:
     """One row per check: name, table, kind, severity, number of violations, status."""
     parts = [check.summary() for check in [*passes, *checks]]

@@ -87,8 +87,22 @@ def scd2(
     told apart by their attributes, so a rerun gives the same history. A version ends the day
     before the next one starts.
     """
+    daily = daily_states(history, key=key, attributes=attributes, valid_from=valid_from, order_by=order_by)
+    return versions_of(daily, key=key, attributes=attributes, valid_from=valid_from, version_key=version_key)
+
+
+def daily_states(
+    history: DataFrame, *, key: str, attributes: Sequence[str], valid_from: str = "valid_from", order_by: Sequence[Column] = ()
+) -> DataFrame:
+    """One row per key and day on which anything was heard of it, the first in `order_by`."""
     told_apart = [F.desc(fingerprint(*attributes)), *[F.desc_nulls_last(a) for a in attributes]]
-    daily = one_per_day(history, key=key, day=valid_from, order_by=[*order_by, *told_apart])
+    return one_per_day(history, key=key, day=valid_from, order_by=[*order_by, *told_apart])
+
+
+def versions_of(
+    daily: DataFrame, *, key: str, attributes: Sequence[str], valid_from: str = "valid_from", version_key: str = "version_key"
+) -> DataFrame:
+    """The periods in which a key's attributes stayed the same, from one row per key and day."""
     changes = attribute_changes(
         daily.select(key, *attributes, valid_from), key=key, day=valid_from, attributes=attributes
     )
@@ -102,3 +116,38 @@ def scd2(
         F.col("next_start").isNull().alias("is_current"),
     )
 
+
+def changed_periods(
+    before: DataFrame, after: DataFrame, *, key: str, version_key: str, valid_from: str = "valid_from", valid_to: str = "valid_to"
+) -> DataFrame:
+    """The days (key, first_day, last_day) on which another version is in force after a change than before.
+
+    Both are type 2 histories of the same keys. Between two starts of either nothing changes, so each start
+    is looked at once, in one ordered pass over those of its key: the versions in force from there are
+    compared, and the days up to the next start count if they differ. A version that only ends sooner
+    keeps the days it keeps.
+    """
+
+    def starts(history: DataFrame, side: int) -> DataFrame:
+        version = F.struct(F.col(version_key).alias("id"), F.col(valid_to).alias("upto"))
+        none = F.lit(None).cast(f"struct<id: {history.schema[version_key].dataType.simpleString()}, upto: date>")
+        both = [version, none] if side == 0 else [none, version]
+        return history.select(F.col(key), F.col(valid_from).alias("first_day"), both[0].alias("old"), both[1].alias("new"))
+
+    # A start of both sides on one day is one row, so that the window over a key is bounded by the calendar.
+    days = starts(before, 0).unionByName(starts(after, 1)).groupBy(key, "first_day").agg(
+        F.max("old").alias("old"), F.max("new").alias("new")
+    )
+    in_order = Window.partitionBy(key).orderBy("first_day")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_force = [
+        F.when(F.col(f"{side}.upto") >= F.col("first_day"), F.col(f"{side}.id")).alias(side) for side in ("old", "new")
+    ]
+    located = days.select(
+        key,
+        "first_day",
+        *[F.last(side, ignorenulls=True).over(so_far).alias(side) for side in ("old", "new")],
+        F.coalesce(add_days(F.lead("first_day").over(in_order), -1), F.lit(OPEN_END)).alias("last_day"),
+    )
+    differs = located.select(key, "first_day", "last_day", *in_force).filter(~F.col("old").eqNullSafe(F.col("new")))
+    return differs.select(key, "first_day", "last_day")

@@ -80,16 +80,16 @@ def order_to_invoice_days(billing: DataFrame, sales: DataFrame) -> DataFrame:
 
 
 def shipped_against_ordered(sales: DataFrame, deliveries: DataFrame) -> DataFrame:
-    """Shipped and ordered quantity per order item; items never shipped show zero."""
-    shipped = deliveries.groupBy("sales_order_item_key").agg(
+    """Shipped and ordered quantity per order item; items never shipped show zero.
+
+    Deliveries are summed by the number of their order item, which they carry, and not by its key,
+    which they would first have to look up.
+    """
+    shipped = deliveries.groupBy("sales_order_id", "sales_order_item_no").agg(
         F.sum("shipped_qty").alias("shipped_qty"), F.count("*").alias("n_deliveries")
     )
-    items = lookup(
-        sales,
-        shipped,
-        {"sales_order_item_key": "sales_order_item_key"},
-        ["shipped_qty", "n_deliveries"],
-    )
+    on = {"sales_order_id": "sales_order_id", "item_no": "sales_order_item_no"}
+    items = lookup(sales, shipped, on, ["shipped_qty", "n_deliveries"])
     shipped_qty = F.coalesce("shipped_qty", F.lit(0)).cast("decimal(28,3)")
     return items.select(
         "sales_order_item_key",

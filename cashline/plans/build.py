@@ -2,37 +2,33 @@
 
 Models are nodes of a graph and are built in waves, each as soon as its parents are there. A model
 that cannot be built, or that fails a check of severity error, keeps only what depends on it from being
-built. Every build of a table is written to a folder of its own, and readers are pointed to it by a row
-in the build log, which is written last: a build that dies or fails leaves the table as it was.
+built. Every build of a table is written to a folder of its own, and readers are pointed to all of them at
+once by a row in the build log, which is written last: a build that dies leaves every table as it was, and
+nobody sees new dimensions beside old facts.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from uuid import uuid4
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cashline.operators.joins import estimated_bytes
 from cashline.plans import marts
+from cashline.plans.commits import Entry, commit, current_tables, remove_old_builds
 from cashline.plans.quality import SEED, check_tables
 from cashline.plans.staging import STAGING, stage
 from cashline.session import configure, sized_shuffles
 from cashline.sources.raw import LoadResult, load_extracts, raw_tables
 from cashline.sources.seeds import exchange_rates
-from cashline.storage import folders_in, remove_folder
 
-Tables = Mapping[str, DataFrame]
-
-BUILD_LOG = "_builds"
-BUILD_LOG_SCHEMA = "table_name string, layer string, path string, built_at timestamp"
+__all__ = ["MODELS", "BuildResult", "CheckFailed", "Model", "Outcome", "all_tables", "build_all", "build_models", "current_tables", "remove_old_builds", "sources"]
 
+Tables = Mapping[str, DataFrame]
 
 class CheckFailed(Exception):
     """Models could not be built or failed checks of severity error; what depends on them was not built."""
@@ -92,6 +88,7 @@ class BuildResult:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     checks: list = field(default_factory=list)
     outcomes: list[Outcome] = field(default_factory=list)
+    build_id: str | None = None
 
     def problems(self) -> str:
         return "; ".join(f"{o.table_name}: {o.reason}" for o in self.outcomes if o.status in (FAILED, ERROR))
@@ -110,58 +107,6 @@ def all_tables(raw: Tables, rates: DataFrame) -> dict[str, DataFrame]:
     return {name: df for name, df in tables.items() if not name.startswith("raw.")}
 
 
-def build_log(spark: SparkSession, out_dir: str) -> DataFrame:
-    """One row per table and build that readers were pointed to."""
-    try:
-        return spark.read.schema(BUILD_LOG_SCHEMA).parquet(f"{out_dir}/{BUILD_LOG}")
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
-            raise
-        return spark.createDataFrame([], BUILD_LOG_SCHEMA)
-
-
-def current_paths(spark: SparkSession, out_dir: str) -> dict[str, tuple[str, str]]:
-    """Layer and folder of the newest build of each table, about twenty."""
-    newest = build_log(spark, out_dir).groupBy("table_name", "layer").agg(
-        F.max(F.struct("built_at", "path")).alias("newest")
-    )
-    return {r["table_name"]: (r["layer"], f"{out_dir}/{r['newest']['path']}") for r in newest.collect()}
-
-
-def current_tables(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
-    """The newest build of each table."""
-    return {name: spark.read.parquet(path) for name, (_, path) in current_paths(spark, out_dir).items()}
-
-
-def _point_to(spark: SparkSession, out_dir: str, paths: Iterable[tuple[str, str, str]]) -> None:
-    now = dt.datetime.now(dt.timezone.utc)
-    rows = [(*row, now) for row in paths]
-    if rows:
-        log = spark.createDataFrame(rows, BUILD_LOG_SCHEMA).coalesce(1)
-        log.write.mode("append").parquet(f"{out_dir}/{BUILD_LOG}")
-
-
-def remove_old_builds(spark: SparkSession, out_dir: str, keep: int = 2) -> list[str]:
-    """Delete the folders of all but the newest `keep` builds of each table, and of builds that failed.
-
-    Not to be called while a build runs or readers use an old one. Names what was deleted.
-    """
-    kept: dict[str, list[str]] = {}
-    for row in build_log(spark, out_dir).orderBy(F.desc("built_at")).collect():
-        paths = kept.setdefault(f"{row['layer']}/{row['table_name']}", [])
-        if len(paths) < keep:
-            paths.append(row["path"])
-    gone = [
-        f"{table}/{build}"
-        for table, paths in kept.items()
-        for build in folders_in(spark, f"{out_dir}/{table}")
-        if f"{table}/{build}" not in paths
-    ]
-    for path in gone:
-        remove_folder(spark, f"{out_dir}/{path}")
-    return gone
-
-
 def build_models(
     spark: SparkSession,
     start: Tables,
@@ -172,7 +117,7 @@ def build_models(
     threads: int = 4,
     stop_on_failure: bool = True,
 ) -> BuildResult:
-    """Build the models from the tables in `start`, check them, and point readers to those that pass.
+    """Build the models from the tables in `start`, check them, and at the end point readers to those that pass.
 
     With `stop_on_failure` off, a failed check is reported only. A model whose build raises always keeps
     what depends on it from being built.
@@ -180,6 +125,7 @@ def build_models(
     build = f"build-{uuid4().hex}"
     tables = dict(start)
     status = {name: BUILT for name in start}
+    pointed: list[Entry] = []
 
     def write(name: str, frame: Callable[[], DataFrame], layer: str) -> tuple[str, DataFrame | Exception]:
         path = f"{out_dir}/{layer}/{name}/{build}"
@@ -200,7 +146,6 @@ def build_models(
         checkable = {n: df for n, df in tables.items() if not n.startswith("raw.") and status.get(n, BUILT) == BUILT}
         found = check_tables(spark, checkable, set(good)).collect() if good else []
         result.checks += found
-        pointed = []
         for name, (layer, _) in ready.items():
             failed = [r for r in found if r["table_name"] == name and r["status"] == "fail"]
             if name not in good:
@@ -213,8 +158,7 @@ def build_models(
             result.outcomes.append(Outcome(name, layer, FAILED if failed else status[name], reason))
             if status[name] == BUILT:
                 result.tables[name] = good[name]
-                pointed.append((name, layer, f"{layer}/{name}/{build}"))
-        _point_to(spark, out_dir, pointed)
+                pointed.append(Entry(name, layer, f"{layer}/{name}/{build}"))
 
     if SEED in start:
         del status[SEED]
@@ -233,6 +177,9 @@ def build_models(
         able = {n: (m.layer, lambda m=m: m.make(tables)) for n, m in ready.items() if not blocked[n]}
         if able:
             wave(able)
+    if pointed:
+        commit(spark, out_dir, build, pointed)
+        result.build_id = build
     return result
 
 

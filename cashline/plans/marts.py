@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cashline.functions import (
     date_from_file_name,
     days_between,
+    fingerprint,
     sap_text,
     surrogate_key,
     to_reporting_currency,
@@ -20,9 +21,9 @@ from cashline.schema import LOADED_AT, SOURCE_FILE
 CUSTOMER_ATTRIBUTES = ["customer_name", "city", "region", "country_code"]
 
 
-def dim_customer(raw_kna1: DataFrame) -> DataFrame:
-    """Customer versions, from every raw row: a version starts on its extract file's date."""
-    history = raw_kna1.select(
+def customer_history(raw_kna1: DataFrame) -> DataFrame:
+    """Every customer row as a state on the date of its extract file."""
+    return raw_kna1.select(
         sap_text("KUNNR").alias("customer_id"),
         sap_text("NAME1").alias("customer_name"),
         sap_text("ORT01").alias("city"),
@@ -32,8 +33,16 @@ def dim_customer(raw_kna1: DataFrame) -> DataFrame:
         LOADED_AT,
         SOURCE_FILE,
     )
+
+
+def customer_fingerprint() -> Column:
+    return fingerprint(*CUSTOMER_ATTRIBUTES)
+
+
+def dim_customer(raw_kna1: DataFrame) -> DataFrame:
+    """Customer versions, from every raw row: a version starts on its extract file's date."""
     return scd2(
-        history,
+        customer_history(raw_kna1),
         key="customer_id",
         attributes=CUSTOMER_ATTRIBUTES,
         order_by=load_order(),
@@ -175,16 +184,18 @@ def fct_billing_items(
 
 
 def fct_delivery_items(
-    lips: DataFrame, likp: DataFrame, sales_items: DataFrame, customers: DataFrame | None
+    lips: DataFrame, likp: DataFrame, sales_items: DataFrame | None, customers: DataFrame | None
 ) -> DataFrame:
-    """Shipped quantity against each order item, and days from order to delivery."""
+    """Shipped quantity against each order item, and days from order to delivery.
+
+    Without order items (`sales_items`) what is looked up in them is left out.
+    """
     headers = _with_customer(likp, customers, "ship_to_customer_id", "delivery_date")
-    facts = lookup(
-        with_header(lips, headers, "delivery_id", ["delivery_date", "customer_key"]),
-        sales_items,
-        {"sales_order_id": "sales_order_id", "sales_order_item_no": "item_no"},
-        ["sales_order_item_key", "order_date"],
-    )
+    facts = with_header(lips, headers, "delivery_id", ["delivery_date", "customer_key"])
+    if sales_items is not None:
+        on = {"sales_order_id": "sales_order_id", "sales_order_item_no": "item_no"}
+        facts = lookup(facts, sales_items, on, ["sales_order_item_key", "order_date"])
+    looked_up = sales_items is not None
     return _read_only(
         facts,
         customers,
@@ -194,14 +205,13 @@ def fct_delivery_items(
         "item_no",
         "delivery_date",
         "customer_key",
-        "sales_order_item_key",
+        *["sales_order_item_key"] * looked_up,
         "sales_order_id",
         "sales_order_item_no",
         "material_id",
         "shipped_qty",
         "sales_unit",
-        "order_date",
-        days_between("delivery_date", "order_date").alias("days_order_to_delivery"),
+        *["order_date", days_between("delivery_date", "order_date").alias("days_order_to_delivery")] * looked_up,
     )
 
 

@@ -101,7 +101,8 @@ RAW = {
     "LIPS": f"""select {_pad("l_orderkey + 70000000", 10)} as VBELN, {POSITION} as POSNR,
         {_pad("l_orderkey", 10)} as VGBEL, if(l_suppkey % 40 = 3, '000098', {POSITION}) as VGPOS,
         {_pad("l_partkey", 18)} as MATNR,
-        cast(cast(if(l_returnflag = 'N', 0, l_quantity / 2) as decimal(18,3)) as varchar) as LFIMG, 'EA' as VRKME,
+        cast(cast(case when l_partkey % 50 = 1 then l_quantity + 100 when l_returnflag = 'N' then 0
+            else l_quantity / 2 end as decimal(18,3)) as varchar) as LFIMG, 'EA' as VRKME,
         {_ymd(SHIP_DAY)} as ERDAT, '' as AEDAT, {_item_lineage("LIPS")}
         from lineitem""",
     "BSID": f"""select {_receivable("cast(o_totalprice as decimal(18,2)) + if(o_orderkey % 200 = 7, 1, 0)")},
@@ -761,4 +762,12 @@ def all_oracles() -> dict[str, str]:
             from receivables group by all""",
         ),
     }
-    return generic | staging | models | rules | questions
+    refreshed = {
+        "refreshed_orders": staging["stg_sap__vbak"],
+        "spliced_customers": models["dim_customer"],
+        "refreshed_sales_items": models["fct_sales_order_items"],
+        "refreshed_billing_items": models["fct_billing_items"],
+        "refreshed_delivery_items": models["fct_delivery_items"],
+        "refreshed_receivable_items": models["fct_receivable_items"],
+    }
+    return generic | staging | models | rules | questions | refreshed

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cashline.plans.build import current_paths
+from cashline.plans.commits import Stored, stored_tables
 from cashline.schema import LOADED_AT, RAW_COLUMNS, SOURCE_FILE
 from cashline.sources.raw import LOG_NAME, load_log
 
-def publish(spark: SparkSession, out_dir: str) -> list[str]:
+
+def publish(spark: SparkSession, out_dir: str, build_id: str | None = None) -> list[str]:
     """Create one database per layer with a view per table, and name the views.
 
-    Views of built tables show the newest build that passed its checks; publish again after a
-    build. Raw views show the files in the load log whenever they are queried.
+    Views of built tables show one build, the newest unless one is named, whatever is built meanwhile;
+    publish again after a build. Raw views show the files in the load log whenever they are queried.
     """
     log = f"parquet.`{out_dir}/raw/{LOG_NAME}`"
     loaded = {
@@ -31,8 +32,9 @@ def publish(spark: SparkSession, out_dir: str) -> list[str]:
                 f"select {columns} from parquet.`{out_dir}/raw/{table}` "
                 f"where {SOURCE_FILE} in (select file_name from {log})"
             )
-    built = current_paths(spark, out_dir)
-    views |= {f"{layer}.{name}": f"select * from parquet.`{path}`" for name, (layer, path) in built.items()}
+    for name, table in stored_tables(spark, out_dir, build_id).items():
+        if table.layer != "state":
+            views[f"{table.layer}.{name}"] = _query(spark, out_dir, table)
     for layer in ("raw", "seeds", "staging", "marts"):
         spark.sql(f"create database if not exists {layer}")
     for name, query in views.items():
@@ -40,6 +42,13 @@ def publish(spark: SparkSession, out_dir: str) -> list[str]:
     return list(views)
 
 
+def _query(spark: SparkSession, out_dir: str, table: Stored) -> str:
+    """All folders of a table as one glob; a table without any is empty."""
+    columns = table.read(spark).columns if table.columns else ["*"]
+    within = [path.removeprefix(f"{out_dir}/") for path in table.paths.values()]
+    return f"select {', '.join(columns)} from parquet.`{out_dir}/{{{','.join(within)}}}`"
+
+
 def as_temp_views(tables: dict[str, DataFrame]) -> None:
     """Register lazy tables under their own names, for SQL without a build."""
     for name, df in tables.items():

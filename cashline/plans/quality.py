@@ -11,11 +11,13 @@ from cashline.operators.checks import (
     ERROR,
     WARN,
     Check,
+    KeyUse,
     Pass,
     duplicate_values,
     missing_parents,
     overlapping_versions,
     run_checks,
+    share_keys,
 )
 from cashline.operators.joins import same_key, with_header
 from cashline.plans.staging import STAGING
@@ -156,21 +158,35 @@ def receivable_differs_from_invoice(receivables: DataFrame, invoices: DataFrame)
 
 
 def shipped_over_ordered(deliveries: DataFrame, sales: DataFrame) -> DataFrame:
-    """Delivery items with more than the ordered quantity of their order item."""
-    joined = with_header(deliveries, sales, "sales_order_item_key", ["ordered_qty"])
+    """Delivery items with more than the ordered quantity of their order item.
+
+    Met by the order item's own number, so that deliveries need not look up its key before.
+    """
+    ordered = sales.select(F.col("sales_order_id").alias("__order"), F.col("item_no").alias("__item"), "ordered_qty")
+    shipped = deliveries.select("delivery_item_key", "sales_order_id", "sales_order_item_no", "shipped_qty")
+    on = {"sales_order_id": "__order", "sales_order_item_no": "__item"}
+    joined = shipped.join(ordered, same_key(shipped, ordered, on), "inner")
     return joined.filter(F.col("shipped_qty") > F.col("ordered_qty")).select(
         "delivery_item_key", "shipped_qty", "ordered_qty"
     )
 
 
+def parent_keys(tables: Tables) -> dict[tuple[str, str], KeyUse]:
+    """The key columns that checks are about, by table and column."""
+    named = [*UNIQUE, *[(parent, column) for _, _, parent, column, _ in RELATIONSHIPS]]
+    return {(t, c): KeyUse((t, c), lambda t=t: tables[t], c) for t, c in dict.fromkeys(named) if t in tables}
+
+
 def generic_checks(tables: Tables) -> list[Check]:
     """Unique and relationship checks whose tables are all given."""
+    keys = parent_keys(tables)
     checks = [
         Check(
             f"unique_{table}_{column}",
             table,
             "unique",
             lambda t=table, c=column: duplicate_values(tables[t], [c]),
+            key=keys[table, column],
         )
         for table, column in UNIQUE
         if table in tables
@@ -196,6 +212,7 @@ def generic_checks(tables: Tables) -> list[Check]:
             ),
             severity,
             "n_records",
+            KeyUse((parent, parent_column), lambda c=child: tables[c], column),
         )
         for child, column, parent, parent_column, severity in RELATIONSHIPS
         if child in tables and parent in tables
@@ -272,5 +289,8 @@ def check_tables(spark: SparkSession, tables: Tables, only: set[str] | None = No
     def wanted(checks: list) -> list:
         return [check for check in checks if only is None or check.table in only]
 
-    checks = wanted([*generic_checks(tables), *business_checks(tables)])
-    return run_checks(spark, checks, wanted(table_passes(tables)))
+    generic = generic_checks(tables)
+    # The uses that `generic_checks` names, so that a unique check is known as that of its parent.
+    parents = {c.key.parent: c.key for c in generic if c.key and c.kind == "unique"}
+    shared = share_keys(wanted(generic), {**parent_keys(tables), **parents})
+    return run_checks(spark, [*shared, *wanted(business_checks(tables))], wanted(table_passes(tables)))

@@ -46,6 +46,7 @@ from cashline.operators.versions import (
 from cashline.plans import analysis, marts, quality, testbed
 from cashline.plans.build import MODELS, BuildResult, build_models, current_tables, sources
 from cashline.plans.publish import publish
+from cashline.plans.refresh import needed_for, refresh_tables
 from cashline.plans.staging import STAGING, clean_bad_dates, stage
 from cashline.plans.testbed import pad, table
 from cashline.schema import RAW_COLUMNS
@@ -108,7 +109,8 @@ class StarSchema:
 
     @cached_property
     def deliveries_alone(self) -> DataFrame:
-        return marts.fct_delivery_items(self.stg("lips"), self.stg("likp"), self.sales_alone, None)
+        """Delivery items without customer versions and without what they look up in order items."""
+        return marts.fct_delivery_items(self.stg("lips"), self.stg("likp"), None, None)
 
     @cached_property
     def billing(self) -> DataFrame:
@@ -699,6 +701,45 @@ def build_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, layer string, status string")
 
 
+# ---- Refreshes ------------------------------------------------------------------------------
+
+
+def _refreshed(
+    spark: SparkSession, sf_dir: str, name: str, part_of: Callable[[str, Column], Column], parts: Sequence[int]
+) -> DataFrame:
+    """A table after refreshes that each bring the rows of one part; the part of a row goes by the day of its file."""
+    folder = _folder(spark, "refresh")
+    wanted = needed_for([name])
+    raws = [spec.raw for table, spec in STAGING.items() if table in wanted]
+    raws += ["KNA1"] if "dim_customer" in wanted else []
+    for part in parts:
+        own = lambda raw: part_of(raw, date_from_file_name("_source_file")) == part  # noqa: E731,B023
+        rows = {raw: testbed.RAW_VIEWS[raw](spark, sf_dir).filter(own(raw)) for raw in raws}
+        refresh_tables(spark, folder, rows, only=[name], n_buckets=16)
+    return current_tables(spark, folder)[name]
+
+
+def refreshed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders after three refreshes, of files until 1994, until 1996, and of the later ones."""
+    period = lambda _, day: F.when(day < "1995-01-01", 0).when(day < "1997-01-01", 1).otherwise(2)
+    return _refreshed(spark, sf_dir, "stg_sap__vbak", period, (0, 1, 2))
+
+
+def spliced_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer history after refreshes that bring every third day, those in the middle first and the first ones last."""
+    return _refreshed(spark, sf_dir, "dim_customer", lambda _, day: F.pmod(F.unix_date(day), F.lit(3)), (1, 2, 0))
+
+
+def refreshed_fact(name: str) -> Query:
+    """Facts after two refreshes: every other day of customer history comes late, and so do some documents."""
+
+    def part(raw: str, day: Column) -> Column:
+        every = 2 if raw == "KNA1" else 10
+        return (F.pmod(F.unix_date(day), F.lit(every)) == 0).cast("int")
+
+    return lambda spark, sf_dir: _refreshed(spark, sf_dir, name, part, (0, 1))
+
+
 FLAGSHIP = "fct_items"
 
 
@@ -748,6 +789,12 @@ def all_queries() -> dict[str, Query]:
         "published_view": published_view,
         "declared_checks": declared_checks,
         "build_report": build_report,
+        "refreshed_orders": refreshed_orders,
+        "spliced_customers": spliced_customers,
+        "refreshed_sales_items": refreshed_fact("fct_sales_order_items"),
+        "refreshed_billing_items": refreshed_fact("fct_billing_items"),
+        "refreshed_delivery_items": refreshed_fact("fct_delivery_items"),
+        "refreshed_receivable_items": refreshed_fact("fct_receivable_items"),
         "load_skip": load_skip,
         "file_row_counts": file_row_counts,
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -198,17 +199,36 @@ def clean(raw: DataFrame, spec: StagingSpec) -> DataFrame:
     return raw.select(*typed, LOADED_AT, SOURCE_FILE)
 
 
-def stage(raw: DataFrame, name: str) -> DataFrame:
-    """The staging table `name`: the latest version of each business key.
+def _content(columns: Sequence[str], spec: StagingSpec) -> Column:
+    return F.xxhash64(*[c for c in columns if c not in spec.keys])
+
+
+def newest_versions(raw: DataFrame, name: str) -> DataFrame:
+    """The latest version of each business key, with its lineage columns.
 
     Rows that tie in change date, load and file are told apart by a hash of their content, so that
     a repeated task, or another query, picks the same one; one hash sorts faster than all columns.
     """
     spec = STAGING[name]
     versions = clean(raw, spec)
-    content = F.desc(F.xxhash64(*[c for c in versions.columns if c not in spec.keys]))
-    latest = latest_version(versions, spec.keys, [*spec.newest_first(), content])
-    return latest.drop(LOADED_AT, SOURCE_FILE)
+    content = F.desc(_content(versions.columns, spec))
+    return latest_version(versions, spec.keys, [*spec.newest_first(), content])
+
+
+def version_rank(columns: Sequence[str], name: str) -> Column:
+    """What `newest_versions` picks the greatest of, as one value to compare versions of a key by.
+
+    In a struct NULL is the least value, as it is where undated rows come last. `columns` are those of
+    the versions, in their order.
+    """
+    spec = STAGING[name]
+    changed = [F.coalesce(spec.changed_on, "created_on")] if spec.changed_on else []
+    return F.struct(*changed, LOADED_AT, SOURCE_FILE, _content(columns, spec))
+
+
+def stage(raw: DataFrame, name: str) -> DataFrame:
+    """The staging table `name`: the latest version of each business key."""
+    return newest_versions(raw, name).drop(LOADED_AT, SOURCE_FILE)
 
 
 def clean_bad_dates(raw: DataFrame, name: str) -> DataFrame:

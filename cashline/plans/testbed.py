@@ -299,8 +299,9 @@ def lips(spark: SparkSession, sf_dir: str) -> DataFrame:
             "VGBEL": pad("l_orderkey", 10),
             "VGPOS": F.when(F.col("l_suppkey") % 40 == 3, "000098").otherwise(position),
             "MATNR": pad("l_partkey", 18),
-            # Lines that were never returned are not shipped yet.
-            "LFIMG": F.when(F.col("l_returnflag") == "N", F.lit(0))
+            # Some lines are shipped over; of the others, those that were never returned are not shipped yet.
+            "LFIMG": F.when(F.col("l_partkey") % 50 == 1, F.col("l_quantity").cast("decimal(18,3)") + 100)
+            .when(F.col("l_returnflag") == "N", F.lit(0))
             .otherwise(F.col("l_quantity").cast("decimal(18,3)") / 2)
             .cast("decimal(18,3)")
             .cast("string"),

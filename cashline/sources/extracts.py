@@ -73,7 +73,7 @@ def discover(spark: SparkSession, extracts_dir: str) -> DataFrame:
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
     try:
-        listing = reader.load(table_folders(extracts_dir))
+        listing = reader.load(table_folders(extracts_dir)).select("path")
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
             raise
@@ -82,10 +82,19 @@ def discover(spark: SparkSession, extracts_dir: str) -> DataFrame:
         except AnalysisException:
             raise LoadError(f"there is no folder of extracts at {extracts_dir}") from None
         return spark.createDataFrame([], "table_name string, file_name string, path string")
+    return named_extracts(listing.union(empty_extracts(spark, extracts_dir)))
+
+
+def empty_extracts(spark: SparkSession, extracts_dir: str) -> DataFrame:
+    """Paths of the extract files of length zero, which Spark's listings leave out."""
     empty = empty_files(spark, f"{table_folders(extracts_dir)}/*.csv")
-    listing = listing.select("path").union(spark.createDataFrame([(p,) for p in empty], "path string"))
+    return spark.createDataFrame([(p,) for p in empty], "path string")
+
+
+def named_extracts(paths: DataFrame) -> DataFrame:
+    """Those of the paths that are extract files, as (table_name, file_name, path)."""
     parts = F.split("path", "/")
-    named = listing.select(
+    named = paths.select(
         F.element_at(parts, -2).alias("table_name"), F.element_at(parts, -1).alias("file_name"), "path"
     )
     return named.filter(F.startswith("file_name", F.concat("table_name", F.lit("_"))))

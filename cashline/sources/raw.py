@@ -24,7 +24,8 @@ from cashline.sources.extracts import (
     inspect_files,
     scan,
 )
-from cashline.storage import remove_folder
+from cashline.sources.claims import EXPIRES, Claims
+from cashline.storage import append_rows, remove_folder
 
 LOG_NAME = "_load_log"
 
@@ -36,9 +37,11 @@ class LoadResult:
     files_loaded: int = 0
     files_skipped: int = 0
     rows_loaded: int = 0
+    files_claimed: int = 0  # by loads that were not finished with them
 
     def __str__(self) -> str:
-        return f"loaded {self.files_loaded} files ({self.rows_loaded} rows), skipped {self.files_skipped}"
+        claimed = f", left {self.files_claimed} to other loads" if self.files_claimed else ""
+        return f"loaded {self.files_loaded} files ({self.rows_loaded} rows), skipped {self.files_skipped}{claimed}"
 
 
 def _read_or_empty(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
@@ -78,7 +81,12 @@ def not_yet_loaded(files: DataFrame, log: DataFrame) -> DataFrame:
 
 
 def load_extracts(
-    spark: SparkSession, extracts_dir: str, raw_dir: str, *, max_record_bytes: int = MAX_RECORD_BYTES
+    spark: SparkSession,
+    extracts_dir: str,
+    raw_dir: str,
+    *,
+    max_record_bytes: int = MAX_RECORD_BYTES,
+    claim_expires: float = EXPIRES,
 ) -> LoadResult:
     """Load every extract file that has not been loaded yet. Running it again adds nothing.
 
@@ -86,23 +94,52 @@ def load_extracts(
     LoadError then names them all, and nothing of a bad file is kept. A file with a record of more
     than `max_record_bytes` bytes is bad, on one line or on several.
 
-    One load at a time: two at once would both log the files that are new to both.
+    Several loads may run at once: each file is loaded by the one that claims it first, and the others
+    leave it. A claim whose load has died holds for `claim_expires` seconds, which must be more than a
+    load takes.
     """
     files = discover(spark, extracts_dir)
-    new = not_yet_loaded(files, load_log(spark, raw_dir)).select("table_name", "file_name", "path")
-    listing = [tuple(row) for row in new.collect()]  # names of new files only, no contents
+    return load_files(spark, files, raw_dir, max_record_bytes=max_record_bytes, claim_expires=claim_expires)
+
+
+def load_files(
+    spark: SparkSession,
+    files: DataFrame,
+    raw_dir: str,
+    *,
+    max_record_bytes: int = MAX_RECORD_BYTES,
+    claim_expires: float = EXPIRES,
+) -> LoadResult:
+    """The same for the files (table_name, file_name, path) that are named."""
+    n_files = files.count()
+    wanted = _listing(spark, files, raw_dir)
+    claims = Claims(spark, raw_dir, claim_expires)
     scratch = f"{work_folder(spark, raw_dir)}/load-{uuid4().hex}"
     try:
+        own = claims.take(name for _, name, _ in wanted)
+        # Another load may have finished a file after we looked, and before we claimed it.
+        fresh = {row[1] for row in _listing(spark, files, raw_dir)} if own else set()
+        listing = [row for row in wanted if row[1] in own & fresh]
         good, problems = inspect_files(spark, listing, scratch, max_record_bytes)
-        rows = _append(spark, good, raw_dir, scratch)
+        rows = _append(spark, good, raw_dir, scratch, claims)
     finally:
+        claims.give_back()
         remove_folder(spark, scratch)
     if problems:
         raise LoadError("; ".join(f"{path}: {text}" for path, text in sorted(problems.items())))
-    return LoadResult(len(good), files.count() - len(listing), rows)
+    claimed = len(wanted) - len(own)
+    return LoadResult(len(good), n_files - len(listing) - claimed, rows, claimed)
 
 
-def _append(spark: SparkSession, files: list[Extract], raw_dir: str, scratch: str, threads: int = 4) -> int:
+def _listing(spark: SparkSession, files: DataFrame, raw_dir: str) -> list[tuple[str, str, str]]:
+    """Table, name and path of the files not in the log: names of new files only, no contents."""
+    new = not_yet_loaded(files, load_log(spark, raw_dir)).select("table_name", "file_name", "path")
+    return [tuple(row) for row in new.collect()]
+
+
+def _append(
+    spark: SparkSession, files: list[Extract], raw_dir: str, scratch: str, claims: Claims, threads: int = 4
+) -> int:
     """Write data, verify it, then log it. Dying in between costs only a repeated write:
 
     each file owns one partition, which a rerun replaces. Tables are written side by side.
@@ -128,10 +165,10 @@ def _append(spark: SparkSession, files: list[Extract], raw_dir: str, scratch: st
 
     with ThreadPoolExecutor(threads) as pool:
         list(pool.map(inheritable_thread_target(spark)(write), by_table))
+    if lost := claims.lost():
+        raise LoadError(f"{raw_dir}: other loads have claimed {', '.join(lost)} as this one took longer than its claims hold")
     entries = [(f.file_name, f.table, f.row_count, loaded_at) for f in files]
-    spark.createDataFrame(entries, LOAD_LOG).coalesce(1).write.mode("append").parquet(
-        f"{raw_dir}/{LOG_NAME}"
-    )
+    append_rows(spark, spark.createDataFrame(entries, LOAD_LOG), f"{raw_dir}/{LOG_NAME}")
     return sum(f.row_count for f in files)
 
 

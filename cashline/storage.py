@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import time
+from uuid import uuid4
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -25,6 +29,11 @@ def folders_in(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in files.listStatus(where) if s.isDirectory()]
 
 
+def escaped(spark: SparkSession, value: str) -> str:
+    """A partition value as it stands in the name of its folder."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
 def empty_files(spark: SparkSession, pattern: str) -> list[str]:
     """Paths of the files of length zero that match a pattern; scans pass over these."""
     files, where = _file_system(spark, pattern)
@@ -48,3 +57,42 @@ def move_files(spark: SparkSession, source: str, target: str) -> None:
     files.mkdirs(path(target))
     for status in files.listStatus(where):
         files.rename(status.getPath(), path(f"{target}/{status.getPath().getName()}"))
+
+
+def append_rows(spark: SparkSession, rows: DataFrame, folder: str) -> None:
+    """Add a few rows to a Parquet folder as one file, which is written aside and then renamed into it.
+
+    Two writers may do so at once; Spark's own append would have them share a temporary folder, which
+    the first one to finish deletes.
+    """
+    aside = f"{folder}-{uuid4().hex}"
+    rows.coalesce(1).write.parquet(aside)
+    files, where = _file_system(spark, aside)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files.mkdirs(path(folder))
+    for status in files.listStatus(where):
+        name = status.getPath().getName()
+        if name.startswith("part-") and not files.rename(status.getPath(), path(f"{folder}/{name}")):
+            raise OSError(f"cannot move {status.getPath()} into {folder}")
+    files.delete(where, True)
+
+
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Make an empty file, or say that there is one already. Of several that try at once, one makes it."""
+    files, where = _file_system(spark, path)
+    try:
+        files.create(where, False).close()
+    except Py4JJavaError as error:
+        if not files.exists(where):
+            raise OSError(str(error.java_exception)) from error
+        return False
+    return True
+
+
+def ages(spark: SparkSession, folder: str) -> dict[str, float]:
+    """Seconds since each file directly in a folder was written, by name."""
+    files, where = _file_system(spark, folder)
+    if not files.exists(where):
+        return {}
+    now = time.time()
+    return {s.getPath().getName(): now - s.getModificationTime() / 1000 for s in files.listStatus(where) if s.isFile()}

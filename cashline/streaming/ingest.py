@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from cashline.session import work_folder
-from cashline.sources.extracts import table_folders
-from cashline.sources.raw import load_extracts
+from cashline.sources.extracts import empty_extracts, named_extracts, table_folders
+from cashline.sources.raw import load_files
 
 LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -17,9 +17,11 @@ def stream_extracts(
 ) -> StreamingQuery:
     """Load what is new in the extracts folder, as a query that stops when all is loaded.
 
-    The stream only watches for new files; each batch then loads what the load log does not
-    name yet. The log alone decides, so a batch replayed after a failure adds nothing twice.
-    A bad file fails the query, after the good ones are loaded, until it is repaired.
+    Each batch checks and appends its own files, and those alone: which files are new is the state that
+    the stream keeps in its checkpoint. The load log still has the last word, so a batch replayed after a
+    failure, or a stream that begins with a new checkpoint, adds nothing twice. A bad file fails the
+    query, after the good ones are loaded, until it is repaired. Files of length zero, which are bad and
+    which no batch names, are found by their length in the listing.
     """
     arrivals = (
         spark.readStream.schema(LISTING)
@@ -30,7 +32,9 @@ def stream_extracts(
     )
 
     def load_new(batch: DataFrame, _: int) -> None:
-        load_extracts(batch.sparkSession, extracts_dir, raw_dir)
+        session = batch.sparkSession
+        paths = batch.select("path").union(empty_extracts(session, extracts_dir))
+        load_files(session, named_extracts(paths), raw_dir)
 
     return (
         arrivals.writeStream.foreachBatch(load_new)

@@ -1,9 +1,13 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
 from cashline.schema import LOADED_AT, RAW_COLUMNS, SOURCE_FILE
 from cashline.sources import extracts, raw
+from cashline.sources.claims import Claims
 from cashline.sources.extracts import LoadError
+from cashline.storage import create_new
 from cashline.streaming.ingest import stream_extracts
 from conftest import collected
 
@@ -205,3 +209,68 @@ def test_stream_loads_new_files_only(spark, folder, tmp_path):
     fill(folder, ["20260102"])
     assert run() == (4, 6)
     assert load(spark, folder, tmp_path) == raw.LoadResult(0, 6, 0)
+
+
+def test_stream_batches_check_their_own_files_only(spark, folder, tmp_path, monkeypatch):
+    opened = []
+    check = raw.inspect_files
+    monkeypatch.setattr(raw, "inspect_files", lambda s, listing, *more: opened.append({n for _, n, _ in listing}) or check(s, listing, *more))
+    monkeypatch.setattr(raw, "discover", None)  # nobody lists the folder
+    for day in ("20260101", "20260102"):
+        folder.rows("KNA1", day, customer(1))
+        stream_extracts(spark, str(folder), str(tmp_path / "raw")).awaitTermination()
+    assert opened == [{"KNA1_20260101.csv"}, {"KNA1_20260102.csv"}]
+    # A stream that has lost its checkpoint sees all files again and loads none.
+    stream_extracts(spark, str(folder), str(tmp_path / "raw"), checkpoint_dir=str(tmp_path / "new")).awaitTermination()
+    assert opened[2:] == [set()] and log(spark, tmp_path).count() == 2
+
+
+def test_stream_finds_empty_files(spark, folder, tmp_path):
+    fill(folder, ["20260101"])
+    (folder.root / "KNA1" / "KNA1_20260102.csv").write_text("")
+    with pytest.raises(Exception, match="KNA1_20260102.csv"):
+        stream_extracts(spark, str(folder), str(tmp_path / "raw")).awaitTermination()
+    assert log(spark, tmp_path).count() == 3
+
+
+def test_two_loads_at_once_load_each_file_once(spark, folder, tmp_path):
+    fill(folder, [f"202601{day:02d}" for day in range(1, 6)])
+    with ThreadPoolExecutor(2) as pool:
+        done = list(pool.map(lambda _: load(spark, folder, tmp_path), range(2)))
+    names = [r.file_name for r in log(spark, tmp_path).collect()]
+    assert len(names) == len(set(names)) == sum(d.files_loaded for d in done) == 15
+    assert sum(d.rows_loaded for d in done) == 15 and rows(spark, tmp_path).count() == 10
+    assert load(spark, folder, tmp_path) == raw.LoadResult(0, 15, 0)
+
+
+def test_claimed_files_are_left_until_the_claim_expires(spark, folder, tmp_path):
+    folder.rows("KNA1", "20260101", customer(1))
+    folder.rows("KNA1", "20260102", customer(2))
+    other = Claims(spark, str(tmp_path / "raw"))
+    assert other.take(["KNA1_20260101.csv"]) == {"KNA1_20260101.csv"}
+    assert other.take(["KNA1_20260101.csv"]) == set()
+    done = load(spark, folder, tmp_path)
+    assert done == raw.LoadResult(1, 0, 1, 1) and str(done).endswith("left 1 to other loads")
+    # The other load has died; after a while its file is anybody's.
+    assert raw.load_extracts(spark, str(folder), str(tmp_path / "raw"), claim_expires=0) == raw.LoadResult(1, 1, 1)
+    assert load(spark, folder, tmp_path) == raw.LoadResult(0, 2, 0)
+
+
+def test_a_load_that_was_overtaken_logs_nothing(spark, folder, tmp_path, monkeypatch):
+    fill(folder, ["20260101"])
+    write = raw.scan
+
+    def slow(*args):
+        Claims(spark, str(tmp_path / "raw"), expires=-1).take(["KNA1_20260101.csv"])
+        return write(*args)
+
+    monkeypatch.setattr(raw, "scan", slow)
+    with pytest.raises(LoadError, match="have claimed KNA1_20260101.csv"):
+        load(spark, folder, tmp_path)
+    assert log(spark, tmp_path).count() == 0
+
+
+def test_of_many_that_create_a_file_one_does(spark, tmp_path):
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda _: create_new(spark, str(tmp_path / "claims" / "x")), range(16)))
+    assert sum(made) == 1
