@@ -9,12 +9,13 @@ load that gets a claim has to look into the log again.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
-from cashline.storage import ages, create_new, escaped, remove_folder
+from cashline.storage import ages, create_new, escaped, exists, folders_in, remove_folder
 
 EXPIRES = 6 * 3600.0
 FOLDER = "_claims"
@@ -40,21 +41,30 @@ class Claims:
         number = max(found, default=0)
         return number, found.get(number, 0.0)
 
+    def _each(self, do: Callable[[str], object], names: Iterable[str]) -> list:
+        """Of thousands of files, each a few calls to the file system."""
+        with ThreadPoolExecutor(16) as pool:
+            return list(pool.map(do, names))
+
     def take(self, file_names: Iterable[str]) -> set[str]:
         """Claim what no other load has claimed, and name it."""
-        taken = set()
-        for name in file_names:
-            number, age = self._last(name)
-            if (number == 0 or age > self.expires) and create_new(self.spark, f"{self._folder(name)}/{number + 1}"):
-                self.held[name] = number + 1
-                taken.add(name)
-        return taken
+        known = set(folders_in(self.spark, f"{self.raw_dir}/{FOLDER}"))
+
+        def claim(name: str) -> tuple[str, int] | None:
+            number, age = self._last(name) if escaped(self.spark, name) in known else (0, 0.0)
+            free = number == 0 or age > self.expires
+            return (name, number + 1) if free and create_new(self.spark, f"{self._folder(name)}/{number + 1}") else None
+
+        taken = dict(c for c in self._each(claim, file_names) if c)
+        self.held |= taken
+        return set(taken)
 
     def lost(self) -> list[str]:
         """Files that another load has claimed since, as ours had expired."""
-        return [name for name, number in self.held.items() if self._last(name)[0] != number]
+        overtaken = self._each(lambda n: exists(self.spark, f"{self._folder(n)}/{self.held[n] + 1}"), self.held)
+        return [name for name, gone in zip(self.held, overtaken) if gone]
 
     def give_back(self) -> None:
-        for name in [n for n in self.held if n not in self.lost()]:
-            remove_folder(self.spark, self._folder(name))
+        lost = set(self.lost())
+        self._each(lambda name: remove_folder(self.spark, self._folder(name)), [n for n in self.held if n not in lost])
         self.held.clear()

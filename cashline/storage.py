@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import time
 from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
+_PLAIN = re.compile(r"[A-Za-z0-9_.-]+")
+
 
 def _file_system(spark: SparkSession, path: str):
     # PySpark shows no file system of its own; Spark Connect sessions have no JVM to ask.
@@ -31,6 +34,8 @@ def folders_in(spark: SparkSession, path: str) -> list[str]:
 
 def escaped(spark: SparkSession, value: str) -> str:
     """A partition value as it stands in the name of its folder."""
+    if _PLAIN.fullmatch(value):
+        return value
     return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
 
 
@@ -89,6 +94,11 @@ def create_new(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
 def ages(spark: SparkSession, folder: str) -> dict[str, float]:
     """Seconds since each file directly in a folder was written, by name."""
     files, where = _file_system(spark, folder)
