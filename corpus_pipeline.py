@@ -42,8 +42,11 @@ def unique_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     configure(spark)
-    kept = minmax_dedup.near_duplicates(docs.select("doc_id", "text")).filter("kept").select("doc_id")
-    return join_by_id(docs.select(*DOCUMENT), kept.distinct(), "left_semi")
+    # Rows without an id are told apart by a number of their own.
+    numbered = minmax_dedup.with_numbers(docs.select(*DOCUMENT), "number")
+    found = minmax_dedup.near_duplicates(numbered.select(F.col("number").alias("doc_id"), "text"))
+    kept = found.filter("kept").select(F.col("doc_id").alias("number")).distinct()
+    return join_by_id(numbered, kept, "left_semi", "number").select(*DOCUMENT)
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
