@@ -19,6 +19,9 @@ LIMIT = 18
 _HEAD = struct.Struct("<4sIQQQQ")
 MAGIC = b"HSEG"
 
+# 32 bits are read from the byte in which a code begins, of which up to 7 belong to the code before.
+MOST_BITS = 25
+
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
     """The length of each symbol's code, at most `limit`, that makes the coded text shortest."""
@@ -53,6 +56,8 @@ class Codebook:
 
     @classmethod
     def of_counts(cls, counts: dict[int, int], limit: int = LIMIT) -> Codebook:
+        if limit > MOST_BITS:
+            raise ValueError(f"the decoder reads codes of up to {MOST_BITS} bits, not {limit}")
         symbols = np.array(sorted(counts), np.int64)
         return cls(symbols, code_lengths(np.array([counts[s] for s in symbols.tolist()], np.int64), limit))
 

@@ -160,9 +160,10 @@ def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, text: str = "te
         F.sort_array(F.collect_list(F.struct("at", (F.col("end") - F.col("at")).alias("n")))).alias("deleted")
     )
     gone = settled(gone, "deleted")
-    whole = docs.drop("deleted").withColumn("doc", _doc(text, key))
+    # A name that no column of the caller's should have, as `doc` may be one.
+    whole = docs.drop("deleted").withColumn("__line_dedup_doc", _doc(text, key))
     # By shuffle at any size: what is deleted grows with the corpus.
-    joined = whole.join(gone.hint("merge"), "doc", "left")
+    joined = whole.join(gone.withColumnRenamed("doc", "__line_dedup_doc").hint("merge"), "__line_dedup_doc", "left")
     return joined.withColumn(text, F.when(F.col("deleted").isNull(), F.col(text)).otherwise(_without(F.col(text)))).select(
         *[c for c in docs.columns if c != "deleted"],
         F.coalesce("deleted", F.array().cast(gone.schema["deleted"].dataType)).alias("deleted"),

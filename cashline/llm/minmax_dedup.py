@@ -25,8 +25,9 @@ skewed joins. All numbers come from fixed seeds, so a task that runs again gives
 
 Defined results: a null or blank text has the empty set, is linked with nothing and is kept. Rows that
 repeat an id are linked, also where their texts differ; the least of these is then compared with others.
-`kept` holds for each row whose id is the component's least. A null id is of the class of its equals, and its row is
-kept if no other row of the class has an id. An empty table gives an empty one. Other columns are not
+`kept` holds for each row whose id is the component's least. Ids are whole numbers. Rows without an id are
+documents like others and are linked like them; their own id and that of a component without any id are
+null, and of such a component one row is kept. An empty table gives an empty one. Other columns are not
 looked at.
 """
 
@@ -235,18 +236,38 @@ def _links(docs: DataFrame, members: DataFrame) -> DataFrame:
     return links.union(settled(confirmed(_exact_pairs(family, tokens), sets), "exact-confirmed"))
 
 
+def with_numbers(docs: DataFrame, number: str) -> DataFrame:
+    """`docs` with a column `number`: the id, or for rows without one a number of its own above all ids."""
+    unnamed = docs.filter("doc_id is null")
+    if unnamed.isEmpty():
+        return docs.withColumn(number, F.col("doc_id"))
+    top = F.lit((docs.agg(F.max("doc_id")).first()[0] or 0) + 1)
+    numbered = settled(unnamed.withColumn(number, top + F.monotonically_increasing_id()), "unnamed")
+    named = docs.filter("doc_id is not null")
+    return named.withColumn(number, F.col("doc_id").cast("long")).union(numbered)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of `docs` (doc_id, text)."""
+    numbered = with_numbers(docs.select("doc_id", "text"), "number")
+    found = _near_duplicates(numbered.select(F.col("number").alias("doc_id"), "text"))
+    top = docs.agg(F.max("doc_id")).first()[0]
+    named = lambda c: F.when(F.col(c) <= F.lit(top), F.col(c)).alias(c)
+    return found.select(named("doc_id"), "n_shingles", named("component_id"), "kept")
+
+
+def _near_duplicates(docs: DataFrame) -> DataFrame:
+    """The same where every row has an id."""
     sketched = settled(sketches(docs), "sketches")
     classes = sketched.filter("n_shingles > 0").groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("n_shingles").alias("size")
     )
     classes = settled(classes, "classes")
-    keyed = classes.filter("rep is not null").select("rep", "size", F.explode("bands").alias("band"))
+    keyed = classes.select("rep", "size", F.explode("bands").alias("band"))
     buckets = keyed.groupBy("band").agg(F.min("rep").alias("centre"), F.count("*").alias("n"))
     buckets = settled(buckets.filter("n > 1").select("band", "centre"), "buckets")
     members = settled(keyed.join(buckets, "band"), "members")
-    rep = classes.select("digest", "rep").filter("rep is not null")
+    rep = classes.select("digest", "rep")
     if members.isEmpty():
         rep = rep.select("digest", F.col("rep").alias("component"))
     else:
@@ -256,5 +277,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "doc_id",
         "n_shingles",
         F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce("component_id", "doc_id").eqNullSafe(F.col("doc_id")).alias("kept"),
+        (F.coalesce("component_id", "doc_id") == F.col("doc_id")).alias("kept"),
     )

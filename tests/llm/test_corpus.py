@@ -99,7 +99,7 @@ def plain_stages(rows, items):
     rows = [r for r in rows if brute.white_words(r[1])]
     out.append(rows)
     groups = brute.near_groups([r[:2] for r in rows])
-    rows = [r for r, (_, least) in zip(rows, groups) if r[0] is None or r[0] == least]
+    rows = [r for r, (_, least) in zip(rows, groups) if r[0] == least]
     out.append(rows)
     rows = [r for r in rows if not brute.contamination(r[1], items)[1]]
     out.append(rows)

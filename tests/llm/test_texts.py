@@ -173,18 +173,36 @@ def test_shared_examples_and_live_keys_are_told_apart(spark):
     assert found[9].spans == "owned:7:27,assign:32:55" and found[10].spans == found[11].spans == ""
 
 
+def test_line_dedup_leaves_a_column_of_its_inner_name(spark):
+    rows = [(1, prose(1, 150), "mine"), (2, prose(1, 150), "yours"), (3, None, None)]
+    left = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, doc string"))
+    assert sorted((r.doc_id, r.doc) for r in left.collect()) == [(1, "mine"), (2, "yours"), (3, None)]
+    assert left.schema["doc"].dataType.simpleString() == "string"
+
+
 # Near duplicates
 
 
 def test_near_duplicates(docs, rows):
     found = minmax_dedup.near_duplicates(docs).collect()
     expected = brute.near_groups([(r[0], r[1]) for r in rows])
-    # A row without an id that has no equal is compared with nothing.
-    expected = [(n, least if r[0] is not None else None) for r, (n, least) in zip(rows, expected)]
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == Counter(
         (r[0], *e) for r, e in zip(rows, expected)
     )
-    assert all(r.kept == (r.doc_id == r.component_id) for r in found)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found if r.doc_id is not None or r.component_id is not None)
+
+
+def test_rows_without_an_id_are_linked(spark):
+    words = [f"w{n}" for n in range(100)]
+    near = lambda n, base=words: " ".join([*base[:n], "new", *base[n + 1 :]])
+    other = [f"v{n}" for n in range(100)]
+    rows = [(None, near(10)), (None, near(50)), (7, near(90)), (9, "x y"), (None, "x  y")]
+    rows += [(None, near(3, other)), (None, near(3, other)), (None, near(60, other)), (None, None), (None, "")]
+    found = minmax_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.component_id) for r in found) == {(7, 7): 1, (None, 7): 2, (9, 9): 1, (None, 9): 1, (None, None): 5}
+    assert [r.doc_id for r in found if r.kept and r.doc_id] in ([7, 9], [9, 7])
+    assert not any(r.kept for r in found if r.doc_id is None and r.component_id)
+    assert Counter(r.n_shingles for r in found if r.kept and r.doc_id is None) == {96: 1, 0: 2}
 
 
 def test_families_with_many_near_misses(spark):

@@ -210,3 +210,13 @@ def test_each_bin_is_filled_as_well_as_can_be(lengths, capacity):
         assert sum(each) <= capacity
         used.update({n: k * times for n, k in Counter(each).items()})
     assert used == Counter(lengths)
+
+
+def test_codes_the_decoder_cannot_read_are_refused():
+    with pytest.raises(ValueError, match="up to 25 bits, not 28"):
+        huffman.Codebook.of_counts({1: 5, 2: 3}, limit=28)
+    counts = {n: 2 ** min(n, 40) for n in range(60)}
+    book = huffman.Codebook.of_counts(counts, limit=25)
+    ids = np.array(list(counts) * 3, np.uint32)
+    checkpoints, bits = book.encode(ids)
+    assert np.array_equal(book.decode(len(ids), checkpoints, bits), ids)
