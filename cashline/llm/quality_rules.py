@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cashline.llm.common import WHITE, let, white_words
+from cashline.llm.common import WHITE, let, settled, white_words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -116,6 +116,14 @@ def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumn("quality", measured)
 
 
+def stored(judged: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The ledger alone, written once and read from there: id, measurements and bits, without texts.
+
+    Any policy is then a mask over the stored bits, and no text is looked at again.
+    """
+    return settled(judged.select(key, "quality"), "ledger")
+
+
 def passes(policy: Policy, failed: Column) -> Column:
     return failed.bitwiseAND(F.lit(policy.mask)) == 0
 

@@ -75,6 +75,16 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of two policies does, by the bits of one stored ledger."""
+    kept = quality_rules.stored(quality_rules.ledger(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    each = [
+        quality_rules.ablations(kept, policy).select(F.lit(policy.version).alias("policy"), "rule", "n_failed", "n_only", "n_kept_without")
+        for policy in (quality_rules.BASE, quality_rules.STANDARD)
+    ]
+    return each[0].union(each[1])
+
+
 def op10_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -98,6 +108,6 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     found = [
         op1_token_files, op2_wrappers, op3_line_dedup, op4_backoff_lm, op5_best_fit_packing, op6_decontamination, op7_secret_scan,
-        op8_warc, op9_quality_rules, op10_minmax_dedup, op11_divergence, op12_byte_repeats, op13_filter_audit,
+        op8_warc, op9_quality_rules, quality_ablations, op10_minmax_dedup, op11_divergence, op12_byte_repeats, op13_filter_audit,
     ]
     return {query.__name__: query for query in found}

@@ -162,6 +162,18 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 FROM bits
 """
 
+# The bits of the same ledger under the masks of both policies, rule by rule.
+QUALITY_ABLATIONS = (
+    OP9_QUALITY_RULES[: OP9_QUALITY_RULES.rindex("SELECT doc_id, n_words")]
+    + r"""
+, policies(policy, mask) AS (VALUES (1, 3), (2, 63)), rules(rule, bit) AS (VALUES
+    ('few_words', 1), ('repeated_words', 2), ('symbols', 4), ('duplicate_lines', 8), ('shouting', 16), ('long_words', 32)
+)
+SELECT policy, rule, count(*) FILTER (failed & bit <> 0) AS n_failed,
+    count(*) FILTER (failed & mask = bit) AS n_only, count(*) FILTER (failed & mask & ~bit = 0) AS n_kept_without
+FROM bits, policies JOIN rules ON bit & mask <> 0 GROUP BY policy, rule
+"""
+)
 
 # Pairs by shared shingles, then all that each document reaches over links.
 OP10_MINMAX_DEDUP = r"""
@@ -294,6 +306,7 @@ def all_oracles() -> dict[str, str]:
         "op7_secret_scan": OP7_SECRET_SCAN,
         "op8_warc": OP8_WARC,
         "op9_quality_rules": OP9_QUALITY_RULES,
+        "quality_ablations": QUALITY_ABLATIONS,
         "op10_minmax_dedup": OP10_MINMAX_DEDUP,
         "op11_divergence": OP11_DIVERGENCE,
         "op12_byte_repeats": OP12_BYTE_REPEATS,
