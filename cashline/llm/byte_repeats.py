@@ -43,13 +43,13 @@ from cashline.llm.suffix_arrays import common_prefixes, suffix_array, words
 LENGTH = 200
 ANCHOR = 24
 BLOCK_BYTES = 8 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 MOST_PIECES = 4096
 CHUNK = 1 << 20
 
 _BLOCKS = pa.schema([("block", pa.int64()), ("ends", pa.binary()), ("texts", pa.binary()), ("n_bytes", pa.int64())])
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
-_PIECES = "block long, shard long, part int, n_parts int, n_bytes long, texts binary, sizes binary, n_places binary, places binary"
+_PIECES = "block long, shard long, part int, n_parts int, n_bytes long, texts binary, sizes binary, n_places binary, places binary, anchors binary"
 _WHOLE = "block long, shard long, part int, range int, a binary, b binary, c binary"
 
 
@@ -120,6 +120,12 @@ def _least_of(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(since[: n - width + 1], upto[width - 1 : n])
 
 
+def _room(ends: np.ndarray, low: int, n: int) -> np.ndarray:
+    """For `n` places from `low`, the bytes up to the end of their text."""
+    own = ends[np.searchsorted(ends, low, "right") : np.searchsorted(ends, low + n - 1, "right") + 1]
+    return np.repeat(own, np.diff(np.minimum(own, low + n), prepend=low)) - np.arange(low, low + n)
+
+
 def pieces(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per piece the hash of its anchor (not negative), its start, and its number of windows."""
     anchors, starts, sizes = [], [], []
@@ -130,9 +136,7 @@ def pieces(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, anchor: int
         place = np.arange(len(hashes), dtype=np.uint64)
         least = _least_of(hashes >> first_bit << first_bit | place, length - anchor + 1)
         at = (least & ((np.uint64(1) << first_bit) - np.uint64(1))).astype(np.int64)
-        here = low + np.arange(len(at))
-        whole = ends[np.searchsorted(ends, here, "right")] - here >= length
-        own = np.where(whole, at, -1)
+        own = np.where(_room(ends, low, len(at)) >= length, at, -1)
         # A window of another document than the one before has an anchor behind that one's.
         cut = np.flatnonzero(np.diff(own, prepend=-2))
         size = np.diff(cut, append=len(own))
@@ -176,14 +180,17 @@ def _deal(length: int, anchor: int, n_shards: int):
             order = np.lexsort((part, shard))
             cuts = np.flatnonzero((np.diff(shard[order], prepend=-1) != 0) | (np.diff(part[order], prepend=-2) != 0))
             for a, b in zip(cuts, [*cuts[1:], len(order)]):
-                these, own = order[a:b], {}
-                for s, n in zip(starts[these].tolist(), sizes[these].tolist()):
-                    own.setdefault(data[s : s + n + length - 1], []).append(s)
+                these, own, of = order[a:b], {}, {}
+                for s, n, h in zip(starts[these].tolist(), sizes[these].tolist(), hashes[these].tolist()):
+                    piece = data[s : s + n + length - 1]
+                    own.setdefault(piece, []).append(s)
+                    of[piece] = h
                 texts = b"".join(own)
                 one = these[0]
                 columns = [[row["block"]], [int(shard[one])], [int(part[one])], [int(n_parts[one])], [len(texts)], [pack(texts)]]
                 columns += [[np.array([*map(len, x)], np.int64).tobytes()] for x in (own, own.values())]
                 columns += [[np.array([s for at in own.values() for s in at], np.int64).tobytes()]]
+                columns += [[np.array([*of.values()], np.int64).tobytes()]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _DEALT)], schema=_DEALT)
 
     return deal
@@ -192,7 +199,7 @@ def _deal(length: int, anchor: int, n_shards: int):
 _DEALT = pa.schema(
     [("block", pa.int64()), ("shard", pa.int64()), ("part", pa.int32()), ("n_parts", pa.int32())]
     + [("n_bytes", pa.int64()), ("texts", pa.binary())]
-    + [(name, pa.binary()) for name in ("sizes", "n_places", "places")]
+    + [(name, pa.binary()) for name in ("sizes", "n_places", "places", "anchors")]
 )
 
 
@@ -204,31 +211,44 @@ class _Shard:
 
     def __init__(self, table: pa.Table):
         number: dict[bytes, int] = {}
-        of, blocks, places = [], [], []
+        of, blocks, places, anchors = [], [], [], []
         for row in table.to_pylist():
             texts = zstandard.ZstdDecompressor().decompress(row["texts"], max_output_size=row["n_bytes"])
             sizes, n_places = (np.frombuffer(row[c], np.int64) for c in ("sizes", "n_places"))
             end = np.cumsum(sizes).tolist()
-            own = [number.setdefault(texts[a:b], len(number)) for a, b in zip([0, *end], end)]
-            of.append(np.repeat(np.array(own, np.int64), n_places))
+            known = len(number)
+            own = np.array([number.setdefault(texts[a:b], len(number)) for a, b in zip([0, *end], end)], np.int64)
+            # New pieces are numbered as they come, so theirs are the first of each number.
+            fresh = np.unique(own[own >= known], return_index=True)[1]
+            anchors.append(np.frombuffer(row["anchors"], np.int64)[own >= known][fresh])
+            of.append(np.repeat(own, n_places))
             places.append(np.frombuffer(row["places"], np.int64))
             blocks.append(np.full(len(places[-1]), row["block"]))
         self.of, self.blocks, self.places = map(np.concatenate, (of, blocks, places))
         self.data = np.frombuffer(b"".join(number), np.uint8)
         self.sizes = np.array([*map(len, number)], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
+        anchors = np.concatenate(anchors)
+        _, place, n = np.unique(anchors, return_inverse=True, return_counts=True)
+        self.compared = n[place] > 1
 
     def repeated(self, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Whether each place starts a repeated window, and the first place of each distinct window."""
-        order = suffix_array(self.data, self.sizes)
-        common = common_prefixes(self.data, self.sizes, order, length)
-        as_before = common >= length
+        """Whether each place starts a repeated window, and the first place of each distinct window.
+
+        A piece that is the only one with its anchor shares no window with another piece: all its windows
+        occur as often as it does. The others are sorted.
+        """
+        window = np.repeat(self.starts + self.sizes, self.sizes) - np.arange(len(self.data)) >= length
+        sorted_bytes = np.repeat(self.compared, self.sizes)
+        place = np.flatnonzero(sorted_bytes)
+        data, sizes = self.data[place], self.sizes[self.compared]
+        order = suffix_array(data, sizes)
+        as_before = common_prefixes(data, sizes, order, length) >= length
         found = np.zeros(len(self.data), bool)
-        found[order[as_before | np.append(as_before[1:], False)]] = True
+        found[place[order[as_before | np.append(as_before[1:], False)]]] = True
+        distinct = np.concatenate((place[order[~as_before]], np.flatnonzero(~sorted_bytes)))
         twice = np.bincount(self.of, minlength=len(self.sizes)) > 1
-        window = np.repeat(self.starts + self.sizes, self.sizes) - np.arange(len(self.data)) >= length
         found |= np.repeat(twice, self.sizes)
-        distinct = order[~as_before]
         return found & window, distinct[window[distinct]]
 
 

@@ -25,6 +25,8 @@ def suffix_array(data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     bytes they are known to share. Suffixes alone in their group are done, as are equal whole ones.
     """
     n = len(data)
+    if not n:
+        return np.zeros(0, np.int64)
     bits = np.uint64(max(1, n.bit_length()))
     room = np.repeat(np.cumsum(sizes), sizes) - np.arange(n)
     known, keys = _first_keys(data, room, bits)
