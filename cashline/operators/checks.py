@@ -208,7 +208,10 @@ class SharedKeys:
 
 
 def share_keys(checks: Sequence[Check], parents: Mapping[tuple[str, str], KeyUse]) -> list[Check | SharedKeys]:
-    """The same checks, those about one key as one. `parents` has the key column of each parent table."""
+    """The same checks, those about one key as one. `parents` has the key column of each parent table.
+
+    A child column of another type than its parent's is left to a check of its own.
+    """
     alone: list[Check | SharedKeys] = []
     by_key: dict[tuple[str, str], list[Check]] = {}
     for check in checks:
@@ -218,9 +221,9 @@ def share_keys(checks: Sequence[Check], parents: Mapping[tuple[str, str], KeyUse
             alone.append(check)
     for key, found in by_key.items():
         own = parents[key]
-        unique = [c for c in found if c.key == own]
+        unique = [c for c in found if c.kind == "unique"]
         same = own.frame().schema[own.column].dataType
-        children = [c for c in found if c.key != own and c.key.frame().schema[c.key.column].dataType == same]
+        children = [c for c in found if c not in unique and c.key.frame().schema[c.key.column].dataType == same]
         alone += [c for c in found if c not in unique and c not in children]
         alone.append(SharedKeys(own, unique[0] if unique else None, children))
     return alone

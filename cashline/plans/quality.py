@@ -289,8 +289,5 @@ def check_tables(spark: SparkSession, tables: Tables, only: set[str] | None = No
     def wanted(checks: list) -> list:
         return [check for check in checks if only is None or check.table in only]
 
-    generic = generic_checks(tables)
-    # The uses that `generic_checks` names, so that a unique check is known as that of its parent.
-    parents = {c.key.parent: c.key for c in generic if c.key and c.kind == "unique"}
-    shared = share_keys(wanted(generic), {**parent_keys(tables), **parents})
+    shared = share_keys(wanted(generic_checks(tables)), parent_keys(tables))
     return run_checks(spark, [*shared, *wanted(business_checks(tables))], wanted(table_passes(tables)))

@@ -6,12 +6,16 @@ from pyspark.sql import functions as F
 
 from cashline.operators.calendar import date_bounds, date_dimension
 from cashline.operators.checks import (
+    WARN,
     Check,
+    KeyUse,
     Pass,
+    SharedKeys,
     duplicate_values,
     missing_parents,
     overlapping_versions,
     run_checks,
+    share_keys,
     unaccepted_values,
 )
 from cashline.operators.joins import lookup, mark_missing, point_in_time
@@ -290,3 +294,29 @@ def test_one_pass_answers_all_checks_of_a_table(spark):
     }
     empty = Pass("t", lambda: df.limit(0), ["k"], {"c": ["a"]}, {"many": "n > 4"}).summary().collect()
     assert {r["n_violations"] for r in empty} == {0} and len(empty) == 3
+
+
+def test_checks_that_share_a_key_count_as_they_do_alone(spark):
+    import random
+
+    r = random.Random(3)
+    pick = lambda most, n: [(r.choice([None, *map(str, range(most))]),) for _ in range(n)]
+    parent = spark.createDataFrame(pick(12, 10), "k string")
+    children = {f"c{n}": spark.createDataFrame(pick(20, 60), "v string") for n in range(3)}
+    children["c3"] = spark.createDataFrame([(1,), (30,)], "v int")  # of another type: counted alone
+    own = KeyUse(("p", "k"), lambda: parent, "k")
+    checks = [Check("unique_p_k", "p", "unique", lambda: duplicate_values(parent, ["k"]), key=own)]
+    checks += [
+        Check(
+            f"rel_{name}", name, "relationships", lambda d=df: missing_parents(d, "v", parent, "k"),
+            WARN, "n_records", KeyUse(("p", "k"), lambda d=df: d, "v"),
+        )
+        for name, df in children.items()
+    ]
+    shared = share_keys(checks, {("p", "k"): own})
+    assert len(shared) == 2
+    alone, together = (sorted(map(tuple, run_checks(spark, c).collect())) for c in (checks, shared))
+    assert alone == together and sum(row[4] for row in alone) > 0
+    empty = spark.createDataFrame([], "k string")
+    nothing = SharedKeys(KeyUse(("p", "k"), lambda: empty, "k"), None, [])
+    assert nothing.parent.frame().isEmpty()

@@ -14,6 +14,7 @@ from cashline.operators.joins import (
     point_in_time,
     with_header,
 )
+from cashline.operators.checks import SharedKeys, run_checks, share_keys
 from cashline.operators.versions import latest_version
 from cashline.plans import analysis, quality, testbed
 from cashline.plans.build import MODELS, SEED
@@ -37,7 +38,8 @@ def large(spark):
 
 # These load or build when they are asked for; what they return is a table read again.
 RUN_AT_ONCE = """loaded_customers loaded_reordered streamed_customers load_log_rows load_counts rejected_files
-    rebuilt_mart declared_checks build_report""".split()
+    rebuilt_mart declared_checks build_report published_view refreshed_orders spliced_customers refreshed_sales_items
+    refreshed_billing_items refreshed_delivery_items refreshed_receivable_items""".split()
 
 
 @pytest.mark.parametrize("name", [name for name in all_queries() if name not in RUN_AT_ONCE])
@@ -161,6 +163,27 @@ def test_checks_scan_each_table_few_times(spark, tmp_path):
     assert len(STAGING) < scans <= 19 + 13 + 6 + 2 * 13 + 2 + 2 + 2 + 1
 
 
+def test_checks_of_one_key_share_their_shuffle(large, tmp_path):
+    star = StarSchema(large, SF_DIR)
+    frames = {name: star.stg(name.removeprefix("stg_sap__")) for name in STAGING}
+    frames |= {"dim_customer": star.customers, "dim_material": star.materials, "fct_sales_order_items": star.sales}
+    frames |= {"fct_billing_items": star.billing, "fct_delivery_items": star.deliveries, "fct_receivable_items": star.receivables}
+    for name, df in frames.items():
+        large.createDataFrame([], df.schema).write.parquet(f"{tmp_path}/{name}")
+        frames[name] = large.read.parquet(f"{tmp_path}/{name}")
+    checks = quality.generic_checks(frames)
+    shared = share_keys(checks, quality.parent_keys(frames))
+    assert sum(len(s.children) for s in shared if isinstance(s, SharedKeys)) == 13
+    apart, together = (plan_of(run_checks(large, c)).count("Exchange hashpartitioning") for c in (checks, shared))
+    keys = len({c.key.parent for c in checks if c.key})
+    assert together == keys + sum(c.key is None for c in checks) and 2 * together <= apart
+
+
+def test_shipped_against_ordered_plans_the_order_fact_once(large):
+    plan = plan_of(all_queries()["shipped_vs_ordered"](large, SF_DIR))
+    assert plan.count("FileScan parquet") == 4 and plan.count("Exchange hashpartitioning") <= 11
+
+
 def test_questions_without_lookups_shuffle_half_as_often(large):
     star = StarSchema(large, SF_DIR)
     whole = plan_of(analysis.shipped_against_ordered(star.sales, star.deliveries))
