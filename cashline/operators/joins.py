@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cashline.operators.placement import placed_join
 
 # Types whose equal values have equal hashes.
 _HASHABLE = (T.StringType, T.DateType, T.IntegralType)
@@ -28,13 +29,18 @@ def same_key(left: DataFrame, right: DataFrame, on: dict[str, str]) -> list[Colu
     return equal
 
 
-def with_header(items: DataFrame, headers: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+def with_header(
+    items: DataFrame, headers: DataFrame, key: str, columns: Sequence[str], *, n_buckets: int | None = None
+) -> DataFrame:
     """Items with columns of their header; items without a header are dropped.
 
     No hint: the header side is broadcast only if Catalyst finds it small enough, otherwise
-    both sides shuffle on the key and AQE splits a key that holds very many items.
+    both sides shuffle on the key and AQE splits a key that holds very many items. With
+    `n_buckets`, sides that are stored in so many buckets of the key do not shuffle.
     """
     renamed = headers.select(F.col(key).alias("__header"), *columns)
+    if n_buckets:
+        return placed_join(items, renamed, [(key, "__header")], "inner", n_buckets).drop("__header")
     return items.join(renamed, same_key(items, renamed, {key: "__header"}), "inner").drop("__header")
 
 
@@ -45,11 +51,15 @@ def lookup(
     columns: Sequence[str],
     *,
     small: bool = False,
+    n_buckets: int | None = None,
+    spread: bool = False,
 ) -> DataFrame:
     """Left join on `on` (left column -> reference column), adding `columns` of the reference.
 
     The reference must be unique in its key columns; every left row is kept once. Say `small`
-    for a reference that should be broadcast if its size allows.
+    for a reference that should be broadcast if its size allows. With `n_buckets`, sides that are
+    stored in so many buckets of the first key column do not shuffle; say `spread` if that column is
+    NULL in many rows.
     """
     renamed = reference.select(
         *[F.col(right).alias(f"__{right}") for right in on.values()], *columns
@@ -57,23 +67,31 @@ def lookup(
     if small:
         renamed = broadcast_if_small(renamed)
     keys = {left: f"__{right}" for left, right in on.items()}
+    if n_buckets:
+        return placed_join(df, renamed, list(keys.items()), "left", n_buckets, spread=spread).drop(*keys.values())
     return df.join(renamed, same_key(df, renamed, keys), "left").drop(*keys.values())
 
 
 def mark_missing(
-    df: DataFrame, reference: DataFrame, on: dict[str, str], flag: str, *, unique: bool = False
+    df: DataFrame,
+    reference: DataFrame,
+    on: dict[str, str],
+    flag: str,
+    *,
+    unique: bool = False,
+    n_buckets: int | None = None,
 ) -> DataFrame:
     """Add a boolean: True where no reference row has the row's key (or a key part is NULL).
 
     A left join to the keys rather than NOT EXISTS: AQE can split a hot key (also the NULL key
     of all orphans) on the row-preserving side of a left join. Say `unique` where the reference
-    holds each key once; that saves the shuffle that makes keys distinct.
+    holds each key once; that saves the shuffle that makes keys distinct. `n_buckets` is that of `lookup`.
     """
     found = f"__{flag}_found"
     keys = reference.select(*on.values()).dropna()
     keys = (keys if unique else keys.dropDuplicates()).withColumn(found, F.lit(True))
     return (
-        lookup(df, keys, on, [found])
+        lookup(df, keys, on, [found], n_buckets=n_buckets, spread=True)
         .withColumn(flag, F.col(found).isNull())
         .drop(found)
     )

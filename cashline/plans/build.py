@@ -12,12 +12,14 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 from uuid import uuid4
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from cashline.operators.joins import estimated_bytes
+from cashline.operators.placement import write_placed
 from cashline.plans import marts
 from cashline.plans.commits import Entry, commit, current_tables, remove_old_builds
 from cashline.plans.quality import SEED, check_tables
@@ -69,6 +71,32 @@ MODELS: dict[str, Model] = {name: _stage(name, spec.raw) for name, spec in STAGI
     ),
 }
 
+# Tables that `document_buckets` stores in buckets of their document, and the facts that join by them.
+# Billed and delivered facts stay as they are: their order number is NULL in many rows.
+PLACED = {
+    "stg_sap__vbak": "sales_order_id",
+    "stg_sap__vbap": "sales_order_id",
+    "stg_sap__vbrk": "billing_id",
+    "stg_sap__vbrp": "billing_id",
+    "stg_sap__likp": "delivery_id",
+    "stg_sap__lips": "delivery_id",
+    "stg_sap__bsid": "accounting_doc_id",
+    "stg_sap__bsad": "accounting_doc_id",
+    "fct_sales_order_items": "sales_order_id",
+}
+
+
+def placed_models(models: Mapping[str, Model], n_buckets: int) -> dict[str, Model]:
+    """The models with facts that join tables in `n_buckets` buckets of their document."""
+
+    def placed(name: str, model: Model) -> Model:
+        if not name.startswith("fct_") or model is not MODELS.get(name):
+            return model
+        return _mart(*model.parents, make=partial(getattr(marts, name), n_buckets=n_buckets))
+
+    return {name: placed(name, model) for name, model in models.items()}
+
+
 BUILT, FAILED, ERROR, SKIPPED = "built", "failed", "error", "skipped"
 
 
@@ -107,6 +135,10 @@ def all_tables(raw: Tables, rates: DataFrame) -> dict[str, DataFrame]:
     return {name: df for name, df in tables.items() if not name.startswith("raw.")}
 
 
+def _columns(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
 def build_models(
     spark: SparkSession,
     start: Tables,
@@ -116,12 +148,16 @@ def build_models(
     models: Mapping[str, Model] = MODELS,
     threads: int = 4,
     stop_on_failure: bool = True,
+    document_buckets: int | None = None,
 ) -> BuildResult:
     """Build the models from the tables in `start`, check them, and at the end point readers to those that pass.
 
     With `stop_on_failure` off, a failed check is reported only. A model whose build raises always keeps
-    what depends on it from being built.
+    what depends on it from being built. With `document_buckets`, document tables are stored in so many
+    buckets of their document number, and the facts made of them join without moving items.
     """
+    if document_buckets:
+        models = placed_models(models, document_buckets)
     build = f"build-{uuid4().hex}"
     tables = dict(start)
     status = {name: BUILT for name in start}
@@ -131,6 +167,8 @@ def build_models(
         path = f"{out_dir}/{layer}/{name}/{build}"
         try:
             df = frame()
+            if document_buckets and name in PLACED:
+                return name, write_placed(df, path, PLACED[name], document_buckets)
             df.write.parquet(path)
             return name, spark.read.schema(df.schema).parquet(path)
         except Exception as error:  # noqa: BLE001  reported, and raised at the end
@@ -158,7 +196,9 @@ def build_models(
             result.outcomes.append(Outcome(name, layer, FAILED if failed else status[name], reason))
             if status[name] == BUILT:
                 result.tables[name] = good[name]
-                pointed.append(Entry(name, layer, f"{layer}/{name}/{build}"))
+                # A table in buckets has no file where it has no rows, so its columns are named.
+                columns = _columns(good[name]) if document_buckets and name in PLACED else None
+                pointed.append(Entry(name, layer, f"{layer}/{name}/{build}", columns=columns))
 
     if SEED in start:
         del status[SEED]
@@ -192,13 +232,16 @@ def build_all(
     threads: int = 4,
     stop_on_failure: bool = True,
     on_finish: Callable[[BuildResult], None] | None = None,
+    document_buckets: int | None = None,
 ) -> BuildResult:
     """Load new extracts, rebuild staging and marts under `out_dir`, and run all checks.
 
     Raises `CheckFailed` at the end if a model could not be built or, unless `stop_on_failure` is off,
     failed a check of severity error; all that does not depend on it is built nevertheless, and
     warnings are only reported. `on_finish` gets the result also of a build that failed. Leave
-    `extracts_dir` out to rebuild from the raw tables already loaded.
+    `extracts_dir` out to rebuild from the raw tables already loaded. `document_buckets` is that of
+    `build_models`; take about one per 128 MB of the largest document table, and no fewer than the
+    session's shuffle partitions.
     """
     configure(spark)
     raw_dir = f"{out_dir}/raw"
@@ -207,7 +250,7 @@ def build_all(
     start = sources(raw, exchange_rates(spark) if rates is None else rates)
     with sized_shuffles(spark, max(estimated_bytes(df) or 0 for df in raw.values())):
         try:
-            build_models(spark, start, out_dir, result, threads=threads, stop_on_failure=stop_on_failure)
+            build_models(spark, start, out_dir, result, threads=threads, stop_on_failure=stop_on_failure, document_buckets=document_buckets)
         finally:
             if on_finish:
                 on_finish(result)

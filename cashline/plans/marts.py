@@ -111,11 +111,20 @@ def _read_only(
 
 
 def fct_sales_order_items(
-    vbap: DataFrame, vbak: DataFrame, customers: DataFrame | None, rates: DataFrame | None
+    vbap: DataFrame,
+    vbak: DataFrame,
+    customers: DataFrame | None,
+    rates: DataFrame | None,
+    *,
+    n_buckets: int | None = None,
 ) -> DataFrame:
-    """Ordered quantity and value, one row per order item, in the item's currency."""
+    """Ordered quantity and value, one row per order item, in the item's currency.
+
+    Here and below `n_buckets` says that the tables are stored in so many buckets of their document.
+    """
     headers = _with_customer(vbak, customers, "customer_id", "order_date")
-    items = with_header(vbap, headers, "sales_order_id", ["order_date", "order_type", "customer_key"])
+    of_header = ["order_date", "order_type", "customer_key"]
+    items = with_header(vbap, headers, "sales_order_id", of_header, n_buckets=n_buckets)
     facts = _with_rate(items, rates)
     return _read_only(
         facts,
@@ -144,6 +153,8 @@ def fct_billing_items(
     vbap: DataFrame | None,
     customers: DataFrame | None,
     rates: DataFrame | None,
+    *,
+    n_buckets: int | None = None,
 ) -> DataFrame:
     """Billed quantity and value; cancelled and orphaned items are flagged, not removed.
 
@@ -155,11 +166,12 @@ def fct_billing_items(
         headers,
         "billing_id",
         ["billing_date", "billing_type", "currency", "is_cancelled", "customer_key"],
+        n_buckets=n_buckets,
     )
     facts = _with_rate(items, rates)
     if vbap is not None:
         on = {"sales_order_id": "sales_order_id", "sales_order_item_no": "item_no"}
-        facts = mark_missing(facts, vbap, on, "is_orphan_item", unique=True)
+        facts = mark_missing(facts, vbap, on, "is_orphan_item", unique=True, n_buckets=n_buckets)
     return _read_only(
         facts,
         customers,
@@ -184,17 +196,23 @@ def fct_billing_items(
 
 
 def fct_delivery_items(
-    lips: DataFrame, likp: DataFrame, sales_items: DataFrame | None, customers: DataFrame | None
+    lips: DataFrame,
+    likp: DataFrame,
+    sales_items: DataFrame | None,
+    customers: DataFrame | None,
+    *,
+    n_buckets: int | None = None,
 ) -> DataFrame:
     """Shipped quantity against each order item, and days from order to delivery.
 
     Without order items (`sales_items`) what is looked up in them is left out.
     """
     headers = _with_customer(likp, customers, "ship_to_customer_id", "delivery_date")
-    facts = with_header(lips, headers, "delivery_id", ["delivery_date", "customer_key"])
+    facts = with_header(lips, headers, "delivery_id", ["delivery_date", "customer_key"], n_buckets=n_buckets)
     if sales_items is not None:
         on = {"sales_order_id": "sales_order_id", "sales_order_item_no": "item_no"}
-        facts = lookup(facts, sales_items, on, ["sales_order_item_key", "order_date"])
+        of_order = ["sales_order_item_key", "order_date"]
+        facts = lookup(facts, sales_items, on, of_order, n_buckets=n_buckets, spread=True)
     looked_up = sales_items is not None
     return _read_only(
         facts,
@@ -216,11 +234,13 @@ def fct_delivery_items(
 
 
 def fct_receivable_items(
-    bsid: DataFrame, bsad: DataFrame, customers: DataFrame, rates: DataFrame
+    bsid: DataFrame, bsad: DataFrame, customers: DataFrame, rates: DataFrame, *, n_buckets: int | None = None
 ) -> DataFrame:
     """One row per posted receivable item, open or cleared, with days to clear."""
     document = ["company_code", "accounting_doc_id", "fiscal_year", "doc_item"]
-    items = lookup(bsid, bsad, {k: k for k in document}, ["cleared_on", "clearing_doc_id"])
+    # Buckets are those of the number, of which the other key columns have few values each.
+    on = {k: k for k in sorted(document, key=lambda k: k != "accounting_doc_id")}
+    items = lookup(bsid, bsad, on, ["cleared_on", "clearing_doc_id"], n_buckets=n_buckets)
     facts = _with_rate(_with_customer(items, customers, "customer_id", "posting_date"), rates)
     is_cleared = F.col("cleared_on").isNotNull()
     return facts.select(

@@ -770,4 +770,6 @@ def all_oracles() -> dict[str, str]:
         "refreshed_delivery_items": models["fct_delivery_items"],
         "refreshed_receivable_items": models["fct_receivable_items"],
     }
-    return generic | staging | models | rules | questions | refreshed
+    facts = {"sales": "sales_order", "billing": "billing", "delivery": "delivery", "receivable": "receivable"}
+    placed = {f"placed_{name}_items": models[f"fct_{fact}_items"] for name, fact in facts.items()}
+    return generic | staging | models | rules | questions | refreshed | placed

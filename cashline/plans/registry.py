@@ -656,12 +656,19 @@ def rejected_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _built(
-    spark: SparkSession, sf_dir: str, folder: str, only: Sequence[str] | None = None, *, stop: bool = True
+    spark: SparkSession,
+    sf_dir: str,
+    folder: str,
+    only: Sequence[str] | None = None,
+    *,
+    stop: bool = True,
+    document_buckets: int | None = None,
 ) -> BuildResult:
     raw = {name: view(spark, sf_dir) for name, view in testbed.RAW_VIEWS.items()}
     models = {name: model for name, model in MODELS.items() if only is None or name in only}
+    start = sources(raw, exchange_rates(spark))
     return build_models(
-        spark, sources(raw, exchange_rates(spark)), folder, BuildResult(None), models=models, stop_on_failure=stop
+        spark, start, folder, BuildResult(None), models=models, stop_on_failure=stop, document_buckets=document_buckets
     )
 
 
@@ -740,6 +747,23 @@ def refreshed_fact(name: str) -> Query:
     return lambda spark, sf_dir: _refreshed(spark, sf_dir, name, part, (0, 1))
 
 
+def placed_fact(name: str) -> Query:
+    """Facts of a build that stores documents in buckets, read through the build log."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = _folder(spark, "build")
+        n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        _built(spark, sf_dir, folder, _with_parents(name), stop=False, document_buckets=n_buckets)
+        return current_tables(spark, folder)[name]
+
+    return query
+
+
+def _with_parents(name: str) -> set[str]:
+    parents = [p for p in MODELS[name].parents if p in MODELS]
+    return {name}.union(*map(_with_parents, parents))
+
+
 FLAGSHIP = "fct_items"
 
 
@@ -795,6 +819,10 @@ def all_queries() -> dict[str, Query]:
         "refreshed_billing_items": refreshed_fact("fct_billing_items"),
         "refreshed_delivery_items": refreshed_fact("fct_delivery_items"),
         "refreshed_receivable_items": refreshed_fact("fct_receivable_items"),
+        "placed_sales_items": placed_fact("fct_sales_order_items"),
+        "placed_billing_items": placed_fact("fct_billing_items"),
+        "placed_delivery_items": placed_fact("fct_delivery_items"),
+        "placed_receivable_items": placed_fact("fct_receivable_items"),
         "load_skip": load_skip,
         "file_row_counts": file_row_counts,
     }
