@@ -25,6 +25,7 @@ gives no rows. Other columns are not looked at.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from cashline.llm.common import settled
 from cashline.llm.shingles import chunks, mixed, word_hashes
 
-ORDER, LEAST, ALPHA = 2, 2, 0.4
+ORDER, LEAST, ALPHA = 3, 2, 0.4
 BLOCK_WORDS = 1 << 20
 BUCKET_ENTRIES = 1 << 22
 LEAST_BUCKETS = 512
@@ -46,14 +47,39 @@ _PLACES = np.random.default_rng(20070628).integers(0, 2**63, 16, dtype=np.uint64
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """Numbers as planes of bytes, compressed: planes of small numbers take next to nothing."""
-    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+    """Numbers as planes of bytes, from the lowest to the highest that is needed, each a frame of its own.
+
+    Planes of a sorted list's steps are noise but for the highest, which a frame with the others would not tell.
+    """
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    needed = planes[: np.flatnonzero(planes.any(axis=1)).max(initial=0) + 1]
+    frames = [zstandard.ZstdCompressor(level=1).compress(plane) for plane in needed]
+    return struct.pack(f"<B{len(frames)}I", len(frames), *map(len, frames)) + b"".join(frames)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+    sizes = struct.unpack_from(f"<{data[0]}I", data, 1)
+    at, planes = 1 + 4 * len(sizes), []
+    for size in sizes:
+        planes.append(np.frombuffer(zstandard.ZstdDecompressor().decompress(data[at : at + size]), np.uint8))
+        at += size
+    out = np.zeros((len(planes[0]), 8), np.uint8)
+    out[:, : len(planes)] = np.stack(planes, axis=1)
+    return out.view("<u8").ravel()
+
+
+def _packed_counts(counts: np.ndarray) -> bytes:
+    """Counts, most of which are 1: where they are more, and how much."""
+    more = np.flatnonzero(counts > 1)
+    steps = _packed(np.diff(more, prepend=0))
+    return struct.pack("<2I", len(counts), len(steps)) + steps + _packed(counts[more])
+
+
+def _unpacked_counts(data: bytes) -> np.ndarray:
+    n, size = struct.unpack_from("<2I", data)
+    counts = np.ones(n, np.uint64)
+    counts[np.cumsum(_unpacked(data[8 : 8 + size])).astype(np.int64)] = _unpacked(data[8 + size :])
+    return counts
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,19 +157,19 @@ def count_tables(blocks: DataFrame, order: int, bits: int) -> DataFrame:
                     "bucket": pa.array(bucket[firsts]),
                     "block": pa.array([block] * len(spans), pa.int64()),
                     "hashes": pa.array([_packed(np.diff(hashes[a:b], prepend=np.uint64(0))) for a, b in spans], pa.binary()),
-                    "counts": pa.array([_packed(counts[a:b]) for a, b in spans], pa.binary()),
+                    "counts": pa.array([_packed_counts(counts[a:b]) for a, b in spans], pa.binary()),
                 })
 
     def add_up(rows: pa.Table) -> pa.Table:
         hashes = [np.cumsum(_unpacked(x), dtype=np.uint64) for x in rows.column("hashes").to_pylist()]
-        counts = np.concatenate([_unpacked(x) for x in rows.column("counts").to_pylist()])
+        counts = np.concatenate([_unpacked_counts(x) for x in rows.column("counts").to_pylist()])
         _, entry = np.unique(np.concatenate(hashes), return_inverse=True)
         totals = np.bincount(entry, weights=counts).astype(np.uint64)[entry]
         own = np.split(totals, np.cumsum([len(h) for h in hashes])[:-1])
         return pa.table({
             "block": rows.column("block"),
             "bucket": rows.column("bucket"),
-            "counts": pa.array([_packed(x) for x in own], pa.binary()),
+            "counts": pa.array([_packed_counts(x) for x in own], pa.binary()),
         })
 
     exploded = blocks.mapInArrow(explode, "bucket long, block long, hashes binary, counts binary")
@@ -175,7 +201,7 @@ def score(docs: DataFrame, order: int = ORDER, least: int = LEAST, alpha: float
         grams = _grams(known, words, sizes, order)
         hashes, _ = _distinct(grams)
         parts = rows.sort_by("bucket").column("counts").to_pylist()
-        totals = np.concatenate([*map(_unpacked, parts), np.zeros(1, np.uint64)]).astype(np.float64)
+        totals = np.concatenate([*map(_unpacked_counts, parts), np.zeros(1, np.uint64)]).astype(np.float64)
         counts = [np.where(g != 0, totals[np.searchsorted(hashes, g)], 0.0) for g in grams]
         sizes = np.array(sizes, np.int64)
         ends = np.cumsum(sizes)

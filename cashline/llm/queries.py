@@ -38,7 +38,8 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = backoff_lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return scored.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"))
+    rounded = [F.round(name, digits).alias(name) for name, digits in (("log_score", 4), ("mean_log_score", 6))]
+    return scored.select("doc_id", "n_words", *rounded)
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,18 +32,26 @@ WITH d AS (
         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
     FROM documents
 ), w AS (
-    SELECT doc_id, p, words[p] AS word, CASE WHEN p > 1 THEN words[p - 1] END AS before
+    SELECT doc_id, p, words[p] AS word, CASE WHEN p > 1 THEN words[p - 1] END AS before,
+        CASE WHEN p > 2 THEN words[p - 2] END AS first
     FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS p FROM d)
 ), one AS (SELECT word, count(*) AS n FROM w GROUP BY word), two AS (
     SELECT before, word, count(*) AS n FROM w WHERE before IS NOT NULL GROUP BY before, word
+), three AS (
+    SELECT first, before, word, count(*) AS n FROM w WHERE first IS NOT NULL GROUP BY first, before, word
 ), total AS (SELECT count(*) AS n FROM w), s AS (
-    SELECT w.doc_id, sum(CASE WHEN two.n >= 2 THEN ln(two.n / context.n)
-        WHEN w.before IS NOT NULL THEN ln(0.4) + ln(one.n / total.n) ELSE ln(one.n / total.n) END) AS score
+    SELECT w.doc_id, sum(CASE WHEN three.n >= 2 THEN ln(three.n / pair.n)
+        ELSE CASE WHEN w.first IS NOT NULL THEN ln(0.4) ELSE 0 END + CASE WHEN two.n >= 2 THEN ln(two.n / context.n)
+            WHEN w.before IS NOT NULL THEN ln(0.4) + ln(one.n / total.n) ELSE ln(one.n / total.n) END END) AS score
     FROM w JOIN one ON one.word = w.word LEFT JOIN two ON two.before = w.before AND two.word = w.word
-        LEFT JOIN one context ON context.word = w.before, total
+        LEFT JOIN one context ON context.word = w.before
+        LEFT JOIN three ON three.first = w.first AND three.before = w.before AND three.word = w.word
+        LEFT JOIN two pair ON pair.before = w.first AND pair.word = w.before, total
     GROUP BY w.doc_id
 )
-SELECT d.doc_id, len(words) AS n_words, round(coalesce(score, 0), 4) AS log_score FROM d LEFT JOIN s USING (doc_id)
+SELECT d.doc_id, len(words) AS n_words, round(coalesce(score, 0), 4) AS log_score,
+    CASE WHEN len(words) > 0 THEN round(score / len(words), 6) END AS mean_log_score
+FROM d LEFT JOIN s USING (doc_id)
 """
 
 # All windows of the items against all windows of the same length in the documents.

@@ -5,6 +5,7 @@ from collections import Counter
 from pathlib import Path
 
 import hashlib
+import numpy as np
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -253,3 +254,12 @@ def test_scores_grow_with_what_the_corpus_holds(spark):
     rows = texts((1, "a b c d"), (2, "a b c d"), (3, "a b c d"), (4, "q r s t"))
     found = {r.doc_id: r.log_score for r in backoff_lm.score(spark.createDataFrame(rows, DOCUMENTS)).collect()}
     assert found[1] == found[2] > found[4]
+
+
+@pytest.mark.parametrize("values", [[], [0], [1, 1, 1], [1, 2**63, 1, 300], [7] * 5000])
+def test_numbers_and_counts_are_unpacked_as_they_were(values):
+    values = np.array(values, np.uint64)
+    assert (backoff_lm._unpacked(backoff_lm._packed(values)) == values).all()
+    counts = np.maximum(values, 1)
+    found = backoff_lm._unpacked_counts(backoff_lm._packed_counts(counts))
+    assert len(found) == len(counts) and (found == counts).all()
