@@ -13,8 +13,14 @@ pages share is one row there, and its pages are joined as a skewed join. Each ta
 its own (see `files`), so a lost executor costs only its tasks.
 
 The reader decodes frame by frame and checks the version line, the fields every record needs, the
-length of the block against Content-Length, the record's end, and the payload's length and digest;
-a record that fails raises.
+length of the block against Content-Length, the record's end, the payload's length where HTTP names it,
+and digests by SHA-1 or SHA-256; a record that fails raises `ArchiveError`. `broken_revisits` holds the
+digests of revisits against those of their responses.
+
+It also reads archives of others: versions 1.0 and 1.1, field names in any case and folded lines, all
+record types, dictionaries that are compressed or missing, and skippable frames between records. Only
+records named as above have a page id; all have `record_id`. The payload is what follows the HTTP head
+of a response, revisit or request, else the whole block. Digests of other kinds are not verified.
 
 Defined results: a null html is an empty payload, a null url an empty one; control characters in a url
 are percent-encoded. A null page id stays null, and its page is a revisit only of a page that has an
@@ -24,6 +30,7 @@ archive without files. Other columns are not stored.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import struct
@@ -44,11 +51,18 @@ LEVEL = 3
 
 # Fixed values of the archive formats.
 SKIPPABLE = 0x184D2A5D
+FRAME = 0xFD2FB528
 VERSION = "WARC/1.1"
+VERSIONS = ("WARC/1.0", "WARC/1.1")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 FIELDS = ("WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length")
 _FRAME = "<II"
 _PAGE = "<urn:page:{}>"
+_PAGE_ID = re.compile(r"<urn:page:(-?[0-9]+)>")
+
+
+class ArchiveError(ValueError):
+    """An archive or record that is not what the formats or its own fields say."""
 
 
 def train(pages: DataFrame) -> bytes:
@@ -132,64 +146,151 @@ def write(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z") ->
     rows.write.parquet(f"{folder}/manifest")
 
 
+def _skippable(view: memoryview, at: int) -> tuple[int, int] | None:
+    """Where the content of a skippable frame begins and ends, None if another frame is there."""
+    if len(view) - at < 8:
+        return None
+    magic, size = struct.unpack_from(_FRAME, view, at)
+    if magic & 0xFFFFFFF0 != SKIPPABLE & 0xFFFFFFF0:
+        return None
+    begin = at + struct.calcsize(_FRAME)
+    if begin + size > len(view):
+        raise ArchiveError(f"the skippable frame at byte {at} is cut short")
+    return begin, begin + size
+
+
 def frames(data: bytes) -> Iterator[bytes]:
-    """The records of an archive, one per frame."""
-    view = memoryview(data)
-    magic, size = struct.unpack_from(_FRAME, view) if len(view) >= struct.calcsize(_FRAME) else (0, 0)
-    at = struct.calcsize(_FRAME) + size
-    if magic != SKIPPABLE or at > len(view):
-        raise ValueError("an archive begins with the frame of its dictionary")
-    reader = zstandard.ZstdDecompressor(dict_data=_dictionary(bytes(view[struct.calcsize(_FRAME) : at])))
-    while at < len(view):
-        frame, parts = reader.decompressobj(), []
-        while not frame.eof:
-            some = view[at : at + 65_536]
-            if not some:
-                raise ValueError(f"the frame that ends at byte {at} is cut short")
-            parts.append(frame.decompress(some))
-            at += len(some) - len(frame.unused_data)
-        yield b"".join(parts)
-
-
-def _page(name: str) -> int | None:
-    number = name.removeprefix("<urn:page:").removesuffix(">")
-    return int(number) if number else None
+    """The records of an archive, one per frame; all frames but skippable ones are records."""
+    view, at, dictionary = memoryview(data), 0, b""
+    if len(view) < 8:
+        raise ArchiveError("an archive begins with a frame")
+    try:
+        if struct.unpack_from("<I", view)[0] == SKIPPABLE and (place := _skippable(view, 0)):
+            dictionary, at = bytes(view[slice(*place)]), place[1]
+            if dictionary[:4] == struct.pack("<I", FRAME):
+                dictionary = zstandard.ZstdDecompressor().decompressobj().decompress(dictionary)
+        reader = zstandard.ZstdDecompressor(dict_data=_dictionary(dictionary))
+        while at < len(view):
+            if place := _skippable(view, at):
+                at = place[1]
+                continue
+            frame, parts = reader.decompressobj(), []
+            while not frame.eof:
+                some = view[at : at + 65_536]
+                if not some:
+                    raise ArchiveError(f"the frame that ends at byte {at} is cut short")
+                parts.append(frame.decompress(some))
+                at += len(some) - len(frame.unused_data)
+            yield b"".join(parts)
+    except zstandard.ZstdError as error:
+        raise ArchiveError(f"the frame at byte {at}: {error}") from error
+
+
+def _page(name: str | None) -> int | None:
+    found = _PAGE_ID.fullmatch(name or "")
+    return int(found[1]) if found else None
+
+
+def _fields(head: bytes) -> tuple[str, dict[str, str]]:
+    """The version of a record and its fields by lower-case name."""
+    try:
+        version, *lines = re.sub(r"\r\n[ \t]+", " ", head.decode()).split("\r\n")
+    except UnicodeDecodeError as error:
+        raise ArchiveError(f"not a record: {head[:200]!r}") from error
+    fields = dict(line.split(":", 1) if ":" in line else (line, None) for line in lines)
+    if version not in VERSIONS or None in fields.values():
+        raise ArchiveError(f"not a record: {head[:200]!r}")
+    named = {name.strip().lower(): value.strip() for name, value in fields.items()}
+    if any(name.lower() not in named for name in FIELDS) or not re.fullmatch("[0-9]+", named["content-length"]):
+        raise ArchiveError(f"not a record: {head[:200]!r}")
+    return version, named
+
+
+def _digests(data: bytes, kind: str) -> tuple[str, ...] | None:
+    """The digest of some kind as archives write it, None for kinds that are not verified."""
+    if kind not in ("sha1", "sha256"):
+        return None
+    found = hashlib.new(kind, data)
+    return found.hexdigest(), base64.b32encode(found.digest()).decode().rstrip("=").lower()
+
+
+def _check_digest(record_id: str, declared: str | None, data: bytes) -> None:
+    kind, _, value = (declared or "").partition(":")
+    found = _digests(data, kind.strip().lower().replace("-", ""))
+    if found and value.strip().rstrip("=").lower() not in found:
+        raise ArchiveError(f"{record_id}: its bytes have another digest than {declared}")
 
 
 def parse(data: bytes) -> dict:
-    """A checked record: page_id, url, record_type, refers_to, payload_bytes, payload_digest, payload."""
+    """A checked record: record_id, page_id, url, record_type, refers_to_id, refers_to, payload_bytes, payload_digest, payload.
+
+    The digest is the SHA-256 of the payload; a revisit, which has none, gives the one it declares, by
+    another kind with its kind in front, and the length that its HTTP head declares, if any.
+    """
     head, gap, rest = data.partition(b"\r\n\r\n")
-    version, *lines = head.decode().split("\r\n")
-    fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines)
-    if version != VERSION or not gap or any(name not in fields for name in FIELDS):
-        raise ValueError(f"not a record: {head[:200]!r}")
+    _, fields = _fields(head)
+    record_id, kind = fields["warc-record-id"], fields["warc-type"].lower()
     block, end = rest[:-4], rest[-4:]
-    if end != b"\r\n\r\n" or len(block) != int(fields["Content-Length"]):
-        raise ValueError(f"{fields['WARC-Record-ID']}: {len(block)} bytes for {fields['Content-Length']}")
-    http, gap, payload = block.partition(b"\r\n\r\n")
-    size = int(re.search(rb"\r\nContent-Length: (\d+)", http)[1])
-    digest = fields["WARC-Payload-Digest"].removeprefix("sha256:")
-    revisit = fields["WARC-Type"] == "revisit"
-    if revisit and payload or not revisit and (len(payload) != size or hashlib.sha256(payload).hexdigest() != digest):
-        raise ValueError(f"{fields['WARC-Record-ID']}: the payload is not what the header says")
+    if not gap or end != b"\r\n\r\n" or len(block) != int(fields["content-length"]):
+        raise ArchiveError(f"{record_id}: {len(block)} bytes for {fields['content-length']}")
+    _check_digest(record_id, fields.get("warc-block-digest"), block)
+    payload, size = block, None
+    if kind in ("response", "revisit", "request") and block.startswith((b"HTTP/", b"GET ", b"POST ", b"HEAD ")):
+        http, _, payload = block.partition(b"\r\n\r\n")
+        length = re.search(rb"\r\ncontent-length:[ \t]*([0-9]+)[ \t]*(?:\r\n|$)", http, re.IGNORECASE)
+        size = int(length[1]) if length else None
+    declared, revisit = fields.get("warc-payload-digest"), kind == "revisit"
+    if revisit:
+        if declared is None:
+            raise ArchiveError(f"{record_id}: a revisit names the digest of its payload")
+        label, _, value = declared.partition(":")
+        digest = value.strip().lower() if label.strip().lower() == "sha256" else declared
+        if label.strip().lower() == "sha256" and not re.fullmatch("[0-9a-f]{64}|[a-z2-7]{52}=*", digest):
+            raise ArchiveError(f"{record_id}: {declared} is no digest")
+        if payload and fields.get("warc-profile", "").lower().endswith("identical-payload-digest"):
+            raise ArchiveError(f"{record_id}: a revisit of an equal payload holds none")
+    else:
+        if size is not None and len(payload) != size and "warc-truncated" not in fields:
+            raise ArchiveError(f"{record_id}: a payload of {len(payload)} bytes for {size}")
+        _check_digest(record_id, declared, payload)
+        size, digest = len(payload), hashlib.sha256(payload).hexdigest()
+    refers_to = fields.get("warc-refers-to") if revisit else None
     return {
-        "page_id": _page(fields["WARC-Record-ID"]),
-        "url": fields["WARC-Target-URI"],
-        "record_type": fields["WARC-Type"],
-        "refers_to": _page(fields["WARC-Refers-To"]) if revisit else None,
+        "record_id": record_id,
+        "page_id": _page(record_id),
+        "url": fields.get("warc-target-uri"),
+        "record_type": kind,
+        "refers_to_id": refers_to,
+        "refers_to": _page(refers_to),
         "payload_bytes": size,
         "payload_digest": digest,
         "payload": None if revisit else payload,
     }
 
 
+def broken_revisits(records: DataFrame) -> DataFrame:
+    """Revisits among the records of `read` that name a record which is not there or has another payload.
+
+    Those that name none, or whose digest is not a hexadecimal SHA-256, are not judged. Records are joined
+    by their ids, each once; only ids and digests are shuffled.
+    """
+    known = records.filter("record_type <> 'revisit'").groupBy(F.col("record_id").alias("refers_to_id"))
+    known = known.agg(F.min("payload_digest").alias("least"), F.max("payload_digest").alias("most"))
+    judged = records.filter("record_type = 'revisit' and refers_to_id is not null and payload_digest rlike '^[0-9a-f]{64}$'")
+    judged = judged.select("record_id", "refers_to_id", "payload_digest").join(known, "refers_to_id", "left")
+    agrees = (F.col("least") == F.col("payload_digest")) | (F.col("most") == F.col("payload_digest"))
+    return judged.filter(~F.coalesce(agrees, F.lit(False))).select("record_id", "refers_to_id", "payload_digest")
+
+
 def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
     """One row per record of the archives in `folder`, each checked."""
     folder = uri(folder)
     kinds = {
+        "record_id": pa.string(),
         "page_id": pa.int64(),
         "url": pa.string(),
         "record_type": pa.string(),
+        "refers_to_id": pa.string(),
         "refers_to": pa.int64(),
         "payload_bytes": pa.int64(),
         "payload_digest": pa.string(),
@@ -207,7 +308,8 @@ def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
                 if rows:
                     yield _batch(rows, kinds)
 
-    schema = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string"
+    schema = "record_id string, page_id long, url string, record_type string, refers_to_id string, refers_to long"
+    schema += ", payload_bytes long, payload_digest string"
     found = contents(spark, folder, ".warc.zst").select("content")
     return found.mapInArrow(decode, schema + ", payload binary" * payloads)
 

@@ -240,3 +240,94 @@ def test_one_frame_per_record_and_broken_archives_raise():
     ):
         with pytest.raises(ValueError):
             warc.parse(bad)
+
+
+def foreign(kind, block, *fields, version="WARC/1.0", names=str):
+    head = [("WARC-Type", kind), ("WARC-Record-ID", "<urn:uuid:1>"), ("WARC-Date", "2020-01-01T00:00:00Z"), *fields]
+    lines = "".join(f"{names(n)}: {v}\r\n" for n, v in [*head, ("Content-Length", len(block))])
+    return f"{version}\r\n{lines}\r\n".encode() + block + b"\r\n\r\n"
+
+
+PAGE = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n<p>text</p>"
+
+
+@pytest.mark.parametrize(
+    "record, kind, payload",
+    [
+        (foreign("warcinfo", b"software: x\r\n"), "warcinfo", b"software: x\r\n"),
+        (foreign("response", PAGE), "response", b"<p>text</p>"),
+        (foreign("response", PAGE, names=str.lower), "response", b"<p>text</p>"),
+        (foreign("response", PAGE, names=str.upper, version="WARC/1.1"), "response", b"<p>text</p>"),
+        (foreign("request", b"GET / HTTP/1.1\r\nHost: x\r\n\r\n"), "request", b""),
+        (foreign("metadata", b""), "metadata", b""),
+        (foreign("resource", b"a\r\n\r\nb", ("WARC-Target-URI", "x:\r\n y")), "resource", b"a\r\n\r\nb"),
+        (foreign("response", PAGE, ("WARC-Payload-Digest", "sha1:KX5JR2VB4ZPRV3B6V5QOPPD2XFRRSCNC")), None, None),
+        (foreign("response", PAGE, ("WARC-Payload-Digest", "md5:00")), "response", b"<p>text</p>"),
+    ],
+)
+def test_records_of_others(record, kind, payload):
+    if kind is None:  # the digest is that of other bytes
+        with pytest.raises(warc.ArchiveError):
+            warc.parse(record)
+        return
+    found = warc.parse(record)
+    assert (found["record_type"], found["payload"], found["page_id"]) == (kind, payload, None)
+    assert found["record_id"] == "<urn:uuid:1>" and found["payload_digest"] == hashlib.sha256(payload).hexdigest()
+
+
+def test_digests_of_others_are_verified():
+    for kind in ("sha1", "sha256"):
+        digest = hashlib.new(kind, b"<p>text</p>")
+        for written in (digest.hexdigest(), digest.hexdigest().upper(), warc.base64.b32encode(digest.digest()).decode()):
+            assert warc.parse(foreign("response", PAGE, ("WARC-Payload-Digest", f"{kind}:{written}")))["payload_bytes"] == 11
+
+
+@pytest.mark.parametrize(
+    "record",
+    [
+        b"",
+        b"WARC/1.0\r\n\xff: x\r\n\r\n\r\n\r\n",
+        foreign("response", PAGE)[:-6],
+        foreign("response", PAGE).replace(b"Content-Length: 41", b"Content-Length: x"),
+        foreign("response", PAGE).replace(b"WARC-Date: ", b"WARC-Date "),
+        foreign("response", PAGE.replace(b"Server: x", b"content-length: 12")),
+        foreign("response", PAGE, ("WARC-Block-Digest", "sha1:00")),
+        foreign("revisit", b""),
+        foreign("revisit", b"", ("WARC-Payload-Digest", "sha256:00")),
+    ],
+)
+def test_what_is_no_record_raises_one_kind_of_error(record):
+    with pytest.raises(warc.ArchiveError):
+        warc.parse(record)
+
+
+@pytest.mark.parametrize("record", [PAGE.replace(b"Server: x", b"Content-Length: 99")])
+def test_truncated_payloads_may_be_shorter(record):
+    assert warc.parse(foreign("response", record, ("WARC-Truncated", "length")))["payload_bytes"] == 11
+
+
+def test_dictionaries_compressed_missing_and_other_skippable_frames():
+    records, dictionary = [foreign("response", PAGE), foreign("metadata", b"x")], b"0123456789abcdef" * 8
+    plain = b"".join(map(zstandard.ZstdCompressor().compress, records))
+    assert list(warc.frames(plain)) == records
+    packed = zstandard.ZstdCompressor().compress(dictionary)
+    head = warc.struct.pack("<II", warc.SKIPPABLE, len(packed)) + packed
+    other = warc.struct.pack("<II", warc.SKIPPABLE - 8, 3) + b"abc"
+    own = zstandard.ZstdCompressor(dict_data=warc._dictionary(dictionary)).compress
+    assert list(warc.frames(head + own(records[0]) + other + own(records[1]))) == records
+    for broken in (plain[:-1], b"no frame at all", other[:-1] + b"", plain + b"tail"):
+        with pytest.raises(warc.ArchiveError):
+            list(warc.frames(broken))
+
+
+def test_revisits_are_held_against_their_responses(spark):
+    page = b"<p>" + b"x" * 200
+    digest, other = hashlib.sha256(page).hexdigest(), hashlib.sha256(b"other").hexdigest()
+    date = "2024-01-01T00:00:00Z"
+    made = [warc.record(1, "u", page, digest, None, date), warc.record(2, "u", page, digest, 1, date)]
+    made += [warc.record(3, "u", page, other, 1, date), warc.record(4, "u", page, digest, 9, date)]
+    rows = [{k: r[k] for k in ("record_id", "record_type", "refers_to_id", "payload_digest")} for r in map(warc.parse, made)]
+    schema = "record_id string, record_type string, refers_to_id string, payload_digest string"
+    broken = warc.broken_revisits(spark.createDataFrame([tuple(r.values()) for r in rows], schema))
+    assert sorted(r.record_id for r in broken.collect()) == ["<urn:page:3>", "<urn:page:4>"]
+    assert warc.broken_revisits(spark.createDataFrame([], schema)).count() == 0
