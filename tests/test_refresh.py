@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from cashline.operators.buckets import bucket_of, write_buckets
 from cashline.operators.versions import changed_periods, scd2
 from cashline.plans import build, commits, refresh
 from cashline.plans.build import BuildResult, Model, build_models
@@ -287,3 +288,20 @@ def test_a_refresh_of_nothing(spark, tmp_path):
     now = current_tables(spark, str(tmp_path / "out"))
     assert set(now) == set(refresh.ALL_TABLES) and not any(df.count() for df in now.values())
     assert all(now[spec_name].columns for spec_name in now) and len(RAW_COLUMNS) == 11
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    """Two buckets of 8 tasks' rows: split by size, so that no task sorts a whole bucket."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    saved = spark.conf.get(name, None)
+    spark.conf.set(name, "64kb")
+    try:
+        df = spark.range(0, 80_000, 1, 8).select(F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+        write_buckets(df, ["id"], 2, str(tmp_path / "out"))
+    finally:
+        spark.conf.unset(name) if saved is None else spark.conf.set(name, saved)
+    for bucket in (0, 1):
+        assert len(list((tmp_path / f"out/bucket={bucket}").glob("part-*"))) > 2
+    stored = spark.read.parquet(str(tmp_path / "out"))
+    assert stored.filter(stored.bucket != bucket_of(["id"], 2)).count() == 0
+    assert rows_of(stored.drop("bucket")) == rows_of(df)
