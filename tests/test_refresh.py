@@ -305,3 +305,20 @@ def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "out"))
     assert stored.filter(stored.bucket != bucket_of(["id"], 2)).count() == 0
     assert rows_of(stored.drop("bucket")) == rows_of(df)
+
+
+def test_first_rows_are_compared_with_nothing(spark, tmp_path, monkeypatch):
+    """A first refresh neither joins new rows with a table that has none nor writes them twice; the next one compares."""
+    joined, settled = [], []
+    newer, settle = refresh.newer_rows, refresh._Refresh.settled
+    monkeypatch.setattr(refresh, "newer_rows", lambda *a: joined.append(a[4]) or newer(*a))
+    monkeypatch.setattr(refresh._Refresh, "settled", lambda self, df, name: settled.append(name) or settle(self, df, name))
+    out = str(tmp_path / "out")
+    row = lambda load, day, net: raw_frame(spark, "VBAK", [
+        (f"VBAK_{day}.csv", load, {"VBELN": "1", "AUDAT": day, "KUNNR": "c", "NETWR": net, "ERDAT": day})
+    ])
+    first = refresh_tables(spark, out, {"VBAK": row(1, "20260101", "1.00")}, only=["stg_sap__vbak"], n_buckets=2)
+    assert not joined and settled == ["new-stg_sap__vbak"] and len(first.buckets["stg_sap__vbak"]) == 1
+    refresh_tables(spark, out, {"VBAK": row(2, "20260102", "2.00")}, only=["stg_sap__vbak"])
+    assert joined == [("order_date",)]
+    assert [r["net_value"] for r in current_tables(spark, out)["stg_sap__vbak"].collect()] == [2]
