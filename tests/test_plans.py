@@ -190,3 +190,10 @@ def test_questions_without_lookups_shuffle_half_as_often(large):
     whole = plan_of(analysis.shipped_against_ordered(star.sales, star.deliveries))
     narrow = plan_of(all_queries()["shipped_vs_ordered"](large, SF_DIR))
     assert 2 * narrow.count("Exchange hashpartitioning") <= whole.count("Exchange hashpartitioning")
+
+
+def test_lines_move_for_their_order_only(large):
+    """Currency and version are looked up by the order, before its lines join: lines move to be ranked and to meet it."""
+    plan = plan_of(all_queries()["fct_items"](large, SF_DIR))
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert len(joins) == 3 and "l_orderkey" in joins[0] and sum("l_orderkey" in line for line in joins) == 1
