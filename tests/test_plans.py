@@ -197,3 +197,9 @@ def test_lines_move_for_their_order_only(large):
     plan = plan_of(all_queries()["fct_items"](large, SF_DIR))
     joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
     assert len(joins) == 3 and "l_orderkey" in joins[0] and sum("l_orderkey" in line for line in joins) == 1
+
+
+def test_staging_carries_no_hash_of_its_keys(large):
+    plan = plan_of(StarSchema(large, SF_DIR).stg("vbap"))
+    exchange = next(line for line in plan.splitlines() if "Exchange" in line)
+    assert "hashpartitioning(sales_order_id" in exchange and "_w" not in exchange
