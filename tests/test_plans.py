@@ -203,3 +203,9 @@ def test_staging_carries_no_hash_of_its_keys(large):
     plan = plan_of(StarSchema(large, SF_DIR).stg("vbap"))
     exchange = next(line for line in plan.splitlines() if "Exchange" in line)
     assert "hashpartitioning(sales_order_id" in exchange and "_w" not in exchange
+
+
+def test_deliveries_make_the_key_of_their_order_item(large):
+    """A hash per row is not moved where it can be made of what the row has."""
+    plan = plan_of(StarSchema(large, SF_DIR).deliveries)
+    assert sum("sales_order_item_key" in line for line in plan.splitlines()) == 1
