@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from cashline.plans import analysis, marts, quality
+from cashline.plans import analysis, build, marts, quality
 from cashline.plans.build import (
     BuildResult,
     CheckFailed,
@@ -21,6 +21,7 @@ from cashline.plans.publish import as_temp_views, publish
 from cashline.plans.quality import check_tables
 from cashline.plans.staging import STAGING, clean_bad_dates, stage
 from cashline.schema import RAW_COLUMNS, RAW_KEYS
+from cashline.session import INITIAL_PARTITIONS
 from cashline.sources.seeds import exchange_rates
 from conftest import collected, raw_frame
 
@@ -346,3 +347,13 @@ def test_seed_from_file(spark, tmp_path):
     path = tmp_path / "rates.csv"
     path.write_text("currency,rate_to_usd\nUSD,1.00\nEUR,1.1\n")
     assert collected(exchange_rates(spark, str(path)), "currency") == [("EUR", Decimal("1.100000")), ("USD", Decimal("1.000000"))]
+
+
+def test_models_shuffle_into_enough_partitions(spark, tmp_path, monkeypatch):
+    """Whoever calls `build_models`: one partition per 64 MB of the largest table it starts with."""
+    before, seen = spark.conf.get(INITIAL_PARTITIONS, None), []
+    monkeypatch.setattr(build, "estimated_bytes", lambda df: 1 << 40)
+    make = lambda t: seen.append(spark.conf.get(INITIAL_PARTITIONS, None)) or t["raw.ONE"]
+    models = {"copy": Model("staging", ("raw.ONE",), make)}
+    build_models(spark, {"raw.ONE": spark.range(3).toDF("id")}, str(tmp_path), BuildResult(None), models=models)
+    assert seen == [str(1 << 14)] and spark.conf.get(INITIAL_PARTITIONS, None) == before
