@@ -142,6 +142,20 @@ def _distinct(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(every[every != 0], return_counts=True)
 
 
+def _spread(grams: list[np.ndarray], totals: np.ndarray) -> list[np.ndarray]:
+    """The totals of the distinct n-grams, which come in the order of their hashes, at every place of `grams`; 0 where there is none.
+
+    Sorting the places and numbering what is distinct takes a third of the time of looking up each hash.
+    """
+    every = np.concatenate(grams)
+    order = np.argsort(every)
+    every = every[order]
+    numbers = np.cumsum(np.diff(every, prepend=np.uint64(0)) != 0)
+    out = np.empty(len(every))
+    out[order] = np.concatenate((np.zeros(1), totals))[numbers]
+    return np.split(out, len(grams))
+
+
 def count_tables(blocks: DataFrame, order: int, bits: int) -> DataFrame:
     """Per block and bucket the counts in the whole corpus of the block's n-grams, in the order of their hashes."""
 
@@ -199,10 +213,8 @@ def score(docs: DataFrame, order: int = ORDER, least: int = LEAST, alpha: float
     def add_up(block: pa.Table, rows: pa.Table) -> pa.Table:
         [(docs, sizes, known, words)] = zip(*(block.column(c).to_pylist() for c in ("docs", "sizes", "known", "words")))
         grams = _grams(known, words, sizes, order)
-        hashes, _ = _distinct(grams)
         parts = rows.sort_by("bucket").column("counts").to_pylist()
-        totals = np.concatenate([*map(_unpacked_counts, parts), np.zeros(1, np.uint64)]).astype(np.float64)
-        counts = [np.where(g != 0, totals[np.searchsorted(hashes, g)], 0.0) for g in grams]
+        counts = _spread(grams, np.concatenate([*map(_unpacked_counts, parts), np.zeros(0)]))
         sizes = np.array(sizes, np.int64)
         ends = np.cumsum(sizes)
         place = np.arange(len(grams[0])) - np.repeat(ends - sizes, sizes)

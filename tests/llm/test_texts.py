@@ -263,3 +263,11 @@ def test_numbers_and_counts_are_unpacked_as_they_were(values):
     counts = np.maximum(values, 1)
     found = backoff_lm._unpacked_counts(backoff_lm._packed_counts(counts))
     assert len(found) == len(counts) and (found == counts).all()
+
+
+def test_totals_reach_every_place_of_their_gram_without_a_search(monkeypatch):
+    grams = [np.array(g, np.uint64) for g in ([7, 2**64 - 1, 7, 5], [0, 9, 2**63, 9], [0, 0, 5, 0])]
+    monkeypatch.setattr(np, "searchsorted", None)
+    found = backoff_lm._spread(grams, np.array([50.0, 70.0, 90.0, 1.0, 2.0]))
+    assert [g.tolist() for g in found] == [[70, 2, 70, 50], [0, 90, 1, 90], [0, 0, 50, 0]]
+    assert [len(g) for g in backoff_lm._spread([np.zeros(0, np.uint64)] * 3, np.zeros(0))] == [0, 0, 0]
