@@ -181,6 +181,38 @@ def test_slots_that_are_dropped_are_judged_all_the_same(spark, monkeypatch):
     assert texts == [f"the own text of page {k}" for k in range(150)]
 
 
+def word(k):
+    return "".join(chr(ord("a") + int(c)) for c in str(k))
+
+
+def test_what_a_template_has_no_room_for_is_judged_by_place(spark):
+    parts = "".join(f'<b class="{word(n)}x">{{1}} </b>' for n in range(45))
+    html = '<hr><div class="s">own words {1}</div><div class="{0}y">' + parts + "</div>"
+    pages = [html.format(word(k // 4), k) for k in range(400)]
+    for k in (3, 120, 377):  # fewer pages than any other slot, and of a path that others have with other text
+        pages[k] = '<div class="s">Fixed <i>words</i></div>' + pages[k]
+    pages[50] = '<h2>seen <i>once</i></h2><p>and this</p>' + pages[50]
+    found = extracted(spark, pages)
+    expected = {k: f"own words {k}\n" + " ".join([str(k)] * 45) for k in range(400)}
+    assert found == expected | {50: "seen once\nand this\n" + expected[50]}
+
+
+def test_a_closed_slot_is_judged_by_all_of_its_places():
+    pages = [f'<div class="t">Head<p class="{word(k % 3)}q">same</p></div><p>own {k}</p>' for k in range(12)]
+    root = template_of(pages)
+    wrappers._drop(root, 5)
+    assert root.kids[0].closed and not wrappers.judge(root.kids[0])
+    places, number = {}, wrappers._number(0, 0)
+    wrappers._place(parse(pages[0]), root, places)
+    [(place, (above, texts, nodes))] = [(k, v) for k, v in places.items() if v[2]]
+    assert above == (number,) and texts == ["same"] and [n.tag for n in nodes] == ["p"]
+    assert main_text(pages[0], root) == "Head\nsame\nown 0"
+    wrappers.judge(root, {place})
+    assert main_text(pages[0], root, proven={place}) == "Head\nown 0"
+    wrappers.judge(root, {place, number})
+    assert main_text(pages[0], root, proven={place, number}) == "own 0"
+
+
 def archived(spark, rows):
     folder = new_folder(spark, "test-warc")
     warc.write(spark.createDataFrame(rows, PAGES), folder)
