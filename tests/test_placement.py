@@ -2,14 +2,16 @@
 
 import re
 
+import duckdb
 import pytest
 from conftest import SF_DIR, collected, plan_of
 from pyspark.sql import functions as F
 
+from cashline.operators.buckets import write_buckets
 from cashline.operators.joins import lookup, mark_missing, with_header
 from cashline.operators.placement import placed_join, read_placed, write_placed
 from cashline.plans import marts
-from cashline.plans.build import MODELS, PLACED, BuildResult, build_models, current_tables
+from cashline.plans.build import MODELS, PLACED, BuildResult, Model, build_models, current_tables
 from cashline.plans.registry import StarSchema
 
 N = 4
@@ -127,3 +129,15 @@ def test_builds_in_buckets_read_alike(apart, tmp_path):
     read = current_tables(apart, str(tmp_path))
     assert read["fct_sales_order_items"].schema.names == star.sales.columns and read["fct_sales_order_items"].count() == 0
     assert read["stg_sap__vbak"].count() == star.stg("vbak").count()
+
+
+def test_stored_tables_need_half_the_bytes_for_hashed_keys(apart, tmp_path):
+    rows = apart.range(20_000).select(F.md5(F.col("id").cast("string")).alias("d"), "id")
+    write_placed(rows, f"{tmp_path}/placed", "d", N)
+    write_buckets(rows, ["d"], N, f"{tmp_path}/buckets")
+    build_models(apart, {"hashes": rows}, f"{tmp_path}/out", BuildResult(None), models={"t": Model("marts", ("hashes",), lambda t: t["hashes"])})
+    for folder in ("placed/*.parquet", "buckets/*/*.parquet", "out/marts/t/*/*.parquet"):
+        found = duckdb.sql(
+            f"select sum(total_compressed_size) from parquet_metadata('{tmp_path}/{folder}') where path_in_schema = 'd'"
+        )
+        assert found.fetchall()[0][0] < 20_000 * 24
