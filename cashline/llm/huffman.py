@@ -22,6 +22,10 @@ MAGIC = b"HSEG"
 # 32 bits are read from the byte in which a code begins, of which up to 7 belong to the code before.
 MOST_BITS = 25
 
+# Of an entry of the decoding table, what holds the length of the code.
+LENGTH_BITS = MOST_BITS.bit_length()
+LENGTH_MASK = (1 << LENGTH_BITS) - 1
+
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
     """The length of each symbol's code, at most `limit`, that makes the coded text shortest."""
@@ -89,28 +93,26 @@ class Codebook:
         return codes, lengths
 
     @cached_property
-    def _table(self) -> tuple[np.ndarray, np.ndarray, int]:
-        """Symbol and code length for every value of the next bits."""
+    def _table(self) -> tuple[np.ndarray, int]:
+        """For every value of the next bits the symbol, and in the lowest bits the code's length: one place to look at."""
         widest = int(self.lengths.max(initial=1))
         order = self._canonical[0]
         times = np.left_shift(1, widest - self.lengths[order])
-        symbols, lengths = np.zeros(1 << widest, np.uint32), np.ones(1 << widest, np.uint8)
-        filled = int(times.sum())
-        symbols[:filled] = np.repeat(self.symbols[order], times)
-        lengths[:filled] = np.repeat(self.lengths[order], times)
-        return symbols, lengths, widest
+        table = np.ones(1 << widest, np.uint64 if self.symbols.max(initial=0) >> 32 - LENGTH_BITS else np.uint32)
+        table[: int(times.sum())] = np.repeat(self.symbols[order] << LENGTH_BITS | self.lengths[order], times)
+        return table, widest
 
     def encode(self, ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, bytes]:
         """Checkpoints and bits."""
         if not len(ids):
             return np.zeros(0, np.uint64), b""
         codes, lengths = self._by_id
-        code, length = codes[ids], lengths[ids]
+        code, length = codes.take(ids), lengths.take(ids)
         ends = np.cumsum(length, dtype=np.int64)
         starts = ends - length
         word, place = starts >> 6, (starts & 63).astype(np.uint64)
         # Codes are shorter than a word, so a code starts in each word but perhaps the last one.
-        firsts = np.flatnonzero(np.diff(word, prepend=-1))
+        firsts = np.concatenate(([0], np.flatnonzero(word[1:] != word[:-1]) + 1))
         words = np.zeros((int(ends[-1]) + 63 >> 6) + 1, np.uint64)
         words[: len(firsts)] = np.bitwise_or.reduceat(code >> place, firsts)
         over = np.flatnonzero(place + length > 64)
@@ -121,18 +123,18 @@ class Codebook:
         """The `n` ids, all blocks side by side, one id of each per step."""
         if not n:
             return np.zeros(0, np.uint32)
-        symbols, lengths, widest = self._table
-        data = np.concatenate((np.frombuffer(bits, np.uint8), np.zeros(8, np.uint8))).astype(np.uint32)
+        table, widest = self._table
+        # Codes are read past the end of a block, so those of the last one past the end of the bits.
+        data = np.concatenate((np.frombuffer(bits, np.uint8), np.zeros(block * widest // 8 + 8, np.uint8))).astype(np.uint32)
         quads = data[:-3] << np.uint32(24) | data[1:-2] << np.uint32(16) | data[2:-1] << np.uint32(8) | data[3:]
-        last, mask = len(quads) - 1, np.uint32((1 << widest) - 1)
-        at = checkpoints.astype(np.int64)
-        out = np.empty((min(block, n), len(at)), np.uint32)
+        spare, mask = np.uint32(32 - widest), np.uint32((1 << widest) - 1)
+        at = checkpoints.astype(np.uint32 if len(data) < 1 << 29 else np.int64)
+        out = np.empty((min(block, n), len(at)), table.dtype)
         for step in out:
-            quad = quads[np.minimum(at >> 3, last)]
-            peeked = quad >> (32 - widest - (at & 7)).astype(np.uint32) & mask
-            step[:] = symbols[peeked]
-            at += lengths[peeked]
-        return out.T.ravel()[:n]
+            peeked = quads.take(at >> 3) >> (spare - (at & 7).astype(np.uint32)) & mask
+            table.take(peeked, out=step, mode="clip")
+            at += (step & LENGTH_MASK).astype(at.dtype)
+        return (out.T.ravel()[:n] >> LENGTH_BITS).astype(np.uint32)
 
 
 def pack_segment(book: Codebook, doc_ids: list[int | None], sizes: np.ndarray, ids: np.ndarray, block: int = BLOCK) -> bytes:

@@ -56,6 +56,21 @@ def test_a_full_word_table_changes_nothing(monkeypatch):
         assert encoder.encode(text) == ids(text).tobytes()
 
 
+def test_a_word_is_asked_for_once_whatever_marks_follow_it():
+    encoder, asked = Encoder(PATH), Counter()
+    tokenize = encoder.words.tokenize
+
+    def counted(piece):
+        asked[piece] += 1
+        return tokenize(piece)
+
+    encoder.words.tokenize = counted
+    text = "so stone, stone. stone; stone' stone\nstone's é, é. é stra\u00dfe, stra\u00dfe. 'stone', don't, _stone_, x1, x1. 's. \u00aa, ''s"
+    for _ in range(2):
+        assert encoder.encode(text) == ids(text).tobytes()
+    assert asked["\u0120stone"] == 1 and set(asked.values()) == {1}
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json"])
 def test_other_tokenizers_get_the_text_whole(name):
     path = public_tokenizers.path(name)
