@@ -209,3 +209,16 @@ def test_deliveries_make_the_key_of_their_order_item(large):
     """A hash per row is not moved where it can be made of what the row has."""
     plan = plan_of(StarSchema(large, SF_DIR).deliveries)
     assert sum("sales_order_item_key" in line for line in plan.splitlines()) == 1
+
+
+@pytest.mark.parametrize("fact", ["sales", "billing", "deliveries", "receivables"])
+def test_keys_of_customer_versions_are_not_moved(large, fact):
+    """They are made of customer and start at the end of a fact, after its last join."""
+    plan = plan_of(getattr(StarSchema(large, SF_DIR), fact))
+    assert sum("customer_key" in line for line in plan.splitlines()) == 1
+
+
+def test_rows_leave_a_join_in_the_order_of_its_key(large):
+    plan = plan_of(StarSchema(large, SF_DIR).billing)
+    sorts = [line for line in plan.splitlines() if "Sort [" in line and "xxhash64(" in line]
+    assert sorts and not any("Sort [xxhash64(" in line for line in sorts)
