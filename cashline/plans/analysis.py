@@ -10,14 +10,14 @@ from cashline.operators.joins import lookup, same_key
 
 
 def _value_by_month(facts: DataFrame, customers: DataFrame, day: str, value: Column) -> DataFrame:
-    # Summed per customer version first: a third of all rows may belong to one customer, and
-    # only one row per version, material and month is left to join.
-    per_version = facts.groupBy(
-        "customer_key", "material_id", month_start(day).alias("month")
-    ).agg(F.sum(value).alias("value"), F.count("*").alias("n"))
-    named = lookup(per_version, customers, {"customer_key": "customer_key"}, ["customer_id"])
+    # Looked up before the one sum: where few rows share version, material and month, a sum per version moves nearly
+    # all of them once more. A customer who has a third of all rows is split by the join, and summed in the map tasks.
+    rows = facts.select("customer_key", "material_id", month_start(day).alias("month"), value.alias("value"))
+    # A version without a customer adds none. Left out here as by `point_in_time`, history is shuffled once for both.
+    versions = customers.filter(F.col("customer_id").isNotNull())
+    named = lookup(rows, versions, {"customer_key": "customer_key"}, ["customer_id"])
     return named.groupBy("customer_id", "material_id", "month").agg(
-        F.sum("value").cast("decimal(28,2)").alias("value_usd"), F.sum("n").alias("n_items")
+        F.sum("value").cast("decimal(28,2)").alias("value_usd"), F.count("*").alias("n_items")
     )
 
 

@@ -222,3 +222,14 @@ def test_rows_leave_a_join_in_the_order_of_its_key(large):
     plan = plan_of(StarSchema(large, SF_DIR).billing)
     sorts = [line for line in plan.splitlines() if "Sort [" in line and "xxhash64(" in line]
     assert sorts and not any("Sort [xxhash64(" in line for line in sorts)
+
+
+def test_values_by_month_make_history_once_and_sum_once(large):
+    star = StarSchema(large, SF_DIR)
+    value = analysis.billed_value_by_month(star.billing, star.customers, include_orphans=False)
+    value.collect()  # AQE finds the shuffles that are alike as it runs
+    plan = plan_of(value)
+    final = plan[: plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    assert final.count("ReusedExchange") >= 1
+    initial = plan_of(analysis.billed_value_by_month(star.billing, star.customers, include_orphans=False))
+    assert len(re.findall(r"HashAggregate\(keys=\[customer_", initial)) == 2  # partial and final
