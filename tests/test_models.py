@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from cashline.plans import analysis, build, marts, quality
+from cashline.plans import analysis, build, marts, quality, registry, testbed
 from cashline.plans.build import (
     BuildResult,
     CheckFailed,
@@ -343,6 +343,29 @@ def test_a_rebuild_that_dies_leaves_the_old_table(spark, folder, tmp_path):
     assert {n: t.count() for n, t in current_tables(spark, out).items()} == {"five": 5, "more": 5}
 
 
+def test_declared_checks_raise_where_a_model_cannot_be_built(spark, tmp_path, monkeypatch):
+    """Else the checks that are left look like all there are."""
+    from pyspark.sql.types import DateType
+
+    tables = {
+        "orders": [(1, 1, "O", 5.0, dt.datetime(2026, 1, 1), "1-URGENT")],
+        "lineitem": [(1, 1, 1, 1, 1.0, 5.0, 0.0, 0.0, "N", "O", dt.datetime(2026, 1, 2))],
+        "part": [(1, "p", "b", "t", 1, 1.0)],
+    }
+    for name, rows in tables.items():
+        spark.createDataFrame(rows, testbed.SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    whole = {r["check_name"] for r in registry.declared_checks(spark, str(tmp_path)).collect()}
+    assert len(whole) == 90 + sum(len(s.keys) > 1 for s in STAGING.values())
+    late = F.raise_error(F.lit("disk full")).cast(DateType())
+    calendar = build.MODELS["dim_date"].make
+    broken = Model("marts", build.MODELS["dim_date"].parents, lambda t: calendar(t).withColumn("date_day", late))
+    monkeypatch.setitem(build.MODELS, "dim_date", broken)
+    with pytest.raises(CheckFailed, match="dim_date: .*disk full") as raised:
+        registry.declared_checks(spark, str(tmp_path))
+    assert "disk full" in str(raised.value.__cause__)
+    assert ("dim_date", "marts", "error") in [tuple(r) for r in registry.build_report(spark, str(tmp_path)).collect()]
+
+
 def test_seed_from_file(spark, tmp_path):
     path = tmp_path / "rates.csv"
     path.write_text("currency,rate_to_usd\nUSD,1.00\nEUR,1.1\n")
