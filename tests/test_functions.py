@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cashline import functions as fn
-from conftest import collected
+from conftest import collected, plan_of
 
 
 def values(spark, rows, *columns, schema="t string"):
@@ -111,3 +111,12 @@ def test_strict_dates_raise_with_and_without_ansi(spark, ansi, text):
         assert [str(r[0]) for r in fine.select(fn.sap_date("t")).collect()] == ["None", "None", "None", "2026-01-31"]
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_a_filter_on_the_date_of_a_file_finds_its_digits_once(spark):
+    """A filter computes each part again wherever it is named."""
+    names = spark.createDataFrame([("VBAK_20260105_7.csv",), ("VBAK_20260106_00010101.csv",)], "file string")
+    late = names.filter(fn.date_from_file_name("file") > "2026-01-05")
+    assert [r["file"] for r in late.collect()] == ["VBAK_20260106_00010101.csv"]
+    condition = next(line for line in plan_of(late).splitlines() if "Filter" in line)
+    assert condition.count("regexp_extract") == 1
