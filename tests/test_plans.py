@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cashline.functions import OPEN_END
+from cashline.operators.buckets import BUCKET, deal
 from cashline.operators.joins import (
     broadcast_if_small,
     broadcast_limit,
@@ -16,7 +17,7 @@ from cashline.operators.joins import (
 )
 from cashline.operators.checks import SharedKeys, run_checks, share_keys
 from cashline.operators.versions import latest_version
-from cashline.plans import analysis, quality, testbed
+from cashline.plans import analysis, marts, quality, testbed
 from cashline.plans.build import MODELS, SEED
 from cashline.plans.registry import StarSchema, all_queries, latest_lines
 from cashline.plans.staging import STAGING
@@ -233,3 +234,20 @@ def test_values_by_month_make_history_once_and_sum_once(large):
     assert final.count("ReusedExchange") >= 1
     initial = plan_of(analysis.billed_value_by_month(star.billing, star.customers, include_orphans=False))
     assert len(re.findall(r"HashAggregate\(keys=\[customer_", initial)) == 2  # partial and final
+
+
+@pytest.mark.parametrize("fact, document", [("billing", "billing_id"), ("deliveries", "delivery_id")])
+def test_items_meet_their_header_last(large, fact, document):
+    """It adds the most columns, which the shuffle for the order item then does not move."""
+    plan = plan_of(getattr(StarSchema(large, SF_DIR), fact))
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert document in joins[0] and "sales_order_id" in joins[1]
+
+
+def test_rows_are_dealt_to_buckets_before_their_keys_are_made(large):
+    star = StarSchema(large, SF_DIR)
+    dealt = lambda rows: deal(rows, ["sales_order_id"], 4)
+    sales = marts.fct_sales_order_items(star.stg("vbap"), star.stg("vbak"), star.customers, star.rates, deal=dealt)
+    assert sales.columns == [*star.sales.columns, BUCKET]
+    made, moved = plan_of(sales).split("REBALANCE_PARTITIONS_BY_COL")
+    assert made.count("md5(") == 2 and "md5(" not in moved
