@@ -322,3 +322,24 @@ def test_first_rows_are_compared_with_nothing(spark, tmp_path, monkeypatch):
     refresh_tables(spark, out, {"VBAK": row(2, "20260102", "2.00")}, only=["stg_sap__vbak"])
     assert joined == [("order_date",)]
     assert [r["net_value"] for r in current_tables(spark, out)["stg_sap__vbak"].collect()] == [2]
+
+
+@pytest.mark.parametrize("n_buckets, looked", [(1, 0), (64, 1)])
+def test_documents_are_looked_for_until_all_buckets_are_touched(spark, folder, tmp_path, monkeypatch, n_buckets, looked):
+    calls = []
+    matching = refresh.matching
+    monkeypatch.setattr(refresh, "matching", lambda *a: calls.append(a) or matching(*a))
+    invoice = lambda n, **more: {"VBELN": f"{n:010d}", "FKDAT": "20260103", "KUNRG": "0000000001", "ERDAT": "20260101", **more}
+    billed = lambda n: {"VBELN": f"{n:010d}", "POSNR": "000010", "AUBEL": f"{n:010d}", "AUPOS": "000010", "ERDAT": "20260101"}
+    folder.rows("KNA1", "20260101", {"KUNNR": "0000000001"})
+    folder.rows("VBRK", "20260101", *[invoice(n) for n in range(9)])
+    folder.rows("VBRP", "20260101", *[billed(n) for n in range(9)])
+    refresh_all(spark, str(folder), str(tmp_path / "out"), n_buckets=n_buckets, only=["fct_billing_items"])
+    assert not calls
+    # One invoice changes, and the order items of all come late.
+    folder.rows("VBRK", "20260102", invoice(3, FKSTO="X", AEDAT="20260102"))
+    folder.rows("VBAP", "20260102", *[items(n) for n in range(9)])
+    refresh_all(spark, str(folder), str(tmp_path / "out"), only=["fct_billing_items"])
+    assert len(calls) == looked
+    facts = current_tables(spark, str(tmp_path / "out"))["fct_billing_items"]
+    assert facts.filter("not is_orphan_item").count() == 9 and facts.filter("is_cancelled").count() == 1
